@@ -48,12 +48,12 @@ def canonicalize_missing(df: DataFrame) -> DataFrame:
 
 def to_float_finite(c) -> Column:
     """M1: parse to double; unparsable or non-finite -> NULL."""
-    return finite_or_null(F.try_cast(F.trim(_c(c).cast("string")), "double"))
+    return finite_or_null((F.trim(_c(c).cast("string"))).try_cast("double"))
 
 
 def to_int_safe(c, default: int | None = None) -> Column:
     """M2: parse to bigint, else ``default``."""
-    parsed = F.try_cast(F.trim(_c(c).cast("string")), "bigint")
+    parsed = (F.trim(_c(c).cast("string"))).try_cast("bigint")
     return parsed if default is None else F.coalesce(parsed, F.lit(default).cast("bigint"))
 
 

@@ -108,8 +108,8 @@ def value_bucket(c) -> F.Column:
     x = F.trim(F.col(c) if isinstance(c, str) else c)
     low = F.lower(x)
     return (F.when(low.isin("true", "false"), F.lit("bool"))
-            .when(F.try_cast(x, "double").isNotNull(), F.lit("number"))
-            .when(F.try_cast(x, "timestamp_ntz").isNotNull(), F.lit("datetime"))
+            .when((x).try_cast("double").isNotNull(), F.lit("number"))
+            .when((x).try_cast("timestamp_ntz").isNotNull(), F.lit("datetime"))
             .otherwise(F.lit("string")))
 
 

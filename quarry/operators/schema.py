@@ -90,13 +90,13 @@ def schema_diff_df(spark, actual: T.StructType, expected: T.StructType, target:
 def coerce_numeric(c) -> Column:
     """Text/number to double; unparsable -> NULL; NaN/Inf -> NULL."""
     x = F.col(c) if isinstance(c, str) else c
-    v = F.try_cast(F.trim(x.cast("string")), "double")
+    v = (F.trim(x.cast("string"))).try_cast("double")
     return F.when(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(v)
 
 
 def coerce_datetime(c) -> Column:
     x = F.col(c) if isinstance(c, str) else c
-    return F.try_cast(F.trim(x.cast("string")), "timestamp_ntz") if not isinstance(c, Column) else F.try_cast(x, "timestamp_ntz")
+    return (F.trim(x.cast("string"))).try_cast("timestamp_ntz") if not isinstance(c, Column) else (x).try_cast("timestamp_ntz")
 
 
 def coerce_bool(c, dtype: T.DataType | None = None) -> Column:
@@ -137,7 +137,7 @@ def coerce_to_schema(df: DataFrame, expected: dict[str, str]) -> tuple[DataFrame
             exprs.append(F.col(f"`{c}`"))
             continue
         src = F.col(f"`{c}`")
-        out = {"numeric": coerce_numeric(src), "datetime": F.try_cast(F.trim(src.cast("string")), "timestamp_ntz"),
+        out = {"numeric": coerce_numeric(src), "datetime": (F.trim(src.cast("string"))).try_cast("timestamp_ntz"),
                "bool": coerce_bool(src, dtypes[c])}[kind]
         exprs.append(out.alias(c))
         fails[c] = src.isNotNull() & out.isNull()

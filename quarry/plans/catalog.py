@@ -9,6 +9,7 @@ from quarry.plans.registry import ORACLE, QUERIES
 _MODULES = [
     "quarry.plans.q_drift",
     "quarry.plans.q_eval",
+    "quarry.plans.q_profile",
 ]
 
 

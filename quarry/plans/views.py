@@ -200,3 +200,64 @@ def with_views(*names: str) -> str:
     for n in names:
         add(n)
     return "WITH " + ",\n".join(SQL_VIEWS[n] for n in order) + "\n"
+
+
+# ---------------------------------------------------------------- TEXTY / LEAK
+def texty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text versions of lineitem columns with injected junk (for coercion / scalar checks)."""
+    from quarry.functions.hashing import hash_unit
+    li = table(spark, sf_dir, "lineitem")
+    li = li.withColumn("row_id", F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                             F.col("l_quantity").cast("bigint")))
+    h = hash_unit(3, "row_id")
+
+    def pick(mod, cases, default):
+        e = None
+        for k, v in cases:
+            e = (F.when if e is None else e.when)(F.pmod(h, F.lit(mod)) == k, F.lit(v))
+        return e.otherwise(default)
+
+    return li.select(
+        "row_id", "l_shipdate",
+        pick(17, [(0, "abc"), (1, " 1.5 "), (2, "NaN")], F.col("l_quantity").cast("bigint").cast("string")).alias("num_txt"),
+        pick(13, [(0, "2001-13-01"), (1, "not a date")], F.date_format("l_shipdate", "yyyy-MM-dd")).alias("date_txt"),
+        pick(7, [(0, "yes"), (1, " N "), (2, "TRUE"), (3, "maybe"), (4, "0"), (5, "t")], F.lit("false")).alias("bool_txt"),
+        pick(19, [(0, "12x"), (1, " 7 ")], F.col("l_linenumber").cast("string")).alias("int_txt"),
+        pick(5, [(0, "   "), (1, "")], F.concat(F.lit("  "), F.col("l_returnflag"), F.lit(" "))).alias("pad_txt"),
+        pick(11, [(0, "Completed"), (1, "closed"), (2, "error"), (3, "ABORTED"), (4, "pending"), (5, "in_progress"),
+                  (6, " success "), (7, "created")], F.lit("weird")).alias("status_txt"),
+    )
+
+
+def leak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """REG plus leak columns (exact copy, copy altered in 1 % of rows, scaled copy), a
+    constant column, a record id, and 2 % of rows appended again as duplicates."""
+    from quarry.functions.hashing import hash_unit
+    r = reg(spark, sf_dir)
+    base = r.select(
+        "row_id", F.col("row_id").alias("record_id"), "quantity", "discount", "tax", "returnflag", "linestatus", "target",
+        F.col("target").alias("leak_exact"),
+        F.when(hash_unit(31, "row_id") < F.lit(42949673), F.col("target") + F.lit(1.0)).otherwise(F.col("target")).alias("leak_noisy"),
+        (F.col("target") * F.lit(2.0) + F.lit(1.0)).alias("leak_scaled"),
+        F.lit("k").alias("const_col"))
+    return base.unionByName(base.where(hash_unit(32, "row_id") < F.lit(85899346)))
+
+
+SQL_VIEWS["texty"] = f"""texty AS (
+  SELECT row_id, l_shipdate,
+    CASE h % 17 WHEN 0 THEN 'abc' WHEN 1 THEN ' 1.5 ' WHEN 2 THEN 'NaN' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS num_txt,
+    CASE h % 13 WHEN 0 THEN '2001-13-01' WHEN 1 THEN 'not a date' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date_txt,
+    CASE h % 7 WHEN 0 THEN 'yes' WHEN 1 THEN ' N ' WHEN 2 THEN 'TRUE' WHEN 3 THEN 'maybe' WHEN 4 THEN '0' WHEN 5 THEN 't' ELSE 'false' END AS bool_txt,
+    CASE h % 19 WHEN 0 THEN '12x' WHEN 1 THEN ' 7 ' ELSE CAST(l_linenumber AS VARCHAR) END AS int_txt,
+    CASE h % 5 WHEN 0 THEN '   ' WHEN 1 THEN '' ELSE '  ' || l_returnflag || ' ' END AS pad_txt,
+    CASE h % 11 WHEN 0 THEN 'Completed' WHEN 1 THEN 'closed' WHEN 2 THEN 'error' WHEN 3 THEN 'ABORTED' WHEN 4 THEN 'pending'
+                WHEN 5 THEN 'in_progress' WHEN 6 THEN ' success ' WHEN 7 THEN 'created' ELSE 'weird' END AS status_txt
+  FROM (SELECT *, {sql_hash_unit(3, 'row_id')} AS h
+        FROM (SELECT *, concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT)) AS row_id FROM lineitem)))"""
+SQL_VIEWS["leak"] = f"""leak0 AS (
+  SELECT row_id, row_id AS record_id, quantity, discount, tax, returnflag, linestatus, target, target AS leak_exact,
+         CASE WHEN {sql_hash_unit(31, 'row_id')} < 42949673 THEN target + 1.0::DOUBLE ELSE target END AS leak_noisy,
+         target * 2.0::DOUBLE + 1.0::DOUBLE AS leak_scaled, 'k' AS const_col
+  FROM reg),
+leak AS (SELECT * FROM leak0 UNION ALL SELECT * FROM leak0 WHERE {sql_hash_unit(32, 'row_id')} < 85899346)"""
+_DEPS.update({"texty": [], "leak": ["reg"]})
