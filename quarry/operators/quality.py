@@ -277,7 +277,7 @@ def dq_evaluate(df: DataFrame, target: str | None = None, task: str = "regressio
 
 def leak_suspects(df: DataFrame, target: str, task: str = "regression", ids: Sequence[str] = (),
                   thresholds: dict | None = None) -> DataFrame:
-    """(column, reason, severity, score) from D9-D12, exact matches skipping the rest."""
+    """(column, reason, severity, score) from D9-D12."""
     th = dict(THRESHOLDS, **(thresholds or {}))
     m = dq_leak_match(df, target, ids, th["leak_near_match_warn"]).select(
         "column", "reason", "severity", F.when(F.col("exact"), F.lit(1.0)).otherwise(F.col("match_rate")).alias("score"))
@@ -288,8 +288,9 @@ def leak_suspects(df: DataFrame, target: str, task: str = "regression", ids: Seq
         x = dq_leak_mapping(df, target, ids, th["leak_mapping_accuracy_warn"]).where("suspect").select(
             "column", F.when(F.col("deterministic"), "deterministic_mapping").otherwise("high_accuracy_mapping").alias("reason"),
             F.lit("warning").alias("severity"), F.col("accuracy").alias("score"))
-    exact_cols = m.where(F.col("reason") == "exact_match").select("column")
-    return m.unionByName(x.join(exact_cols, "column", "left_anti"))
+    # As in the reference, an exact match skips only the near-match test; the
+    # correlation / mapping tests still run on it under their own reason.
+    return m.unionByName(x)
 
 
 def dq_status(rules: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ _MODULES = [
     "quarry.plans.q_drift",
     "quarry.plans.q_eval",
     "quarry.plans.q_profile",
+    "quarry.plans.q_quality",
 ]
 
 
