@@ -11,6 +11,7 @@ _MODULES = [
     "quarry.plans.q_eval",
     "quarry.plans.q_profile",
     "quarry.plans.q_quality",
+    "quarry.plans.q_prep",
 ]
 
 
