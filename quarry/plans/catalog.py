@@ -12,6 +12,7 @@ _MODULES = [
     "quarry.plans.q_profile",
     "quarry.plans.q_quality",
     "quarry.plans.q_prep",
+    "quarry.plans.q_lead",
 ]
 
 
