@@ -13,6 +13,7 @@ _MODULES = [
     "quarry.plans.q_quality",
     "quarry.plans.q_prep",
     "quarry.plans.q_lead",
+    "quarry.plans.q_misc",
 ]
 
 
