@@ -38,6 +38,36 @@ def _num_parts(df: DataFrame, num_partitions: int | None) -> int:
     return max(shuffle, spark.sparkContext.defaultParallelism)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the input has fewer partitions than cores
+    (e.g. one small file); inputs that are already parallel are left untouched."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def first_index_above(value: Column, cutoffs) -> Column:
+    """Number of sorted cutoffs <= value, as a short-circuit CASE chain (codegen
+    friendly, unlike a lambda over an array). ``cutoffs`` is a list of literals or
+    an array column (missing trailing elements compare as NULL and fall through)."""
+    if isinstance(cutoffs, Column):
+        n = None
+        raise TypeError("use first_index_above_array for array columns")
+    expr = None
+    for i, c in enumerate(cutoffs):
+        cond = value < F.lit(c)
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr.otherwise(F.lit(len(cutoffs)))
+
+
+def first_index_above_array(value: Column, arr: Column, max_len: int) -> Column:
+    """Same for an array column of at most ``max_len`` sorted elements."""
+    expr = None
+    for i in range(max_len):
+        cond = value < F.try_element_at(arr, F.lit(i + 1))
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr.otherwise(F.size(arr))
+
+
 def global_rank(df: DataFrame, order_cols: Sequence, rank_col: str = "_rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 0-based position of each row under ``order_cols``.
@@ -74,18 +104,57 @@ def global_rank(df: DataFrame, order_cols: Sequence, rank_col: str = "_rank",
     )
 
 
+# Offset tables at most this many rows are broadcast; beyond it they are joined
+# with a shuffle (the check is an exact count of an already-aggregated table).
+BROADCAST_ROWS = 1_000_000
+
+
+def _sorted_tagged(df: DataFrame, order: list, n: int) -> DataFrame:
+    return (
+        df.repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_mid", F.monotonically_increasing_id())
+        .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+        .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
+        .drop("_mid")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+
+
+def _join_small(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Join an aggregated side, broadcasting it only when its counted size is bounded."""
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if small.count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), keys)
+    return big.join(small, keys)
+
+
+def ranked_with_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
+                       rank_col: str = "_rank", num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows with a 0-based in-group position, (group..., _n) sizes).
+
+    One range-partitioned sort on (group, order); per (partition, group) the
+    first local position and row count (at most partitions + groups rows) give
+    each group's offset in every partition, so a hot group spanning many
+    partitions is ranked by many tasks."""
+    g = list(group_cols)
+    n = _num_parts(df, num_partitions)
+    tagged = _sorted_tagged(df, _cols(g + list(order_cols)), n)
+    stats = tagged.groupBy("_pid", *g).agg(F.min("_loc").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    wprev = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = stats.select("_pid", *g, "_first", F.coalesce(F.sum("_cnt").over(wprev), F.lit(0)).alias("_off"))
+    ranked = (_join_small(tagged, offs, ["_pid", *g])
+              .withColumn(rank_col, (F.col("_off") + F.col("_loc") - F.col("_first")).cast("bigint"))
+              .drop("_pid", "_loc", "_first", "_off"))
+    sizes = stats.groupBy(*g).agg(F.sum("_cnt").alias("_n"))
+    return ranked, sizes
+
+
 def rank_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
                        rank_col: str = "_rank", num_partitions: int | None = None) -> DataFrame:
     """0-based position inside each group (like ``row_number()-1``) without
     partitioning the work by group. ``group_cols + order_cols`` must be a total order."""
-    ranked = global_rank(df, list(group_cols) + list(order_cols), "_g_rank", num_partitions)
-    # Group starts: one row per group, partial aggregation map-side.
-    starts = ranked.groupBy(*group_cols).agg(F.min("_g_rank").alias("_g_start"))
-    return (
-        ranked.join(starts, list(group_cols))
-        .withColumn(rank_col, F.col("_g_rank") - F.col("_g_start"))
-        .drop("_g_rank", "_g_start")
-    )
+    return ranked_with_counts(df, group_cols, order_cols, rank_col, num_partitions)[0]
 
 
 def global_cumsum(df: DataFrame, order_cols: Sequence, sum_cols: Sequence[str],
@@ -123,24 +192,23 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, qs
 
     Rule (numpy ``linear`` / DuckDB ``quantile_cont``): h = q*(n-1),
     v = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]). NULL values are
-    ignored. The values are ranked with a distributed sort (ties split by a
-    seeded random key so a hot value spreads over partitions); only the rows
-    at the needed positions are joined back."""
+    ignored. The values are ranked with one distributed sort (ties split by a
+    seeded random key so a hot value spreads over partitions); only the rows at
+    the needed positions (2 per group and quantile) are kept by a semi join."""
     g = list(group_cols)
     vals = df.select(*g, F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
     tb = tiebreak if tiebreak is not None else F.rand(17)
     vals = vals.withColumn("_tb", tb)
-    ranked = rank_within_groups(vals, g, ["_v", "_tb"], "_r", num_partitions)
-    counts = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    ranked, sizes = ranked_with_counts(vals, g, ["_v", "_tb"], "_r", num_partitions)
     qarr = F.array(*[F.lit(float(q)) for q in qs])
     pos = (
-        counts.select(*g, "_n", F.posexplode(qarr).alias("qi", "q"))
+        sizes.select(*g, "_n", F.posexplode(qarr).alias("qi", "q"))
         .withColumn("_h", F.col("q") * (F.col("_n") - 1))
         .withColumn("_lo", F.floor("_h").cast("bigint"))
         .withColumn("_hi", F.ceil("_h").cast("bigint"))
     )
     need = pos.select(*g, F.explode(F.array("_lo", "_hi")).alias("_r")).distinct()
-    picked = ranked.join(need, g + ["_r"], "left_semi").select(*g, "_r", "_v")
+    picked = _join_small(ranked, need, g + ["_r"]).select(*g, "_r", "_v")
     lo = picked.withColumnRenamed("_r", "_lo").withColumnRenamed("_v", "_vlo")
     hi = picked.withColumnRenamed("_r", "_hi").withColumnRenamed("_v", "_vhi")
     out = pos.join(lo, g + ["_lo"]).join(hi, g + ["_hi"])

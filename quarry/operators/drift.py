@@ -18,7 +18,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.ranking import exact_quantiles, long_form, topk_per_group
+from quarry.functions.ranking import exact_quantiles, first_index_above_array, long_form, topk_per_group
 
 # Fixed values (reference defaults): bins, profile quantiles, top categories,
 # PSI share floor, warn / fail thresholds.
@@ -76,19 +76,24 @@ def hist_edges(df: DataFrame, features: Sequence[str], bins: int = DEFAULT_BINS)
     eps = F.when(F.abs(c) * F.lit(1e-6) == 0, F.lit(1e-6)).otherwise(F.abs(c) * F.lit(1e-6))
     edges = F.when(F.size("_e") == 1, F.array(c - eps, c + eps)).otherwise(F.col("_e"))
     feats = _features_df(df.sparkSession, features)
-    return (feats.join(raw, "feature", "left")
-            .select("feature", F.coalesce(edges, F.array(F.lit(0.0), F.lit(1.0))).alias("edges")))
+    fitted = (feats.join(raw, "feature", "left")
+              .select("feature", F.coalesce(edges, F.array(F.lit(0.0), F.lit(1.0))).alias("edges")))
+    # The edge table is the fitted train profile: one row per feature with at most
+    # bins + 1 doubles, so it is materialised once and reused by every consumer.
+    rows = [(r.feature, [float(x) for x in r.edges]) for r in fitted.collect()]
+    return df.sparkSession.createDataFrame(rows, "feature string, edges array<double>")
 
 
-def bin_index(value, edges) -> F.Column:
-    """numpy.histogram rule: bins left-closed, last bin closed; outside -> NULL."""
+def bin_index(value, edges, max_edges: int = DEFAULT_BINS + 1) -> F.Column:
+    """numpy.histogram rule: bins left-closed, last bin closed; outside -> NULL.
+    Evaluated as a CASE chain over at most ``max_edges`` sorted edges."""
     v = F.col(value) if isinstance(value, str) else value
     e = F.col(edges) if isinstance(edges, str) else edges
     n = F.size(e)
     last = F.element_at(e, -1)
     return (F.when(v.isNull() | (v < e[0]) | (v > last), F.lit(None).cast("int"))
             .when(v == last, n - 2)
-            .otherwise(F.size(F.filter(e, lambda x: x <= v)) - 1))
+            .otherwise(first_index_above_array(v, e, max_edges) - 1))
 
 
 # ------------------------------------------------------------------ K3
@@ -97,7 +102,8 @@ def hist_counts(df: DataFrame, features: Sequence[str], edges: DataFrame) -> Dat
     edges are dropped (reference behaviour)."""
     lf = _numeric_long(df, features).where(F.col("value").isNotNull())
     # Edge table: one row per feature, <= bins+1 doubles each -> bounded broadcast.
-    binned = lf.join(F.broadcast(edges), "feature").select("feature", bin_index("value", "edges").alias("bin"))
+    max_edges = max([len(r.edges) for r in edges.select("edges").collect()] or [2])  # one row per feature
+    binned = lf.join(F.broadcast(edges), "feature").select("feature", bin_index("value", "edges", max_edges).alias("bin"))
     counts = binned.where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
     return grid.join(counts, ["feature", "bin"], "left").select(

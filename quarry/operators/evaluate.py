@@ -10,13 +10,14 @@ and joined to a dense row index, so the fan-out is spread over all tasks."""
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_unit
-from quarry.functions.ranking import exact_quantiles, global_cumsum, global_rank
+from quarry.functions.ranking import exact_quantiles, first_index_above, global_cumsum, global_rank, spread
 
 # Machine epsilon for float64 (log-loss clipping) and the default
 # threshold grid 0.05, 0.10, ..., 0.95 (i/100 for i = 5, 10, ..., 95).
@@ -153,8 +154,7 @@ def threshold_search(df: DataFrame, y: str = "y_true", score: str = "p", metric:
     grid thresholds it clears; confusion counts per threshold are suffix sums over
     that (grid-sized) table."""
     g = sorted(set(float(t) for t in grid))
-    arr = F.array(*[F.lit(t) for t in g])
-    k = F.size(F.filter(arr, lambda t: t <= _c(score)))
+    k = first_index_above(_c(score), g)  # number of grid thresholds <= score
     per = df.groupBy(k.alias("k")).agg(F.sum((_c(y) == 1).cast("bigint")).alias("pos"),
                                        F.sum((_c(y) != 1).cast("bigint")).alias("neg"))
     spark = df.sparkSession
@@ -253,22 +253,68 @@ def _metric_expr(metric: str, y: Column, p: Column):
     raise ValueError(f"bootstrap metric '{metric}' not supported")
 
 
+def poisson1_cdf(kmax: int = 24) -> list[float]:
+    """CDF of Poisson(1) at k = 0..kmax-1, from the series e^-1 * sum 1/j!."""
+    out, term, acc = [], math.exp(-1.0), 0.0
+    for k in range(kmax):
+        acc += term
+        out.append(acc)
+        term /= (k + 1)
+    return out
+
+
+def _weighted_metric(metric: str, y: Column, p: Column, w: Column):
+    e = y - p
+    sw = F.sum(w)
+    if metric == "mse":
+        return F.sum(w * e * e) / sw
+    if metric == "rmse":
+        return F.sqrt(F.sum(w * e * e) / sw)
+    if metric == "mae":
+        return F.sum(w * F.abs(e)) / sw
+    if metric == "r2":
+        sst = F.sum(w * y * y) - F.sum(w * y) * F.sum(w * y) / sw
+        return F.when(sst == 0, None).otherwise(F.lit(1.0) - F.sum(w * e * e) / sst)
+    if metric == "accuracy":
+        return F.sum(w * (y == p).cast("double")) / sw
+    raise ValueError(f"bootstrap metric '{metric}' not supported")
+
+
 def bootstrap_ci(df: DataFrame, metric: str = "rmse", row_id: str = "row_id", y: str = "y_true", p: str = "y_pred",
-                 n_boot: int = 200, alpha: float = 0.05, seed: int = 0) -> DataFrame:
-    """Percentile bootstrap: n_boot resamples of n rows with replacement.
-    Draw d (0..n_boot*n-1) picks row index hash(seed, d) mod n; replicate = d div n.
-    Output: metric, low, mid (point estimate), high, n_boot."""
-    ranked = global_rank(df.select(row_id, y, p), [row_id], "_idx")
-    n = df.count()
-    if n < 2:
-        raise ValueError("bootstrap CI requires at least 2 rows")
+                 n_boot: int = 200, alpha: float = 0.05, seed: int = 0, method: str = "poisson") -> DataFrame:
+    """Percentile bootstrap interval: metric, low, mid (point estimate), high, n_boot.
+
+    ``poisson`` (default, scale path): every row gets an independent Poisson(1)
+    weight per replicate from md5(seed:row_id:block) (four 32-bit uniforms per
+    digest), and replicate metrics are weighted sums, aggregated map-side: no
+    shuffle of the n_boot*n fan-out. ``multinomial`` (reference semantics): n draws
+    with replacement per replicate, draw d picks row hash(seed, d) mod n of a dense
+    row index (a join of n_boot*n draws)."""
     spark = df.sparkSession
-    draws = spark.range(0, n_boot * n).select(
-        F.expr(f"id div {int(n)}").alias("rep"),
-        F.pmod(hash_unit(seed, F.col("id")), F.lit(n)).alias("_idx"))
-    joined = draws.join(ranked, "_idx")
-    reps = joined.groupBy("rep").agg(_metric_expr(metric, F.col(y), F.col(p)).alias("score"))
     point = df.agg(_metric_expr(metric, F.col(y), F.col(p))).scalar()
+    if method == "poisson":
+        blocks = (n_boot + 3) // 4
+        b = spread(df).select(F.col(row_id), F.col(y), F.col(p), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_blk"))
+        b = b.withColumn("_m", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"), F.col("_blk").cast("string"))))
+        u = b.select(y, p, "_blk", "_m", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("_j"))
+        u = u.select(y, p, (F.col("_blk") * 4 + F.col("_j")).alias("rep"),
+                     (F.conv(F.substr(F.col("_m"), F.lit(1) + F.col("_j") * 8, F.lit(8)), 16, 10).cast("bigint")
+                      / F.lit(4294967296.0)).alias("_u")).where(F.col("rep") < n_boot)
+        wt = first_index_above(F.col("_u"), poisson1_cdf()).cast("double")  # inverse Poisson(1) CDF
+        reps = u.withColumn("_w", wt).groupBy("rep").agg(_weighted_metric(metric, F.col(y), F.col(p), F.col("_w")).alias("score"))
+    elif method == "multinomial":
+        ranked = global_rank(df.select(row_id, y, p), [row_id], "_idx")
+        n = df.count()
+        if n < 2:
+            raise ValueError("bootstrap CI requires at least 2 rows")
+        draws = spark.range(0, n_boot * n).select(
+            F.expr(f"id div {int(n)}").alias("rep"),
+            F.pmod(hash_unit(seed, F.col("id")), F.lit(n)).alias("_idx"))
+        joined = draws.join(ranked, "_idx")
+        reps = joined.groupBy("rep").agg(_metric_expr(metric, F.col(y), F.col(p)).alias("score"))
+    else:
+        raise ValueError(f"unknown bootstrap method '{method}'")
+    reps = reps.where(F.col("score").isNotNull() & ~F.isnan("score"))  # failed draws are skipped
     qs = reps.agg(F.percentile("score", F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2))).alias("_q"),
                   F.count(F.lit(1)).alias("n_boot"))  # n_boot values: bounded
     return qs.select(F.lit(metric).alias("metric"), F.col("_q")[0].alias("low"), point.alias("mid"),

@@ -195,18 +195,34 @@ def q_residuals(spark, sf_dir):
     return H.residuals(pred_r(spark, sf_dir))
 
 
-@register("bootstrap_ci", Q(["pred_r"], f""",
+@register("bootstrap_ci_multinomial", Q(["pred_r"], f""",
 r AS (SELECT y_true, y_pred, row_number() OVER (ORDER BY row_id) - 1 AS idx FROM pred_r),
 nn AS (SELECT count(*) AS n FROM pred_r),
 d AS (SELECT range AS id FROM range(0, 200 * (SELECT n FROM nn))),
 dr AS (SELECT id // (SELECT n FROM nn) AS rep, {sql_hash_unit(0, 'id')} % (SELECT n FROM nn) AS idx FROM d),
 reps AS (SELECT rep, sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS score FROM dr JOIN r USING (idx) GROUP BY rep)
+SELECT 'rmse' AS metric, quantile_cont(score, 0.025) AS low,
+       (SELECT sqrt(avg((y_true - y_pred) * (y_true - y_pred))) FROM pred_r) AS mid,
+       quantile_cont(score, 0.975) AS high, count(*) AS n_boot FROM reps""", "low", "mid", "high"))
+def q_bootstrap_multi(spark, sf_dir):
+    """H20 (reference semantics): 200 resamples of n draws with replacement, RMSE."""
+    return H.bootstrap_ci(pred_r(spark, sf_dir), "rmse", method="multinomial")
+
+
+_CDF = "[" + ", ".join(repr(c) for c in H.poisson1_cdf()) + "]"
+
+
+@register("bootstrap_ci", Q(["pred_r"], f""",
+b AS (SELECT y_true, y_pred, blk, md5(concat_ws(':', '0', row_id, CAST(blk AS VARCHAR))) AS m FROM pred_r, range(0, 50) t(blk)),
+u AS (SELECT y_true, y_pred, blk * 4 + j AS rep, ('0x' || substr(m, 1 + 8 * j, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM b, range(0, 4) s(j)),
+w AS (SELECT rep, y_true, y_pred, len(list_filter({_CDF}, lambda t: t <= u))::DOUBLE AS w FROM u WHERE rep < 200),
+reps AS (SELECT rep, sqrt(sum(w * (y_true - y_pred) * (y_true - y_pred)) / sum(w)) AS score FROM w GROUP BY rep)
 SELECT 'rmse' AS metric, quantile_cont(score, 0.025) AS low,
        (SELECT sqrt(avg((y_true - y_pred) * (y_true - y_pred))) FROM pred_r) AS mid,
        quantile_cont(score, 0.975) AS high, count(*) AS n_boot FROM reps""", "low", "mid", "high"))
 def q_bootstrap(spark, sf_dir):
-    """200-replicate percentile bootstrap of RMSE over all rows."""
-    return H.bootstrap_ci(pred_r(spark, sf_dir), "rmse")
+    """H20 at scale: 200-replicate Poisson bootstrap of RMSE over all rows."""
+    return H.bootstrap_ci(pred_r(spark, sf_dir), "rmse", method="poisson")
 
 
 @register("conformal_quantile", Q(["pred_r"], "SELECT 0.1 AS alpha, quantile_cont(abs(y_true - y_pred), 0.9) AS q FROM pred_r", "alpha", "q"))
