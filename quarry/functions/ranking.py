@@ -50,7 +50,6 @@ def first_index_above(value: Column, cutoffs) -> Column:
     friendly, unlike a lambda over an array). ``cutoffs`` is a list of literals or
     an array column (missing trailing elements compare as NULL and fall through)."""
     if isinstance(cutoffs, Column):
-        n = None
         raise TypeError("use first_index_above_array for array columns")
     expr = None
     for i, c in enumerate(cutoffs):

@@ -160,3 +160,82 @@ def model_comparison_rows(singles: DataFrame, ensembles: DataFrame, method: str
     s = singles.withColumn("family_label", F.lit("single"))
     e = ensembles.withColumn("family_label", F.lit("ensemble")).withColumn("model", F.lit(f"ensemble_{method}"))
     return s.unionByName(e, allowMissingColumns=True)
+
+
+# ------------------------------------------------------------------ J12
+def metric_ci_columns(runs: DataFrame, ci_cols: Sequence[str] = ("primary_metric_ci", "metric_ci", "metrics_ci")) -> DataFrame:
+    """low / mid / high from the first CI struct that has any value."""
+    present = [c for c in ci_cols if c in runs.columns]
+    usable = [F.when(F.col(c).isNotNull() & (F.col(c)["low"].isNotNull() | F.col(c)["mid"].isNotNull() | F.col(c)["high"].isNotNull()),
+                     F.col(c)) for c in present]
+    ci = F.coalesce(*usable) if usable else F.lit(None)
+    return runs.select("board", "run_id", ci["low"].alias("ci_low"), ci["mid"].alias("ci_mid"), ci["high"].alias("ci_high"))
+
+
+# ------------------------------------------------------------------ J13
+def decision_summary(ranked: DataFrame, top: int = 5) -> DataFrame:
+    """Top rows per board with the recommended run's id and score carried on each row."""
+    rec = ranked.where(F.col("rank") == 1).select("board", F.col("run_id").alias("recommended_run"),
+                                                  F.col("composite").alias("recommended_score"))
+    return ranked.where(F.col("rank") <= top).join(rec, "board", "left")
+
+
+# ------------------------------------------------------------------ J15 / J16
+def ensemble_candidates(runs: DataFrame, preds: dict[str, DataFrame] | None = None, row_id: str = "row_id") -> DataFrame:
+    """Skip reasons per run (missing fields, incomparable run, differing y_true);
+    ``included`` when none apply. y_true is compared with the first model's by a
+    full outer join on the row id (NULL-safe)."""
+    req = runs_required_fields(runs).select("board", "run_id", F.col("reasons").alias("_r1"))
+    cmp = runs_comparable(runs).select("board", "run_id", F.col("reasons").alias("_r2"))
+    out = req.join(cmp, ["board", "run_id"])
+    if preds:
+        names = list(preds)
+        ref = preds[names[0]].select(row_id, F.col("y_true").alias("_ref"))
+        checks = []
+        for n in names:
+            j = ref.join(preds[n].select(row_id, "y_true"), row_id, "full_outer")
+            checks.append(j.agg(F.bool_and(F.col("_ref").eqNullSafe(F.col("y_true")))).scalar().alias(f"_y_{n}"))
+        same = out.select("*", *checks)
+        ytrue = F.coalesce(*[F.when((F.col("model") == n) & ~F.col(f"_y_{n}"), F.lit("y_true_mismatch")) for n in names])
+        out = same.join(runs.select("board", "run_id", "model"), ["board", "run_id"]).withColumn("_r3", ytrue)
+    else:
+        out = out.withColumn("_r3", F.lit(None).cast("string"))
+    reasons = F.concat_ws(",", F.array_compact(F.array(F.nullif("_r1", F.lit("")), F.nullif("_r2", F.lit("")), F.col("_r3"))))
+    return out.select("board", "run_id", reasons.alias("skip_reasons"), (reasons == "").alias("included"))
+
+
+def ensemble_select_topk(candidates: DataFrame, runs: DataFrame, metric: str = "r2", k: int = 3, maximize: bool = True) -> DataFrame:
+    """Included candidates sorted by the selection metric in its direction; k <= 0 keeps all."""
+    j = candidates.where("included").join(runs.select("board", "run_id", "run_order", metric), ["board", "run_id"])
+    o = F.col(metric).desc_nulls_last() if maximize else F.col(metric).asc_nulls_last()
+    r = j.withColumn("sel_rank", F.row_number().over(Window.partitionBy("board").orderBy(o, "run_order")).cast("bigint"))
+    return r if k <= 0 else r.where(F.col("sel_rank") <= k)
+
+
+# ------------------------------------------------------------------ J19
+def ensemble_stacking(preds: dict[str, DataFrame], target: DataFrame, row_id: str = "row_id", alpha: float = 1.0):
+    """Ridge meta-model on the base predictions pivoted to columns (fitted on the rows
+    it scores, as the reference does). Returns (coefficient table, stacked predictions)."""
+    from quarry.operators.models import coefficients, fit_linear
+    wide = target
+    for n, d in preds.items():
+        wide = wide.join(d.select(row_id, F.col("y_pred").alias(n)), row_id)
+    names = list(preds)
+    model = fit_linear(wide, names, "y_true", "ridge", alpha)
+    from quarry.operators.models import assemble
+    scored = model.transform(assemble(wide, names)).select(row_id, "y_true", F.col("prediction").alias("y_stack"))
+    return coefficients(model, names, wide.sparkSession), scored
+
+
+# ------------------------------------------------------------------ J22
+def ensemble_report(preds: dict[str, DataFrame], ensemble: DataFrame, target: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """Holdout regression metrics of each base model and of the ensemble (long table)."""
+    from quarry.operators.evaluate import regression_metrics
+    parts = []
+    for n, d in list(preds.items()) + [("ensemble", ensemble.select(row_id, F.col("y_ens").alias("y_pred")))]:
+        m = regression_metrics(d.join(target, row_id))
+        parts.append(m.select(F.lit(n).alias("model"), "r2", "rmse", "mae", "mse"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

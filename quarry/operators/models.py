@@ -84,3 +84,142 @@ def undersample(df: DataFrame, label: str, row_id: str, seed: int = 0) -> DataFr
     mn = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.min("_n")).scalar()
     ranked = rank_within_groups(df.withColumn("_h", hash_unit(seed, row_id)), [label], ["_h", row_id], "_r")
     return ranked.where(F.col("_r") < mn).drop("_h", "_r")
+
+
+# ------------------------------------------------------------------ Gram-matrix linear models
+def gram_by(df: DataFrame, features: Sequence[str], label: str, key: str | None = None):
+    """One aggregate pass: n, sum x, sum y, sum y^2, X'X and X'y (optionally per key,
+    e.g. per fold). Returns {key: dict of numpy arrays}; the result is d x d per key."""
+    import numpy as np
+    xs = [F.col(f).cast("double") for f in features]
+    y = F.col(label).cast("double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
+    aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
+    aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]
+    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
+    rows = (df.groupBy(key).agg(*aggs) if key else df.agg(*aggs)).collect()  # one row per key: schema-sized
+    d = len(features)
+    out = {}
+    for r in rows:
+        xx = np.zeros((d, d))
+        for i in range(d):
+            for j in range(i, d):
+                xx[i, j] = xx[j, i] = r[f"sxx{i}_{j}"]
+        out[r[key] if key else None] = {"n": float(r["n"]), "sy": r["sy"], "syy": r["syy"],
+                                       "sx": np.array([r[f"sx{i}"] for i in range(d)]),
+                                       "sxy": np.array([r[f"sxy{i}"] for i in range(d)]), "xx": xx}
+    return out
+
+
+def _sub(a, b):
+    return {k: a[k] - b[k] for k in a}
+
+
+def solve_ridge(g, alpha: float):
+    """Intercept-unpenalised ridge from Gram sums (alpha = 0 gives OLS)."""
+    import numpy as np
+    n = g["n"]
+    mu, my = g["sx"] / n, g["sy"] / n
+    sxx = g["xx"] - n * np.outer(mu, mu)
+    sxy = g["sxy"] - n * mu * my
+    w = np.linalg.solve(sxx + alpha * np.eye(len(mu)), sxy)
+    return w, my - mu @ w
+
+
+def sse_from_gram(g, w, b) -> float:
+    return float(g["syy"] + g["n"] * b * b + w @ g["xx"] @ w - 2 * b * g["sy"] - 2 * w @ g["sxy"] + 2 * b * (w @ g["sx"]))
+
+
+def cross_validate_linear(df: DataFrame, folds: DataFrame, row_id: str, features: Sequence[str], label: str,
+                          alpha: float = 0.0) -> DataFrame:
+    """H21 for OLS / ridge: per-fold fits from (total - fold) Gram sums and held-out
+    RMSE / R2 from the fold's own sums, all from one aggregate pass.
+    Output: (fold, n, rmse, r2) plus mean / population-std rows."""
+    import numpy as np
+    grams = gram_by(df.join(folds, row_id), features, label, "fold")
+    total = None
+    for g in grams.values():
+        total = g if total is None else {k: total[k] + g[k] for k in g}
+    rows = []
+    for f in sorted(grams):
+        g = grams[f]
+        w, b = solve_ridge(_sub(total, g), alpha)
+        sse = sse_from_gram(g, w, b)
+        sst = g["syy"] - g["sy"] ** 2 / g["n"]
+        rows.append((int(f), int(g["n"]), float(np.sqrt(sse / g["n"])), float(1 - sse / sst) if sst > 0 else 0.0))
+    rm = np.array([r[2] for r in rows]); r2 = np.array([r[3] for r in rows])
+    rows += [(-1, None, float(rm.mean()), float(r2.mean())), (-2, None, float(rm.std()), float(r2.std()))]
+    return df.sparkSession.createDataFrame(rows, "fold bigint, n bigint, rmse double, r2 double")
+
+
+def grid_search_ridge(train: DataFrame, val: DataFrame, features: Sequence[str], label: str,
+                      alphas: Sequence[float]) -> DataFrame:
+    """G16 for ridge: every alpha solved from one train Gram and scored from one
+    validation Gram -> (trial_id, alpha, rmse, r2, best)."""
+    import numpy as np
+    gt, gv = gram_by(train, features, label)[None], gram_by(val, features, label)[None]
+    sst = gv["syy"] - gv["sy"] ** 2 / gv["n"]
+    rows = []
+    for i, a in enumerate(alphas):
+        w, b = solve_ridge(gt, float(a))
+        sse = sse_from_gram(gv, w, b)
+        rows.append((i, float(a), float(np.sqrt(sse / gv["n"])), float(1 - sse / sst) if sst > 0 else 0.0))
+    best = min(rows, key=lambda r: (r[2], r[0]))[0]
+    return train.sparkSession.createDataFrame([r + (r[0] == best,) for r in rows],
+                                              "trial_id bigint, alpha double, rmse double, r2 double, best boolean")
+
+
+def fit_ridge_classifier(train: DataFrame, features: Sequence[str], label: str, alpha: float = 1.0):
+    """G6 (binary): ridge on a +-1 target; the class is the sign. Returns (w, b)."""
+    t = train.withColumn("_pm", F.when(F.col(label) == 1, 1.0).otherwise(-1.0))
+    return solve_ridge(gram_by(t, features, "_pm")[None], alpha)
+
+
+# ------------------------------------------------------------------ H15 / H16
+def calibrate_sigmoid(val: DataFrame, score: str, label: str):
+    """Platt scaling: unregularised logistic regression on the single score feature."""
+    est = LogisticRegression(regParam=0.0, labelCol=label, featuresCol="_s")
+    return est.fit(VectorAssembler(inputCols=[score], outputCol="_s").transform(val))
+
+
+def calibrate_isotonic(val: DataFrame, score: str, label: str):
+    from pyspark.ml.regression import IsotonicRegression
+    return IsotonicRegression(labelCol=label, featuresCol="_s").fit(VectorAssembler(inputCols=[score], outputCol="_s").transform(val))
+
+
+def apply_calibration(model, df: DataFrame, score: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+    out = model.transform(VectorAssembler(inputCols=[score], outputCol="_s").transform(df))
+    if "probability" in out.columns:
+        return out.withColumn("p_cal", vector_to_array("probability")[1]).drop("_s", "rawPrediction", "probability", "prediction")
+    return out.withColumnRenamed("prediction", "p_cal").drop("_s")
+
+
+# ------------------------------------------------------------------ G7-G11, G17
+def fit_classifier(train: DataFrame, features: Sequence[str], label: str, kind: str, seed: int = 42, n_classes: int = 2):
+    """MLlib classifiers with the reference's settings: random_forest (100 trees,
+    depth 8, leaf 2), gradient_boosting (100 rounds, lr 0.1, depth 3; binary),
+    mlp (one hidden layer of 64), linear_svc."""
+    from pyspark.ml.classification import GBTClassifier, LinearSVC, MultilayerPerceptronClassifier
+    data = assemble(train, features)
+    if kind == "random_forest":
+        est = RandomForestClassifier(numTrees=100, maxDepth=8, minInstancesPerNode=2, seed=seed)
+    elif kind == "gradient_boosting":
+        est = GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=3, seed=seed)
+    elif kind == "mlp":
+        est = MultilayerPerceptronClassifier(layers=[len(features), 64, n_classes], seed=seed, maxIter=200)
+    elif kind == "linear_svc":
+        est = LinearSVC(regParam=1.0 / train.count())
+    else:
+        raise ValueError(f"model '{kind}' has no distributed implementation here")
+    return est.setLabelCol(label).setFeaturesCol("features").fit(data)
+
+
+def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
+    """Tree importances (or |coefficient|), sorted descending."""
+    if hasattr(model, "featureImportances"):
+        vals = [float(v) for v in model.featureImportances.toArray()]
+    else:
+        vals = [abs(float(v)) for v in model.coefficients]
+    rows = sorted(zip(features, vals), key=lambda r: (-r[1], r[0]))
+    return spark.createDataFrame(rows, "feature string, importance double")

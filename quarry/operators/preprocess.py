@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_bucket
 from quarry.functions.ranking import exact_quantiles, long_form, rank_within_groups, topk_per_group
-from quarry.functions.scalars import MISSING_TOKEN, slugify
+from quarry.functions.scalars import MISSING_TOKEN
 
 # Smoothing strength of target encoding, auto one-hot limit.
 TARGET_SMOOTHING = 10.0
@@ -210,7 +210,7 @@ def encoding_report(train: DataFrame, encodings: dict[str, str], n_features: int
     dim = (F.when(F.col("encoding") == "hashing", F.lit(n_features))
            .when(F.col("encoding").isin("frequency", "ordinal", "target"), F.lit(1)).otherwise(F.col("train_uniques")))
     rep = rep.select(F.col("feature").alias("column"), "encoding", "train_uniques", dim.cast("bigint").alias("encoded_dim"))
-    return rep.withColumn("total_dim", F.sum("encoded_dim").over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy(F.lit(1))))
+    return rep.withColumn("total_dim", F.sum("encoded_dim").over(Window.partitionBy(F.lit(1))))  # one row per column
 
 
 # ------------------------------------------------------------------ F16
@@ -239,8 +239,3 @@ def preprocess_fit_transform(df: DataFrame, split: DataFrame, row_id: str, numer
         out = apply_lookup(out, fit_frequency(train_c, fq), fq, "freq", 0.0)
     keep = [row_id, target] + [c for c in out.columns if c.startswith("num__") or c.startswith("cat__")]
     return out.select(*[_q(c) for c in keep])
-
-
-def slug_columns(df: DataFrame) -> DataFrame:
-    """Column-name helper used in reports."""
-    return df.select(*[slugify(F.lit(c)).alias("slug") for c in df.columns])

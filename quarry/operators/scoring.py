@@ -83,3 +83,83 @@ def prediction_distribution(df: DataFrame, value: str = "prediction", bins: int
 
 def label_counts(df: DataFrame, label: str = "pred_label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("count")).orderBy(F.col("count").desc(), F.col(label))
+
+
+# ------------------------------------------------------------------ I9
+def score_conditions(df: DataFrame, row_id: str, required: Sequence[str], prediction: Column) -> DataFrame:
+    """One independent result per input row: condition_id 1..n (row-id order), status
+    and error per row instead of failing the batch."""
+    from quarry.functions.ranking import global_rank
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
+    out = df.select(row_id, prediction.alias("_p"), missing.alias("_miss"))
+    ranked = global_rank(out, [row_id], "_r")
+    bad = F.size("_miss") > 0
+    return ranked.select(
+        row_id, (F.col("_r") + 1).alias("condition_id"),
+        F.when(bad, F.lit("failed")).otherwise(F.lit("completed")).alias("status"),
+        F.when(bad, F.concat(F.lit("missing input: "), F.concat_ws(",", "_miss"))).alias("error"),
+        F.when(bad, F.lit(None).cast("double")).otherwise(F.col("_p")).alias("prediction"))
+
+
+# ------------------------------------------------------------------ I10
+def flatten_predictions(df: DataFrame, keep: Sequence[str], proba_map: str | None = None, proba_array: str | None = None,
+                        topk: str | None = None, prediction_array: str | None = None) -> DataFrame:
+    """Payload columns to flat columns: map -> pred_proba_<label>, array -> pred_proba_<i>,
+    top-k structs -> top{r}_label / top{r}_proba, prediction array -> prediction / prediction_<i>.
+    The label set and array widths are read once (they are schema-sized)."""
+    cols = [F.col(c) for c in keep]
+    if proba_map:
+        labels = sorted(r[0] for r in df.select(F.explode(F.map_keys(proba_map))).distinct().collect())
+        cols += [F.col(proba_map)[l].alias(f"pred_proba_{sanitize_label(l)}") for l in labels]
+    if proba_array:
+        width = df.agg(F.max(F.size(proba_array))).first()[0] or 0
+        cols += [F.try_element_at(proba_array, F.lit(i + 1)).alias(f"pred_proba_{i}") for i in range(width)]
+    if topk:
+        width = df.agg(F.max(F.size(topk))).first()[0] or 0
+        for r in range(width):
+            e = F.try_element_at(topk, F.lit(r + 1))
+            cols += [e["label"].alias(f"top{r + 1}_label"), e["proba"].alias(f"top{r + 1}_proba")]
+    if prediction_array:
+        width = df.agg(F.max(F.size(prediction_array))).first()[0] or 0
+        if width == 1:
+            cols.append(F.col(prediction_array)[0].alias("prediction"))
+        else:
+            cols += [F.try_element_at(prediction_array, F.lit(i + 1)).alias(f"prediction_{i}") for i in range(width)]
+    return df.select(*cols)
+
+
+# ------------------------------------------------------------------ I11
+def draw_param(u: Column, spec: dict) -> Column:
+    """Map a uniform draw to a search-space value: float / int ranges (optional step,
+    log scale) or categorical choices."""
+    kind = spec.get("type", "float")
+    if "choices" in spec or kind == "categorical":
+        ch = spec["choices"]
+        return F.element_at(F.array(*[F.lit(c) for c in ch]), (F.floor(u * len(ch)) + 1).cast("int"))
+    lo, hi = float(spec["low"]), float(spec["high"])
+    if spec.get("log"):
+        import math
+        v = F.exp(F.lit(math.log(lo)) + u * F.lit(math.log(hi) - math.log(lo)))
+    elif spec.get("step"):
+        st = float(spec["step"])
+        n = int(round((hi - lo) / st)) + 1
+        v = F.lit(lo) + F.least(F.floor(u * n), F.lit(n - 1)) * F.lit(st)
+    elif kind == "int":
+        v = F.lit(lo) + F.least(F.floor(u * (hi - lo + 1)), F.lit(hi - lo))
+    else:
+        v = F.lit(lo) + u * F.lit(hi - lo)
+    return v.cast("bigint") if kind == "int" else v
+
+
+def input_search(trials: DataFrame, trial_id: str, space: dict[str, dict], objective, k: int = 5,
+                 seed: int = 0, maximize: bool = True) -> DataFrame:
+    """Random search in one job: every trial row draws each parameter from
+    md5(seed+j : trial_id), overlays it on the row, scores ``objective(columns)``
+    and the best k trials are kept (trials with a non-finite objective fail)."""
+    from quarry.functions.hashing import hash_uniform
+    drawn = trials.withColumns({name: draw_param(hash_uniform(seed + j, trial_id), spec)
+                                for j, (name, spec) in enumerate(space.items())})
+    scored = drawn.withColumn("objective", objective(drawn))
+    ok = scored.where(F.col("objective").isNotNull() & ~F.isnan("objective"))
+    order = F.col("objective").desc() if maximize else F.col("objective").asc()
+    return ok.orderBy(order, F.col(trial_id)).limit(k).select(trial_id, *space.keys(), "objective")

@@ -14,6 +14,7 @@ _MODULES = [
     "quarry.plans.q_prep",
     "quarry.plans.q_lead",
     "quarry.plans.q_misc",
+    "quarry.plans.q_more",
 ]
 
 

@@ -60,3 +60,67 @@ def stream_chunk_stats(stream: DataFrame, issue: Column, name: str = "chunks") -
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).drop("batch")
+
+
+def _drain(stream: DataFrame, fn, name: str):
+    spark = stream.sparkSession
+    q = stream.writeStream.foreachBatch(fn).option("checkpointLocation", _ckpt(spark, name)).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+# ------------------------------------------------------------------ L3
+def stream_sample(stream: DataFrame, key: str, n: int, seed: int = 0, name: str = "sample") -> DataFrame:
+    """Uniform bottom-n sample by md5(seed:key) kept across micro-batches. The state is
+    at most n rows, versioned by batch id (a retried batch rewrites its own version),
+    and independent of chunk order (unlike re-sampling per chunk)."""
+    from quarry.functions.hashing import hash_unit
+    spark = stream.sparkSession
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stream/{name}-state-{uuid.uuid4().hex}"
+    last = {"v": None}
+
+    def per_batch(batch: DataFrame, batch_id: int):
+        cur = batch.withColumn("_h", hash_unit(seed, key))
+        if last["v"] is not None:
+            cur = cur.unionByName(spark.read.parquet(f"{base}/v={last['v']}"))
+        cur.orderBy("_h", key).limit(n).write.mode("overwrite").parquet(f"{base}/v={batch_id}")
+        last["v"] = batch_id
+
+    _drain(stream, per_batch, name)
+    if last["v"] is None:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.parquet(f"{base}/v={last['v']}").drop("_h")
+
+
+# ------------------------------------------------------------------ L4
+def stream_drift(stream: DataFrame, train: DataFrame, features: list[str], name: str = "drift") -> DataFrame:
+    """Histogram counts of each micro-batch against the train edges are kept per batch
+    id; after the last batch they are summed and compared with the train counts."""
+    from quarry.operators import drift as K
+    spark = stream.sparkSession
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stream/{name}-counts-{uuid.uuid4().hex}"
+    edges = K.hist_edges(train, features)
+
+    def per_batch(batch: DataFrame, batch_id: int):
+        K.hist_counts(batch, features, edges).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _drain(stream, per_batch, name)
+    new_counts = spark.read.parquet(out).groupBy("feature", "bin").agg(F.sum("count").alias("a"))
+    tc = K.hist_counts(train, features, edges).withColumnRenamed("count", "e")
+    buckets = tc.join(new_counts, ["feature", "bin"], "left").fillna(0, ["a"])
+    stats = K._psi_ks(buckets.select("feature", "bin", F.col("e").cast("double").alias("e"), F.col("a").cast("double").alias("a")), True)
+    return stats.select("feature", "psi", "ks", K._status(F.col("psi"), K.PSI_WARN, K.PSI_FAIL, False).alias("status"))
+
+
+# ------------------------------------------------------------------ L5
+def stream_quality_gate(stream: DataFrame, target: str | None = None, name: str = "gate") -> DataFrame:
+    """Quality rules on the first micro-batch only (reference parity)."""
+    from quarry.operators.quality import dq_evaluate
+    spark = stream.sparkSession
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stream/{name}-rules-{uuid.uuid4().hex}"
+
+    def per_batch(batch: DataFrame, batch_id: int):
+        if batch_id == 0:
+            dq_evaluate(batch, target).write.mode("overwrite").parquet(out)
+
+    _drain(stream, per_batch, name)
+    return spark.read.parquet(out)
