@@ -16,10 +16,20 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
+def training_input(df: DataFrame, features: Sequence[str], label: str, extra: Sequence[str] = ()) -> DataFrame:
+    """Iterative fitters pass over their input many times: the projected training
+    rows are checkpointed (reliably, into spark.checkpoint.dir) so each pass reads
+    them instead of recomputing joins, splits and ranks, and a lost executor does
+    not replay that lineage."""
+    from quarry.session import cut_lineage
+    cols = list(dict.fromkeys([*features, label, *extra]))
+    return assemble(cut_lineage(df.select(*cols)), features)
+
+
 def fit_linear(train: DataFrame, features: Sequence[str], label: str, kind: str = "ols", alpha: float = 1.0,
                l1_ratio: float = 0.5):
     """ols / ridge / lasso / elasticnet with the reference's objective scaling."""
-    data = assemble(train, features)
+    data = training_input(train, features, label)
     if kind == "ols":
         est = LinearRegression(regParam=0.0, solver="normal")
     elif kind == "ridge":
@@ -42,12 +52,12 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str, C: float
     est = LogisticRegression(regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False, labelCol=label)
     if weight_col:
         est = est.setWeightCol(weight_col)
-    return est.fit(assemble(train, features))
+    return est.fit(training_input(train, features, label, [weight_col] if weight_col else []))
 
 
 def fit_random_forest(train: DataFrame, features: Sequence[str], label: str, seed: int = 42, num_trees: int = 100):
     est = RandomForestClassifier(numTrees=num_trees, maxDepth=8, minInstancesPerNode=2, seed=seed, labelCol=label)
-    return est.fit(assemble(train, features))
+    return est.fit(training_input(train, features, label))
 
 
 def coefficients(model, features: Sequence[str], spark) -> DataFrame:
@@ -178,21 +188,21 @@ def fit_ridge_classifier(train: DataFrame, features: Sequence[str], label: str,
 # ------------------------------------------------------------------ H15 / H16
 def calibrate_sigmoid(val: DataFrame, score: str, label: str):
     """Platt scaling: unregularised logistic regression on the single score feature."""
-    est = LogisticRegression(regParam=0.0, labelCol=label, featuresCol="_s")
-    return est.fit(VectorAssembler(inputCols=[score], outputCol="_s").transform(val))
+    est = LogisticRegression(regParam=0.0, labelCol=label, featuresCol="features")
+    return est.fit(training_input(val, [score], label))
 
 
 def calibrate_isotonic(val: DataFrame, score: str, label: str):
     from pyspark.ml.regression import IsotonicRegression
-    return IsotonicRegression(labelCol=label, featuresCol="_s").fit(VectorAssembler(inputCols=[score], outputCol="_s").transform(val))
+    return IsotonicRegression(labelCol=label, featuresCol="features").fit(training_input(val, [score], label))
 
 
 def apply_calibration(model, df: DataFrame, score: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
-    out = model.transform(VectorAssembler(inputCols=[score], outputCol="_s").transform(df))
+    out = model.transform(assemble(df, [score]))
     if "probability" in out.columns:
-        return out.withColumn("p_cal", vector_to_array("probability")[1]).drop("_s", "rawPrediction", "probability", "prediction")
-    return out.withColumnRenamed("prediction", "p_cal").drop("_s")
+        return out.withColumn("p_cal", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
+    return out.withColumnRenamed("prediction", "p_cal").drop("features")
 
 
 # ------------------------------------------------------------------ G7-G11, G17
@@ -201,7 +211,7 @@ def fit_classifier(train: DataFrame, features: Sequence[str], label: str, kind:
     depth 8, leaf 2), gradient_boosting (100 rounds, lr 0.1, depth 3; binary),
     mlp (one hidden layer of 64), linear_svc."""
     from pyspark.ml.classification import GBTClassifier, LinearSVC, MultilayerPerceptronClassifier
-    data = assemble(train, features)
+    data = training_input(train, features, label)
     if kind == "random_forest":
         est = RandomForestClassifier(numTrees=100, maxDepth=8, minInstancesPerNode=2, seed=seed)
     elif kind == "gradient_boosting":

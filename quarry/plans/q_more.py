@@ -194,8 +194,12 @@ _CF = ["totalprice", "acctbal", "nationkey"]
 
 
 def _cls_eval(spark, sf_dir, kind):
+    from quarry.operators.preprocess import apply_scale, fit_scale
     sp = cls_split(spark, sf_dir)
     c = cls(spark, sf_dir).withColumn("y", F.col("label").cast("double"))
+    # standard-scaled numerics (fitted on train), as the reference's preprocessing does
+    sc = fit_scale(E.apply_split(c, sp, "row_id", "train"), _CF, "standard")
+    c = apply_scale(c, sc)
     tr, va = E.apply_split(c, sp, "row_id", "train"), E.apply_split(c, sp, "row_id", "val")
     m = G.fit_classifier(tr, _CF, "y", kind)
     pred = m.transform(G.assemble(va, _CF)).select("row_id", F.col("label").alias("y_true"), F.col("prediction").cast("bigint").alias("y_pred"))
