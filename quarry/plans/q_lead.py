@@ -66,7 +66,12 @@ def q_norm(spark, sf_dir):
     return J.normalize_minmax(J.metrics_long(runs(spark, sf_dir), METRICS)).select("board", "run_id", "metric", "value", "norm")
 
 
-@register("normalize_robust")
+@register("normalize_robust", Q(["runs"], f""",
+lg AS ({_LONG}),
+q AS (SELECT board, metric, quantile_cont(value, 0.1) AS lo, quantile_cont(value, 0.9) AS hi FROM lg GROUP BY ALL)
+SELECT board, run_id, metric, value, CASE WHEN value IS NULL THEN NULL
+       ELSE least(greatest(CASE WHEN hi = lo THEN 0.0 ELSE (value - lo) / (hi - lo) END, 0.0), 1.0) END AS norm
+FROM lg JOIN q USING (board, metric)""", "value", "norm"))
 def q_norm_robust(spark, sf_dir):
     """Per-board 10 % / 90 % quantile normalisation."""
     return J.normalize_robust(J.metrics_long(runs(spark, sf_dir), METRICS)).select("board", "run_id", "metric", "value", "norm")
@@ -99,7 +104,14 @@ def q_topk(spark, sf_dir):
     return J.recommend_topk(_ranked(spark, sf_dir), 3)
 
 
-@register("recommend_tiebreak")
+@register("recommend_tiebreak", Q(["runs"], _NORM + """,
+f AS (SELECT rk.*, r.family, sum(CASE WHEN r.family = 'single' THEN 1 ELSE 0 END) OVER (PARTITION BY rk.board) AS singles
+      FROM rk JOIN runs r USING (board, run_id)),
+g AS (SELECT *, abs(composite - max(composite) OVER (PARTITION BY board))
+                  <= greatest(1e-12, 1e-9 * abs(max(composite) OVER (PARTITION BY board))) AS tie
+      FROM f WHERE family = 'single' OR singles = 0)
+SELECT board, run_id, rank, tie FROM (
+  SELECT *, row_number() OVER (PARTITION BY board ORDER BY tie DESC, (family = 'single') DESC, rank) AS pick FROM g) WHERE pick = 1"""))
 def q_tiebreak(spark, sf_dir):
     """J9 + J10: ensembles filtered out, near-ties prefer a single model."""
     r = runs(spark, sf_dir)
@@ -165,7 +177,9 @@ def q_ens_predict(spark, sf_dir):
     return J.ensemble_predict({"pm": pm.select("row_id", "proba"), "votes": votes}, 3).select("row_id", "y_pred")
 
 
-@register("model_comparison_rows")
+@register("model_comparison_rows", Q(["runs"], """
+SELECT * REPLACE (CASE WHEN family = 'ensemble' THEN 'ensemble_mean' ELSE model END AS model),
+       CASE WHEN family = 'ensemble' THEN 'ensemble' ELSE 'single' END AS family_label FROM runs""", "r2", "rmse", "mae", "mse"))
 def q_model_rows(spark, sf_dir):
     """Single runs plus the ensemble runs labelled ensemble_mean."""
     r = runs(spark, sf_dir)

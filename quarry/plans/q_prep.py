@@ -268,7 +268,19 @@ def q_enc_report(spark, sf_dir):
     return P.encoding_report(cls_train(spark, sf_dir), {"priority": "onehot", "segment": "frequency", "cname": "hashing"})
 
 
-@register("encode_auto")
+def _hash_cols(col, n=16):
+    tok = f"'{col}=' || coalesce(CAST({col} AS VARCHAR), '__MISSING__')"
+    return ", ".join(f"CASE WHEN {sql_hash_unit(0, tok)} % {n} = {i} THEN 1.0 ELSE 0.0 END AS cat__{col}__hash_{i}" for i in range(n))
+
+
+_ONEHOT_PRIO = ", ".join("CASE WHEN priority = '%s' THEN 1.0 ELSE 0.0 END AS \"cat__priority_%s\"" % (v, v) for v in _PRIOS)
+_DBL_PRIO = [f'"cat__priority_{v}"' for v in _PRIOS]
+
+
+@register("encode_auto", Q(["cls"], CLS_TRAIN + f"""
+SELECT row_id, {_ONEHOT_PRIO}, {_hash_cols('cname')} FROM cls
+WHERE (SELECT count(DISTINCT priority) FROM ctr) = 5 AND (SELECT count(DISTINCT cname) FROM ctr) > 50""",
+                                  *_DBL_PRIO, *[f"cat__cname__hash_{i}" for i in range(16)]))
 def q_encode_auto(spark, sf_dir):
     """one-hot for low-cardinality columns, hashing (16 buckets) above 50 train values."""
     tr = cls_train(spark, sf_dir)
@@ -280,7 +292,12 @@ def q_encode_auto(spark, sf_dir):
     return out.drop("priority", "cname")
 
 
-@register("encode_composite")
+@register("encode_composite", Q(["cls"], CLS_TRAIN + f""",
+o AS (SELECT segment AS v, row_number() OVER (ORDER BY segment) - 1 AS code FROM (SELECT DISTINCT segment FROM ctr WHERE segment IS NOT NULL)),
+fq AS (SELECT priority AS v, count(*)::DOUBLE / (SELECT count(*) FROM ctr) AS f FROM ctr GROUP BY priority)
+SELECT row_id, coalesce(o.code::DOUBLE, -1.0) AS cat__segment, coalesce(fq.f, 0.0) AS cat__priority, {_hash_cols('cname')}
+FROM cls LEFT JOIN o ON segment = o.v LEFT JOIN fq ON priority IS NOT DISTINCT FROM fq.v""",
+                                       "cat__segment", "cat__priority", *[f"cat__cname__hash_{i}" for i in range(16)]))
 def q_encode_composite(spark, sf_dir):
     """ordinal for segment, frequency for priority, hashing for customer name, side by side."""
     tr = cls_train(spark, sf_dir)
@@ -290,7 +307,23 @@ def q_encode_composite(spark, sf_dir):
     return P.apply_hashing(out, ["cname"], 16).drop("segment", "priority", "cname")
 
 
-@register("preprocess_fit_transform")
+_PFT_STATS = ", ".join(
+    f"avg({c}) AS a_{c}, coalesce(nullif(stddev_pop({c}), 0), 1.0) AS s_{c}" for c in ["q", "discount", "tax"])
+
+
+@register("preprocess_fit_transform", Q(["reg"], REG_TRAIN + f""",
+m AS (SELECT avg(quantity) AS mq, avg(discount) AS md, avg(tax) AS mt FROM tr),
+it AS (SELECT coalesce(quantity, (SELECT mq FROM m)) AS q, discount, tax FROM tr),
+st AS (SELECT {_PFT_STATS} FROM it)
+SELECT row_id, target,
+       (coalesce(quantity, (SELECT mq FROM m)) - (SELECT a_q FROM st)) / (SELECT s_q FROM st) AS num__quantity,
+       (coalesce(discount, (SELECT md FROM m)) - (SELECT a_discount FROM st)) / (SELECT s_discount FROM st) AS num__discount,
+       (coalesce(tax, (SELECT mt FROM m)) - (SELECT a_tax FROM st)) / (SELECT s_tax FROM st) AS num__tax,
+       {", ".join(f"CASE WHEN coalesce(returnflag, '__MISSING__') = '{v}' THEN 1.0 ELSE 0.0 END AS cat__returnflag_{v}" for v in "ANR")},
+       {", ".join(f"CASE WHEN coalesce(linestatus, '__MISSING__') = '{v}' THEN 1.0 ELSE 0.0 END AS cat__linestatus_{v}" for v in "FO")}
+FROM reg WHERE (SELECT count(DISTINCT returnflag) FROM tr) = 3 AND (SELECT count(DISTINCT linestatus) FROM tr) = 2""",
+                                               "target", "num__quantity", "num__discount", "num__tax",
+                                               *[f"cat__returnflag_{v}" for v in "ANR"], *[f"cat__linestatus_{v}" for v in "FO"]))
 def q_preprocess(spark, sf_dir):
     """F16: numeric impute + scale, categorical one-hot, fitted on the REG train rows."""
     r = reg(spark, sf_dir)
