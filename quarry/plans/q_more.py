@@ -314,7 +314,14 @@ def q_register(spark, sf_dir):
                      F.lit(status).alias("quality_status"), F.lit(",".join(reasons)).alias("fail_reasons"))
 
 
-@register("dq_gate")
+from quarry.plans.q_quality import _RULES  # noqa: E402
+
+
+@register("dq_gate", with_views("leak") + _RULES + """
+SELECT 'warn' AS mode, CASE WHEN count(*) FILTER (WHERE severity = 'fail') > 0 THEN 'fail'
+                            WHEN count(*) > 0 THEN 'warn' ELSE 'pass' END AS status,
+       coalesce(string_agg(CASE WHEN count <= 1 THEN type ELSE type || '(' || CAST(count AS VARCHAR) || ')' END, ',')
+                FILTER (WHERE severity = 'fail'), '') AS reasons FROM rules""")
 def q_gate(spark, sf_dir):
     """Gate outcome in warn mode for LEAK (fail reasons listed, job not aborted)."""
     from quarry.operators.quality import dq_gate

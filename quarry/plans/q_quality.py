@@ -147,13 +147,59 @@ def q_dq_mapping(spark, sf_dir):
     return D.dq_leak_mapping(cls(spark, sf_dir), "status", ["row_id"])
 
 
-@register("dq_evaluate")
+_STR_COLS = ["row_id", "record_id", "returnflag", "linestatus", "const_col"]
+_NUM_CORR = " UNION ALL ".join(f"""SELECT '{c}' AS "column", corr({c}, target) AS corr, count({c} + target) AS n FROM leak""" for c in _NUMF)
+_RULES = _CARD_CTE + f""",
+tot AS (SELECT count(*) AS rows, ({' + '.join(f'(count(*) - count({c}))' for c in LEAK_COLS)}) AS nulls FROM leak),
+dup AS (SELECT sum(n - 1) AS dups, sum(n - 1)::DOUBLE / sum(n) AS dr FROM (SELECT count(*) AS n FROM leak GROUP BY {', '.join(LEAK_COLS)})),
+mx AS (SELECT count(*) AS n FROM (
+  SELECT feature FROM (SELECT feature, CASE WHEN lower(trim(value)) IN ('true', 'false') THEN 'bool'
+                                             WHEN TRY_CAST(trim(value) AS DOUBLE) IS NOT NULL THEN 'number'
+                                             WHEN TRY_CAST(trim(value) AS TIMESTAMP) IS NOT NULL THEN 'datetime' ELSE 'string' END AS b
+                       FROM (SELECT {', '.join(_STR_COLS)} FROM leak) UNPIVOT (value FOR feature IN ({', '.join(_STR_COLS)})))
+  GROUP BY feature HAVING count(DISTINCT b) > 1)),
+mt AS ({_MATCH}),
+cr AS ({_NUM_CORR}),
+lk AS (SELECT (SELECT count(*) FROM mt WHERE exact) AS e,
+              (SELECT count(*) FROM mt WHERE NOT exact AND match_rate >= 0.98)
+              + (SELECT count(*) FROM cr WHERE n >= 2 AND corr IS NOT NULL AND NOT isnan(corr) AND abs(corr) >= 0.98) AS w),
+hc AS (SELECT count(*) AS n, count(*) FILTER (WHERE unique_ratio >= 1.01) AS f FROM card
+       WHERE "column" IN ('row_id', 'record_id', 'returnflag', 'linestatus', 'const_col') AND unique_count >= 20 AND unique_ratio >= 0.8),
+il AS (SELECT count(*) AS n, count(*) FILTER (WHERE unique_ratio >= 1.01) AS f FROM card
+       WHERE "column" <> 'target' AND unique_count >= 20 AND unique_ratio >= 0.98),
+cn AS (SELECT count(*) AS n FROM card WHERE unique_count <= 1),
+rules0 AS (
+  SELECT 'missing_rate' AS type, CASE WHEN nulls / (rows * {len(LEAK_COLS)}.0) >= 0.5 THEN 'fail'
+                                      WHEN nulls / (rows * {len(LEAK_COLS)}.0) >= 0.2 THEN 'warn' END AS severity, CAST(1 AS BIGINT) AS count FROM tot
+  UNION ALL SELECT 'duplicates', CASE WHEN dr >= 0.05 THEN 'fail' WHEN dr >= 0.01 THEN 'warn' END, CAST(CASE WHEN dups > 0 THEN dups ELSE 1 END AS BIGINT) FROM dup
+  UNION ALL SELECT 'constant_columns', CASE WHEN n = 0 THEN NULL WHEN n >= 5 THEN 'fail' ELSE 'warn' END, n FROM cn
+  UNION ALL SELECT 'mixed_type_columns', CASE WHEN n = 0 THEN NULL WHEN n >= 5 THEN 'fail' ELSE 'warn' END, n FROM mx
+  UNION ALL SELECT 'high_cardinality', CASE WHEN n = 0 THEN NULL WHEN f > 0 OR n >= 9999 THEN 'fail' ELSE 'warn' END, n FROM hc
+  UNION ALL SELECT 'id_like', CASE WHEN n = 0 THEN NULL WHEN f > 0 THEN 'fail' ELSE 'warn' END, n FROM il
+  UNION ALL SELECT 'name_suspect', 'warn', CAST(2 AS BIGINT)
+  UNION ALL SELECT 'leak', CASE WHEN e > 0 THEN 'fail' END, e FROM lk
+  UNION ALL SELECT 'leak', CASE WHEN w > 0 THEN 'warn' END, w FROM lk),
+rules AS (SELECT type, severity, CAST(count AS BIGINT) AS count FROM rules0 WHERE severity IS NOT NULL)
+"""
+
+
+@register("dq_evaluate", Q(["leak"], _RULES + "SELECT * FROM rules"))
 def q_dq_eval(spark, sf_dir):
     """Rule table (type, severity, count) for LEAK."""
     return D.dq_evaluate(leak(spark, sf_dir), "target", "regression", IDS)
 
 
-@register("dq_summary")
+@register("dq_summary", Q(["leak"], _RULES + f"""
+SELECT tot.rows, CAST({len(LEAK_COLS)} AS BIGINT) AS columns,
+       CAST(({' + '.join(f'(CASE WHEN (SELECT count(*) - count({c}) FROM leak) > 0 THEN 1 ELSE 0 END)' for c in LEAK_COLS)}) AS BIGINT) AS missing_columns,
+       (SELECT max(missing_rate) FROM card) AS missing_rate_max,
+       CAST((SELECT dups FROM dup) AS BIGINT) AS duplicates_count, (SELECT n FROM hc) AS high_cardinality_count,
+       (SELECT n FROM il) AS id_like_count, (SELECT n FROM mx) AS mixed_type_count, CAST(2 AS BIGINT) AS name_suspect_count,
+       CAST((SELECT e + w FROM lk) AS BIGINT) AS leak_suspect_count, (SELECT e > 0 FROM lk) AS leak_error,
+       CASE WHEN (SELECT count(*) FROM rules WHERE severity = 'fail') > 0 THEN 'fail'
+            WHEN (SELECT count(*) FROM rules) > 0 THEN 'warn' ELSE 'pass' END AS quality_status,
+       CAST((SELECT coalesce(sum(count), 0) FROM rules) AS BIGINT) AS quality_issue_count
+FROM tot""", "missing_rate_max"))
 def q_dq_summary(spark, sf_dir):
     """One-row quality roll-up for LEAK."""
     return D.dq_summary(leak(spark, sf_dir), "target", "regression", IDS)
