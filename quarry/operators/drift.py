@@ -162,19 +162,39 @@ def _status(psi: F.Column, warn: float, fail: float | None, strict: bool) -> F.C
 
 
 # ------------------------------------------------------------------ K5 / K7
+def _binned_counts(df: DataFrame, features: Sequence[str], edges: DataFrame, max_edges: int) -> DataFrame:
+    """One pass: counts per (feature, bin) with bin -1 for NULL and -2 for values
+    outside the edges, so histogram and missing statistics share one aggregate."""
+    lf = _numeric_long(df, features)
+    b = bin_index("value", "edges", max_edges)
+    code = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(F.coalesce(b, F.lit(-2)))
+    return lf.join(F.broadcast(edges), "feature").groupBy("feature", code.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def drift_numeric(train: DataFrame, new: DataFrame, features: Sequence[str], bins: int = DEFAULT_BINS,
                   warn: float = PSI_WARN, fail: float | None = PSI_FAIL, strict: bool = False) -> DataFrame:
-    """Per numeric feature: psi, ks, status, missing rates (train vs new)."""
+    """Per numeric feature: psi, ks, status, missing rates (train vs new). Each side is
+    read once after the edges are fitted."""
     present = [f for f in features if f in new.columns]
     edges = hist_edges(train, features, bins)
-    tc = hist_counts(train, features, edges).withColumnRenamed("count", "e")
+    max_edges = max([len(r.edges) for r in edges.select("edges").collect()] or [2])  # one row per feature
     parts = []
     if present:
-        nc = hist_counts(new, present, edges.where(F.col("feature").isin(present))).withColumnRenamed("count", "a")
-        buckets = tc.join(nc, ["feature", "bin"])
+        e_p = edges.where(F.col("feature").isin(present))
+        tc = _binned_counts(train, present, e_p, max_edges)
+        nc = _binned_counts(new, present, e_p, max_edges)
+        grid = e_p.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges") - 2)).alias("bin"))
+        buckets = (grid.join(tc.withColumnRenamed("n", "e"), ["feature", "bin"], "left")
+                   .join(nc.withColumnRenamed("n", "a"), ["feature", "bin"], "left")
+                   .select("feature", "bin", F.coalesce("e", F.lit(0)).cast("double").alias("e"),
+                           F.coalesce("a", F.lit(0)).cast("double").alias("a")))
         stats = _psi_ks(buckets, True)
-        miss = (_missing_stats(train, present, "double", "tr").join(_missing_stats(new, present, "double", "nw"), "feature"))
-        parts.append(stats.join(miss, "feature").select(
+
+        def miss(counts, prefix):
+            return counts.groupBy("feature").agg(F.sum(F.when(F.col("bin") != -1, F.col("n")).otherwise(0)).alias(f"{prefix}_count"),
+                                                 F.sum(F.when(F.col("bin") == -1, F.col("n")).otherwise(0)).alias(f"{prefix}_missing"))
+        m = miss(tc, "tr").join(miss(nc, "nw"), "feature")
+        parts.append(stats.join(m, "feature").select(
             "feature", F.lit("numeric").alias("kind"), "psi", "ks",
             _status(F.col("psi"), warn, fail, strict).alias("status"),
             _missing_rate("tr_count", "tr_missing").alias("missing_rate_train"),

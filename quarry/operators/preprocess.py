@@ -33,7 +33,8 @@ def fit_impute(train: DataFrame, columns: Sequence[str], strategy: str = "mean",
     """Fill value per column as a lazy scalar: mean, median (exact), most_frequent
     (ties -> smallest value) or constant."""
     if strategy == "mean":
-        return {c: train.agg(F.avg(_q(c))).scalar() for c in columns}
+        st = train.agg(F.struct(*[F.avg(_q(c)).alias(f"c{i}") for i, c in enumerate(columns)])).scalar()  # one subquery
+        return {c: st[f"c{i}"] for i, c in enumerate(columns)}
     if strategy == "median":
         lf = long_form(train, [], columns, "double")
         q = exact_quantiles(lf, ["feature"], "value", [0.5])
@@ -58,20 +59,19 @@ def apply_impute(df: DataFrame, fills: dict[str, Column]) -> DataFrame:
 def fit_scale(train: DataFrame, columns: Sequence[str], method: str = "standard") -> dict[str, tuple[Column, Column]]:
     """(center, divisor) per column: standard = (mean, population sd or 1);
     minmax = (min, range or 1); none = (0, 1)."""
-    out = {}
-    for c in columns:
+    if method == "none":
+        return {c: (F.lit(0.0), F.lit(1.0)) for c in columns}
+    if method not in ("standard", "minmax"):
+        raise ValueError(f"unknown scaler '{method}'")
+    fields = []
+    for i, c in enumerate(columns):
         if method == "standard":
-            st = train.agg(F.avg(_q(c)).alias("m"), F.stddev_pop(_q(c)).alias("s"))
-            out[c] = (st.select("m").scalar(), st.select(F.coalesce(F.nullif("s", F.lit(0.0)), F.lit(1.0))).scalar())
-        elif method == "minmax":
-            st = train.agg(F.min(_q(c)).alias("lo"), F.max(_q(c)).alias("hi"))
-            out[c] = (st.select("lo").scalar(),
-                      st.select(F.coalesce(F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)), F.lit(1.0))).scalar())
-        elif method == "none":
-            out[c] = (F.lit(0.0), F.lit(1.0))
+            fields += [F.avg(_q(c)).alias(f"a{i}"), F.coalesce(F.nullif(F.stddev_pop(_q(c)), F.lit(0.0)), F.lit(1.0)).alias(f"b{i}")]
         else:
-            raise ValueError(f"unknown scaler '{method}'")
-    return out
+            fields += [F.min(_q(c)).alias(f"a{i}"),
+                       F.coalesce(F.nullif(F.max(_q(c)) - F.min(_q(c)), F.lit(0.0)), F.lit(1.0)).alias(f"b{i}")]
+    st = train.agg(F.struct(*fields)).scalar()  # all fitted constants in one subquery
+    return {c: (st[f"a{i}"], st[f"b{i}"]) for i, c in enumerate(columns)}
 
 
 def apply_scale(df: DataFrame, params: dict[str, tuple[Column, Column]], prefix: str = "") -> DataFrame:
@@ -146,37 +146,37 @@ def apply_hashing(df: DataFrame, columns: Sequence[str], n_features: int = 64, p
 
 
 # ------------------------------------------------------------------ F12
-def target_mean_oof(df: DataFrame, split: DataFrame, folds: DataFrame, row_id: str, columns: Sequence[str], target: str,
-                    smoothing: float = TARGET_SMOOTHING) -> DataFrame:
-    """Out-of-fold target encoding. Train rows use statistics of the other folds
-    (total minus own fold: one aggregate per (value) and per (value, fold), no k
-    refits); other rows use all train rows. Adds ``cat__{c}`` per column."""
-    tr = df.join(split.where(F.col("split") == "train").select(row_id), row_id, "left_semi").join(folds, row_id)
-    lf = long_form(tr.select(row_id, "fold", _q(target).alias("_y"), *columns), [row_id, "fold", "_y"], columns, "string")
+def target_mean_oof(df: DataFrame, split: DataFrame, row_id: str, columns: Sequence[str], target: str,
+                    fold_col: str = "fold", smoothing: float = TARGET_SMOOTHING) -> DataFrame:
+    """Out-of-fold target encoding; ``df`` carries a fold column. Train rows use the
+    statistics of the other folds (total minus own fold: one aggregate per
+    (value) and per (value, fold), no k refits); other rows use all train rows.
+    Both cases live in one lookup keyed by (value, fold), the non-train case under
+    fold -1, so each column costs one join. Adds ``cat__{c}``."""
+    from pyspark import StorageLevel
+    flagged = df.join(split.select(row_id, "split"), row_id).persist(StorageLevel.MEMORY_AND_DISK)  # read by every fit below
+    tr = flagged.where(F.col("split") == "train")
+    lf = long_form(tr.select(fold_col, _q(target).alias("_y"), *columns), [fold_col, "_y"], columns, "string")
     tot = lf.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_s"))
-    byf = lf.groupBy("feature", "value", "fold").agg(F.count(F.lit(1)).alias("_nf"), F.sum("_y").alias("_sf"))
-    g_all = tr.agg(F.avg(_q(target))).scalar()
-    gf = tr.groupBy("fold").agg(F.count(F.lit(1)).alias("_gn"), F.sum(_q(target)).alias("_gs"))
-    g_n, g_s = tr.agg(F.count(F.lit(1))).scalar(), tr.agg(F.sum(_q(target))).scalar()
-    gf = gf.select("fold", ((F.lit(g_s) - F.col("_gs")) / (F.lit(g_n) - F.col("_gn"))).alias("_gm"))  # k rows
-    oof = (byf.join(tot, ["feature", "value"]).join(F.broadcast(gf), "fold")
-           .select("feature", "value", "fold",
+    byf = lf.groupBy("feature", "value", fold_col).agg(F.count(F.lit(1)).alias("_nf"), F.sum("_y").alias("_sf"))
+    g = tr.agg(F.struct(F.avg(_q(target)).alias("a"), F.count(F.lit(1)).alias("n"), F.sum(_q(target)).alias("s"))).scalar()
+    g_all, g_n, g_s = g["a"], g["n"], g["s"]
+    gf = tr.groupBy(fold_col).agg(((g_s - F.sum(_q(target))) / (g_n - F.count(F.lit(1)))).alias("_gm"))  # k rows
+    oof = (byf.join(tot, ["feature", "value"]).join(F.broadcast(gf), fold_col)
+           .select("feature", "value", F.col(fold_col).alias("_k"),
                    (((F.col("_s") - F.col("_sf")) + F.lit(smoothing) * F.col("_gm"))
-                    / ((F.col("_n") - F.col("_nf")) + F.lit(smoothing))).alias("enc"),
-                   F.col("_gm")))
-    full = tot.select("feature", "value", ((F.col("_s") + F.lit(smoothing) * g_all) / (F.col("_n") + F.lit(smoothing))).alias("enc"))
-    out = df.join(split, row_id).join(folds, row_id, "left")
+                    / ((F.col("_n") - F.col("_nf")) + F.lit(smoothing))).alias("enc")))
+    full = tot.select("feature", "value", F.lit(-1).cast(byf.schema[fold_col].dataType).alias("_k"),
+                      ((F.col("_s") + F.lit(smoothing) * g_all) / (F.col("_n") + F.lit(smoothing))).alias("enc"))
+    lookup = oof.unionByName(full)
+    key = F.when(F.col("split") == "train", F.col(fold_col)).otherwise(F.lit(-1))
+    out = flagged.withColumn("_key", key.cast(byf.schema[fold_col].dataType))
     for c in columns:
-        o = oof.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("fold").alias("_f"),
-                                                    F.col("enc").alias("_eo"))
-        a = full.where(F.col("feature") == c).select(F.col("value").alias("_v2"), F.col("enc").alias("_ea"))
-        sval = out[c].cast("string")
-        out = (out.join(o, sval.eqNullSafe(o["_v"]) & (out["fold"] == o["_f"]) & (out["split"] == "train"), "left")
-               .join(a, sval.eqNullSafe(a["_v2"]), "left"))
-        out = out.join(F.broadcast(gf.select(F.col("fold").alias("_gf"), "_gm")), out["fold"] == F.col("_gf"), "left")
-        enc = F.when(F.col("split") == "train", F.coalesce("_eo", "_gm")).otherwise(F.coalesce(F.col("_ea"), g_all))
-        out = out.withColumn(f"cat__{c}", enc).drop("_v", "_f", "_eo", "_v2", "_ea", "_gf", "_gm")
-    return out
+        lk = lookup.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("_k"), F.col("enc").alias("_e"))
+        cond = out[c].cast("string").eqNullSafe(lk["_v"]) & (out["_key"] == lk["_k"])
+        # train rows always find their own (value, fold); unseen values elsewhere get the global mean
+        out = out.join(lk, cond, "left").withColumn(f"cat__{c}", F.coalesce(F.col("_e"), g_all)).drop("_v", "_k", "_e")
+    return out.drop("_key")
 
 
 # ------------------------------------------------------------------ F13 / F19

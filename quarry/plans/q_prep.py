@@ -233,11 +233,10 @@ LEFT JOIN oof o ON sp.split = 'train' AND o.v IS NOT DISTINCT FROM r.returnflag
 LEFT JOIN full_ f ON f.v IS NOT DISTINCT FROM r.returnflag""", "cat__returnflag"))
 def q_target_oof(spark, sf_dir):
     """out-of-fold target encoding of the return flag (5 md5 folds)."""
-    r = reg(spark, sf_dir)
+    from quarry.functions.hashing import hash_bucket
+    r = reg(spark, sf_dir).select("row_id", "returnflag", "target").withColumn("fold", hash_bucket(SEED, "row_id", 5))
     sp = reg_split(spark, sf_dir)
-    folds = E.kfold_assign(r, "row_id", 5, SEED)
-    return P.target_mean_oof(r.select("row_id", "returnflag", "target"), sp, folds, "row_id", ["returnflag"], "target").select(
-        "row_id", "cat__returnflag")
+    return P.target_mean_oof(r, sp, "row_id", ["returnflag"], "target").select("row_id", "cat__returnflag")
 
 
 @register("encode_target_label", Q(["cls"], """
