@@ -10,8 +10,8 @@ step moves all rows (or one hot group) into a single task.
   offset idea.
 * :func:`exact_quantiles` - linear-interpolated quantiles (numpy/DuckDB
   ``quantile_cont`` rule) from a distributed sort instead of a per-group buffer.
-* :func:`topk_per_group` - top-k with a salted first stage, so a hot group is
-  reduced to k rows per salt before it is brought together.
+* :func:`topk_per_group` - top-k per group; the partial ``WindowGroupLimit``
+  Catalyst inserts keeps at most k rows per group in every map task.
 * :func:`long_form` - unpivot features to ``(row_id, feature, value)``.
 """
 
@@ -218,23 +218,15 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, qs
 
 
 def topk_per_group(df: DataFrame, group_cols: Sequence[str], order_exprs: Sequence[Column], k: int,
-                   rank_col: str = "rank", salt_buckets: int = 64, salt: Column | None = None) -> DataFrame:
+                   rank_col: str = "rank") -> DataFrame:
     """Top-k rows per group with a 1-based ``rank_col`` (bigint).
 
-    Stage 1 keeps k rows per (group, salt); stage 2 ranks at most
-    k*salt_buckets rows per group, so no task holds a whole hot group.
-    ``order_exprs`` must be a total order inside each group for determinism."""
-    g = list(group_cols)
-    salt_expr = salt if salt is not None else F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    w1 = Window.partitionBy(*g, "_salt").orderBy(*order_exprs)
-    stage1 = (
-        df.withColumn("_salt", salt_expr)
-        .withColumn("_r1", F.row_number().over(w1))
-        .where(F.col("_r1") <= k)
-        .drop("_r1", "_salt")
-    )
-    w2 = Window.partitionBy(*g).orderBy(*order_exprs)
-    return stage1.withColumn(rank_col, F.row_number().over(w2).cast("bigint")).where(F.col(rank_col) <= k)
+    Written as ``row_number() <= k``; Catalyst plans it with a *partial*
+    ``WindowGroupLimit`` before the shuffle (each map task keeps at most k rows
+    per group) and a final one after it, so a hot group never reaches a task
+    whole. ``order_exprs`` must be a total order inside each group."""
+    w = Window.partitionBy(*group_cols).orderBy(*order_exprs)
+    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint")).where(F.col(rank_col) <= k)
 
 
 def long_form(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str], value_type: str = "double",

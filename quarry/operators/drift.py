@@ -115,9 +115,12 @@ def profile_categorical(df: DataFrame, features: Sequence[str], k: int = DEFAULT
     """Top-k values per feature by count (ties: value ascending) with rate, plus the
     feature's non-null total, missing count and the 'other' remainder."""
     lf = _categorical_long(df, features)
-    totals = lf.groupBy("feature").agg(F.count("value").alias("total"),
-                                       F.count_if(F.col("value").isNull()).alias("missing_count"))
-    counts = lf.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
+    # one aggregate per (feature, value) incl. NULL; totals and missing counts derive from it
+    all_counts = lf.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
+    totals = all_counts.groupBy("feature").agg(
+        F.sum(F.when(F.col("value").isNotNull(), F.col("count")).otherwise(0)).alias("total"),
+        F.sum(F.when(F.col("value").isNull(), F.col("count")).otherwise(0)).alias("missing_count"))
+    counts = all_counts.where(F.col("value").isNotNull())
     top = topk_per_group(counts, ["feature"], [F.col("count").desc(), F.col("value").asc()], k, "rank")
     top_sum = top.groupBy("feature").agg(F.sum("count").alias("_top"))
     return (top.join(totals, "feature").join(top_sum, "feature")
@@ -230,10 +233,11 @@ def drift_categorical(train: DataFrame, new: DataFrame, features: Sequence[str],
         # Top table: <= k rows per feature -> bounded.
         top = prof.select("feature", "value", F.col("count").alias("e"))
         nl = _categorical_long(new, present)
-        ntot = nl.groupBy("feature").agg(F.count("value").alias("nw_count"),
-                                         F.count_if(F.col("value").isNull()).alias("nw_missing"))
-        ncounts = (nl.where(F.col("value").isNotNull()).join(F.broadcast(top.select("feature", "value")), ["feature", "value"])
-                   .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("a")))
+        nall = nl.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("a"))  # one pass over the new side
+        ntot = nall.groupBy("feature").agg(F.sum(F.when(F.col("value").isNotNull(), F.col("a")).otherwise(0)).alias("nw_count"),
+                                           F.sum(F.when(F.col("value").isNull(), F.col("a")).otherwise(0)).alias("nw_missing"))
+        # top values: <= k per feature, so the join side is bounded
+        ncounts = nall.join(F.broadcast(top.select("feature", "value")), ["feature", "value"])
         top_rows = top.join(ncounts, ["feature", "value"], "left").select(
             "feature", "value", F.col("e").cast("double").alias("e"), F.coalesce("a", F.lit(0)).cast("double").alias("a"))
         sums = top_rows.groupBy("feature").agg(F.sum("e").alias("_se"), F.sum("a").alias("_sa"))
