@@ -215,3 +215,36 @@ def q_drift_report(spark, sf_dir):
     """The whole per-feature drift report (flagship query)."""
     train, new = drift_sides(spark, sf_dir)
     return K.drift_report(train, new, NUM, CAT)
+
+
+def numeric_drift_sql(train_sql: str, new_sql: str, features: list[str], bins: int = BINS) -> str:
+    """CTE chain (DuckDB) ending in ``ndrift(feature, psi, ks, status)`` for numeric
+    drift of ``new_sql`` rows against ``train_sql`` rows."""
+    qs = "[" + ", ".join(repr(i / bins) for i in range(bins + 1)) + "]"
+    cols = ", ".join(features)
+    binexpr = """CASE WHEN value < edges[1] OR value > edges[len(edges)] THEN NULL
+                      WHEN value = edges[len(edges)] THEN len(edges) - 2
+                      ELSE len(list_filter(edges, lambda x: x <= value)) - 1 END"""
+    return f""",
+ztl AS (SELECT feature, value FROM (SELECT {cols} FROM ({train_sql})) UNPIVOT INCLUDE NULLS (value FOR feature IN ({cols}))),
+znl AS (SELECT feature, value FROM (SELECT {cols} FROM ({new_sql})) UNPIVOT INCLUDE NULLS (value FOR feature IN ({cols}))),
+zer AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, {qs}))) AS e FROM ztl WHERE value IS NOT NULL GROUP BY feature),
+zed AS (SELECT feature, CASE WHEN len(e) = 1 THEN [e[1] - (CASE WHEN abs(e[1]) * 1e-6 = 0 THEN 1e-6 ELSE abs(e[1]) * 1e-6 END),
+                                                 e[1] + (CASE WHEN abs(e[1]) * 1e-6 = 0 THEN 1e-6 ELSE abs(e[1]) * 1e-6 END)]
+                                ELSE e END AS edges FROM zer),
+zgr AS (SELECT feature, unnest(range(0, len(edges) - 1)) AS bin FROM zed),
+ztc AS (SELECT g.feature, g.bin, coalesce(c.n, 0)::DOUBLE AS e FROM zgr g LEFT JOIN
+        (SELECT l.feature, {binexpr} AS bin, count(*) AS n FROM ztl l JOIN zed USING (feature) WHERE value IS NOT NULL GROUP BY ALL) c
+        ON g.feature = c.feature AND g.bin = c.bin),
+znc AS (SELECT g.feature, g.bin, coalesce(c.n, 0)::DOUBLE AS a FROM zgr g LEFT JOIN
+        (SELECT l.feature, {binexpr} AS bin, count(*) AS n FROM znl l JOIN zed USING (feature) WHERE value IS NOT NULL GROUP BY ALL) c
+        ON g.feature = c.feature AND g.bin = c.bin),
+zbk AS (SELECT t.feature, t.bin, e, a, sum(e) OVER (PARTITION BY t.feature) AS se, sum(a) OVER (PARTITION BY t.feature) AS sa
+        FROM ztc t JOIN znc n ON t.feature = n.feature AND t.bin = n.bin),
+zsh AS (SELECT *, greatest(e / nullif(se, 0), 1e-6) AS es, greatest(a / nullif(sa, 0), 1e-6) AS as_,
+               sum(e / nullif(se, 0)) OVER (PARTITION BY feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ce,
+               sum(a / nullif(sa, 0)) OVER (PARTITION BY feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ca FROM zbk),
+ndrift AS (SELECT feature, psi, ks, CASE WHEN psi IS NULL THEN 'n/a' WHEN psi >= 0.2 THEN 'warn' ELSE 'ok' END AS status FROM (
+  SELECT feature, CASE WHEN first(se) > 0 AND first(sa) > 0 THEN sum((as_ - es) * ln(as_ / es)) END AS psi,
+         CASE WHEN first(se) > 0 AND first(sa) > 0 THEN max(abs(ca - ce)) END AS ks FROM zsh GROUP BY feature))
+"""

@@ -106,6 +106,17 @@ def q_fit_ols(spark, sf_dir):
     return G.coefficients(m, feats, spark)
 
 
+@register("fit_ols_single_feature", Q(["reg"], """,
+f AS (SELECT coalesce(quantity, 25.0::DOUBLE) AS qf, target FROM reg)
+SELECT * FROM (VALUES ('qf', (SELECT regr_slope(target, qf) FROM f), abs((SELECT regr_slope(target, qf) FROM f))),
+                      ('__intercept__', (SELECT regr_intercept(target, qf) FROM f), NULL::DOUBLE)) v(feature, coefficient, importance)""",
+                                         "coefficient", "importance"))
+def q_fit_ols1(spark, sf_dir):
+    """G1 with one feature over all REG rows: MLlib least squares against the closed form."""
+    r = reg(spark, sf_dir).withColumn("qf", F.coalesce("quantity", F.lit(25.0)))
+    return G.coefficients(G.fit_linear(r, ["qf"], "target", "ols"), ["qf"], spark)
+
+
 @register("fit_ridge")
 def q_fit_ridge(spark, sf_dir):
     """Ridge (alpha = 1) with the closed-form-equivalent MLlib scaling."""

@@ -341,7 +341,12 @@ def q_stream_sample(spark, sf_dir):
     return L.stream_sample(_events_stream(spark, sf_dir).select("event_id", "value"), "event_id", 500)
 
 
-@register("stream_drift")
+from quarry.plans.q_drift import numeric_drift_sql  # noqa: E402
+
+
+@register("stream_drift", rnd("WITH _x AS (SELECT 1)" + numeric_drift_sql(
+    "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16'", "SELECT * FROM events", ["value"]) + "SELECT * FROM ndrift",
+    "psi", "ks"))
 def q_stream_drift(spark, sf_dir):
     """L4: drift of streamed event values against the first half of January (train edges)."""
     from quarry.operators import drift as K
