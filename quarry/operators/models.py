@@ -233,3 +233,12 @@ def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
         vals = [abs(float(v)) for v in model.coefficients]
     rows = sorted(zip(features, vals), key=lambda r: (-r[1], r[0]))
     return spark.createDataFrame(rows, "feature string, importance double")
+
+
+def pos_weight(df: DataFrame, label: str, given: float | None = None) -> DataFrame:
+    """n_neg / n_pos for a binary label, or a given positive value."""
+    if given is not None:
+        if given <= 0:
+            raise ValueError("pos_weight must be > 0")
+        return df.sparkSession.createDataFrame([(float(given),)], "pos_weight double")
+    return df.agg(F.try_divide(F.count_if(F.col(label) != 1).cast("double"), F.count_if(F.col(label) == 1).cast("double")).alias("pos_weight"))

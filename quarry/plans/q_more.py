@@ -359,3 +359,102 @@ def q_stream_drift(spark, sf_dir):
 def q_stream_gate(spark, sf_dir):
     """Quality rules evaluated on the first micro-batch only."""
     return L.stream_quality_gate(_events_stream(spark, sf_dir).drop("ts"), target="value")
+
+
+# ------------------------------------------------------------------ remaining inventory keys
+@register("scan_chunked", Q(["reg"], """
+SELECT CAST(floor(pos / 5000) AS BIGINT) AS chunk, min(pos) AS row_start, max(pos) + 1 AS row_end, count(*) AS rows
+FROM (SELECT row_number() OVER (ORDER BY row_id) - 1 AS pos FROM reg) GROUP BY 1"""))
+def q_chunks(spark, sf_dir):
+    """5 000-row chunks in row-id order with their row offsets."""
+    return A.chunk_ranges(reg(spark, sf_dir), "row_id", 5000)
+
+
+@register("rebuild_processed", Q(["reg"], """,
+st AS (SELECT avg(discount) AS ad, coalesce(nullif(stddev_pop(discount), 0), 1.0) AS sd, avg(tax) AS a_t,
+              coalesce(nullif(stddev_pop(tax), 0), 1.0) AS s_t FROM reg)
+SELECT row_id, (discount - (SELECT ad FROM st)) / (SELECT sd FROM st) AS num__discount,
+       (tax - (SELECT a_t FROM st)) / (SELECT s_t FROM st) AS num__tax FROM reg""", "num__discount", "num__tax"))
+def q_rebuild(spark, sf_dir):
+    """Scaling recipe fitted, saved as Parquet, and re-applied to the raw rows."""
+    r = reg(spark, sf_dir)
+    fitted = r.agg(*[F.avg(c).alias(f"m_{c}") for c in ("discount", "tax")],
+                   *[F.coalesce(F.nullif(F.stddev_pop(c), F.lit(0.0)), F.lit(1.0)).alias(f"s_{c}") for c in ("discount", "tax")]).first()
+    params = {c: (fitted[f"m_{c}"], fitted[f"s_{c}"]) for c in ("discount", "tax")}  # one row of constants
+    path = A.save_recipe(spark, params, A.shared_scratch(spark, "recipe"))
+    return A.rebuild_processed(r.select("row_id", "discount", "tax"), path).select("row_id", "num__discount", "num__tax")
+
+
+@register("sink_predictions", Q(["reg"], """
+SELECT row_id, 1.0 + 1.9 * coalesce(quantity, 25.0::DOUBLE) + -20.0 * discount AS prediction FROM reg
+UNION ALL
+SELECT row_id, 1.0 + 1.9 * coalesce(quantity, 25.0::DOUBLE) + -20.0 * discount AS prediction FROM reg""", "prediction"))
+def q_sink_predictions(spark, sf_dir):
+    """Predictions written as CSV (overwrite), appended once more, read back."""
+    r = reg(spark, sf_dir).withColumn("qf", F.coalesce("quantity", F.lit(25.0)))
+    pred = I.score_regression(r, {"qf": 1.9, "discount": -20.0}, 1.0)
+    path = A.shared_scratch(spark, "predictions")
+    A.sink(pred, path, "csv", "overwrite")
+    A.sink(pred, path, "csv", "append")
+    return A.scan_csv(spark, path, "row_id string, prediction double")
+
+
+@register("sink_errors", Q(["texty"], f""",
+f AS (SELECT row_id, 'num_txt' AS "column", 'numeric_coerce_failed' AS reason FROM texty
+        WHERE num_txt IS NOT NULL AND (TRY_CAST(trim(num_txt) AS DOUBLE) IS NULL OR isnan(TRY_CAST(trim(num_txt) AS DOUBLE))))
+SELECT row_id, "column", reason FROM f"""))
+def q_sink_errors(spark, sf_dir):
+    """Coercion failures written as JSON issue records and read back."""
+    from quarry.operators.schema import coerce_failures
+    from quarry.plans.views import texty
+    fails = coerce_failures(texty(spark, sf_dir), "row_id", {"num_txt": "double"})
+    path = A.shared_scratch(spark, "errors")
+    A.sink(fails, path, "json")
+    return spark.read.schema("row_id string, column string, reason string").json(path)
+
+
+@register("pos_weight", Q(["cls"], "SELECT count(*) FILTER (WHERE label <> 1)::DOUBLE / count(*) FILTER (WHERE label = 1) AS pos_weight FROM cls",
+                          "pos_weight"))
+def q_pos_weight(spark, sf_dir):
+    """Negative / positive ratio of the binary CLS label."""
+    return G.pos_weight(cls(spark, sf_dir), "label")
+
+
+@register("apply_threshold", Q(["pred_c"], "SELECT row_id, CASE WHEN p >= 0.35 THEN 'F' ELSE 'not_F' END AS pred_label FROM pred_c"))
+def q_apply_threshold(spark, sf_dir):
+    """Stored threshold 0.35 applied to the positive-class score."""
+    pc = pred_c(spark, sf_dir)
+    return pc.select("row_id", I.apply_threshold(F.col("p"), 0.35, ["not_F", "F"]).alias("pred_label"))
+
+
+@register("score_batch", Q(["texty"], """
+SELECT row_id, CASE WHEN isnan(v) OR isinf(v) THEN NULL ELSE 1.0 + 1.9 * v END AS prediction
+FROM (SELECT row_id, TRY_CAST(trim(num_txt) AS DOUBLE) AS v FROM texty)""", "prediction"))
+def q_score_batch(spark, sf_dir):
+    """I8: validate (coerce mode) -> align -> predict over the whole TEXTY table in one lazy plan."""
+    from pyspark.sql import types as T
+    from quarry.operators.schema import validate_input
+    from quarry.plans.views import texty
+    expected = T.StructType([T.StructField("row_id", T.StringType()), T.StructField("num_txt", T.DoubleType())])
+    aligned, _issues, _w, _e, _ok = validate_input(texty(spark, sf_dir), expected, "row_id", mode="coerce")
+    return I.score_regression(aligned, {"num_txt": 1.9}, 1.0)
+
+
+@register("recommend_filter", Q(["runs"], _NORM + """,
+f AS (SELECT rk.*, r.family, sum(CASE WHEN r.family = 'single' THEN 1 ELSE 0 END) OVER (PARTITION BY rk.board) AS singles
+      FROM rk JOIN runs r USING (board, run_id))
+SELECT board, run_id, rank, family FROM f WHERE family = 'single' OR singles = 0"""))
+def q_recommend_filter(spark, sf_dir):
+    """Ensembles dropped from the recommendation while single models remain."""
+    r = runs(spark, sf_dir)
+    ranked = _ranked(spark, sf_dir).join(r.select("board", "run_id", "family"), ["board", "run_id"])
+    return J.recommend_filter(ranked).select("board", "run_id", "rank", "family")
+
+
+@register("ensemble_onehot_votes", Q(["pred_c"], """
+SELECT row_id, CASE WHEN y_pred = 0 THEN 1.0 ELSE 0.0 END AS vote_0, CASE WHEN y_pred = 1 THEN 1.0 ELSE 0.0 END AS vote_1 FROM pred_c""",
+                                       "vote_0", "vote_1"))
+def q_onehot_votes(spark, sf_dir):
+    """Class predictions as one-hot probability votes."""
+    v = pred_c(spark, sf_dir).select("row_id", J.onehot_votes(F.col("y_pred"), 2).alias("v"))
+    return v.select("row_id", F.col("v")[0].alias("vote_0"), F.col("v")[1].alias("vote_1"))

@@ -131,3 +131,28 @@ def alert_rows(report: DataFrame, kind: str, name_col: str = "feature", status_c
                       F.when(F.col(status_col) == "fail", F.lit("error")).otherwise(F.lit("warning")).alias("severity"),
                       F.concat(F.lit(f"{kind} "), F.col(status_col), F.lit(": "), F.col(name_col)).alias("title"),
                       F.col(name_col).alias("context"))
+
+
+# ------------------------------------------------------------------ A6
+def chunk_ranges(df: DataFrame, row_id: str, chunk_size: int) -> DataFrame:
+    """Chunk index and row range per chunk of ``chunk_size`` rows in row-id order:
+    (chunk, row_start, row_end, rows). Positions come from the distributed rank."""
+    from quarry.functions.ranking import global_rank
+    r = global_rank(df.select(row_id), [row_id], "_pos")
+    c = F.floor(F.col("_pos") / F.lit(chunk_size)).cast("bigint")
+    return r.groupBy(c.alias("chunk")).agg(F.min("_pos").alias("row_start"), (F.max("_pos") + 1).alias("row_end"),
+                                            F.count(F.lit(1)).alias("rows"))
+
+
+# ------------------------------------------------------------------ A11
+def save_recipe(spark: SparkSession, params: dict, path: str) -> str:
+    """Persist fitted scaling constants as a small Parquet lookup (one row per feature)."""
+    rows = [(c, float(m), float(s)) for c, (m, s) in params.items()]
+    spark.createDataFrame(rows, "feature string, center double, scale double").write.mode("overwrite").parquet(path)
+    return path
+
+
+def rebuild_processed(raw: DataFrame, recipe_path: str, prefix: str = "num__") -> DataFrame:
+    """Re-apply a saved recipe to raw rows (the recipe has one row per feature)."""
+    rec = raw.sparkSession.read.parquet(recipe_path).collect()
+    return raw.withColumns({f"{prefix}{r.feature}": (F.col(r.feature) - F.lit(r.center)) / F.lit(r.scale) for r in rec})
