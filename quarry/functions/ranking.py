@@ -120,12 +120,17 @@ def _sorted_tagged(df: DataFrame, order: list, n: int) -> DataFrame:
     )
 
 
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for an aggregated lookup only when its counted size is at most
+    ``max_rows``; otherwise the plain frame (shuffle join, where AQE splits skewed
+    partitions). The lookup is persisted so the count and the join share one pass."""
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    return F.broadcast(small) if small.count() <= max_rows else small
+
+
 def _join_small(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """Join an aggregated side, broadcasting it only when its counted size is bounded."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if small.count() <= BROADCAST_ROWS:
-        return big.join(F.broadcast(small), keys)
-    return big.join(small, keys)
+    return big.join(bounded_broadcast(small), keys)
 
 
 def ranked_with_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_unit
-from quarry.functions.ranking import exact_quantiles, first_index_above, global_cumsum, global_rank, spread
+from quarry.functions.ranking import (bounded_broadcast, exact_quantiles, first_index_above, global_cumsum,
+                                      global_rank, spread)
 
 # Machine epsilon for float64 (log-loss clipping) and the default
 # threshold grid 0.05, 0.10, ..., 0.95 (i/100 for i = 5, 10, ..., 95).
@@ -345,8 +346,8 @@ def equal_width_hist(df: DataFrame, value: str, bins: int, group_cols: Sequence[
     rng = (rng.withColumn("_lo", F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")))
               .withColumn("_hi", F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx"))))
     if g:
-        # one row per group; groups here are features / segments (schema-sized)
-        j = df.where(v.isNotNull()).join(F.broadcast(rng), g, "inner")
+        # one row per group (features in the profile queries); size-checked before broadcasting
+        j = df.where(v.isNotNull()).join(bounded_broadcast(rng), g, "inner")
     else:
         lo, hi = rng.select("_lo").scalar(), rng.select("_hi").scalar()
         j = df.where(v.isNotNull()).select("*", lo.alias("_lo"), hi.alias("_hi"))

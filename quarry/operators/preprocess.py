@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_bucket
-from quarry.functions.ranking import exact_quantiles, long_form, rank_within_groups, topk_per_group
+from quarry.functions.ranking import bounded_broadcast, exact_quantiles, long_form, rank_within_groups, topk_per_group
 from quarry.functions.scalars import MISSING_TOKEN
 
 # Smoothing strength of target encoding, auto one-hot limit.
@@ -128,7 +128,7 @@ def apply_lookup(df: DataFrame, lookup: DataFrame, columns: Sequence[str], value
     """Replace each column by its looked-up code (left join per column; NULL-safe match)."""
     out = df
     for c in columns:
-        lk = lookup.where(F.col("feature") == c).select(F.col("value").alias("_lv"), F.col(value_col).alias("_code"))
+        lk = bounded_broadcast(lookup.where(F.col("feature") == c).select(F.col("value").alias("_lv"), F.col(value_col).alias("_code")))
         cond = out[c].cast("string").eqNullSafe(lk["_lv"]) if null_safe else out[c].cast("string") == lk["_lv"]
         out = out.join(lk, cond, "left").withColumn(f"{prefix}{c}", F.coalesce(F.col("_code").cast("double"), F.lit(default).cast("double"))).drop("_lv", "_code")
     return out
@@ -172,7 +172,7 @@ def target_mean_oof(df: DataFrame, split: DataFrame, row_id: str, columns: Seque
     key = F.when(F.col("split") == "train", F.col(fold_col)).otherwise(F.lit(-1))
     out = flagged.withColumn("_key", key.cast(byf.schema[fold_col].dataType))
     for c in columns:
-        lk = lookup.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("_k"), F.col("enc").alias("_e"))
+        lk = bounded_broadcast(lookup.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("_k"), F.col("enc").alias("_e")))
         cond = out[c].cast("string").eqNullSafe(lk["_v"]) & (out["_key"] == lk["_k"])
         # train rows always find their own (value, fold); unseen values elsewhere get the global mean
         out = out.join(lk, cond, "left").withColumn(f"cat__{c}", F.coalesce(F.col("_e"), g_all)).drop("_v", "_k", "_e")
@@ -188,7 +188,7 @@ def label_encode(df: DataFrame, label: str, mode: str = "auto") -> tuple[DataFra
     k = classes.count()
     if k < 2 or (mode == "binary" and k != 2) or (mode == "multiclass" and k <= 2):
         raise ValueError(f"label has {k} classes, not valid for mode '{mode}'")
-    out = df.join(F.broadcast(ranked), df[label] == ranked["cls"], "left").drop("cls").withColumnRenamed("index", "label_index")
+    out = df.join(bounded_broadcast(ranked), df[label] == ranked["cls"], "left").drop("cls").withColumnRenamed("index", "label_index")
     return out, ranked
 
 

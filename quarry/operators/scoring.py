@@ -51,7 +51,8 @@ def apply_threshold(p1: Column, threshold: float, labels: Sequence[str]) -> Colu
 
 def decode_labels(df: DataFrame, index_col: str, classes: DataFrame) -> DataFrame:
     """Class index -> label through the (small) class table."""
-    return df.join(F.broadcast(classes.select(F.col("index").alias(index_col), F.col("cls").alias("label"))), index_col, "left")
+    from quarry.functions.ranking import bounded_broadcast
+    return df.join(bounded_broadcast(classes.select(F.col("index").alias(index_col), F.col("cls").alias("label"))), index_col, "left")
 
 
 def sanitize_label(label) -> str:

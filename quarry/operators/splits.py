@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_unit
-from quarry.functions.ranking import global_rank, rank_within_groups
+from quarry.functions.ranking import bounded_broadcast, global_rank, rank_within_groups
 
 
 def _check(p: float):
@@ -50,7 +50,9 @@ def split_group(df: DataFrame, row_id: str, group_col: str, test_size: float = 0
     k = _n_val(groups.count(), test_size)
     g = global_rank(groups, ["_h", group_col], "_r").select(
         group_col, F.when(F.col("_r") < k, F.lit("val")).otherwise(F.lit("train")).alias("split"))
-    return df.select(row_id, group_col).join(g, group_col).select(row_id, "split")
+    # one row per group: broadcast when the counted group table is small, else a
+    # shuffle join (AQE splits a skewed hot group)
+    return df.select(row_id, group_col).join(bounded_broadcast(g), group_col).select(row_id, "split")
 
 
 # ------------------------------------------------------------------ E3
@@ -62,7 +64,7 @@ def split_stratified(df: DataFrame, row_id: str, label: str, test_size: float =
     if sizes.count() < 2:
         raise ValueError("stratified split needs at least 2 classes")
     r = rank_within_groups(keys, [label], ["_h", row_id], "_r")
-    r = r.join(sizes, label)  # one row per class
+    r = r.join(bounded_broadcast(sizes), label)  # one row per class, size-checked
     val = F.col("_r") < F.ceil(F.col("_n") * F.lit(test_size))
     return r.select(row_id, F.when(val, F.lit("val")).otherwise(F.lit("train")).alias("split"))
 
