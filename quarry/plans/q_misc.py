@@ -68,7 +68,8 @@ def q_canon(spark, sf_dir):
     return canonicalize_missing(reg(spark, sf_dir).select("row_id", "quantity", "discount"))
 
 
-@register("preview_head", Q(["reg"], "SELECT * FROM reg ORDER BY row_id LIMIT 5", "quantity", "discount", "tax", "price", "target"))
+@register("preview_head", Q(["reg"], "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM reg ORDER BY row_id LIMIT 5",
+                             "quantity", "discount", "tax", "price", "target"))
 def q_preview(spark, sf_dir):
     """First 5 rows by row id, at most 20 columns (timestamps as text)."""
     r = reg(spark, sf_dir)

@@ -62,8 +62,21 @@ def scan_limit(df: DataFrame, n: int, order: Sequence[str] | None = None) -> Dat
 
 
 def preview_head(df: DataFrame, row_id: str, n: int = 5, max_cols: int = 20) -> DataFrame:
-    return df.select(*df.columns[:max_cols]).orderBy(row_id).limit(n) if row_id in df.columns[:max_cols] else \
-        df.orderBy(row_id).limit(n).select(*df.columns[:max_cols])
+    """First n rows by row id, at most ``max_cols`` columns; date/time values rendered
+    as text (a display preview)."""
+    from pyspark.sql import types as T
+    cols = df.columns[:max_cols]
+    out = []
+    for f in df.schema.fields:
+        if f.name not in cols:
+            continue
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        out.append(c.alias(f.name))
+    return df.orderBy(row_id).limit(n).select(*out)
 
 
 # ------------------------------------------------------------------ A7 / A8
