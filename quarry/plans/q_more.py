@@ -355,7 +355,46 @@ def q_stream_drift(spark, sf_dir):
     return L.stream_drift(_events_stream(spark, sf_dir), train, ["value"])
 
 
-@register("stream_quality_gate")
+_EV = ["event_id", "user_id", "event_type", "value", "props"]
+_EV_CARD = " UNION ALL ".join(
+    f"SELECT '{c}' AS c, count(DISTINCT CAST({c} AS VARCHAR)) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS u, count(*) AS n, "
+    f"count(*) - count({c}) AS nulls FROM ev" for c in _EV)
+_EV_MATCH = " UNION ALL ".join(
+    f"SELECT avg(CASE WHEN CAST({c} AS DOUBLE) IS NOT DISTINCT FROM value THEN 1.0 ELSE 0.0 END) AS r, FALSE AS exact FROM ev"
+    for c in ["event_id", "user_id"])
+_EV_CORR = " UNION ALL ".join(f"SELECT corr({c}, value) AS corr, count({c} + value) AS k FROM ev" for c in ["event_id", "user_id"])
+_EV_RULES = f"""WITH ev AS (SELECT {', '.join(_EV)} FROM events),
+card AS ({_EV_CARD}),
+tot AS (SELECT sum(nulls)::DOUBLE / (max(n) * {len(_EV)}) AS mr FROM card),
+dup AS (SELECT sum(k - 1) AS d, sum(k - 1)::DOUBLE / sum(k) AS dr FROM (SELECT count(*) AS k FROM ev GROUP BY {', '.join(_EV)})),
+mx AS (SELECT count(*) AS n FROM (SELECT feature FROM (
+         SELECT feature, CASE WHEN lower(trim(v)) IN ('true', 'false') THEN 'bool' WHEN TRY_CAST(trim(v) AS DOUBLE) IS NOT NULL THEN 'number'
+                              WHEN TRY_CAST(trim(v) AS TIMESTAMP) IS NOT NULL THEN 'datetime' ELSE 'string' END AS b
+         FROM (SELECT event_type, props FROM ev) UNPIVOT (v FOR feature IN (event_type, props)))
+       GROUP BY feature HAVING count(DISTINCT b) > 1)),
+hc AS (SELECT count(*) AS n, count(*) FILTER (WHERE u::DOUBLE / n >= 1.01) AS f FROM card
+       WHERE c IN ('event_id', 'user_id', 'event_type', 'props') AND u >= 20 AND u::DOUBLE / n >= 0.8),
+il AS (SELECT count(*) AS n, count(*) FILTER (WHERE u::DOUBLE / n >= 1.01) AS f FROM card WHERE c <> 'value' AND u >= 20 AND u::DOUBLE / n >= 0.98),
+cn AS (SELECT count(*) AS n FROM card WHERE u <= 1),
+nm AS (SELECT count(*) AS n FROM (SELECT unnest(['event_id', 'user_id', 'event_type', 'props']) AS c)
+       WHERE c LIKE '%id%' OR c LIKE '%uuid%' OR c LIKE '%guid%' OR c LIKE '%target%' OR c LIKE '%label%'
+          OR c LIKE '%outcome%' OR c LIKE '%response%' OR c LIKE '%value%'),
+lk AS (SELECT 0 AS e, (SELECT count(*) FROM ({_EV_MATCH}) WHERE r >= 0.98)
+                      + (SELECT count(*) FROM ({_EV_CORR}) WHERE k >= 2 AND corr IS NOT NULL AND NOT isnan(corr) AND abs(corr) >= 0.98) AS w),
+rules0 AS (
+  SELECT 'missing_rate' AS type, CASE WHEN mr >= 0.5 THEN 'fail' WHEN mr >= 0.2 THEN 'warn' END AS severity, CAST(1 AS BIGINT) AS count FROM tot
+  UNION ALL SELECT 'duplicates', CASE WHEN dr >= 0.05 THEN 'fail' WHEN dr >= 0.01 THEN 'warn' END, CAST(CASE WHEN d > 0 THEN d ELSE 1 END AS BIGINT) FROM dup
+  UNION ALL SELECT 'constant_columns', CASE WHEN n = 0 THEN NULL WHEN n >= 5 THEN 'fail' ELSE 'warn' END, n FROM cn
+  UNION ALL SELECT 'mixed_type_columns', CASE WHEN n = 0 THEN NULL WHEN n >= 5 THEN 'fail' ELSE 'warn' END, n FROM mx
+  UNION ALL SELECT 'high_cardinality', CASE WHEN n = 0 THEN NULL WHEN f > 0 OR n >= 9999 THEN 'fail' ELSE 'warn' END, n FROM hc
+  UNION ALL SELECT 'id_like', CASE WHEN n = 0 THEN NULL WHEN f > 0 THEN 'fail' ELSE 'warn' END, n FROM il
+  UNION ALL SELECT 'name_suspect', CASE WHEN n > 0 THEN 'warn' END, n FROM nm
+  UNION ALL SELECT 'leak', CASE WHEN e > 0 THEN 'fail' END, e FROM lk
+  UNION ALL SELECT 'leak', CASE WHEN w > 0 THEN 'warn' END, w FROM lk)
+SELECT type, severity, CAST(count AS BIGINT) AS count FROM rules0 WHERE severity IS NOT NULL"""
+
+
+@register("stream_quality_gate", _EV_RULES)
 def q_stream_gate(spark, sf_dir):
     """Quality rules evaluated on the first micro-batch only."""
     return L.stream_quality_gate(_events_stream(spark, sf_dir).drop("ts"), target="value")
