@@ -295,14 +295,33 @@ def bootstrap_ci(df: DataFrame, metric: str = "rmse", row_id: str = "row_id", y:
     point = df.agg(_metric_expr(metric, F.col(y), F.col(p))).scalar()
     if method == "poisson":
         blocks = (n_boot + 3) // 4
-        b = spread(df).select(F.col(row_id), F.col(y), F.col(p), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_blk"))
-        b = b.withColumn("_m", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"), F.col("_blk").cast("string"))))
-        u = b.select(y, p, "_blk", "_m", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("_j"))
-        u = u.select(y, p, (F.col("_blk") * 4 + F.col("_j")).alias("rep"),
-                     (F.conv(F.substr(F.col("_m"), F.lit(1) + F.col("_j") * 8, F.lit(8)), 16, 10).cast("bigint")
-                      / F.lit(4294967296.0)).alias("_u")).where(F.col("rep") < n_boot)
-        wt = first_index_above(F.col("_u"), poisson1_cdf()).cast("double")  # inverse Poisson(1) CDF
-        reps = u.withColumn("_w", wt).groupBy("rep").agg(_weighted_metric(metric, F.col(y), F.col(p), F.col("_w")).alias("score"))
+        yc, pc = F.col(y).cast("double"), F.col(p).cast("double")
+        b = spread(df).select(F.col(row_id), yc.alias("_y"), pc.alias("_p"),
+                              F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_blk"))
+        m = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"), F.col("_blk").cast("string")))
+        b = b.withColumn("_m", m)
+        cdf = poisson1_cdf()
+        # four replicate weights per digest, kept as columns (no 4x row fan-out)
+        ws = [first_index_above(F.conv(F.substr(F.col("_m"), F.lit(1 + 8 * j), F.lit(8)), 16, 10).cast("bigint")
+                                / F.lit(4294967296.0), cdf).cast("double") for j in range(4)]
+        e = F.col("_y") - F.col("_p")
+        parts = {"w": F.lit(1.0), "we2": e * e, "wae": F.abs(e), "wy": F.col("_y"), "wy2": F.col("_y") * F.col("_y"),
+                 "weq": (F.col("_y") == F.col("_p")).cast("double")}
+        aggs = [F.sum(ws[j] * v).alias(f"{k}_{j}") for j in range(4) for k, v in parts.items()]
+        per_blk = b.groupBy("_blk").agg(*aggs)  # map-side partial sums: one row per block and task
+        reps = per_blk.select(F.explode(F.array(*[
+            F.struct((F.col("_blk") * 4 + j).alias("rep"), *[F.col(f"{k}_{j}").alias(k) for k in parts]) for j in range(4)
+        ])).alias("r")).select("r.*").where(F.col("rep") < n_boot)
+        sw = F.col("w")
+        score = {
+            "mse": F.col("we2") / sw, "rmse": F.sqrt(F.col("we2") / sw), "mae": F.col("wae") / sw,
+            "accuracy": F.col("weq") / sw,
+            "r2": F.when(F.col("wy2") - F.col("wy") * F.col("wy") / sw == 0, None).otherwise(
+                F.lit(1.0) - F.col("we2") / (F.col("wy2") - F.col("wy") * F.col("wy") / sw)),
+        }
+        if metric not in score:
+            raise ValueError(f"bootstrap metric '{metric}' not supported")
+        reps = reps.select("rep", score[metric].alias("score"))
     elif method == "multinomial":
         ranked = global_rank(df.select(row_id, y, p), [row_id], "_idx")
         n = df.count()
