@@ -18,7 +18,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.ranking import exact_quantiles, first_index_above_array, long_form, topk_per_group
+from quarry.functions.ranking import approx_quantiles, exact_quantiles, first_index_above_array, long_form, topk_per_group
 
 # Fixed values (reference defaults): bins, profile quantiles, top categories,
 # PSI share floor, warn / fail thresholds.
@@ -69,8 +69,17 @@ def hist_edges(df: DataFrame, features: Sequence[str], bins: int = DEFAULT_BINS)
     """Quantile edges at i/bins, de-duplicated and sorted -> (feature, edges array<double>).
     A single edge c becomes [c - eps, c + eps] with eps = |c|*1e-6 (1e-6 if c = 0);
     a feature without values gets [0, 1]."""
+    return _edges(df, features, bins, exact_quantiles)
+
+
+def hist_edges_approx(df: DataFrame, features: Sequence[str], bins: int = DEFAULT_BINS, accuracy: int = 10000) -> DataFrame:
+    """Opt-in sketch-based edges (no sort of the values); see :func:`approx_quantiles`."""
+    return _edges(df, features, bins, lambda d, g, v, qs: approx_quantiles(d, g, v, qs, accuracy))
+
+
+def _edges(df: DataFrame, features: Sequence[str], bins: int, quantiles_fn) -> DataFrame:
     qs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(_numeric_long(df, features), ["feature"], "value", qs)
+    q = quantiles_fn(_numeric_long(df, features), ["feature"], "value", qs)
     raw = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_e"))
     c = F.col("_e")[0]
     eps = F.when(F.abs(c) * F.lit(1e-6) == 0, F.lit(1e-6)).otherwise(F.abs(c) * F.lit(1e-6))

@@ -45,3 +45,12 @@ def test_topk_per_group(spark):
     out = topk_per_group(df, ["g"], [F.col("c").desc(), F.col("id").asc()], 4).toPandas()
     pdf = df.toPandas().sort_values(["g", "c", "id"], ascending=[True, False, True]).groupby("g").head(4)
     assert sorted(map(tuple, out[["g", "id"]].values)) == sorted(map(tuple, pdf[["g", "id"]].values))
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from quarry.functions.ranking import approx_quantiles
+    df = spark.range(0, 20000).select(F.lit("g").alias("g"), ((F.col("id") * 7919) % 20000).cast("double").alias("v"))
+    qs = [0.1, 0.5, 0.9]
+    ex = {r.qi: r.value for r in exact_quantiles(df, ["g"], "v", qs).collect()}
+    ap = {r.qi: r.value for r in approx_quantiles(df, ["g"], "v", qs).collect()}
+    assert all(abs(ex[i] - ap[i]) <= 20000 / 1000 for i in range(3))
