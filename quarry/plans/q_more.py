@@ -12,7 +12,7 @@ from quarry.operators import models as G
 from quarry.operators import scoring as I
 from quarry.operators import splits as E
 from quarry.plans.q_lead import _NORM, _TWO, _ranked, _two_preds
-from quarry.plans.q_prep import REG_SPLIT, cls_split, cls_train, reg_split
+from quarry.plans.q_prep import REG_SPLIT, cls_split, reg_split
 from quarry.plans.registry import register, rnd
 from quarry.plans.views import cls, pred_c, pred_m, reg, runs, table, with_views
 from quarry.sources import io as A
@@ -349,7 +349,6 @@ from quarry.plans.q_drift import numeric_drift_sql  # noqa: E402
     "psi", "ks"))
 def q_stream_drift(spark, sf_dir):
     """L4: drift of streamed event values against the first half of January (train edges)."""
-    from quarry.operators import drift as K
     ev = table(spark, sf_dir, "events")
     train = ev.where(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'"))
     return L.stream_drift(_events_stream(spark, sf_dir), train, ["value"])
