@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     # Only reached in local runs (tests, bench) where nothing is configured.
     local_dir = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("QUARRY_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local_dir)
@@ -51,6 +54,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local_dir
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
