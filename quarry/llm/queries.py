@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import bpe_tokens
 from quarry.llm.common import table
 from quarry.llm.exact_dedup import exact_dedup
+from quarry.llm.language_id import in_held_out, train_language_model, with_language
+from quarry.llm.secrets import digest_columns, find_secrets, labelled_tokens, train_markov
 from quarry.llm.token_counts import token_counts
 from quarry.llm.token_files import id_checksums, read_token_files, write_token_files
 from quarry.llm.url_reputation import judge_pages
@@ -85,6 +87,19 @@ def op2(spark, sf_dir):
     return bpe_tokens(table(spark, sf_dir, "documents"))
 
 
+@query("op3_secrets")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return digest_columns(find_secrets(docs, train_markov(labelled_tokens(docs))))
+
+
+@query("op4_language_id")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = with_language(docs.drop("lang"), train_language_model(docs))
+    return out.select("doc_id", in_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query("op7_token_files")
 def op7(spark, sf_dir):
     """Writes the token files to the shared folder, reads them back, and sums up what it read."""
