@@ -15,16 +15,16 @@ import re
 import struct
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ChunkMemo, in_parts, texts_of
+from quarry.llm.common import ChunkMemo, blank_chunks, join_chunks, texts_of
 
-CACHE_ENTRIES = 400_000
-TEXTS_AT_ONCE = 500
+CACHE_ENTRIES = 250_000
 ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split(), not to Unicode
 
 
@@ -128,8 +128,8 @@ class WordBpe:
             out.append((struct.pack(f"<{len(ids)}I", *ids), " ".join(map(self.strings.__getitem__, ids))))
         return out
 
-    def _split(self, text: str) -> list[str]:
-        """Normalised chunks without white space."""
+    def _normalised(self, text: str) -> str:
+        """Chunks without white space, between single blanks."""
         text = unicodedata.normalize("NFC", text)
         if not text.isascii():
             if NEEDS_LOWER.search(text):
@@ -137,26 +137,36 @@ class WordBpe:
             text = text.replace("Σ", "σ")  # lower case goes by single characters: no final sigma
         text = text.lower()
         if ODD_SPACE.search(text):
-            return [w for w in regex.split(r"\p{White_Space}+", text) if w]
-        return text.split()
-
-    def encode_texts(self, texts: list[str]):
-        """(ids as little-endian unsigned 32-bit integers, decoded text) of each whole text."""
-        for some in in_parts(texts, TEXTS_AT_ONCE):
-            cut = [self.cut.split(t) if self.cut and "<|" in t else [t] for t in some]
-            split = [[self._split(p) if k % 2 == 0 else p for k, p in enumerate(parts)] for parts in cut]
-            known = self.chunks.values({c for parts in split for p in parts[::2] for c in p})
-            for parts in split:
-                found = []
-                for k, part in enumerate(parts):
-                    if k % 2:
-                        found.append((struct.pack("<I", self.special[part]), part))
-                    else:
-                        found += [known[c] for c in part]
-                yield b"".join([a for a, _ in found]), " ".join([b for a, b in found if a])
+            return " ".join([w for w in regex.split(r"\p{White_Space}+", text) if w])
+        return " ".join(text.split())
+
+    def encode_texts(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
+        """(ids as little-endian unsigned 32-bit integers, decoded texts) of whole texts."""
+        plain = pa.array([self._normalised(t) for t in texts], pa.large_string())
+        offsets, numbers, chunks = blank_chunks(plain)
+        known = self.chunks.values(chunks)
+        ids = join_chunks(pa.array([known[c][0] for c in chunks], pa.large_binary()), numbers, offsets, pa.scalar(b"", pa.large_binary()))
+        said = join_chunks(pa.array([known[c][1] for c in chunks], pa.large_string()), numbers, offsets, pa.scalar(" ", pa.large_string()))
+        special = [k for k, t in enumerate(texts) if "<|" in t and self.cut and self.cut.search(t)]
+        if special:
+            ids, said = ids.to_pylist(), said.to_pylist()
+            for k in special:
+                ids[k], said[k] = self._with_special(texts[k])
+            ids, said = pa.array(ids, pa.large_binary()), pa.array(said, pa.large_string())
+        return ids, said
+
+    def _with_special(self, text: str) -> tuple[bytes, str]:
+        found = []
+        for k, part in enumerate(self.cut.split(text)):
+            if k % 2:
+                found.append((struct.pack("<I", self.special[part]), part))
+            elif part:
+                found.append(self.encode_bytes(part))
+        return b"".join([a for a, _ in found]), " ".join([b for a, b in found if a])
 
     def encode_bytes(self, text: str) -> tuple[bytes, str]:
-        return next(self.encode_texts([text]))
+        ids, said = self.encode_texts([text])
+        return ids[0].as_py(), said[0].as_py()
 
     def encode(self, text: str) -> list[int]:
         return [x for (x,) in struct.iter_unpack("<I", self.encode_bytes(text)[0])]
@@ -187,18 +197,16 @@ def bpe_tokens(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", id_col: s
     def run(batches):
         bpe = word_bpe(public_tokenizers.path(vocabulary))
         for batch in batches:
-            n, a, b, ids, texts = [], [], [], [], []
-            for raw, decoded in bpe.encode_texts(texts_of(batch.column(1))):
-                n.append(len(raw) // 4)
-                a.append(hashlib.sha256(raw).hexdigest())
-                b.append(hashlib.sha256(decoded.encode()).hexdigest())
-                if with_ids:
-                    ids.append([x for (x,) in struct.iter_unpack("<I", raw)])
-                    texts.append(decoded)
-            out = {id_col: batch.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(a, pa.string()),
-                   "decoded_sha256": pa.array(b, pa.string())}
+            if not batch.num_rows:
+                continue
+            raw, decoded = bpe.encode_texts(texts_of(batch.column(1)))
+            raws, said = raw.to_pylist(), decoded.to_pylist()
+            ids = [np.frombuffer(r, "<i4") for r in raws] if with_ids else []
+            out = {id_col: batch.column(0), "n_tokens": pa.array([len(r) // 4 for r in raws], pa.int64()),
+                   "ids_sha256": pa.array([hashlib.sha256(r).hexdigest() for r in raws], pa.string()),
+                   "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in said], pa.string())}
             if with_ids:
-                out |= {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string())}
+                out |= {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(said, pa.string())}
             yield pa.RecordBatch.from_pydict(out)
 
     kind = docs.schema[id_col].dataType.simpleString()

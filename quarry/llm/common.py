@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +20,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the application's Python workers, once, as Spark ships any Python file: the
+    tasks' functions are modules of it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(prefix="quarry-"), "quarry.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(top):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    sc.addPyFile(name)
+    _SHIPPED.add(sc.applicationId)
+
+
 def row_fraction(*cols) -> F.Column:
     """A fixed number in [0, 1) per row, from a hash of the columns (same on every run and retry)."""
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -25,6 +51,20 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
+def blank_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Texts cut at every single blank, each distinct chunk once: the texts' offsets into the second, which
+    has the chunks' numbers, and the chunks. An empty text is one empty chunk."""
+    lists = pc.split_pattern(texts, " ")
+    coded = lists.flatten().dictionary_encode()
+    offsets = lists.offsets.to_numpy()
+    return offsets - offsets[0], coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
+def join_chunks(values: pa.Array, numbers: np.ndarray, offsets: np.ndarray, between) -> pa.Array:
+    """Each text's chunk values, one after the other."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values.take(pa.array(numbers))), between)
+
+
 class ChunkMemo:
     """Bounded memo of a worker, filled many keys at a time. ``make(keys)`` gives the values of a list of
     keys. Past ``size`` entries the young generation becomes the old one and the old one goes; what is
@@ -42,11 +82,10 @@ class ChunkMemo:
         for k in keys:
             if k in young:
                 continue
-            v = old.get(k)
-            if v is None:
-                missed.append(k)
+            if k in old:
+                young[k] = old[k]
             else:
-                young[k] = v
+                missed.append(k)
         if missed:
             young.update(zip(missed, self.make(missed)))
         return young

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.bpe import bpe_tokens
-from quarry.llm.common import table
+from quarry.llm.common import ship_package, table
+from quarry.llm.decontaminate import contaminated
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.language_id import in_held_out, train_language_model, with_language
 from quarry.llm.secrets import digest_columns, find_secrets, labelled_tokens, train_markov
 from quarry.llm.token_counts import token_counts
+from quarry.llm.toxicity import score_toxicity, toxicity_samples, train_toxicity
 from quarry.llm.token_files import id_checksums, read_token_files, write_token_files
 from quarry.llm.url_reputation import judge_pages
 from quarry.session import scratch_path
@@ -23,7 +25,12 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def keep(fn):
-        QUERIES[name] = fn
+        def run(spark, sf_dir):
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql
         return fn
@@ -100,6 +107,13 @@ def op4(spark, sf_dir):
     return out.select("doc_id", in_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query("op5_toxicity")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = score_toxicity(docs, train_toxicity(toxicity_samples(docs, table(spark, sf_dir, "labels"))))
+    return out.withColumn("expected_severity", F.round("expected_severity", 6))
+
+
 @query("op7_token_files")
 def op7(spark, sf_dir):
     """Writes the token files to the shared folder, reads them back, and sums up what it read."""
@@ -120,3 +134,9 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """)
 def op9(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op10_decontaminate")
+def op10(spark, sf_dir):
+    """The documents that hold a benchmark passage, with the passage and how much of it."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

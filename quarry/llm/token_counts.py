@@ -12,14 +12,14 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from quarry.llm.common import ChunkMemo, in_parts, row_fraction, texts_of
+from quarry.llm.common import ChunkMemo, blank_chunks, in_parts, row_fraction, texts_of
 
-CACHE_ENTRIES = 400_000
-TEXTS_AT_ONCE = 500
+CACHE_ENTRIES = 250_000
 WORDS_AT_ONCE = 500
 ODD_BLANKS = re.compile("  |^ | $|▁")
 PARTS = re.compile("[ ▁]*[^ ▁]+|[ ▁]+")
@@ -91,27 +91,30 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
         rest = _rest(public_tokenizers.path(model))
         frequent = table.value
         for batch in batches:
-            n_bytes, n_tokens = [], []
-            texts = texts_of(batch.column(1))
-            for some in in_parts(texts, TEXTS_AT_ONCE):
-                n_bytes += [len(t) if t.isascii() else len(t.encode()) for t in some]
-                n_tokens += count_tokens(some, frequent, rest)
-            yield pa.RecordBatch.from_pydict({
-                id_col: batch.column(0), "n_bytes": pa.array(n_bytes, pa.int64()), "n_tokens": pa.array(n_tokens, pa.int64()),
-                "over_limit": pa.array([n > limit for n in n_tokens], pa.bool_())})
+            if not batch.num_rows:
+                continue
+            texts = batch.column(1).fill_null("")
+            n = count_tokens(texts, frequent, rest)
+            yield pa.RecordBatch.from_pydict({id_col: batch.column(0), "n_bytes": pc.binary_length(texts).cast(pa.int64()),
+                                              "n_tokens": pa.array(n), "over_limit": pa.array(n > limit)})
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
         run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
 
 
-def count_tokens(texts: list[str], frequent: dict[str, int], rest: ChunkMemo) -> list[int]:
+def count_tokens(texts: pa.Array, frequent: dict[str, int], rest: ChunkMemo) -> np.ndarray:
     """Token counts of whole texts: the broadcast table first, the worker's memo for what it lacks."""
-    cut = [pre_tokens(t) for t in texts]
-    missed = {w for words in cut for w in words if w not in frequent}
-    known = rest.values(missed)
-    get = frequent.get
-    return [sum([n if (n := get(w)) is not None else known[w] for w in words]) for words in cut]
+    offsets, numbers, chunks = blank_chunks(texts)
+    known = rest.values([c for c in chunks if c not in frequent])
+    n = np.array([frequent[c] if c in frequent else known[c] for c in chunks], dtype=np.int64)
+    out = np.add.reduceat(n[numbers], offsets[:-1])
+    odd = np.array([not c or "\u2581" in c for c in chunks])
+    for k in np.flatnonzero(np.logical_or.reduceat(odd[numbers], offsets[:-1])).tolist():
+        words = pre_tokens(texts[k].as_py())  # runs of blanks: its pre-tokens are not these chunks
+        known = rest.values([w for w in words if w not in frequent])
+        out[k] = sum(frequent[w] if w in frequent else known[w] for w in words)
+    return out
 
 
 def _lengths(sp: SentencePieceProcessor, starts: np.ndarray, words: list[str]) -> list[int]:

@@ -8,20 +8,19 @@ pages of ids and a query on counts reads none.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quarry.llm.common import ChunkMemo, in_parts, texts_of
+from quarry.llm.common import ChunkMemo, blank_chunks, in_parts, join_chunks
 
-CACHE_ENTRIES = 400_000
-TEXTS_AT_ONCE = 500
+CACHE_ENTRIES = 250_000
 WORDS_AT_ONCE = 500
 
 
@@ -34,8 +33,6 @@ class ChunkEncoder:
     a special string, go to the library whole.
     """
 
-    ODD = re.compile(r"\s |^ | \s| $|<\|")
-
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -63,38 +60,58 @@ class ChunkEncoder:
                 out += [raw[a:b] for a, b in zip(at, at[1:])]
         return out
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Letters before full stops or commas are a pre-token of their own and are looked up as such."""
+    def _chunks(self, chunks: list[str]) -> list[bytes | None]:
+        """Of chunks that follow a blank; None for those that are empty or have white space at an end.
+        Letters before full stops or commas are a pre-token of their own and are looked up as such."""
         words = [c.rstrip(".,") for c in chunks]
         words = [w if w.isalpha() else c for w, c in zip(words, chunks)]
-        known = self.words.values(set(words))
+        known = self.words.values({w for w in words if w and not w[0].isspace() and not w[-1].isspace()})
         out = []
         for w, c in zip(words, chunks):
-            if len(w) == len(c):
-                out.append(known[w])
-            else:
+            ids = known.get(w)
+            if ids is not None and len(w) < len(c):
                 tail = c[len(w):]
                 if tail not in self.tails:
                     if len(self.tails) > 10_000:
                         self.tails.clear()
                     self.tails[tail] = self.library(tail)
-                out.append(known[w] + self.tails[tail])
+                ids += self.tails[tail]
+            out.append(ids)
         return out
 
-    def encode_texts(self, texts: list[str]):
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        odd = self.ODD.search
-        for some in in_parts(texts, TEXTS_AT_ONCE):
-            cut = [None if odd(t) else t.split(" ") for t in some]
-            known = self.chunks.values({c for parts in cut if parts for c in parts[1:]})
-            for text, parts in zip(some, cut):
-                if parts is None:
-                    yield self.library(text)
-                else:
-                    yield b"".join([self.library(parts[0]), *[known[c] for c in parts[1:]]])
+    def encode_texts(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
+        """Ids of each text, then ``end``, as little-endian unsigned 32-bit integers (binary)."""
+        offsets, numbers, chunks = blank_chunks(texts)
+        first = offsets[:-1]
+        inner = np.ones(len(numbers), dtype=bool)
+        inner[first] = False
+        followed = np.zeros(len(chunks), dtype=bool)  # the chunks that follow a blank somewhere
+        followed[numbers[inner]] = True
+        known = self.chunks.values({c for c, f in zip(chunks, followed.tolist()) if f})
+        values = [known[c] if f else b"" for c, f in zip(chunks, followed.tolist())]
+        heads, own = np.unique(numbers[first], return_inverse=True)
+        n, numbers = len(values), numbers.copy()
+        numbers[first] = n + own
+        values += [self.library(chunks[h]) for h in heads.tolist()] + [end]
+        # One more place per text, for the end.
+        places = np.arange(len(numbers)) + np.repeat(np.arange(len(first)), np.diff(offsets))
+        padded = np.full(len(numbers) + len(first), len(values) - 1)
+        padded[places] = numbers
+        odd = np.array([v is None for v in values] + [False])
+        for k, h in enumerate(heads.tolist()):
+            odd[n + k] = not chunks[h] or chunks[h][-1].isspace()
+        out = join_chunks(pa.array([b"" if v is None else v for v in values], pa.binary()), padded, offsets + np.arange(len(offsets)), b"")
+        whole = np.flatnonzero(np.logical_or.reduceat(odd[numbers], first) & (np.diff(offsets) > 1)) if len(first) else []
+        whole = {*whole, *np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)).tolist()}
+        if whole:
+            raw = out.to_pylist()
+            for k in whole:
+                raw[k] = self.library(texts[int(k)].as_py()) + end
+            out = pa.array(raw, pa.binary())
+        return out
 
     def encode(self, text: str) -> bytes:
-        return next(self.encode_texts([text]))
+        return self.encode_texts(pa.array([text]))[0].as_py()
 
 
 _LOADED: dict[str, ChunkEncoder] = {}
@@ -122,14 +139,16 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50
         encoder, start = _encoder(public_tokenizers.path(vocabulary)), 0
         end = b"" if end_id is None else np.uint32(end_id).tobytes()
         for batch in batches:
-            raw = [ids + end for ids in encoder.encode_texts(texts_of(batch.column("text")))]
-            n = np.array([len(r) // 4 for r in raw], dtype=np.int64)
-            at = start + np.concatenate([[0], np.cumsum(n)])
-            ids = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
-            offsets = pa.array((at - start).astype(np.int32))
+            if not batch.num_rows:
+                continue
+            raw = encoder.encode_texts(batch.column("text"), end)
+            size = np.frombuffer(raw.buffers()[1], dtype="<i4", count=len(raw) + 1, offset=raw.offset * 4)
+            at = start + (size - size[0]).astype(np.int64) // 4
+            ids = pa.array(np.frombuffer(raw.buffers()[2], dtype="<i4", offset=int(size[0]), count=int(size[-1] - size[0]) // 4)
+                           if size[-1] > size[0] else np.zeros(0, "<i4"))
             yield pa.RecordBatch.from_pydict({
                 "shard": batch.column("shard"), "doc_id": batch.column("doc_id"), "local_start": pa.array(at[:-1]),
-                "n_tokens": pa.array(n), "ids": pa.ListArray.from_arrays(offsets, ids)})
+                "n_tokens": pa.array(np.diff(at)), "ids": pa.ListArray.from_arrays(pa.array((at - start).astype(np.int32)), ids)})
             start = int(at[-1])
 
     kind = docs.schema[id_col].dataType.simpleString()
