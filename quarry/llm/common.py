@@ -97,33 +97,38 @@ def in_parts(items: list, size: int):
 
 
 def bloom_words(keys: DataFrame, col: str, log2_bits: int, seeds: int = 4) -> np.ndarray:
-    """Bloom filter of a long column as 2**log2_bits bits in uint64 words. The bits are set and
-    merged on the cluster; the driver gets at most 2**(log2_bits - 6) words, whatever the keys' number."""
-    bit = F.explode(F.array(*[F.shiftrightunsigned(F.col(col) * F.lit(_odd(i)), 64 - log2_bits) for i in range(seeds)]))
-    words = (
-        keys.select(bit.alias("bit"))
-        .groupBy(F.shiftright("bit", 6).alias("w"))
-        .agg(F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("v"))
-        .toArrow()
-    )
+    """Bloom filter of a long column as 2**log2_bits bits in uint64 words. The bits are set and merged on
+    the cluster; the driver gets at most 2**(log2_bits - 6) words, whatever the keys' number."""
+    def bits(batches):
+        for batch in batches:
+            bit = np.concatenate([_bits(batch.column(0).to_numpy(zero_copy_only=False), i, log2_bits) for i in range(seeds)])
+            bit.sort()
+            word, at = np.unique(bit >> np.uint64(6), return_index=True)
+            if len(word):
+                value = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), at)
+                yield pa.RecordBatch.from_pydict({"w": pa.array(word.astype(np.int64)), "v": pa.array(value.view(np.int64))})
+
+    words = keys.select(col).mapInArrow(bits, "w bigint, v bigint").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
     out = np.zeros(1 << (log2_bits - 6), dtype=np.uint64)
     if words.num_rows:
         out[words.column("w").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
     return out
 
 
+def _bits(keys: np.ndarray, seed: int, log2_bits: int) -> np.ndarray:
+    return (keys.astype(np.int64, copy=False).view(np.uint64) * np.uint64(_odd(seed))) >> np.uint64(64 - log2_bits)
+
+
 def in_bloom(words: np.ndarray, keys: np.ndarray, seeds: int = 4) -> np.ndarray:
     """Which int64 keys may be in the filter (no false negatives)."""
     log2_bits = int(words.size).bit_length() - 1 + 6
     found = np.ones(keys.size, dtype=bool)
-    u = keys.astype(np.int64, copy=False).view(np.uint64)
     for i in range(seeds):
-        bit = (u * np.uint64(_odd(i) & (2**64 - 1))) >> np.uint64(64 - log2_bits)
+        bit = _bits(keys, i, log2_bits)
         found &= ((words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
     return found
 
 
 def _odd(i: int) -> int:
-    """The i-th multiplier: odd multiples of the 64-bit golden ratio, as signed 64-bit numbers."""
-    m = (0x9E3779B97F4A7C15 * (2 * i + 1)) & (2**64 - 1)
-    return m - 2**64 if m >= 2**63 else m
+    """The i-th multiplier: odd multiples of the 64-bit golden ratio."""
+    return (0x9E3779B97F4A7C15 * (2 * i + 1)) & (2**64 - 1)

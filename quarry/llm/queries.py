@@ -12,6 +12,7 @@ from quarry.llm.common import ship_package, table
 from quarry.llm.decontaminate import contaminated
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.language_id import in_held_out, train_language_model, with_language
+from quarry.llm.ngram_join import ngram_components
 from quarry.llm.secrets import digest_columns, find_secrets, labelled_tokens, train_markov
 from quarry.llm.token_counts import token_counts
 from quarry.llm.toxicity import score_toxicity, toxicity_samples, train_toxicity
@@ -114,6 +115,11 @@ def op5(spark, sf_dir):
     return out.withColumn("expected_severity", F.round("expected_severity", 6))
 
 
+@query("op6_ngram_join")
+def op6(spark, sf_dir):
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 @query("op7_token_files")
 def op7(spark, sf_dir):
     """Writes the token files to the shared folder, reads them back, and sums up what it read."""
