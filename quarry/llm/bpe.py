@@ -144,6 +144,7 @@ class WordBpe:
         """(ids as little-endian unsigned 32-bit integers, decoded texts) of whole texts."""
         plain = pa.array([self._normalised(t) for t in texts], pa.large_string())
         offsets, numbers, chunks = blank_chunks(plain)
+        chunks = chunks.to_pylist()
         known = self.chunks.values(chunks)
         ids = join_chunks(pa.array([known[c][0] for c in chunks], pa.large_binary()), numbers, offsets, pa.scalar(b"", pa.large_binary()))
         said = join_chunks(pa.array([known[c][1] for c in chunks], pa.large_string()), numbers, offsets, pa.scalar(" ", pa.large_string()))

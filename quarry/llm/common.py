@@ -51,13 +51,13 @@ def texts_of(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
-def blank_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def blank_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Texts cut at every single blank, each distinct chunk once: the texts' offsets into the second, which
     has the chunks' numbers, and the chunks. An empty text is one empty chunk."""
     lists = pc.split_pattern(texts, " ")
     coded = lists.flatten().dictionary_encode()
     offsets = lists.offsets.to_numpy()
-    return offsets - offsets[0], coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    return offsets - offsets[0], coded.indices.to_numpy(), coded.dictionary
 
 
 def join_chunks(values: pa.Array, numbers: np.ndarray, offsets: np.ndarray, between) -> pa.Array:

@@ -106,6 +106,7 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
 def count_tokens(texts: pa.Array, frequent: dict[str, int], rest: ChunkMemo) -> np.ndarray:
     """Token counts of whole texts: the broadcast table first, the worker's memo for what it lacks."""
     offsets, numbers, chunks = blank_chunks(texts)
+    chunks = chunks.to_pylist()
     known = rest.values([c for c in chunks if c not in frequent])
     n = np.array([frequent[c] if c in frequent else known[c] for c in chunks], dtype=np.int64)
     out = np.add.reduceat(n[numbers], offsets[:-1])

@@ -20,7 +20,8 @@ from tokenizers import Tokenizer
 
 from quarry.llm.common import ChunkMemo, blank_chunks, in_parts, join_chunks
 
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 300_000
+LETTERS_AND_TAIL = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,]+)$"
 WORDS_AT_ONCE = 500
 
 
@@ -40,44 +41,32 @@ class ChunkEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(1 + max(vocabulary.values()), dtype=bool)  # ids whose string begins with a blank
         self.starts[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
-        self.chunks = ChunkMemo(self._chunks, CACHE_ENTRIES)
         self.words = ChunkMemo(self._words, CACHE_ENTRIES)
         self.tails = {}
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Of chunks that follow a blank."""
-        out = []
-        for some in in_parts(words, WORDS_AT_ONCE):
+    def _words(self, words: list[str]) -> list[bytes | None]:
+        """Of chunks that follow a blank; None for those that are empty or have white space at an end."""
+        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        known = {}
+        for some in in_parts(plain, WORDS_AT_ONCE):
             ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
             raw = ids.tobytes()
             at = [*(np.flatnonzero(self.starts[ids]) * 4).tolist(), len(raw)]
             if len(at) != len(some) + 1:  # a string of the vocabulary that the cut does not know
-                out += [self.library(" " + w) for w in some]
+                known.update((w, self.library(" " + w)) for w in some)
             else:
-                out += [raw[a:b] for a, b in zip(at, at[1:])]
-        return out
+                known.update((w, raw[a:b]) for w, a, b in zip(some, at, at[1:]))
+        return list(map(known.get, words))
 
-    def _chunks(self, chunks: list[str]) -> list[bytes | None]:
-        """Of chunks that follow a blank; None for those that are empty or have white space at an end.
-        Letters before full stops or commas are a pre-token of their own and are looked up as such."""
-        words = [c.rstrip(".,") for c in chunks]
-        words = [w if w.isalpha() else c for w, c in zip(words, chunks)]
-        known = self.words.values({w for w in words if w and not w[0].isspace() and not w[-1].isspace()})
-        out = []
-        for w, c in zip(words, chunks):
-            ids = known.get(w)
-            if ids is not None and len(w) < len(c):
-                tail = c[len(w):]
-                if tail not in self.tails:
-                    if len(self.tails) > 10_000:
-                        self.tails.clear()
-                    self.tails[tail] = self.library(tail)
-                ids += self.tails[tail]
-            out.append(ids)
-        return out
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[tail] = self.library(tail) if tail else b""
+        return self.tails[tail]
 
     def encode_texts(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
         """Ids of each text, then ``end``, as little-endian unsigned 32-bit integers (binary)."""
@@ -87,20 +76,27 @@ class ChunkEncoder:
         inner[first] = False
         followed = np.zeros(len(chunks), dtype=bool)  # the chunks that follow a blank somewhere
         followed[numbers[inner]] = True
-        known = self.chunks.values({c for c, f in zip(chunks, followed.tolist()) if f})
-        values = [known[c] if f else b"" for c, f in zip(chunks, followed.tolist())]
+        place = np.cumsum(followed) - 1
+        some = chunks.filter(pa.array(followed))
+        # Letters before full stops or commas are a pre-token of their own and are looked up as such.
+        cut = pc.extract_regex(some, LETTERS_AND_TAIL)
+        words = pc.coalesce(pc.struct_field(cut, "word"), some).dictionary_encode()
+        tails = pc.fill_null(pc.struct_field(cut, "tail"), "").dictionary_encode()
+        listed = words.dictionary.to_pylist()
+        known = self.words.values(listed)
+        ids = pa.array([known[w] for w in listed], pa.binary()).take(words.indices)
+        ids = pc.binary_join_element_wise(ids, pa.array([self._tail(t) for t in tails.dictionary.to_pylist()], pa.binary()).take(tails.indices), b"")
         heads, own = np.unique(numbers[first], return_inverse=True)
-        n, numbers = len(values), numbers.copy()
-        numbers[first] = n + own
-        values += [self.library(chunks[h]) for h in heads.tolist()] + [end]
+        heads = chunks.take(pa.array(heads)).to_pylist()
+        values = pa.concat_arrays([pc.fill_null(ids, b""), pa.array([self.library(h) for h in heads] + [end], pa.binary())])
+        odd = np.concatenate([ids.is_null().to_numpy(zero_copy_only=False), [not h or h[-1].isspace() for h in heads], [False]]).astype(bool)
+        numbers = place[numbers]
+        numbers[first] = len(ids) + own
         # One more place per text, for the end.
         places = np.arange(len(numbers)) + np.repeat(np.arange(len(first)), np.diff(offsets))
         padded = np.full(len(numbers) + len(first), len(values) - 1)
         padded[places] = numbers
-        odd = np.array([v is None for v in values] + [False])
-        for k, h in enumerate(heads.tolist()):
-            odd[n + k] = not chunks[h] or chunks[h][-1].isspace()
-        out = join_chunks(pa.array([b"" if v is None else v for v in values], pa.binary()), padded, offsets + np.arange(len(offsets)), b"")
+        out = join_chunks(values, padded, offsets + np.arange(len(offsets)), b"")
         whole = np.flatnonzero(np.logical_or.reduceat(odd[numbers], first) & (np.diff(offsets) > 1)) if len(first) else []
         whole = {*whole, *np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)).tolist()}
         if whole:
