@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quarry.llm.bpe import bpe_tokens
 from quarry.llm.common import ship_package, table
 from quarry.llm.decontaminate import contaminated
@@ -146,3 +147,8 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """The documents that hold a benchmark passage, with the passage and how much of it."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
