@@ -130,8 +130,8 @@ def _softmax(x):
 
 def train_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                          per_language: int = 1500, held_out_third: bool = True, epochs: int = 6) -> ByteCnn:
-    """Train on about ``per_language`` windows of each language, one from each sampled document, taken by
-    hashes of the row. With ``held_out_third`` documents whose crc32(id as text) mod 3 is 1 are left out.
+    """Train on about ``per_language`` windows of each language, taken by hashes of the row: one from each
+    sampled document, or up to 8 where there are few documents. With ``held_out_third`` documents whose crc32(id as text) mod 3 is 1 are left out.
     Rows without text or language are no samples. Every other window is cut to a shorter length, so
     that short texts are known too."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) > 0))
@@ -142,11 +142,13 @@ def train_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str
     if not classes:
         return ByteCnn([])
     share = F.create_map(*[x for c in classes for x in (F.lit(c), F.lit(min(1.0, per_language / counts[c])))])
+    times = F.create_map(*[x for c in classes for x in (F.lit(c), F.lit(max(1, min(8, per_language // counts[c]))))])
     text, n = F.col(text_col), F.length(text_col)
-    start = F.pmod(F.xxhash64(F.lit("start"), id_col, text_col), F.greatest(F.lit(1), n - WINDOW + 1)).cast("int") + 1
+    start = F.pmod(F.xxhash64(F.col("nth"), F.col(id_col), text), F.greatest(F.lit(1), n - WINDOW + 1)).cast("int") + 1
     rows = (
         labelled.where(row_fraction(F.lit("sample"), F.col(id_col), F.col(text_col)) < F.element_at(share, F.col(lang_col)))
-        .select(F.xxhash64(id_col, text_col).alias("key"), F.col(lang_col).alias("lang"), F.substring(text, start, F.lit(WINDOW)).alias("text"))
+        .select(id_col, text_col, lang_col, F.explode(F.sequence(F.lit(1), F.element_at(times, F.col(lang_col)))).alias("nth"))
+        .select(F.xxhash64(id_col, text_col, "nth").alias("key"), F.col(lang_col).alias("lang"), F.substring(text, start, F.lit(WINDOW)).alias("text"))
         .toArrow().sort_by([("key", "ascending"), ("text", "ascending")])
     )
     rng = np.random.default_rng(11)
@@ -157,7 +159,8 @@ def train_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str
         lengths[k] = len(raw)
     index = {c: i for i, c in enumerate(classes)}
     model = ByteCnn(classes)
-    model.fit(FOLD[x], lengths, np.array([index[v] for v in rows.column("lang").to_pylist()]), epochs=epochs)
+    labels = np.array([index[v] for v in rows.column("lang").to_pylist()])
+    model.fit(FOLD[x], lengths, labels, epochs=max(epochs, -(-25_000 // max(1, len(labels)))))  # few samples are seen more often
     return model
 
 
