@@ -25,6 +25,13 @@ def hash_unit(seed, key) -> Column:
     return F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint")
 
 
+def hash_wide(seed, key) -> Column:
+    """Unsigned 60-bit integer from the first 15 hex chars of md5("seed:key"): for draws over more rows than
+    32 bits can number, and without their modulo bias."""
+    token = F.concat_ws(":", F.lit(str(seed)), _as_col(key).cast("string"))
+    return F.conv(F.substring(F.md5(token), 1, 15), 16, 10).cast("bigint")
+
+
 def hash_uniform(seed, key) -> Column:
     """Uniform double in [0, 1)."""
     return hash_unit(seed, key) / F.lit(HASH_RANGE)
@@ -38,3 +45,8 @@ def hash_bucket(seed, key, n: int) -> Column:
 def sql_hash_unit(seed, key_sql: str) -> str:
     """DuckDB twin of :func:`hash_unit` (used by the oracle SQL)."""
     return f"('0x' || substr(md5(concat_ws(':', '{seed}', CAST({key_sql} AS VARCHAR))), 1, 8))::BIGINT"
+
+
+def sql_hash_wide(seed, key_sql: str) -> str:
+    """DuckDB twin of :func:`hash_wide`."""
+    return f"('0x' || substr(md5(concat_ws(':', '{seed}', CAST({key_sql} AS VARCHAR))), 1, 15))::BIGINT"

@@ -39,7 +39,14 @@ def _features_df(spark, features: Sequence[str]) -> DataFrame:
 
 
 def _numeric_long(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return long_form(df, [], features, "double")
+    """NaN is a missing value; infinities stay and are left out where edges and counts are made."""
+    return long_form(df, [], features, "double").withColumn("value", F.when(~F.isnan("value"), F.col("value")))
+
+
+def _finite(c) -> F.Column:
+    """The number, or null if it is infinite or NaN."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
 
 
 def _categorical_long(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -53,13 +60,13 @@ def profile_numeric(df: DataFrame, features: Sequence[str], quantiles: Sequence[
     moments = lf.groupBy("feature").agg(
         F.count("value").alias("count"),
         F.count_if(F.col("value").isNull()).alias("missing_count"),
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        _finite(F.avg("value")).alias("mean"),
+        _finite(F.stddev_pop("value")).alias("std"),
+        _finite(F.min("value")).alias("min"),
+        _finite(F.max("value")).alias("max"),
     )
     q = exact_quantiles(lf, ["feature"], "value", quantiles)
-    wide = q.groupBy("feature").agg(*[F.max(F.when(F.col("qi") == i, F.col("value"))).alias(quantile_name(v))
+    wide = q.groupBy("feature").agg(*[_finite(F.max(F.when(F.col("qi") == i, F.col("value")))).alias(quantile_name(v))
                                       for i, v in enumerate(quantiles)])
     return moments.join(wide, "feature", "left")
 
@@ -79,7 +86,7 @@ def hist_edges_approx(df: DataFrame, features: Sequence[str], bins: int = DEFAUL
 
 def _edges(df: DataFrame, features: Sequence[str], bins: int, quantiles_fn) -> DataFrame:
     qs = [i / bins for i in range(bins + 1)]
-    q = quantiles_fn(_numeric_long(df, features), ["feature"], "value", qs)
+    q = quantiles_fn(_numeric_long(df, features).withColumn("value", _finite("value")), ["feature"], "value", qs)
     raw = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("value"))).alias("_e"))
     c = F.col("_e")[0]
     eps = F.when(F.abs(c) * F.lit(1e-6) == 0, F.lit(1e-6)).otherwise(F.abs(c) * F.lit(1e-6))
@@ -109,7 +116,7 @@ def bin_index(value, edges, max_edges: int = DEFAULT_BINS + 1) -> F.Column:
 def hist_counts(df: DataFrame, features: Sequence[str], edges: DataFrame) -> DataFrame:
     """Counts per (feature, bin) against given edges, zero-filled; values outside the
     edges are dropped (reference behaviour)."""
-    lf = _numeric_long(df, features).where(F.col("value").isNotNull())
+    lf = _numeric_long(df, features).where(_finite("value").isNotNull())
     # Edge table: one row per feature, <= bins+1 doubles each -> bounded broadcast.
     max_edges = max([len(r.edges) for r in edges.select("edges").collect()] or [2])  # one row per feature
     binned = lf.join(F.broadcast(edges), "feature").select("feature", bin_index("value", "edges", max_edges).alias("bin"))
@@ -140,7 +147,7 @@ def profile_categorical(df: DataFrame, features: Sequence[str], k: int = DEFAULT
 
 
 def _missing_stats(df: DataFrame, features: Sequence[str], value_type: str, prefix: str) -> DataFrame:
-    lf = long_form(df, [], features, value_type)
+    lf = _numeric_long(df, features) if value_type == "double" else long_form(df, [], features, value_type)
     return lf.groupBy("feature").agg(
         F.count("value").alias(f"{prefix}_count"), F.count_if(F.col("value").isNull()).alias(f"{prefix}_missing"))
 

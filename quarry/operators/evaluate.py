@@ -16,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.hashing import hash_unit
+from quarry.functions.hashing import hash_unit, hash_wide
 from quarry.functions.ranking import (bounded_broadcast, exact_quantiles, first_index_above, global_cumsum,
                                       global_rank, spread)
 
@@ -92,8 +92,8 @@ def roc_auc(df: DataFrame, y: str = "y_true", score: str = "p", pos_label=1) ->
     per = df.groupBy(_c(score).alias("_s")).agg(
         F.sum((_c(y) == pos_label).cast("bigint")).alias("pos"), F.sum((_c(y) != pos_label).cast("bigint")).alias("neg"))
     cum = global_cumsum(per, ["_s"], ["neg"], suffix="_below", inclusive=False)
-    return cum.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + F.lit(0.5) * F.col("neg"))),
-                                (F.sum("pos") * F.sum("neg")).cast("double")).alias("roc_auc"))
+    return cum.agg(F.try_divide(F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.lit(0.5) * F.col("neg"))),
+                                F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("roc_auc"))
 
 
 def _desc_curve(df: DataFrame, y: str, score: str, pos_label) -> DataFrame:
@@ -305,7 +305,9 @@ def bootstrap_ci(df: DataFrame, metric: str = "rmse", row_id: str = "row_id", y:
         ws = [first_index_above(F.conv(F.substr(F.col("_m"), F.lit(1 + 8 * j), F.lit(8)), 16, 10).cast("bigint")
                                 / F.lit(4294967296.0), cdf).cast("double") for j in range(4)]
         e = F.col("_y") - F.col("_p")
-        parts = {"w": F.lit(1.0), "we2": e * e, "wae": F.abs(e), "wy": F.col("_y"), "wy2": F.col("_y") * F.col("_y"),
+        # r2 needs the weighted spread of y: sums are taken around the overall mean, which keeps digits.
+        b = b.withColumn("_c", F.col("_y") - df.agg(F.avg(F.col(y).cast("double"))).scalar())
+        parts = {"w": F.lit(1.0), "we2": e * e, "wae": F.abs(e), "wy": F.col("_c"), "wy2": F.col("_c") * F.col("_c"),
                  "weq": (F.col("_y") == F.col("_p")).cast("double")}
         aggs = [F.sum(ws[j] * v).alias(f"{k}_{j}") for j in range(4) for k, v in parts.items()]
         per_blk = b.groupBy("_blk").agg(*aggs)  # map-side partial sums: one row per block and task
@@ -329,7 +331,7 @@ def bootstrap_ci(df: DataFrame, metric: str = "rmse", row_id: str = "row_id", y:
             raise ValueError("bootstrap CI requires at least 2 rows")
         draws = spark.range(0, n_boot * n).select(
             F.expr(f"id div {int(n)}").alias("rep"),
-            F.pmod(hash_unit(seed, F.col("id")), F.lit(n)).alias("_idx"))
+            F.pmod(hash_wide(seed, F.col("id")), F.lit(n)).alias("_idx"))
         joined = draws.join(ranked, "_idx")
         reps = joined.groupBy("rep").agg(_metric_expr(metric, F.col(y), F.col(p)).alias("score"))
     else:

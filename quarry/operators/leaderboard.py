@@ -91,6 +91,7 @@ def recommend_tiebreak(ranked: DataFrame, score_col: str = "composite", family_c
     """Runs within rel/abs tolerance of the board's top score prefer a single model."""
     top = F.max(score_col).over(Window.partitionBy("board"))
     tie = F.abs(F.col(score_col) - top) <= F.greatest(F.lit(abs_tol), F.lit(rel) * F.abs(top))
+    tie = F.coalesce(tie, F.col("rank") == 1)  # a board without scores keeps its first run
     w = Window.partitionBy("board").orderBy(tie.desc(), (F.col(family_col) == "single").desc(), F.col("rank"))
     return ranked.withColumn("tie", tie).withColumn("pick", F.row_number().over(w) == 1)
 

@@ -78,11 +78,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def oversample(df: DataFrame, label: str, row_id: str, seed: int = 0) -> DataFrame:
     """Replicate each class up to the majority size (whole copies + md5-ranked remainder)."""
     from quarry.functions.hashing import hash_unit
-    from quarry.functions.ranking import rank_within_groups
+    from quarry.functions.ranking import bounded_broadcast, rank_within_groups
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     mx = counts.agg(F.max("_n")).scalar()
     ranked = rank_within_groups(df.withColumn("_h", hash_unit(seed, row_id)), [label], ["_h", row_id], "_r")
-    j = ranked.join(counts, label)
+    j = ranked.join(bounded_broadcast(counts), label)
     copies = F.floor(mx / F.col("_n")) + F.when(F.col("_r") < F.pmod(mx, F.col("_n")), 1).otherwise(0)
     return j.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop("_h", "_r", "_n")
 
@@ -97,12 +97,21 @@ def undersample(df: DataFrame, label: str, row_id: str, seed: int = 0) -> DataFr
 
 
 # ------------------------------------------------------------------ Gram-matrix linear models
-def gram_by(df: DataFrame, features: Sequence[str], label: str, key: str | None = None):
+def gram_centre(df: DataFrame, features: Sequence[str], label: str) -> list[float]:
+    """Means of the features and the label (one row). Gram sums are taken around them: raw
+    sums of products lose all digits of a feature whose mean is large against its spread."""
+    return [v or 0.0 for v in df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate([*features, label])]).first()]
+
+
+def gram_by(df: DataFrame, features: Sequence[str], label: str, key: str | None = None, centre: Sequence[float] | None = None):
     """One aggregate pass: n, sum x, sum y, sum y^2, X'X and X'y (optionally per key,
-    e.g. per fold). Returns {key: dict of numpy arrays}; the result is d x d per key."""
+    e.g. per fold) of the columns less ``centre`` (default 0; see :func:`gram_centre`).
+    Returns {key: dict of numpy arrays}; the result is d x d per key. Grams that are
+    used together must share a centre."""
     import numpy as np
-    xs = [F.col(f).cast("double") for f in features]
-    y = F.col(label).cast("double")
+    centre = list(centre) if centre is not None else [0.0] * (len(features) + 1)
+    xs = [F.col(f).cast("double") - F.lit(float(c)) for f, c in zip(features, centre)]
+    y = F.col(label).cast("double") - F.lit(float(centre[-1]))
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
     aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
     aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]
@@ -126,7 +135,8 @@ def _sub(a, b):
 
 
 def solve_ridge(g, alpha: float):
-    """Intercept-unpenalised ridge from Gram sums (alpha = 0 gives OLS)."""
+    """Intercept-unpenalised ridge from Gram sums (alpha = 0 gives OLS); the intercept
+    belongs to the columns less the Gram's centre."""
     import numpy as np
     n = g["n"]
     mu, my = g["sx"] / n, g["sy"] / n
@@ -146,7 +156,7 @@ def cross_validate_linear(df: DataFrame, folds: DataFrame, row_id: str, features
     RMSE / R2 from the fold's own sums, all from one aggregate pass.
     Output: (fold, n, rmse, r2) plus mean / population-std rows."""
     import numpy as np
-    grams = gram_by(df.join(folds, row_id), features, label, "fold")
+    grams = gram_by(df.join(folds, row_id), features, label, "fold", gram_centre(df, features, label))
     total = None
     for g in grams.values():
         total = g if total is None else {k: total[k] + g[k] for k in g}
@@ -167,7 +177,8 @@ def grid_search_ridge(train: DataFrame, val: DataFrame, features: Sequence[str],
     """G16 for ridge: every alpha solved from one train Gram and scored from one
     validation Gram -> (trial_id, alpha, rmse, r2, best)."""
     import numpy as np
-    gt, gv = gram_by(train, features, label)[None], gram_by(val, features, label)[None]
+    centre = gram_centre(train, features, label)
+    gt, gv = gram_by(train, features, label, centre=centre)[None], gram_by(val, features, label, centre=centre)[None]
     sst = gv["syy"] - gv["sy"] ** 2 / gv["n"]
     rows = []
     for i, a in enumerate(alphas):
@@ -182,7 +193,9 @@ def grid_search_ridge(train: DataFrame, val: DataFrame, features: Sequence[str],
 def fit_ridge_classifier(train: DataFrame, features: Sequence[str], label: str, alpha: float = 1.0):
     """G6 (binary): ridge on a +-1 target; the class is the sign. Returns (w, b)."""
     t = train.withColumn("_pm", F.when(F.col(label) == 1, 1.0).otherwise(-1.0))
-    return solve_ridge(gram_by(t, features, "_pm")[None], alpha)
+    centre = gram_centre(t, features, "_pm")
+    w, b = solve_ridge(gram_by(t, features, "_pm", centre=centre)[None], alpha)
+    return w, b + centre[-1] - sum(x * c for x, c in zip(w, centre))
 
 
 # ------------------------------------------------------------------ H15 / H16

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from quarry.functions.hashing import hash_bucket
 from quarry.functions.ranking import bounded_broadcast, exact_quantiles, long_form, rank_within_groups, topk_per_group
 from quarry.functions.scalars import MISSING_TOKEN
+from quarry.operators.splits import kfold_assign
+
+ENCODINGS = ("onehot", "hashing", "auto", "frequency", "ordinal", "target_mean", "target_mean_oof")
 
 # Smoothing strength of target encoding, auto one-hot limit.
 TARGET_SMOOTHING = 10.0
@@ -38,7 +41,8 @@ def fit_impute(train: DataFrame, columns: Sequence[str], strategy: str = "mean",
     if strategy == "median":
         lf = long_form(train, [], columns, "double")
         q = exact_quantiles(lf, ["feature"], "value", [0.5])
-        return {c: q.where(F.col("feature") == c).select("value").scalar() for c in columns}
+        st = q.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("value"))).alias(f"c{i}") for i, c in enumerate(columns)])).scalar()
+        return {c: st[f"c{i}"] for i, c in enumerate(columns)}  # one subquery for all columns
     if strategy == "most_frequent":
         out = {}
         for c in columns:
@@ -79,11 +83,12 @@ def apply_scale(df: DataFrame, params: dict[str, tuple[Column, Column]], prefix:
 
 
 # ------------------------------------------------------------------ F7
-def fit_onehot(train: DataFrame, columns: Sequence[str], max_categories: int = 1000) -> dict[str, list]:
-    """Sorted train categories per column (category-sized; refuses above max_categories)."""
+def fit_onehot(train: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> dict[str, list]:
+    """Sorted train categories per column (they define output columns, so they come to the driver).
+    ``max_categories`` is an opt-in guard: above it the call raises."""
     lf = long_form(train, [], columns, "string").where(F.col("value").isNotNull()).distinct()
     sizes = {r.feature: r.n for r in lf.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    too_big = [c for c, n in sizes.items() if n > max_categories]
+    too_big = [c for c, n in sizes.items() if max_categories is not None and n > max_categories]
     if too_big:
         raise ValueError(f"one-hot refused for high-cardinality columns {too_big}; use hashing")
     cats = lf.groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("v")).collect()
@@ -130,7 +135,7 @@ def apply_lookup(df: DataFrame, lookup: DataFrame, columns: Sequence[str], value
     for c in columns:
         lk = bounded_broadcast(lookup.where(F.col("feature") == c).select(F.col("value").alias("_lv"), F.col(value_col).alias("_code")))
         cond = out[c].cast("string").eqNullSafe(lk["_lv"]) if null_safe else out[c].cast("string") == lk["_lv"]
-        out = out.join(lk, cond, "left").withColumn(f"{prefix}{c}", F.coalesce(F.col("_code").cast("double"), F.lit(default).cast("double"))).drop("_lv", "_code")
+        out = out.join(lk, cond, "left").withColumn(f"{prefix}{c}", F.coalesce(F.col("_code").cast("double"), (default if isinstance(default, Column) else F.lit(default)).cast("double"))).drop("_lv", "_code")
     return out
 
 
@@ -194,8 +199,8 @@ def label_encode(df: DataFrame, label: str, mode: str = "auto") -> tuple[DataFra
 
 # ------------------------------------------------------------------ F14 / F17
 def auto_encodings(train: DataFrame, columns: Sequence[str], max_onehot: int = AUTO_ONEHOT_MAX) -> dict[str, str]:
-    """one-hot when the train column has at most max_onehot distinct values, else hashing."""
-    lf = long_form(train, [], columns, "string").distinct()
+    """one-hot when the train column has at most max_onehot distinct non-null values, else hashing."""
+    lf = long_form(train, [], columns, "string").where(F.col("value").isNotNull()).distinct()
     n = {r.feature: r.n for r in lf.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
     return {c: ("onehot" if n.get(c, 0) <= max_onehot else "hashing") for c in columns}
 
@@ -208,7 +213,7 @@ def encoding_report(train: DataFrame, encodings: dict[str, str], n_features: int
     enc = train.sparkSession.createDataFrame(list(encodings.items()), "feature string, encoding string")
     rep = enc.join(u, "feature", "left").fillna(0, ["train_uniques"])
     dim = (F.when(F.col("encoding") == "hashing", F.lit(n_features))
-           .when(F.col("encoding").isin("frequency", "ordinal", "target"), F.lit(1)).otherwise(F.col("train_uniques")))
+           .when(F.col("encoding").isin("frequency", "ordinal", "target", "target_mean", "target_mean_oof"), F.lit(1)).otherwise(F.col("train_uniques")))
     rep = rep.select(F.col("feature").alias("column"), "encoding", "train_uniques", dim.cast("bigint").alias("encoded_dim"))
     return rep.withColumn("total_dim", F.sum("encoded_dim").over(Window.partitionBy(F.lit(1))))  # one row per column
 
@@ -216,17 +221,31 @@ def encoding_report(train: DataFrame, encodings: dict[str, str], n_features: int
 # ------------------------------------------------------------------ F16
 def preprocess_fit_transform(df: DataFrame, split: DataFrame, row_id: str, numeric: Sequence[str],
                              categorical: Sequence[str], target: str, impute: str = "mean", scale: str = "standard",
-                             encoding: str = "onehot", n_features: int = 64) -> DataFrame:
+                             encoding: str = "onehot", n_features: int = 64, categorical_impute: str = "most_frequent",
+                             folds: int = 5, seed: int = 42) -> DataFrame:
     """Numeric block (impute then scale, ``num__{c}``) then categorical block
-    (``cat__{c}_{v}``, ``cat__{c}__hash_{i}`` or ``cat__{c}``), fitted on train rows."""
+    (``cat__{c}_{v}``, ``cat__{c}__hash_{i}`` or ``cat__{c}``), fitted on train rows.
+
+    ``encoding``: onehot, hashing, auto (one of the two per column), frequency, ordinal
+    (unseen values -1), target_mean, or target_mean_oof (train rows out of fold over
+    ``folds`` md5 folds). ``categorical_impute``: most_frequent, constant (the missing
+    token) or none. Other names raise."""
+    if encoding not in ENCODINGS:
+        raise ValueError(f"unknown encoding '{encoding}', known: {', '.join(ENCODINGS)}")
+    if categorical_impute not in ("most_frequent", "constant", "none"):
+        raise ValueError(f"unknown categorical imputation '{categorical_impute}'")
     train = df.join(split.where(F.col("split") == "train").select(row_id), row_id, "left_semi")
     fills = fit_impute(train, numeric, impute)
     imputed_train = apply_impute(train, fills)
     sc = fit_scale(imputed_train, numeric, scale)
     out = apply_scale(apply_impute(df, fills), sc, prefix="num__")
-    cat_fill = {c: F.lit(MISSING_TOKEN) for c in categorical}
-    out = out.withColumns({c: F.coalesce(_q(c).cast("string"), v) for c, v in cat_fill.items()})
-    train_c = train.withColumns({c: F.coalesce(_q(c).cast("string"), v) for c, v in cat_fill.items()})
+    known = fit_impute(train, categorical, "most_frequent") if categorical_impute == "most_frequent" else {}
+    # A column without any train value has no most frequent one: the missing token is its category.
+    cat_fill = {} if categorical_impute == "none" else {
+        c: F.coalesce(known[c].cast("string"), F.lit(MISSING_TOKEN)) if c in known else F.lit(MISSING_TOKEN) for c in categorical}
+    as_text = {c: F.coalesce(_q(c).cast("string"), cat_fill[c]) if c in cat_fill else _q(c).cast("string") for c in categorical}
+    out = out.withColumns(as_text)
+    train_c = train.withColumns(as_text)
     encs = auto_encodings(train_c, categorical) if encoding == "auto" else {c: encoding for c in categorical}
     oh = [c for c, e in encs.items() if e == "onehot"]
     hs = [c for c, e in encs.items() if e == "hashing"]
@@ -237,5 +256,16 @@ def preprocess_fit_transform(df: DataFrame, split: DataFrame, row_id: str, numer
     fq = [c for c, e in encs.items() if e == "frequency"]
     if fq:
         out = apply_lookup(out, fit_frequency(train_c, fq), fq, "freq", 0.0)
+    od = [c for c, e in encs.items() if e == "ordinal"]
+    if od:
+        out = apply_lookup(out, fit_ordinal(train_c, od), od, "code", -1.0)
+    tm = [c for c, e in encs.items() if e == "target_mean"]
+    if tm:
+        lookup, overall = fit_target_mean(train_c, tm, target)
+        out = apply_lookup(out, lookup, tm, "enc", overall)
+    oof = [c for c, e in encs.items() if e == "target_mean_oof"]
+    if oof:
+        fold = kfold_assign(df, row_id, folds, seed).withColumnRenamed("fold", "_fold")
+        out = target_mean_oof(out.join(fold, row_id), split, row_id, oof, target, "_fold")
     keep = [row_id, target] + [c for c in out.columns if c.startswith("num__") or c.startswith("cat__")]
     return out.select(*[_q(c) for c in keep])

@@ -130,10 +130,10 @@ def dq_name_suspects(df: DataFrame, target: str | None = None, leak_patterns: Se
                      id_patterns: Sequence[str] | None = None, ids: Sequence[str] = ()) -> DataFrame:
     """Column names containing a leak or id pattern (lower-cased substring):
     (column, kind, patterns, declared_id). Schema-level: one row per column name."""
-    lp = list(leak_patterns or LEAK_NAME_PATTERNS)
+    lp = [*LEAK_NAME_PATTERNS, *[p for p in leak_patterns or () if p not in LEAK_NAME_PATTERNS]]  # user patterns extend the defaults
     if target and target.lower() not in lp:
         lp.append(target.lower())
-    ip = list(id_patterns or ID_NAME_PATTERNS)
+    ip = [*ID_NAME_PATTERNS, *[p for p in id_patterns or () if p not in ID_NAME_PATTERNS]]
     rows = []
     for c in df.columns:
         if target and c == target:
@@ -183,13 +183,13 @@ def dq_leak_match(df: DataFrame, target: str, ids: Sequence[str] = (), near: flo
 
 # ------------------------------------------------------------------ D11
 def dq_leak_correlation(df: DataFrame, target: str, ids: Sequence[str] = (), threshold: float = 0.98,
-                        top: int = MAX_CORR_TOP) -> DataFrame:
+                        top: int | None = MAX_CORR_TOP) -> DataFrame:
     """Pearson correlation of each numeric feature with the target on pairwise-complete
-    rows (n >= 2); top n by |corr|; flagged when |corr| >= threshold."""
+    rows (n >= 2); top n by |corr| (all if ``top`` is None); flagged when |corr| >= threshold."""
     base = canonicalize_missing(df)
     num, _ = feature_types(base.schema, [c for c in base.columns if c != target and c not in ids])
     if not num:
-        return base.sparkSession.createDataFrame([], "column string, corr double, flagged boolean, rank bigint")
+        return base.sparkSession.createDataFrame([], "column string, corr double, flagged boolean")
     t = F.col(f"`{target}`").cast("double")
     aggs = []
     for i, c in enumerate(num):
@@ -202,7 +202,8 @@ def dq_leak_correlation(df: DataFrame, target: str, ids: Sequence[str] = (), thr
     rows = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("corr"),
                                                    F.col(f"n{i}").alias("n")) for i, c in enumerate(num)])).alias("s")).select("s.*")
     rows = rows.where((F.col("n") >= 2) & F.col("corr").isNotNull() & ~F.isnan("corr"))
-    ranked = rows.orderBy(F.abs(F.col("corr")).desc(), F.col("column").asc()).limit(top)
+    ranked = rows.orderBy(F.abs(F.col("corr")).desc(), F.col("column").asc())
+    ranked = ranked if top is None else ranked.limit(top)
     return ranked.select("column", "corr", (F.abs(F.col("corr")) >= threshold).alias("flagged"))
 
 
@@ -282,7 +283,7 @@ def leak_suspects(df: DataFrame, target: str, task: str = "regression", ids: Seq
     m = dq_leak_match(df, target, ids, th["leak_near_match_warn"]).select(
         "column", "reason", "severity", F.when(F.col("exact"), F.lit(1.0)).otherwise(F.col("match_rate")).alias("score"))
     if task == "regression":
-        x = dq_leak_correlation(df, target, ids, th["leak_correlation_warn"], top=10 ** 6).where("flagged").select(
+        x = dq_leak_correlation(df, target, ids, th["leak_correlation_warn"], top=None).where("flagged").select(
             "column", F.lit("high_correlation").alias("reason"), F.lit("warning").alias("severity"), F.col("corr").alias("score"))
     else:
         x = dq_leak_mapping(df, target, ids, th["leak_mapping_accuracy_warn"]).where("suspect").select(
@@ -305,7 +306,7 @@ def dq_status(rules: DataFrame) -> DataFrame:
 def dq_gate(df: DataFrame, mode: str = "warn", **kw) -> tuple[str, list[str]]:
     """Run the gate: returns (status, fail reasons); raises only when mode=fail and status=fail."""
     m = {"warn": "warn", "warning": "warn", "fail": "fail", "error": "fail", "strict": "fail", "off": "off",
-         "none": "off", "disabled": "off"}.get(str(mode).lower().strip(), "warn")
+         "none": "off", "disabled": "off", "disable": "off", "no": "off"}.get(str(mode).lower().strip(), "warn")
     if m == "off":
         return "skipped", []
     rules = dq_evaluate(df, **kw)

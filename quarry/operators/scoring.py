@@ -161,6 +161,7 @@ def input_search(trials: DataFrame, trial_id: str, space: dict[str, dict], objec
     drawn = trials.withColumns({name: draw_param(hash_uniform(seed + j, trial_id), spec)
                                 for j, (name, spec) in enumerate(space.items())})
     scored = drawn.withColumn("objective", objective(drawn))
-    ok = scored.where(F.col("objective").isNotNull() & ~F.isnan("objective"))
+    value = F.col("objective").cast("double")
+    ok = scored.where(value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf")))
     order = F.col("objective").desc() if maximize else F.col("objective").asc()
     return ok.orderBy(order, F.col(trial_id)).limit(k).select(trial_id, *space.keys(), "objective")

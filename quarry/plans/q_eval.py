@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions.hashing import sql_hash_unit
+from quarry.functions.hashing import sql_hash_unit, sql_hash_wide
 from quarry.operators import evaluate as H
 from quarry.plans.registry import register, rnd
 from quarry.plans.views import pred_c, pred_m, pred_r, with_views
@@ -199,7 +199,7 @@ def q_residuals(spark, sf_dir):
 r AS (SELECT y_true, y_pred, row_number() OVER (ORDER BY row_id) - 1 AS idx FROM pred_r),
 nn AS (SELECT count(*) AS n FROM pred_r),
 d AS (SELECT range AS id FROM range(0, 200 * (SELECT n FROM nn))),
-dr AS (SELECT id // (SELECT n FROM nn) AS rep, {sql_hash_unit(0, 'id')} % (SELECT n FROM nn) AS idx FROM d),
+dr AS (SELECT id // (SELECT n FROM nn) AS rep, {sql_hash_wide(0, 'id')} % (SELECT n FROM nn) AS idx FROM d),
 reps AS (SELECT rep, sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS score FROM dr JOIN r USING (idx) GROUP BY rep)
 SELECT 'rmse' AS metric, quantile_cont(score, 0.025) AS low,
        (SELECT sqrt(avg((y_true - y_pred) * (y_true - y_pred))) FROM pred_r) AS mid,

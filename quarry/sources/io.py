@@ -37,12 +37,20 @@ def scan_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def scan_directory(spark: SparkSession, path: str) -> DataFrame:
-    """All Parquet files below ``path`` (recursive); CSV when no Parquet exists."""
-    try:
-        return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{parquet,pq}").parquet(path)
-    except Exception:  # noqa: BLE001 - no parquet file found: fall back to CSV
-        return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("header", True).option(
-            "inferSchema", True).csv(path)
+    """All Parquet and CSV files below ``path`` (recursive), united by column name (a column
+    that one format lacks is null there). Unreadable files raise; so does a folder with neither."""
+    def files(glob: str) -> list[str]:
+        return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).format("binaryFile").load(path)
+                .select("path").distinct().toPandas()["path"].tolist())  # names only
+
+    parts = []
+    if parquet := files("*.{parquet,pq}"):
+        parts.append(spark.read.parquet(*parquet))
+    if csv := files("*.csv"):
+        parts.append(spark.read.option("header", True).option("inferSchema", True).csv(csv))
+    if not parts:
+        raise FileNotFoundError(f"no Parquet or CSV file below {path}")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 def scan_json_records(spark: SparkSession, path: str, schema=None, multi_line: bool = False) -> DataFrame:

@@ -41,3 +41,30 @@ def test_grid_search_picks_lowest_rmse(spark):
     res = G.grid_search_ridge(tr, va, ["a", "b"], "y", [0.0, 1.0, 1e6]).collect()
     best = [r for r in res if r.best][0]
     assert best.rmse == min(r.rmse for r in res) and best.alpha != 1e6
+
+
+def test_gram_models_keep_digits_of_large_means(spark):
+    """Feature mean 1e9 with spread 1 and slope 2: raw sums of products lose the slope."""
+    from quarry.operators.models import cross_validate_linear, fit_ridge_classifier, grid_search_ridge
+    from quarry.operators.splits import kfold_assign
+    rng = np.random.default_rng(3)
+    x = 1e9 + rng.normal(size=400)
+    df = spark.createDataFrame([(i, float(v), float(2 * (v - 1e9) + 5)) for i, v in enumerate(x)], "row_id bigint, x double, y double")
+    cv = {r.fold: r for r in cross_validate_linear(df, kfold_assign(df, "row_id", 4), "row_id", ["x"], "y").collect()}
+    assert cv[-1].r2 > 0.999999
+    best = [r for r in grid_search_ridge(df, df, ["x"], "y", [0.0, 100.0]).collect() if r.best]
+    assert best[0].alpha == 0.0 and best[0].r2 > 0.999999
+    w, b = fit_ridge_classifier(df.selectExpr("x", "CAST(x > 1e9 AS INT) AS c"), ["x"], "c", 0.0)
+    assert np.mean(((w[0] * (x - 1e9) + (b + w[0] * 1e9)) > 0) == (x > 1e9)) > 0.95
+
+
+def test_roc_auc_counts_beyond_bigint_products(spark):
+    from pyspark.sql import functions as F
+    got = spark.range(1).select((F.lit(4_000_000_000).cast("double") * F.lit(4_000_000_000).cast("double")).alias("p")).first().p
+    assert got == 1.6e19
+
+
+def test_wide_draws_reach_beyond_32_bits(spark):
+    from quarry.functions.hashing import hash_wide
+    got = [r.h for r in spark.range(200).select(hash_wide(0, "id").alias("h")).collect()]
+    assert max(got) > 2 ** 58 and min(got) >= 0

@@ -74,3 +74,57 @@ def test_gate_fail_mode_raises_on_exact_leak(spark):
         dq_gate(leak(spark, SMALL), "fail", target="target", ids=["record_id"])
     status, reasons = dq_gate(leak(spark, SMALL), "warn", target="target", ids=["record_id"])
     assert status == "fail" and "leak" in reasons
+
+
+def test_preprocess_knows_every_encoding_and_refuses_others(spark):
+    import pytest
+    from quarry.operators.preprocess import ENCODINGS, preprocess_fit_transform
+    rows = [(i, float(i % 7), None if i % 11 == 0 else f"v{i % 4}", float(i % 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id bigint, num double, cat string, target double")
+    split = df.selectExpr("row_id", "CASE WHEN row_id % 5 = 0 THEN 'val' ELSE 'train' END AS split")
+    for e in ENCODINGS:
+        out = preprocess_fit_transform(df, split, "row_id", ["num"], ["cat"], "target", encoding=e)
+        assert any(c.startswith("cat__") for c in out.columns) and out.count() == 60
+        assert out.select([c for c in out.columns if c.startswith("cat__")]).dropna().count() == 60
+    with pytest.raises(ValueError):
+        preprocess_fit_transform(df, split, "row_id", ["num"], ["cat"], "target", encoding="ordnal")
+
+
+def test_drift_treats_nan_as_missing_and_infinity_as_outside(spark):
+    from quarry.operators import drift as D
+    nan, inf = float("nan"), float("inf")
+    rows = [(float(i),) for i in range(80)] + [(nan,)] * 10 + [(None,)] * 5 + [(inf,), (-inf,)]
+    df = spark.createDataFrame(rows, "x double")
+    p = D.profile_numeric(df, ["x"]).first()
+    assert (p["count"], p.missing_count) == (82, 15) and p["mean"] is None and p["max"] is None and p.p50 == 39.5
+    edges = D.hist_edges(df, ["x"]).first().edges
+    assert edges[0] == 0.0 and edges[-1] == 79.0
+    assert sum(r["count"] for r in D.hist_counts(df, ["x"], D.hist_edges(df, ["x"])).collect()) == 80
+
+
+def test_scan_directory_reads_both_formats(spark, tmp_path):
+    import pytest
+    from quarry.sources.io import scan_directory
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string").coalesce(1).write.parquet(f"{tmp_path}/d/p")
+    spark.createDataFrame([(i, "x") for i in range(5)], "k int, v string").coalesce(1).write.option("header", True).csv(f"{tmp_path}/d/c")
+    assert scan_directory(spark, f"{tmp_path}/d").count() == 8
+    with pytest.raises(Exception):
+        scan_directory(spark, f"{tmp_path}/d/nothing")
+
+
+def test_small_mends(spark):
+    from pyspark.sql import functions as F
+    from quarry.operators.leaderboard import recommend_tiebreak
+    from quarry.operators.preprocess import auto_encodings
+    from quarry.operators.quality import dq_gate, dq_leak_correlation, dq_name_suspects
+    from quarry.operators.scoring import input_search
+    board = spark.createDataFrame([("b", "r1", None, "ensemble", 1), ("b", "r2", None, "single", 2)], "board string, run_id string, composite double, family string, rank int")
+    assert [r.run_id for r in recommend_tiebreak(board).where("pick").collect()] == ["r1"]
+    df = spark.createDataFrame([(f"v{i % 50}",) for i in range(100)] + [(None,)], "c string")
+    assert auto_encodings(df, ["c"]) == {"c": "onehot"}
+    assert {r.column for r in dq_name_suspects(spark.createDataFrame([], "label_x int, mine_y int"), leak_patterns=["mine"]).collect()} == {"label_x", "mine_y"}
+    assert dq_gate(df, "disable") == ("skipped", []) and dq_gate(df, "no") == ("skipped", [])
+    assert dq_leak_correlation(spark.createDataFrame([("a", 1.0)], "s string, t double"), "t").columns == ["column", "corr", "flagged"]
+    best = input_search(spark.range(4), "id", {"a": {"type": "float", "low": 0.0, "high": 1.0}},
+                        lambda d: F.when(F.col("id") == 2, F.lit(float("inf"))).otherwise(F.col("id").cast("double")), k=2)
+    assert [r.id for r in best.collect()] == [3, 1]
