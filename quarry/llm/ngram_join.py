@@ -41,21 +41,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Shingle sets of texts as sorted arrays of 64-bit hashes."""
+    """Shingle sets of texts as sorted arrays of 64-bit hashes. Sizes and identities of sets come from all 64
+    bits; signatures and intersections from the upper 48 (two unequal shingles of one pair of texts of a
+    thousand shingles each meet there with a probability under 1e-8)."""
 
     def __init__(self):
-        self.words = ChunkMemo(lambda words: [xxhash.xxh3_64_intdigest(w) for w in words], 250_000)
+        # bytes.lower() is A-Z alone
+        self.words = ChunkMemo(lambda words: [xxhash.xxh3_64_intdigest(w.encode().lower()) for w in words], 150_000)
 
     def sets(self, texts: pa.Array):
         """Of each text: words between ASCII white space, A-Z lower-cased; the distinct runs of N words, or
         the whole sequence if there are fewer."""
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+        plain = pc.replace_substring(texts.cast(pa.large_string()), "\n", " ")
+        if pc.any(pc.match_substring_regex(plain, "[\t\x0b\x0c\r]")).as_py():
+            plain = pc.replace_substring_regex(plain, "[\t\x0b\x0c\r]", " ")
+        lists = pc.split_pattern(plain, " ")
         coded = lists.flatten().dictionary_encode()
         numbers, offsets, words = coded.indices.to_numpy(), lists.offsets.to_numpy(), coded.dictionary.to_pylist()
         offsets = offsets - offsets[0]
         known = self.words.values(words)
         hashes = np.array([known[w] for w in words], dtype=np.uint64)
-        if "" in words:  # before leading and after trailing white space
+        if "" in words:  # between two blanks and at the ends
             full = numbers != words.index("")
             offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
             numbers = numbers[full]
@@ -77,6 +83,30 @@ def set_id(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
+def pack(shingles: np.ndarray) -> bytes:
+    """The sorted hashes' upper 48 bits, byte plane by byte plane, which compresses well."""
+    return shingles.view(np.uint8).reshape(-1, 8)[:, 2:].T.tobytes()
+
+
+def unpack(raw) -> np.ndarray:
+    """Ascending 48-bit hashes; as many as the set has shingles."""
+    planes = np.frombuffer(raw, np.uint8).reshape(6, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :6] = planes.T
+    return out.view(np.uint64).ravel()
+
+
+def text_slices(texts: pa.Array, size: int = 6_000_000):
+    """Slices of about ``size`` bytes, at least one text each: bounds what a task holds at once."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        base = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
+        yield at, texts.slice(at, end - at)
+        at = end
+
+
 def _bands(size: int):
     """(number, lower edge, upper edge) of the bands a set signs in: its own, and the next one if a set
     there can be similar. Sets of fewer than SUBSETS shingles are similar only to themselves."""
@@ -164,81 +194,90 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = 75) -> bool:
 
 
 def _identify(kind: str, docs: DataFrame) -> DataFrame:
-    """Per document: its id, set and size; per task: the shingles that its batches hold several times."""
+    """Per document: its id, set, the set's key and size, and the set itself (once per task); per task: the
+    shingles that several of its documents hold."""
+    names = ["id", "set_id", "key", "n", "shingles", "shingle", "times"]
+
     def run(batches):
-        shingler, often = Shingler(), {}
+        shingler, often, seen = Shingler(), {}, set()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            sets = list(shingler.sets(batch.column(1)))
-            none = pa.nulls(len(sets), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([set_id(s) for s in sets], pa.binary()),
-                                              pa.array([len(s) for s in sets], pa.int64()), none, none], names=["id", "set_id", "n", "shingle", "times"])
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            for v, c in zip(values[counts > 3].tolist(), counts[counts > 3].tolist()):
-                often[v] = often.get(v, 0) + c
-            if len(often) > 16 * FREQUENT_PER_TASK:
-                often = dict(sorted(often.items(), key=lambda x: (-x[1], x[0]))[: 4 * FREQUENT_PER_TASK])
+            for at, texts in text_slices(batch.column(1)):
+                sets = list(shingler.sets(texts))
+                ids = [set_id(s) for s in sets]
+                packed = []
+                for i, s in zip(ids, sets):
+                    packed.append(pack(s) if len(s) >= SUBSETS and i not in seen else None)
+                    seen.add(i)
+                if len(seen) > 200_000:
+                    seen = set()  # a set may then be written again: it is made one later
+                none = pa.nulls(len(sets), pa.int64())
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(at, len(sets)), pa.array(ids, pa.binary()), pa.array(np.frombuffer(b"".join(i[:8] for i in ids), np.int64)),
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array(packed, pa.binary()), none, none], names=names)
+                values, counts = np.unique(np.concatenate(sets), return_counts=True)
+                for v, c in zip((values[counts > 2] >> np.uint64(16)).tolist(), counts[counts > 2].tolist()):
+                    often[v] = often.get(v, 0) + c
+                if len(often) > 16 * FREQUENT_PER_TASK:
+                    often = dict(sorted(often.items(), key=lambda x: (-x[1], x[0]))[: 4 * FREQUENT_PER_TASK])
         best = sorted(often.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT_PER_TASK]
         if best:
             n = len(best)
-            ids = pa.nulls(n, batch.column(0).type)
-            yield pa.RecordBatch.from_arrays([ids, pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
-                                              pa.array(np.array([v for v, _ in best], dtype=np.uint64).view(np.int64)),
-                                              pa.array([c for _, c in best], pa.int64())], names=["id", "set_id", "n", "shingle", "times"])
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(n, batch.column(0).type), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
+                pa.array([v for v, _ in best], pa.int64()), pa.array([c for _, c in best], pa.int64())], names=names)
 
-    return docs.mapInArrow(run, f"id {kind}, set_id binary, n bigint, shingle bigint, times bigint")
+    return docs.mapInArrow(run, f"id {kind}, set_id binary, key bigint, n bigint, shingles binary, shingle bigint, times bigint")
 
 
-def _signature_counts(docs: DataFrame, signer) -> DataFrame:
+def _signature_counts(sets: DataFrame, signer) -> DataFrame:
     def run(batches):
-        shingler, own = Shingler(), signer.value
+        own = signer.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            seen, found = set(), []
-            for s in shingler.sets(batch.column(1)):
-                key = set_id(s)
-                if len(s) >= SUBSETS and key not in seen:
-                    seen.add(key)
-                    found.append(own.signatures(s, own.frequency(s)))
+            found = [own.signatures(s, own.frequency(s)) for s in (unpack(x.as_buffer()) for x in batch.column(0))]
             if found:
                 sig, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"sig": pa.array(sig.view(np.int64)), "n": pa.array(n.astype(np.int32))})
 
-    return docs.mapInArrow(run, "sig bigint, n int").groupBy("sig").agg(F.sum("n").alias("n"))
+    return sets.select("shingles").mapInArrow(run, "sig bigint, n int").groupBy("sig").agg(F.sum("n").alias("n"))
 
 
-def _candidates(docs: DataFrame, signer, shared) -> DataFrame:
-    """Sets that hold a signature which may be another's too, with those signatures, once per batch."""
-    schema = "set_id binary, n bigint, typical double, sigs array<bigint>, parity binary, shingles binary"
+def _candidates(sets: DataFrame, signer, shared) -> DataFrame:
+    """Sets that hold a signature which may be another's too, with those signatures and the parity bitmap."""
+    schema = "set_id binary, key bigint, n bigint, typical double, sigs array<bigint>, parity binary"
 
     def run(batches):
-        shingler, own, words = Shingler(), signer.value, shared.value
+        own, words = signer.value, shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows, seen = [], set()
-            for s in shingler.sets(batch.column(1)):
-                key = set_id(s)
-                if len(s) < SUBSETS or key in seen:
-                    continue
-                seen.add(key)
+            rows = []
+            for i, key, raw in zip(*(batch.column(k) for k in range(3))):
+                s = unpack(raw.as_buffer())
                 frequency = own.frequency(s)
                 sigs = np.unique(own.signatures(s, frequency)).view(np.int64)
                 sigs = sigs[in_bloom(words, sigs)]
                 if len(sigs):
-                    rows.append((key, len(s), float(np.log1p(frequency).mean()), sigs, parity_bits(s), s.tobytes()))
+                    rows.append((i.as_py(), key.as_py(), len(s), float(np.log1p(frequency).mean()), sigs, parity_bits(s)))
             if rows:
                 c = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.binary()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.float64()),
-                                                  pa.array(c[3], pa.list_(pa.int64())), pa.array(c[4], pa.binary()), pa.array(c[5], pa.binary())],
-                                                 names=["set_id", "n", "typical", "sigs", "parity", "shingles"])
+                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds)], names=["set_id", "key", "n", "typical", "sigs", "parity"])
+
+    return sets.select("set_id", "key", "shingles").mapInArrow(run, schema)
+
+
+def _full_sets(sets: DataFrame, keys: DataFrame, owners: DataFrame) -> DataFrame:
+    """(node, shingles) of the sets whose key is among ``keys``; a Bloom filter keeps all others from being
+    shuffled (its false positives are dropped by the join)."""
+    shared = keys.sparkSession.sparkContext.broadcast(bloom_words(keys, "key", BLOOM_BITS - 3))
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bloom(shared.value, batch.column(1).to_numpy())))
 
-    return docs.mapInArrow(run, schema)
+    some = sets.select("set_id", "key", "shingles").mapInArrow(run, "set_id binary, key bigint, shingles binary")
+    return cut_lineage(some.join(owners, "set_id").groupBy("node").agg(F.first("shingles").alias("shingles")))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, candidates: DataFrame, sets: DataFrame, owners: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that are similar: bitmaps first, then the sets themselves."""
     def near(batches):
         for batch in batches:
@@ -249,16 +288,18 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def exact(batches):
         for batch in batches:
             x, y = batch.column(2), batch.column(3)
-            keep = [similar(np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64), percent) for s, t in zip(x, y)]
+            keep = [similar(unpack(s.as_buffer()), unpack(t.as_buffer()), percent) for s, t in zip(x, y)]
             yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def side(name, *cols):
-        return sets.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
+    def side(name, df, *cols):
+        return df.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
 
-    close = pairs.select("a", "b").join(side("a", "parity", "n"), "a").join(side("b", "parity", "n"), "b")
-    close = close.select("a", "b", "parity_a", "parity_b", "n_a", "n_b").mapInArrow(near, "a bigint, b bigint")
-    full = cut_lineage(close).join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
-    return cut_lineage(full.select("a", "b", "shingles_a", "shingles_b").mapInArrow(exact, "a bigint, b bigint"))
+    close = pairs.select("a", "b").join(side("a", candidates, "parity", "n"), "a").join(side("b", candidates, "parity", "n"), "b")
+    close = cut_lineage(close.select("a", "b", "parity_a", "parity_b", "n_a", "n_b").mapInArrow(near, "a bigint, b bigint"))
+    nodes = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    full = _full_sets(sets, candidates.join(nodes, "node").select("key"), owners)
+    both = close.join(side("a", full, "shingles"), "a").join(side("b", full, "shingles"), "b")
+    return cut_lineage(both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(exact, "a bigint, b bigint"))
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -276,30 +317,30 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     path = scratch_path(spark, "ngram-join")
-    _identify(kind, plain).write.parquet(f"{path}/identified")
-    first = spark.read.parquet(f"{path}/identified")
+    _identify(kind, plain).write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(path)
+    first = spark.read.parquet(path)
     rows = first.where(F.col("set_id").isNotNull()).select("id", "set_id", "n")
+    sets = first.where(F.col("shingles").isNotNull()).select("set_id", "key", "shingles")
     often = (first.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("times").alias("times"))
              .orderBy(F.desc("times"), "shingle").limit(FREQUENT).toArrow())
-    hashes, counts = often.column("shingle").to_numpy().view(np.uint64), often.column("times").to_numpy()
+    hashes, counts = often.column("shingle").to_numpy().astype(np.uint64), often.column("times").to_numpy()
     order = np.argsort(hashes)
     signer = spark.sparkContext.broadcast(Signer(hashes[order], counts[order]))
-    shared = _signature_counts(plain, signer).where(F.col("n") > 1).select("sig")
+    shared = _signature_counts(sets, signer).where(F.col("n") > 1).select("sig")
     shared = spark.sparkContext.broadcast(bloom_words(shared, "sig", BLOOM_BITS))
 
     # Nodes are sets, named by their smallest identifier.
     owners = cut_lineage(rows.where(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("set_id").agg(F.min("id").cast("bigint").alias("node")))
-    once = _candidates(plain, signer, shared).groupBy("set_id").agg(F.first(F.struct("n", "typical", "sigs", "parity", "shingles")).alias("s"))
-    once.join(owners, "set_id").select("node", "s.*").write.parquet(f"{path}/candidates")
-    sets = spark.read.parquet(f"{path}/candidates")
+    once = _candidates(sets, signer, shared).groupBy("set_id").agg(F.first(F.struct("key", "n", "typical", "sigs", "parity")).alias("s"))
+    candidates = cut_lineage(once.join(owners, "set_id").select("node", "s.*"))
 
-    members = sets.select("node", "n", "typical", F.explode("sigs").alias("sig"))
+    members = candidates.select("node", "n", "typical", F.explode("sigs").alias("sig"))
     centres = members.groupBy("sig").agg(F.max(F.struct("typical", "node", "n")).alias("c"), F.count("*").alias("m"))
     centres = cut_lineage(centres.where(F.col("m") > 1).select("sig", F.col("c.node").alias("centre"), F.col("c.n").alias("n_c")))
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
     spokes = members.join(centres, "sig").where((F.col("node") != F.col("centre")) & fits(F.col("n"), F.col("n_c")))
     spokes = cut_lineage(spokes.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
-    links = _linked(spokes, sets, percent)
+    links = _linked(spokes, candidates, sets, owners, percent)
     labels = components(links)
 
     # Buckets whose members are not all connected yet: members of different components are held against
@@ -312,7 +353,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     other = left.select("sig", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
     pairs = left.withColumnRenamed("node", "a").join(other, "sig").where(
         (F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & fits(F.col("n"), F.col("n_b"))).select("a", "b").distinct()
-    more = _linked(pairs.join(spokes, ["a", "b"], "left_anti"), sets, percent)
+    more = _linked(pairs.join(spokes, ["a", "b"], "left_anti"), candidates, sets, owners, percent)
     label_of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
     between = more.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left").select(
         F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
