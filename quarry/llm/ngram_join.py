@@ -16,13 +16,14 @@ copies are one set from the start.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ChunkMemo, bloom_words, in_bloom
+from quarry.llm.common import bloom_words, in_bloom
 from quarry.llm.components import components
 from quarry.session import cut_lineage, scratch_path
 
@@ -45,10 +46,6 @@ class Shingler:
     bits; signatures and intersections from the upper 48 (two unequal shingles of one pair of texts of a
     thousand shingles each meet there with a probability under 1e-8)."""
 
-    def __init__(self):
-        # bytes.lower() is A-Z alone
-        self.words = ChunkMemo(lambda words: [xxhash.xxh3_64_intdigest(w.encode().lower()) for w in words], 150_000)
-
     def sets(self, texts: pa.Array):
         """Of each text: words between ASCII white space, A-Z lower-cased; the distinct runs of N words, or
         the whole sequence if there are fewer."""
@@ -57,12 +54,13 @@ class Shingler:
             plain = pc.replace_substring_regex(plain, "[\t\x0b\x0c\r]", " ")
         lists = pc.split_pattern(plain, " ")
         coded = lists.flatten().dictionary_encode()
-        numbers, offsets, words = coded.indices.to_numpy(), lists.offsets.to_numpy(), coded.dictionary.to_pylist()
+        numbers, offsets, words = coded.indices.to_numpy(), lists.offsets.to_numpy(), coded.dictionary
         offsets = offsets - offsets[0]
-        known = self.words.values(words)
-        hashes = np.array([known[w] for w in words], dtype=np.uint64)
-        if "" in words:  # between two blanks and at the ends
-            full = numbers != words.index("")
+        blank = pc.index(words, "").as_py()
+        # A-Z lower-cased; SipHash with a fixed key, the same in every process.
+        hashes = pd.util.hash_array(pc.ascii_lower(words).to_numpy(zero_copy_only=False), categorize=False)
+        if blank >= 0:  # between two blanks and at the ends
+            full = numbers != blank
             offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
             numbers = numbers[full]
         h = hashes[numbers] if len(words) else np.zeros(0, np.uint64)
