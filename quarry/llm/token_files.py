@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from quarry.llm.common import ChunkMemo, blank_chunks, in_parts, join_chunks
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 180_000
 LETTERS_AND_TAIL = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,]+)$"
 WORDS_AT_ONCE = 500
 
@@ -146,6 +146,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50
                 "shard": batch.column("shard"), "doc_id": batch.column("doc_id"), "local_start": pa.array(at[:-1]),
                 "n_tokens": pa.array(np.diff(at)), "ids": pa.ListArray.from_arrays(pa.array((at - start).astype(np.int32)), ids)})
             start = int(at[-1])
+            del raw, size, ids
+            pa.default_memory_pool().release_unused()
 
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
