@@ -96,10 +96,25 @@ def recommend_tiebreak(ranked: DataFrame, score_col: str = "composite", family_c
     return ranked.withColumn("tie", tie).withColumn("pick", F.row_number().over(w) == 1)
 
 
-def recommend_topk(ranked: DataFrame, k: int = 3) -> DataFrame:
-    """Winner plus the next ranked runs up to k with rank tags."""
-    return ranked.where(F.col("rank") <= k).withColumn(
-        "tag", F.when(F.col("rank") == 1, F.lit("recommended")).otherwise(F.concat(F.lit("top"), F.col("rank").cast("string"))))
+def recommend_source(ranked: DataFrame, source_col: str, priority: Sequence[str] = ("test", "valid", "train")) -> DataFrame:
+    """Per board only the runs of the first metric source in ``priority`` that any run has;
+    a null source counts as "valid"; boards with none of them keep all runs."""
+    place = F.array_position(F.array(*map(F.lit, priority)), F.coalesce(F.col(source_col), F.lit("valid")))
+    known = F.when(place > 0, place)
+    best = F.min(known).over(Window.partitionBy("board"))
+    return ranked.withColumn("_p", known).withColumn("_b", best).where(F.col("_b").isNull() | (F.col("_p") == F.col("_b"))).drop("_p", "_b")
+
+
+def recommend_topk(ranked: DataFrame, k: int = 3, family_col: str = "family", allow_ensemble: bool = False,
+                   source_col: str | None = None, score_col: str = "composite") -> DataFrame:
+    """Up to k recommended runs per board: the tie-broken pick first, then the other
+    candidates by rank. Candidates have passed the source priority (if ``source_col`` is
+    given) and the ensemble filter. Adds ``place`` (1..k) and ``tag``."""
+    c = ranked if source_col is None else recommend_source(ranked, source_col)
+    c = recommend_tiebreak(recommend_filter(c, family_col, allow_ensemble), score_col, family_col)
+    w = Window.partitionBy("board").orderBy(F.col("pick").desc(), "rank")
+    c = c.withColumn("place", F.row_number().over(w).cast("bigint")).where(F.col("place") <= k).drop("tie", "pick")
+    return c.withColumn("tag", F.when(F.col("place") == 1, F.lit("recommended")).otherwise(F.concat(F.lit("top"), F.col("place").cast("string"))))
 
 
 # ------------------------------------------------------------------ J14
@@ -174,9 +189,10 @@ def metric_ci_columns(runs: DataFrame, ci_cols: Sequence[str] = ("primary_metric
 
 
 # ------------------------------------------------------------------ J13
-def decision_summary(ranked: DataFrame, top: int = 5) -> DataFrame:
-    """Top rows per board with the recommended run's id and score carried on each row."""
-    rec = ranked.where(F.col("rank") == 1).select("board", F.col("run_id").alias("recommended_run"),
+def decision_summary(ranked: DataFrame, top: int = 5, **policy) -> DataFrame:
+    """Top rows per board with the recommended run's id and score carried on each row; the
+    recommendation is :func:`recommend_topk`'s first, with its ``policy``."""
+    rec = recommend_topk(ranked, 1, **policy).select("board", F.col("run_id").alias("recommended_run"),
                                                   F.col("composite").alias("recommended_score"))
     return ranked.where(F.col("rank") <= top).join(rec, "board", "left")
 

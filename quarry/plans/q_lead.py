@@ -97,11 +97,19 @@ def q_rank(spark, sf_dir):
 
 
 @register("recommend_topk", Q(["runs"], _NORM + """
-SELECT board, run_id, run_order, composite, rank, CASE WHEN rank = 1 THEN 'recommended' ELSE 'top' || CAST(rank AS VARCHAR) END AS tag
-FROM rk WHERE rank <= 3""", "composite"))
+,f AS (SELECT rk.*, r.family, sum(CASE WHEN r.family = 'single' THEN 1 ELSE 0 END) OVER (PARTITION BY rk.board) AS singles
+      FROM rk JOIN runs r USING (board, run_id)),
+g AS (SELECT *, coalesce(abs(composite - max(composite) OVER (PARTITION BY board))
+                  <= greatest(1e-12, 1e-9 * abs(max(composite) OVER (PARTITION BY board))), rank = 1) AS tie
+      FROM f WHERE family = 'single' OR singles = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY board ORDER BY tie DESC, (family = 'single') DESC, rank) = 1 AS pick FROM g)
+SELECT board, run_id, run_order, composite, rank, family, place,
+       CASE WHEN place = 1 THEN 'recommended' ELSE 'top' || CAST(place AS VARCHAR) END AS tag
+FROM (SELECT *, row_number() OVER (PARTITION BY board ORDER BY pick DESC, rank) AS place FROM p) WHERE place <= 3""", "composite"))
 def q_topk(spark, sf_dir):
-    """Winner and runners-up (k = 3)."""
-    return J.recommend_topk(_ranked(spark, sf_dir), 3)
+    """The filtered, tie-broken pick and the next ranked runs (k = 3)."""
+    r = runs(spark, sf_dir)
+    return J.recommend_topk(_ranked(spark, sf_dir).join(r.select("board", "run_id", "family"), ["board", "run_id"]), 3)
 
 
 @register("recommend_tiebreak", Q(["runs"], _NORM + """,

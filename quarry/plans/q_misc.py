@@ -10,6 +10,7 @@ from quarry.plans.q_drift import SQL_SIDES, drift_sides, NUM, CAT
 from quarry.operators import drift as K
 from quarry.plans.registry import register, rnd
 from quarry.plans.views import cls, reg, table, with_views
+from quarry.session import scratch_path
 from quarry.sources import io as A
 from quarry.streaming import scoring as L
 
@@ -56,7 +57,12 @@ def q_scan_limit(spark, sf_dir):
     return A.scan_limit(cls(spark, sf_dir).select("row_id", "status"), 100, ["row_id"])
 
 
-@register("table_fingerprint")
+@register("table_fingerprint", """
+SELECT rows, content_hash, sha256(CAST(rows AS VARCHAR) || ':' || content_hash) AS fingerprint FROM (
+  SELECT count(*) AS rows, CAST(sum(('0x' || substr(md5(concat_ws(chr(31), """ + ", ".join(
+    f"coalesce(CAST({c} AS VARCHAR), chr(30))" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                                         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")) + """)), 1, 15))::HUGEINT) AS VARCHAR) AS content_hash
+  FROM lineitem)""")
 def q_fingerprint(spark, sf_dir):
     """Order-insensitive content fingerprint of lineitem."""
     return A.table_fingerprint(table(spark, sf_dir, "lineitem"))
@@ -84,12 +90,14 @@ def q_join_xy(spark, sf_dir):
 
 
 @register("alert_rows", SQL_SIDES + """
-SELECT 'drift' AS kind, CASE WHEN status = 'fail' THEN 'error' ELSE 'warning' END AS severity,
-       'drift ' || status || ': ' || feature AS title, feature AS context FROM report WHERE status IN ('warn', 'fail')""")
+SELECT '2024-01-01T00:00:00Z' AS timestamp, 'drift' AS kind, feature || ' is ' || s || ', psi=' || CAST(CAST(round(psi, 6) AS DECIMAL(18, 6)) AS VARCHAR) AS message,
+       CASE WHEN s = 'fail' THEN 'error' ELSE 'warning' END AS severity, 'drift ' || s || ': ' || feature AS title, feature AS context
+FROM (SELECT *, CASE WHEN psi >= 0.001 THEN 'fail' WHEN psi >= 0.00001 THEN 'warn' END AS s FROM report) WHERE s IS NOT NULL""")
 def q_alerts(spark, sf_dir):
-    """Alert rows for drifting features."""
+    """Alert rows for drifting features, at sensitive thresholds."""
     train, new = drift_sides(spark, sf_dir)
-    return A.alert_rows(K.drift_report(train, new, NUM, CAT), "drift")
+    report = K.drift_report(train, new, NUM, CAT, warn=0.00001, fail=0.001, strict=True)
+    return A.alert_rows(report, "drift", value_col="psi", at="2024-01-01T00:00:00Z")
 
 
 # ------------------------------------------------------------------ G
@@ -158,25 +166,41 @@ def q_undersample(spark, sf_dir):
 
 # ------------------------------------------------------------------ L
 def _events_stream(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    return L.file_stream(spark, sf_dir, ev.schema, glob="events.parquet")
+    """The events as four files of ascending event_id, written one after the other: four micro-batches."""
+    ev, path = table(spark, sf_dir, "events"), scratch_path(spark, "event-files")
+    for k in range(4):
+        ev.where(event_quarter() == k).coalesce(1).write.mode("append").parquet(path)
+    return L.file_stream(spark, path, ev.schema)
+
+
+def event_quarter():
+    """0 to 3: which quarter of 4 000 event ids in a row (ids count up from 0) an event falls in."""
+    return F.floor(F.pmod("event_id", F.lit(4000)) / 1000).cast("int")
 
 
 @register("stream_score", rnd("SELECT event_id, 2.0 * value + 1.0 AS prediction FROM events", "prediction"))
 def q_stream_score(spark, sf_dir):
     """L1: stateless scoring of the events file stream, drained with availableNow."""
     s = L.stream_score(_events_stream(spark, sf_dir), ["event_id"], F.lit(2.0) * F.col("value") + F.lit(1.0))
-    return L.run_to_table(s, "stream_score")
+    return L.run_to_files(s, scratch_path(spark, "stream-score"))
+
+
+_QUARTER = "CAST(floor((event_id % 4000) / 1000) AS BIGINT)"
 
 
-@register("stream_issue_totals", "SELECT 'negative_value' AS issue, count(*) AS count FROM events WHERE value < 0 HAVING count(*) > 0")
+@register("stream_issue_totals", """
+SELECT CASE WHEN value < 20 THEN 'low_value' WHEN value > 80 THEN 'high_value' END AS issue, count(*) AS count
+FROM events WHERE value < 20 OR value > 80 GROUP BY 1""")
 def q_stream_issues(spark, sf_dir):
-    """L2: running count of rows failing a validation rule (negative value)."""
-    s = L.stream_issue_totals(_events_stream(spark, sf_dir), F.when(F.col("value") < 0, F.lit("negative_value")))
-    return L.run_to_table(s, "stream_issues", mode="complete")
+    """L2: running counts of rows outside a validation range, over four micro-batches."""
+    issue = F.when(F.col("value") < 20, F.lit("low_value")).when(F.col("value") > 80, F.lit("high_value"))
+    return L.stream_issue_totals(_events_stream(spark, sf_dir), issue, scratch_path(spark, "stream-issues"))
 
 
-@register("stream_chunk_stats")
+@register("stream_chunk_stats", f"""
+SELECT chunk, sum(rows) OVER w - rows AS row_start, sum(rows) OVER w AS row_end, rows, issues FROM (
+  SELECT {_QUARTER} AS chunk, count(*) AS rows, count(*) FILTER (WHERE value < 20) AS issues FROM events GROUP BY 1)
+WINDOW w AS (ORDER BY chunk ROWS UNBOUNDED PRECEDING)""")
 def q_stream_chunks(spark, sf_dir):
-    """Rows and issue count per micro-batch."""
-    return L.stream_chunk_stats(_events_stream(spark, sf_dir), F.col("value") < 0)
+    """Row range, rows and issue count per micro-batch."""
+    return L.stream_chunk_stats(_events_stream(spark, sf_dir), F.col("value") < 20, scratch_path(spark, "stream-chunks"))

@@ -95,12 +95,19 @@ def q_ci_cols(spark, sf_dir):
     return J.metric_ci_columns(_runs_ci(spark, sf_dir))
 
 
-@register("decision_summary", Q(["runs"], _NORM + """
-SELECT r.board, r.run_id, r.run_order, r.composite, r.rank, w.run_id AS recommended_run, w.composite AS recommended_score
-FROM rk r LEFT JOIN (SELECT * FROM rk WHERE rank = 1) w ON r.board = w.board WHERE r.rank <= 5""", "composite", "recommended_score"))
+@register("decision_summary", Q(["runs"], _NORM + """,
+f AS (SELECT rk.*, r.family, sum(CASE WHEN r.family = 'single' THEN 1 ELSE 0 END) OVER (PARTITION BY rk.board) AS singles
+      FROM rk JOIN runs r USING (board, run_id)),
+g AS (SELECT *, coalesce(abs(composite - max(composite) OVER (PARTITION BY board))
+                  <= greatest(1e-12, 1e-9 * abs(max(composite) OVER (PARTITION BY board))), rank = 1) AS tie
+      FROM f WHERE family = 'single' OR singles = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY board ORDER BY tie DESC, (family = 'single') DESC, rank) = 1 AS pick FROM g)
+SELECT r.board, r.run_id, r.run_order, r.composite, r.rank, f.family, w.run_id AS recommended_run, w.composite AS recommended_score
+FROM rk r JOIN f USING (board, run_id) LEFT JOIN (SELECT * FROM p WHERE pick) w ON r.board = w.board WHERE r.rank <= 5""", "composite", "recommended_score"))
 def q_decision(spark, sf_dir):
     """Top-5 rows per board with the recommendation."""
-    return J.decision_summary(_ranked(spark, sf_dir), 5)
+    r = runs(spark, sf_dir)
+    return J.decision_summary(_ranked(spark, sf_dir).join(r.select("board", "run_id", "family"), ["board", "run_id"]), 5)
 
 
 _KEYS = ["dataset_id", "split_hash", "primary_metric", "direction", "seed"]
@@ -331,14 +338,14 @@ def q_gate(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ L3 / L4 / L5
-def _events_stream(spark, sf_dir):
-    return L.file_stream(spark, sf_dir, table(spark, sf_dir, "events").schema, glob="events.parquet")
+from quarry.plans.q_misc import _QUARTER, _events_stream  # noqa: E402
+from quarry.session import scratch_path  # noqa: E402
 
 
 @register("stream_sample", f"SELECT event_id, value FROM events ORDER BY {sql_hash_unit(0, 'event_id')}, event_id LIMIT 500")
 def q_stream_sample(spark, sf_dir):
     """L3: bounded uniform sample carried across micro-batches (bottom-500 by hash)."""
-    return L.stream_sample(_events_stream(spark, sf_dir).select("event_id", "value"), "event_id", 500)
+    return L.stream_sample(_events_stream(spark, sf_dir).select("event_id", "value"), "event_id", 500, scratch_path(spark, "stream-sample"))
 
 
 from quarry.plans.q_drift import numeric_drift_sql  # noqa: E402
@@ -351,7 +358,7 @@ def q_stream_drift(spark, sf_dir):
     """L4: drift of streamed event values against the first half of January (train edges)."""
     ev = table(spark, sf_dir, "events")
     train = ev.where(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'"))
-    return L.stream_drift(_events_stream(spark, sf_dir), train, ["value"])
+    return L.stream_drift(_events_stream(spark, sf_dir), train, ["value"], scratch_path(spark, "stream-drift"))
 
 
 _EV = ["event_id", "user_id", "event_type", "value", "props"]
@@ -362,7 +369,7 @@ _EV_MATCH = " UNION ALL ".join(
     f"SELECT avg(CASE WHEN CAST({c} AS DOUBLE) IS NOT DISTINCT FROM value THEN 1.0 ELSE 0.0 END) AS r, FALSE AS exact FROM ev"
     for c in ["event_id", "user_id"])
 _EV_CORR = " UNION ALL ".join(f"SELECT corr({c}, value) AS corr, count({c} + value) AS k FROM ev" for c in ["event_id", "user_id"])
-_EV_RULES = f"""WITH ev AS (SELECT {', '.join(_EV)} FROM events),
+_EV_RULES = f"""WITH ev AS (SELECT {', '.join(_EV)} FROM events WHERE {_QUARTER} = 0),
 card AS ({_EV_CARD}),
 tot AS (SELECT sum(nulls)::DOUBLE / (max(n) * {len(_EV)}) AS mr FROM card),
 dup AS (SELECT sum(k - 1) AS d, sum(k - 1)::DOUBLE / sum(k) AS dr FROM (SELECT count(*) AS k FROM ev GROUP BY {', '.join(_EV)})),
@@ -396,7 +403,7 @@ SELECT type, severity, CAST(count AS BIGINT) AS count FROM rules0 WHERE severity
 @register("stream_quality_gate", _EV_RULES)
 def q_stream_gate(spark, sf_dir):
     """Quality rules evaluated on the first micro-batch only."""
-    return L.stream_quality_gate(_events_stream(spark, sf_dir).drop("ts"), target="value")
+    return L.stream_quality_gate(_events_stream(spark, sf_dir).drop("ts"), scratch_path(spark, "stream-gate"), target="value")
 
 
 # ------------------------------------------------------------------ remaining inventory keys

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from quarry.functions import scalars as M
 from quarry.functions.hashing import sql_hash_unit
+from quarry.functions.ranking import long_form
 from quarry.operators import profile as C
 from quarry.operators import schema as B
 from quarry.plans.registry import register, rnd
@@ -167,15 +168,20 @@ def q_select_features(spark, sf_dir):
 
 
 @register("feature_types", Q(["reg"], """
-SELECT "column", kind FROM (VALUES ('l_orderkey', 'numeric'), ('l_suppkey', 'numeric'), ('l_shipdate', 'categorical'),
+SELECT "column", kind, non_null, uniques FROM (VALUES ('l_orderkey', 'numeric'), ('l_suppkey', 'numeric'), ('l_shipdate', 'categorical'),
   ('quantity', 'numeric'), ('discount', 'numeric'), ('tax', 'numeric'), ('price', 'numeric'), ('returnflag', 'categorical'),
-  ('linestatus', 'categorical')) v("column", kind) WHERE (SELECT count(*) FROM reg) >= 0"""))
+  ('linestatus', 'categorical')) v("column", kind) JOIN (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS c, count({c}) AS non_null, count(DISTINCT {c}) AS uniques FROM reg" for c in (
+        "l_orderkey", "l_suppkey", "l_shipdate", "quantity", "discount", "tax", "price", "returnflag", "linestatus")) + """) ON c = "column\""""))
 def q_feature_types(spark, sf_dir):
-    """Numeric vs categorical partition of the REG features (from the table schema)."""
+    """Numeric vs categorical partition of the REG features, with what each of them holds."""
     r = reg(spark, sf_dir)
     feats = [c for c in r.columns if c not in ("target", "row_id")]
     num, cat = B.feature_types(r.schema, feats)
-    return spark.createDataFrame([(c, "numeric") for c in num] + [(c, "categorical") for c in cat], "column string, kind string")
+    kinds = spark.createDataFrame([(c, "numeric") for c in num] + [(c, "categorical") for c in cat], "column string, kind string")
+    held = long_form(r, [], feats, "string").groupBy("feature", "value").agg(F.count("value").alias("n")).groupBy("feature").agg(
+        F.sum("n").alias("non_null"), F.count("value").alias("uniques"))
+    return kinds.join(held, kinds["column"] == held["feature"]).drop("feature")
 
 
 def _expected_texty():
@@ -185,15 +191,19 @@ def _expected_texty():
 
 
 @register("schema_diff", Q(["texty"], """
-SELECT issue, "column", expected, actual FROM (VALUES
+SELECT issue, "column", expected, actual, coalesce(non_null, 0) AS non_null FROM (VALUES
   ('missing_column', 'qty_missing', 'double', NULL), ('extra_column', 'l_shipdate', NULL, 'timestamp_ntz'),
   ('extra_column', 'pad_txt', NULL, 'string'), ('extra_column', 'status_txt', NULL, 'string'),
   ('dtype_mismatch', 'num_txt', 'double', 'string'), ('dtype_mismatch', 'date_txt', 'timestamp_ntz', 'string'),
   ('dtype_mismatch', 'bool_txt', 'boolean', 'string'), ('dtype_mismatch', 'int_txt', 'bigint', 'string')
-) v(issue, "column", expected, actual) WHERE (SELECT count(*) FROM texty) >= 0"""))
+) v(issue, "column", expected, actual) LEFT JOIN (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS c, count({c}) AS non_null FROM texty" for c in ("l_shipdate", "pad_txt", "status_txt", "num_txt", "date_txt", "bool_txt", "int_txt")) + """) ON c = "column\""""))
 def q_schema_diff(spark, sf_dir):
-    """TEXTY's schema against the expected typed schema."""
-    return B.schema_diff_df(spark, texty(spark, sf_dir).schema, _expected_texty())
+    """TEXTY's schema against the expected typed schema, with the values each issue touches."""
+    t = texty(spark, sf_dir)
+    diff = B.schema_diff_df(spark, t.schema, _expected_texty())
+    held = long_form(t, [], t.columns, "string").groupBy("feature").agg(F.count("value").alias("non_null"))
+    return diff.join(held, diff["column"] == held["feature"], "left").drop("feature").fillna(0, ["non_null"])
 
 
 @register("coerce_numeric", Q(["texty"], """

@@ -93,11 +93,14 @@ def q_dq_mixed(spark, sf_dir):
 
 
 @register("dq_name_suspects", Q(["leak"], """
-SELECT "column", kind, patterns, declared_id FROM (VALUES ('row_id', 'id_suspect', 'id', FALSE), ('record_id', 'id_suspect', 'id', TRUE))
-  v("column", kind, patterns, declared_id) WHERE (SELECT count(*) FROM leak) >= 0"""))
+SELECT "column", kind, patterns, declared_id, unique_count FROM (VALUES ('row_id', 'id_suspect', 'id', FALSE), ('record_id', 'id_suspect', 'id', TRUE))
+  v("column", kind, patterns, declared_id) JOIN (SELECT 'row_id' AS c, count(DISTINCT row_id) AS unique_count FROM leak
+  UNION ALL SELECT 'record_id', count(DISTINCT record_id) FROM leak) ON c = "column\""""))
 def q_dq_names(spark, sf_dir):
-    """Column names matching leak / id patterns."""
-    return D.dq_name_suspects(leak(spark, sf_dir), "target", ids=IDS)
+    """Column names matching leak / id patterns, with the cardinality that tells real ids."""
+    df = leak(spark, sf_dir)
+    found = D.dq_name_suspects(df, "target", ids=IDS)
+    return found.join(D.dq_cardinality(df).select("column", "unique_count"), "column")
 
 
 _NUMF = ["quantity", "discount", "tax", "leak_exact", "leak_noisy", "leak_scaled"]

@@ -89,8 +89,10 @@ def preview_head(df: DataFrame, row_id: str, n: int = 5, max_cols: int = 20) ->
 
 # ------------------------------------------------------------------ A7 / A8
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """Order-insensitive content id: row count and the exact sum of 64-bit row hashes."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    """Order-insensitive content id: row count and the exact sum of 60-bit row hashes (md5 of the
+    row's values as text, so that any engine with md5 can check it)."""
+    row = F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x1e")) for c in df.columns])
+    h = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h).cast("string").alias("content_hash")).select(
         "rows", "content_hash", F.sha2(F.concat_ws(":", F.col("rows").cast("string"), "content_hash"), 256).alias("fingerprint"))
 
@@ -145,10 +147,16 @@ def join_xy(x: DataFrame, y: DataFrame, row_id: str = "row_id") -> DataFrame:
 
 
 # ------------------------------------------------------------------ A18
-def alert_rows(report: DataFrame, kind: str, name_col: str = "feature", status_col: str = "status") -> DataFrame:
-    """One alert row per warn/fail finding; severity error when it failed."""
+def alert_rows(report: DataFrame, kind: str, name_col: str = "feature", status_col: str = "status", value_col: str | None = None,
+               at: str | None = None) -> DataFrame:
+    """One alert row per warn/fail finding; severity error when it failed. ``timestamp`` is
+    ``at`` or the time of the query (UTC, to the second); ``message`` names the finding, and
+    its value to 6 places if ``value_col`` is given."""
     bad = report.where(F.col(status_col).isin("warn", "fail"))
-    return bad.select(F.lit(kind).alias("kind"),
+    now = F.lit(at) if at is not None else F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    value = F.lit("") if value_col is None else F.concat(F.lit(f", {value_col}="), F.round(F.col(value_col), 6).cast("decimal(18,6)").cast("string"))
+    return bad.select(now.alias("timestamp"), F.lit(kind).alias("kind"),
+                      F.concat(F.col(name_col), F.lit(" is "), F.col(status_col), value).alias("message"),
                       F.when(F.col(status_col) == "fail", F.lit("error")).otherwise(F.lit("warning")).alias("severity"),
                       F.concat(F.lit(f"{kind} "), F.col(status_col), F.lit(": "), F.col(name_col)).alias("title"),
                       F.col(name_col).alias("context"))

@@ -1,22 +1,30 @@
 """Structured Streaming twins of the chunked batch scorer.
 
 A file source over Parquet drops is the chunk iterator; each micro-batch is a
-chunk. Scoring is a stateless projection; running issue totals are a streaming
-aggregation; per-chunk statistics come from ``foreachBatch`` keyed by batch id
-(idempotent on retry because the sink overwrites per batch id)."""
+chunk. Every operator keeps its checkpoint, state and output under one ``state``
+folder that the caller names. Starting it again with the same folder goes on
+after the last finished batch, in the same or in another driver: nothing lives
+in Python variables, and what a retried batch writes replaces its own version."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+
+def _drain(stream: DataFrame, fn, state: str) -> None:
+    """Run every available input through ``fn(batch, batch_id)``."""
+    q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", f"{state}/checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
-def _ckpt(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stream/{name}-{uuid.uuid4().hex}"
+def _versions(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """All versions written so far, with their batch id ``v`` (empty before the first)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
 
 
 def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", max_files_per_trigger: int = 1) -> DataFrame:
@@ -25,14 +33,13 @@ def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet
             .option("pathGlobFilter", glob).parquet(folder))
 
 
-def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Drain every available input (availableNow) into a memory table and return it."""
-    spark = stream.sparkSession
-    qname = f"{name}_{uuid.uuid4().hex[:8]}"
-    q = (stream.writeStream.format("memory").queryName(qname).outputMode(mode)
-         .option("checkpointLocation", _ckpt(spark, name)).trigger(availableNow=True).start())
+def run_to_files(stream: DataFrame, state: str) -> DataFrame:
+    """Drain every available input (availableNow) into Parquet under ``state`` and return all rows written so far."""
+    spark, out = stream.sparkSession, f"{state}/out"
+    q = (stream.writeStream.format("parquet").option("path", out).outputMode("append")
+         .option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(qname)
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 # ------------------------------------------------------------------ L1
@@ -41,70 +48,74 @@ def stream_score(stream: DataFrame, keep: list[str], prediction: Column) -> Data
 
 
 # ------------------------------------------------------------------ L2
-def stream_issue_totals(stream: DataFrame, issue: Column) -> DataFrame:
-    return stream.select(issue.alias("issue")).where(F.col("issue").isNotNull()).groupBy("issue").agg(F.count(F.lit(1)).alias("count"))
+def stream_issue_totals(stream: DataFrame, issue: Column, state: str) -> DataFrame:
+    """Counts per issue over all batches so far: each batch's counts (a row per issue) are kept
+    under its batch id and summed."""
+    spark, out = stream.sparkSession, f"{state}/out"
+
+    def per_batch(batch: DataFrame, batch_id: int):
+        counts = batch.select(issue.alias("issue")).where(F.col("issue").isNotNull()).groupBy("issue").agg(F.count(F.lit(1)).alias("count"))
+        counts.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+
+    _drain(stream, per_batch, state)
+    return spark.read.schema("issue string, count bigint").parquet(out).groupBy("issue").agg(F.sum("count").alias("count"))
 
 
 # ------------------------------------------------------------------ L6
-def stream_chunk_stats(stream: DataFrame, issue: Column, name: str = "chunks") -> DataFrame:
-    """Per micro-batch: chunk index, rows and issue count, collected by foreachBatch."""
-    spark = stream.sparkSession
-    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stream/{name}-out-{uuid.uuid4().hex}"
+def stream_chunk_stats(stream: DataFrame, issue: Column, state: str) -> DataFrame:
+    """Per micro-batch: chunk index, row range [row_start, row_end), rows and issue count."""
+    spark, out = stream.sparkSession, f"{state}/out"
 
     def per_batch(batch: DataFrame, batch_id: int):
         stats = batch.agg(F.count(F.lit(1)).alias("rows"), F.count_if(issue).alias("issues")).select(
             F.lit(batch_id).cast("bigint").alias("chunk"), "rows", "issues")
-        stats.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        stats.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
 
-    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", _ckpt(spark, name))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out).drop("batch")
-
-
-def _drain(stream: DataFrame, fn, name: str):
-    spark = stream.sparkSession
-    q = stream.writeStream.foreachBatch(fn).option("checkpointLocation", _ckpt(spark, name)).trigger(availableNow=True).start()
-    q.awaitTermination()
+    _drain(stream, per_batch, state)
+    chunks = spark.read.schema("chunk bigint, rows bigint, issues bigint").parquet(out)
+    w = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one row per batch
+    end = F.sum("rows").over(w)
+    return chunks.select("chunk", (end - F.col("rows")).alias("row_start"), end.alias("row_end"), "rows", "issues")
 
 
 # ------------------------------------------------------------------ L3
-def stream_sample(stream: DataFrame, key: str, n: int, seed: int = 0, name: str = "sample") -> DataFrame:
-    """Uniform bottom-n sample by md5(seed:key) kept across micro-batches. The state is
-    at most n rows, versioned by batch id (a retried batch rewrites its own version),
-    and independent of chunk order (unlike re-sampling per chunk)."""
+def stream_sample(stream: DataFrame, key: str, n: int, state: str, seed: int = 0) -> DataFrame:
+    """Uniform bottom-n sample by md5(seed:key) kept across micro-batches and restarts. The
+    state is at most n rows per version; a batch builds on the newest version before its own,
+    and the result does not depend on chunk order (unlike re-sampling per chunk)."""
+    from pyspark.sql import types as T
+
     from quarry.functions.hashing import hash_unit
-    spark = stream.sparkSession
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stream/{name}-state-{uuid.uuid4().hex}"
-    last = {"v": None}
+    spark, out = stream.sparkSession, f"{state}/out"
+    schema = T.StructType([*stream.schema.fields, T.StructField("_h", T.LongType())])
+    kept = T.StructType([*schema.fields, T.StructField("v", T.LongType())])
+
+    def newest(before: int | None = None) -> DataFrame:
+        past = _versions(spark, out, kept)
+        past = past if before is None else past.where(F.col("v") < before)
+        return past.where(F.col("v") == past.agg(F.max("v")).scalar()).select(*schema.names)
 
     def per_batch(batch: DataFrame, batch_id: int):
-        cur = batch.withColumn("_h", hash_unit(seed, key))
-        if last["v"] is not None:
-            cur = cur.unionByName(spark.read.parquet(f"{base}/v={last['v']}"))
-        cur.orderBy("_h", key).limit(n).write.mode("overwrite").parquet(f"{base}/v={batch_id}")
-        last["v"] = batch_id
+        cur = batch.withColumn("_h", hash_unit(seed, key)).unionByName(newest(batch_id))
+        cur.orderBy("_h", key).limit(n).write.mode("overwrite").parquet(f"{out}/v={batch_id}")
 
-    _drain(stream, per_batch, name)
-    if last["v"] is None:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.parquet(f"{base}/v={last['v']}").drop("_h")
+    _drain(stream, per_batch, state)
+    return newest().drop("_h")
 
 
 # ------------------------------------------------------------------ L4
-def stream_drift(stream: DataFrame, train: DataFrame, features: list[str], name: str = "drift") -> DataFrame:
+def stream_drift(stream: DataFrame, train: DataFrame, features: list[str], state: str) -> DataFrame:
     """Histogram counts of each micro-batch against the train edges are kept per batch
     id; after the last batch they are summed and compared with the train counts."""
     from quarry.operators import drift as K
-    spark = stream.sparkSession
-    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stream/{name}-counts-{uuid.uuid4().hex}"
+    spark, out = stream.sparkSession, f"{state}/out"
     edges = K.hist_edges(train, features)
 
     def per_batch(batch: DataFrame, batch_id: int):
-        K.hist_counts(batch, features, edges).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        K.hist_counts(batch, features, edges).write.mode("overwrite").parquet(f"{out}/v={batch_id}")
 
-    _drain(stream, per_batch, name)
-    new_counts = spark.read.parquet(out).groupBy("feature", "bin").agg(F.sum("count").alias("a"))
+    _drain(stream, per_batch, state)
+    new_counts = spark.read.schema("feature string, bin bigint, count bigint").parquet(out).groupBy("feature", "bin").agg(F.sum("count").alias("a"))
     tc = K.hist_counts(train, features, edges).withColumnRenamed("count", "e")
     buckets = tc.join(new_counts, ["feature", "bin"], "left").fillna(0, ["a"])
     stats = K._psi_ks(buckets.select("feature", "bin", F.col("e").cast("double").alias("e"), F.col("a").cast("double").alias("a")), True)
@@ -112,15 +123,14 @@ def stream_drift(stream: DataFrame, train: DataFrame, features: list[str], name:
 
 
 # ------------------------------------------------------------------ L5
-def stream_quality_gate(stream: DataFrame, target: str | None = None, name: str = "gate") -> DataFrame:
+def stream_quality_gate(stream: DataFrame, state: str, target: str | None = None) -> DataFrame:
     """Quality rules on the first micro-batch only (reference parity)."""
     from quarry.operators.quality import dq_evaluate
-    spark = stream.sparkSession
-    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stream/{name}-rules-{uuid.uuid4().hex}"
+    out = f"{state}/out"
 
     def per_batch(batch: DataFrame, batch_id: int):
         if batch_id == 0:
             dq_evaluate(batch, target).write.mode("overwrite").parquet(out)
 
-    _drain(stream, per_batch, name)
-    return spark.read.parquet(out)
+    _drain(stream, per_batch, state)
+    return stream.sparkSession.read.schema("type string, severity string, count bigint").parquet(out)

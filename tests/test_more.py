@@ -42,9 +42,9 @@ def test_topk_classes_tie_prefers_higher_index(spark):
     assert row.top1_label == "b" and row.top2_label == "a"
 
 
-def test_stream_sample_equals_batch_bottom_n(spark):
+def test_stream_sample_equals_batch_bottom_n(spark, tmp_path):
     ev = table(spark, SMALL, "events")
-    s = L.stream_sample(L.file_stream(spark, SMALL, ev.schema, glob="events.parquet").select("event_id", "value"), "event_id", 50)
+    s = L.stream_sample(L.file_stream(spark, SMALL, ev.schema, glob="events.parquet").select("event_id", "value"), "event_id", 50, str(tmp_path))
     from quarry.operators.profile import sample_rows
     b = sample_rows(ev.select("event_id", "value"), "event_id", 50)
     assert sorted(r.event_id for r in s.collect()) == sorted(r.event_id for r in b.collect())
@@ -128,3 +128,35 @@ def test_small_mends(spark):
     best = input_search(spark.range(4), "id", {"a": {"type": "float", "low": 0.0, "high": 1.0}},
                         lambda d: F.when(F.col("id") == 2, F.lit(float("inf"))).otherwise(F.col("id").cast("double")), k=2)
     assert [r.id for r in best.collect()] == [3, 1]
+
+
+def test_streams_go_on_after_a_restart(spark, tmp_path):
+    """Two files, a stop, two more files, a new start on the same state: as if run in one go."""
+    from quarry.streaming import scoring as L
+
+    def files(path, ks):
+        for k in ks:
+            spark.range(k * 100, k * 100 + 100).selectExpr("id AS event_id", "CAST(id % 97 AS DOUBLE) AS value").coalesce(1).write.mode("append").parquet(path)
+        return L.file_stream(spark, path, "event_id bigint, value double")
+
+    runs = {
+        "sample": lambda s, st: L.stream_sample(s, "event_id", 20, st),
+        "totals": lambda s, st: L.stream_issue_totals(s, F.when(F.col("value") > 50, "high"), st),
+        "chunks": lambda s, st: L.stream_chunk_stats(s, F.col("value") > 50, st),
+        "score": lambda s, st: L.run_to_files(L.stream_score(s, ["event_id"], F.col("value") * 2), st),
+    }
+    for name, run in runs.items():
+        once = sorted(map(tuple, run(files(f"{tmp_path}/{name}-a", range(4)), f"{tmp_path}/{name}-a-state").collect()))
+        run(files(f"{tmp_path}/{name}-b", range(2)), f"{tmp_path}/{name}-b-state")
+        twice = sorted(map(tuple, run(files(f"{tmp_path}/{name}-b", range(2, 4)), f"{tmp_path}/{name}-b-state").collect()))
+        assert once == twice and once
+
+
+def test_recommendation_prefers_source_then_single_then_rank(spark):
+    from quarry.operators.leaderboard import recommend_topk
+    rows = [("b", "r1", 0.9, "ensemble", 1, "valid"), ("b", "r2", 0.8, "single", 2, "train"), ("b", "r3", 0.7, "single", 3, "valid"), ("b", "r4", 0.6, "single", 4, None)]
+    df = spark.createDataFrame(rows, "board string, run_id string, composite double, family string, rank int, source string")
+    pick = lambda **k: [r.run_id for r in recommend_topk(df, 3, **k).orderBy("place").collect()]
+    assert pick() == ["r2", "r3", "r4"]
+    assert pick(source_col="source") == ["r3", "r4"]
+    assert pick(allow_ensemble=True) == ["r1", "r2", "r3"]
