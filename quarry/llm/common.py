@@ -96,39 +96,35 @@ def in_parts(items: list, size: int):
         yield items[i : i + size]
 
 
-def bloom_words(keys: DataFrame, col: str, log2_bits: int, seeds: int = 4) -> np.ndarray:
-    """Bloom filter of a long column as 2**log2_bits bits in uint64 words. The bits are set and merged on
-    the cluster; the driver gets at most 2**(log2_bits - 6) words, whatever the keys' number."""
-    def bits(batches):
+def bloom_words(keys: DataFrame, col: str, log2_bits: int) -> np.ndarray:
+    """Bloom filter of a long column as 2**log2_bits bits in uint64 words; a key's four bits share a word.
+    The words are made and merged on the cluster; the driver gets at most 2**(log2_bits - 6) of them,
+    whatever the keys' number."""
+    def words(batches):
         for batch in batches:
-            bit = np.concatenate([_bits(batch.column(0).to_numpy(zero_copy_only=False), i, log2_bits) for i in range(seeds)])
-            bit.sort()
-            word, at = np.unique(bit >> np.uint64(6), return_index=True)
+            word, bits = _word_and_bits(batch.column(0).to_numpy(zero_copy_only=False), log2_bits)
+            order = np.argsort(word, kind="stable")
+            word, at = np.unique(word[order], return_index=True)
             if len(word):
-                value = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), at)
-                yield pa.RecordBatch.from_pydict({"w": pa.array(word.astype(np.int64)), "v": pa.array(value.view(np.int64))})
+                yield pa.RecordBatch.from_pydict({"w": pa.array(word), "v": pa.array(np.bitwise_or.reduceat(bits[order], at).view(np.int64))})
 
-    words = keys.select(col).mapInArrow(bits, "w bigint, v bigint").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
+    merged = keys.select(col).mapInArrow(words, "w bigint, v bigint").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
     out = np.zeros(1 << (log2_bits - 6), dtype=np.uint64)
-    if words.num_rows:
-        out[words.column("w").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
+    if merged.num_rows:
+        out[merged.column("w").to_numpy()] = merged.column("v").to_numpy().view(np.uint64)
     return out
 
 
-def _bits(keys: np.ndarray, seed: int, log2_bits: int) -> np.ndarray:
-    return (keys.astype(np.int64, copy=False).view(np.uint64) * np.uint64(_odd(seed))) >> np.uint64(64 - log2_bits)
+def _word_and_bits(keys: np.ndarray, log2_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    u = keys.astype(np.int64, copy=False).view(np.uint64)
+    word = ((u * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - (log2_bits - 6))).astype(np.int64)
+    h, bits = u * np.uint64(0xC2B2AE3D27D4EB4F), np.zeros(len(u), dtype=np.uint64)
+    for shift in (58, 52, 46, 40):
+        bits |= np.uint64(1) << ((h >> np.uint64(shift)) & np.uint64(63))
+    return word, bits
 
 
-def in_bloom(words: np.ndarray, keys: np.ndarray, seeds: int = 4) -> np.ndarray:
+def in_bloom(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which int64 keys may be in the filter (no false negatives)."""
-    log2_bits = int(words.size).bit_length() - 1 + 6
-    found = np.ones(keys.size, dtype=bool)
-    for i in range(seeds):
-        bit = _bits(keys, i, log2_bits)
-        found &= ((words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool)
-    return found
-
-
-def _odd(i: int) -> int:
-    """The i-th multiplier: odd multiples of the 64-bit golden ratio."""
-    return (0x9E3779B97F4A7C15 * (2 * i + 1)) & (2**64 - 1)
+    word, bits = _word_and_bits(keys, int(words.size).bit_length() - 1 + 6)
+    return (words[word] & bits) == bits

@@ -130,40 +130,59 @@ class Signer:
         at = np.minimum(np.searchsorted(self.frequent, shingles), len(self.frequent) - 1)
         return np.where(self.frequent[at] == shingles, self.counts[at], 0)
 
-    def signatures(self, shingles: np.ndarray, frequency: np.ndarray) -> np.ndarray:
-        out, size = [], len(shingles)
+    def signatures(self, shingles: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures of a set, and which of them stand for frequent shingles alone.
+
+        A set that has fewer than k + 1 partitions with a rare shingle signs those, and then, like the sets of
+        the band of single shingles, its first size / 4 + 1 shingles, rare ones first. Two similar sets of
+        which one has k + 1 such partitions share one of them; otherwise both sign single shingles and
+        meet in the first one they share. If that is a frequent one they have no rare shingle in common."""
+        out, common, size, singles = [], [], len(shingles), False
         for number, low, high in _bands(size):
             seed = _mix(np.array([number + 1], dtype=np.uint64))
-            if low < FIRST:
-                tokens, often, most = _mix(shingles ^ seed), frequency, size // 4  # |s - r| <= size / 4
-            else:
-                parts = int(high / LOAD)
-                part = (_mix(shingles ^ seed) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-                order = np.argsort(part, kind="stable")
-                part = part[order]
-                at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-                tokens = _mix(np.add.reduceat(_mix(shingles[order]), at) + _mix(part[at] ^ seed))
-                often = np.minimum.reduceat(frequency[order], at)
-                most = (size + min(4 * size // 3, high - 1)) // 7  # |s - r| + |r - s| for any similar r of the band
-            first = most + (2 if low == SUBSETS else 1)
+            if low == SINGLES:
+                singles = True
+                continue
+            if low == SUBSETS:
+                # |s - r| <= size / 4, and similar sets of three or more shingles share two.
+                tokens = _mix(shingles ^ seed)
+                at = _first(tokens, frequency, size // 4 + 2)
+                at = at[np.argsort(tokens[at])]
+                a, b = np.triu_indices(len(at), 1)
+                out.append(_mix(tokens[at[a]] + _mix(tokens[at[b]])) ^ seed)
+                common.append((frequency[at[a]] > 0) & (frequency[at[b]] > 0))
+                continue
+            parts = int(high / LOAD)
+            part = (_mix(shingles ^ seed) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+            order = np.argsort(part, kind="stable")
+            part = part[order]
+            at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            tokens = _mix(np.add.reduceat(_mix(shingles[order]), at) + _mix(part[at] ^ seed))
+            rare = tokens[np.minimum.reduceat(frequency[order], at) == 0]
+            first = (size + min(4 * size // 3, high - 1)) // 7 + 1  # k = |s - r| + |r - s| for any similar r of the band
             if len(tokens) < first:
                 raise RuntimeError(f"{size} shingles fill only {len(tokens)} partitions, {first} are needed")
-            chosen = _first(tokens, often, first)
-            if low == SUBSETS:
-                a, b = np.triu_indices(len(chosen), 1)
-                chosen = _mix(chosen[a] + _mix(chosen[b]))
+            singles |= len(rare) < first
+            chosen = np.partition(rare, first - 1)[:first] if len(rare) > first else rare
             out.append(chosen ^ seed)
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+            common.append(np.zeros(len(chosen), dtype=bool))
+        if singles:
+            seed = _mix(np.array([2], dtype=np.uint64))
+            tokens = _mix(shingles ^ seed)
+            at = _first(tokens, frequency, size // 4 + 1)
+            out.append(tokens[at] ^ seed)
+            common.append(frequency[at] > 0)
+        if not out:
+            return np.zeros(0, np.uint64), np.zeros(0, dtype=bool)
+        return np.concatenate(out), np.concatenate(common)
 
 
 def _first(tokens: np.ndarray, often: np.ndarray, n: int) -> np.ndarray:
-    """The n first tokens by (frequency, value), sorted by value."""
-    rare = tokens[often == 0]
-    if len(rare) >= n:
-        chosen = np.partition(rare, n - 1)[:n] if len(rare) > n else rare
-    else:
-        chosen = tokens[np.lexsort((tokens, often))[:n]]
-    return np.sort(chosen)
+    """Places of the n first tokens by (frequency, value)."""
+    rare = np.flatnonzero(often == 0)
+    if len(rare) > n:
+        return rare[np.argpartition(tokens[rare], n - 1)[:n]]
+    return np.lexsort((tokens, often))[:n]
 
 
 def parity_bits(shingles: np.ndarray) -> bytes:
@@ -231,7 +250,7 @@ def _signature_counts(sets: DataFrame, signer) -> DataFrame:
     def run(batches):
         own = signer.value
         for batch in batches:
-            found = [own.signatures(s, own.frequency(s)) for s in (unpack(x.as_buffer()) for x in batch.column(0))]
+            found = [own.signatures(s, own.frequency(s))[0] for s in (unpack(x.as_buffer()) for x in batch.column(0))]
             if found:
                 sig, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"sig": pa.array(sig.view(np.int64)), "n": pa.array(n.astype(np.int32))})
@@ -241,7 +260,7 @@ def _signature_counts(sets: DataFrame, signer) -> DataFrame:
 
 def _candidates(sets: DataFrame, signer, shared) -> DataFrame:
     """Sets that hold a signature which may be another's too, with those signatures and the parity bitmap."""
-    schema = "set_id binary, key bigint, n bigint, typical double, sigs array<bigint>, parity binary"
+    schema = "set_id binary, key bigint, n bigint, rare bigint, typical double, sigs array<bigint>, common array<bigint>, parity binary"
 
     def run(batches):
         own, words = signer.value, shared.value
@@ -250,14 +269,17 @@ def _candidates(sets: DataFrame, signer, shared) -> DataFrame:
             for i, key, raw in zip(*(batch.column(k) for k in range(3))):
                 s = unpack(raw.as_buffer())
                 frequency = own.frequency(s)
-                sigs = np.unique(own.signatures(s, frequency)).view(np.int64)
-                sigs = sigs[in_bloom(words, sigs)]
-                if len(sigs):
-                    rows.append((i.as_py(), key.as_py(), len(s), float(np.log1p(frequency).mean()), sigs, parity_bits(s)))
+                sigs, common = own.signatures(s, frequency)
+                sigs = sigs.view(np.int64)
+                held = in_bloom(words, sigs)
+                if held.any():
+                    rows.append((i.as_py(), key.as_py(), len(s), int((frequency == 0).sum()), float(np.log1p(frequency).mean()),
+                                 sigs[held & ~common], sigs[held & common], parity_bits(s)))
             if rows:
                 c = list(zip(*rows))
-                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds)], names=["set_id", "key", "n", "typical", "sigs", "parity"])
+                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+                names = ["set_id", "key", "n", "rare", "typical", "sigs", "common", "parity"]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds)], names=names)
 
     return sets.select("set_id", "key", "shingles").mapInArrow(run, schema)
 
@@ -329,28 +351,34 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     # Nodes are sets, named by their smallest identifier.
     owners = cut_lineage(rows.where(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("set_id").agg(F.min("id").cast("bigint").alias("node")))
-    once = _candidates(sets, signer, shared).groupBy("set_id").agg(F.first(F.struct("key", "n", "typical", "sigs", "parity")).alias("s"))
+    once = _candidates(sets, signer, shared).groupBy("set_id").agg(F.first(F.struct("key", "n", "rare", "typical", "sigs", "common", "parity")).alias("s"))
     candidates = cut_lineage(once.join(owners, "set_id").select("node", "s.*"))
 
-    members = candidates.select("node", "n", "typical", F.explode("sigs").alias("sig"))
-    centres = members.groupBy("sig").agg(F.max(F.struct("typical", "node", "n")).alias("c"), F.count("*").alias("m"))
-    centres = cut_lineage(centres.where(F.col("m") > 1).select("sig", F.col("c.node").alias("centre"), F.col("c.n").alias("n_c")))
+    # Members that meet in a frequent shingle and share no rare one differ in all their rare shingles: they can
+    # only be similar if rare + rare' <= (n + n') / 7, that is, if their gaps (7 rare - n) add up to 0 at most.
+    gap = (100 + percent) * F.col("rare") - (100 - percent) * F.col("n")
+    members = candidates.select("node", "n", "typical", F.lit(None).cast("bigint").alias("gap"), F.explode("sigs").alias("sig")).unionAll(
+        candidates.select("node", "n", "typical", gap.alias("gap"), F.explode("common").alias("sig")))
+    centres = members.groupBy("sig").agg(F.max(F.struct("typical", "node", "n", "gap")).alias("c"), F.min("gap").alias("least"), F.count("*").alias("m"))
+    centres = cut_lineage(centres.where(F.col("m") > 1).select(
+        "sig", F.col("c.node").alias("centre"), F.col("c.n").alias("n_c"), F.col("c.gap").alias("gap_c"), "least"))
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    spokes = members.join(centres, "sig").where((F.col("node") != F.col("centre")) & fits(F.col("n"), F.col("n_c")))
+    close = lambda x, y: F.coalesce(x + y, F.lit(0)) <= 0
+    members = cut_lineage(members.join(centres, "sig").where(close(F.col("gap"), F.col("least"))))
+    spokes = members.where((F.col("node") != F.col("centre")) & fits(F.col("n"), F.col("n_c")) & close(F.col("gap"), F.col("gap_c")))
     spokes = cut_lineage(spokes.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     links = _linked(spokes, candidates, sets, owners, percent)
     labels = components(links)
 
     # Buckets whose members are not all connected yet: members of different components are held against
     # each other. Members of one component need no further link.
-    placed = members.join(centres.select("sig"), "sig").join(labels, "node", "left").select(
-        "sig", "node", "n", F.coalesce("label", "node").alias("label"))
-    placed = cut_lineage(placed)
+    placed = cut_lineage(members.join(labels, "node", "left").select("sig", "node", "n", "gap", F.coalesce("label", "node").alias("label")))
     open_ = cut_lineage(placed.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig"))
     left = placed.join(open_, "sig")
-    other = left.select("sig", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
+    other = left.select("sig", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("gap").alias("gap_b"))
     pairs = left.withColumnRenamed("node", "a").join(other, "sig").where(
-        (F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & fits(F.col("n"), F.col("n_b"))).select("a", "b").distinct()
+        (F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & fits(F.col("n"), F.col("n_b")) & close(F.col("gap"), F.col("gap_b")))
+    pairs = cut_lineage(pairs.select("a", "b").distinct())
     more = _linked(pairs.join(spokes, ["a", "b"], "left_anti"), candidates, sets, owners, percent)
     label_of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
     between = more.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left").select(
