@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bloom_words, in_bloom
+from quarry.llm.common import bloom_words, in_bloom, text_slices
 from quarry.llm.components import components
 from quarry.session import cut_lineage, scratch_path
 
@@ -94,17 +94,6 @@ def unpack(raw) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def text_slices(texts: pa.Array, size: int = 6_000_000):
-    """Slices of about ``size`` bytes, at least one text each: bounds what a task holds at once."""
-    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < len(texts):
-        base = ends[at - 1] if at else 0
-        end = max(at + 1, int(np.searchsorted(ends, base + size, "right")))
-        yield at, texts.slice(at, end - at)
-        at = end
-
-
 def _bands(size: int):
     """(number, lower edge, upper edge) of the bands a set signs in: its own, and the next one if a set
     there can be similar. Sets of fewer than SUBSETS shingles are similar only to themselves."""
@@ -354,30 +343,32 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     once = _candidates(sets, signer, shared).groupBy("set_id").agg(F.first(F.struct("key", "n", "rare", "typical", "sigs", "common", "parity")).alias("s"))
     candidates = cut_lineage(once.join(owners, "set_id").select("node", "s.*"))
 
-    # Members that meet in a frequent shingle and share no rare one differ in all their rare shingles: they can
-    # only be similar if rare + rare' <= (n + n') / 7, that is, if their gaps (7 rare - n) add up to 0 at most.
-    gap = (100 + percent) * F.col("rare") - (100 - percent) * F.col("n")
-    members = candidates.select("node", "n", "typical", F.lit(None).cast("bigint").alias("gap"), F.explode("sigs").alias("sig")).unionAll(
-        candidates.select("node", "n", "typical", gap.alias("gap"), F.explode("common").alias("sig")))
-    centres = members.groupBy("sig").agg(F.max(F.struct("typical", "node", "n", "gap")).alias("c"), F.min("gap").alias("least"), F.count("*").alias("m"))
+    # Members that meet in a frequent shingle and share no rare one have at most their frequent ones in
+    # common, so each needs percent (n + n') / (100 + percent) of them: that bounds its partner's size.
+    largest = F.floor((100 + percent) * (F.col("n") - F.col("rare")) / percent) - F.col("n")
+    members = candidates.select("node", "n", "typical", F.lit(None).cast("bigint").alias("largest"), F.explode("sigs").alias("sig")).unionAll(
+        candidates.select("node", "n", "typical", largest.alias("largest"), F.explode("common").alias("sig")))
+    centres = members.groupBy("sig").agg(F.max(F.struct("typical", "node", "n", "largest")).alias("c"), F.min("n").alias("least"), F.count("*").alias("m"))
     centres = cut_lineage(centres.where(F.col("m") > 1).select(
-        "sig", F.col("c.node").alias("centre"), F.col("c.n").alias("n_c"), F.col("c.gap").alias("gap_c"), "least"))
+        "sig", F.col("c.node").alias("centre"), F.col("c.n").alias("n_c"), F.col("c.largest").alias("largest_c"), "least"))
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    close = lambda x, y: F.coalesce(x + y, F.lit(0)) <= 0
-    members = cut_lineage(members.join(centres, "sig").where(close(F.col("gap"), F.col("least"))))
-    spokes = members.where((F.col("node") != F.col("centre")) & fits(F.col("n"), F.col("n_c")) & close(F.col("gap"), F.col("gap_c")))
+    allows = lambda most, n: F.coalesce(n <= most, F.lit(True))
+    members = cut_lineage(members.join(centres, "sig").where(allows(F.col("largest"), F.col("least"))))
+    spokes = members.where((F.col("node") != F.col("centre")) & fits(F.col("n"), F.col("n_c"))
+                           & allows(F.col("largest"), F.col("n_c")) & allows(F.col("largest_c"), F.col("n")))
     spokes = cut_lineage(spokes.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     links = _linked(spokes, candidates, sets, owners, percent)
     labels = components(links)
 
     # Buckets whose members are not all connected yet: members of different components are held against
     # each other. Members of one component need no further link.
-    placed = cut_lineage(members.join(labels, "node", "left").select("sig", "node", "n", "gap", F.coalesce("label", "node").alias("label")))
+    placed = cut_lineage(members.join(labels, "node", "left").select("sig", "node", "n", "largest", F.coalesce("label", "node").alias("label")))
     open_ = cut_lineage(placed.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig"))
     left = placed.join(open_, "sig")
-    other = left.select("sig", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("gap").alias("gap_b"))
+    other = left.select("sig", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("largest").alias("largest_b"))
     pairs = left.withColumnRenamed("node", "a").join(other, "sig").where(
-        (F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & fits(F.col("n"), F.col("n_b")) & close(F.col("gap"), F.col("gap_b")))
+        (F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & fits(F.col("n"), F.col("n_b")) 
+        & allows(F.col("largest"), F.col("n_b")) & allows(F.col("largest_b"), F.col("n")))
     pairs = cut_lineage(pairs.select("a", "b").distinct())
     more = _linked(pairs.join(spokes, ["a", "b"], "left_anti"), candidates, sets, owners, percent)
     label_of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
