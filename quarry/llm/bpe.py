@@ -50,6 +50,14 @@ LATER_LETTERS = (
 LATER_NUMBERS = "\U00011de0-\U00011de9\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ff4-\U00016ff6"
 LATER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
                **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}}
+# Combining marks (and the second half of one composition) that the library's older normaliser takes for letters
+# of their own: nothing is reordered or composed across them.
+LATER_MARKS = re.compile(
+    "([\u07fd\u0898-\u089f\u08ca-\u08d3\u09fe\u0c3c\u0d3b-\u0d3c\u0eba\u1715\u1abf-\u1ace\u1df6-\u1dfa\ua82c\U00010d24-\U00010d27"
+    "\U00010eab-\U00010eac\U00010efd-\U00010eff\U00010f46-\U00010f50\U00010f82-\U00010f85\U00011070\U0001133b\U0001145e"
+    "\U00011839-\U0001183a\U00011930\U0001193d-\U0001193e\U00011943\U000119e0\U00011a34\U00011a47\U00011a99\U00011d42"
+    "\U00011d44-\U00011d45\U00011d97\U00011f41-\U00011f42\U00016ff0-\U00016ff1\U0001e08f\U0001e130-\U0001e136\U0001e2ae"
+    "\U0001e2ec-\U0001e2ef\U0001e4ec-\U0001e4ef])")
 NEEDS_LOWER = re.compile("[" + "".join(map(chr, LATER_LOWER)) + "]")
 
 
@@ -130,8 +138,8 @@ class WordBpe:
 
     def _normalised(self, text: str) -> str:
         """Chunks without white space, between single blanks."""
-        text = unicodedata.normalize("NFC", text)
         if not text.isascii():
+            text = "".join([unicodedata.normalize("NFC", part) for part in LATER_MARKS.split(text)])
             if NEEDS_LOWER.search(text):
                 text = text.translate(LATER_LOWER)
             text = text.replace("Σ", "σ")  # lower case goes by single characters: no final sigma
