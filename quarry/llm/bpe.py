@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ChunkMemo, blank_chunks, join_chunks, text_slices
+from quarry.llm.common import ChunkMemo, blank_chunks, give_back, join_chunks, text_slices
 
 CACHE_ENTRIES = 100_000
 ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split(), not to Unicode
@@ -205,19 +205,24 @@ def bpe_tokens(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", id_col: s
     """
     def run(batches):
         bpe = word_bpe(public_tokenizers.path(vocabulary))
-        for batch in batches:
-            for at, texts in text_slices(batch.column(1).fill_null("")):
-                raw, decoded = bpe.encode_texts(texts.to_pylist())
-                raw, decoded = raw.cast(pa.binary()), decoded.cast(pa.string())
-                ends = np.frombuffer(raw.buffers()[1], "<i4", count=len(raw) + 1)
-                out = {id_col: batch.column(0).slice(at, len(texts)), "n_tokens": pa.array(np.diff(ends).astype(np.int64) // 4),
-                       "ids_sha256": pa.array([hashlib.sha256(r.as_buffer()).hexdigest() for r in raw], pa.string()),
-                       "decoded_sha256": pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in decoded], pa.string())}
-                if with_ids:
-                    ids = np.frombuffer(raw.buffers()[2], "<i4") if raw.buffers()[2] is not None and ends[-1] else np.zeros(0, "<i4")
-                    out |= {"ids": pa.ListArray.from_arrays(pa.array(ends // 4), pa.array(ids[: ends[-1] // 4])), "decoded": decoded}
-                yield pa.RecordBatch.from_pydict(out)
-            pa.default_memory_pool().release_unused()
+        try:
+            for batch in batches:
+                for at, texts in text_slices(batch.column(1).fill_null("")):
+                    raw, decoded = bpe.encode_texts(texts.to_pylist())
+                    raw, decoded = raw.cast(pa.binary()), decoded.cast(pa.string())
+                    ends = np.frombuffer(raw.buffers()[1], "<i4", count=len(raw) + 1)
+                    out = {id_col: batch.column(0).slice(at, len(texts)), "n_tokens": pa.array(np.diff(ends).astype(np.int64) // 4),
+                           "ids_sha256": pa.array([hashlib.sha256(r.as_buffer()).hexdigest() for r in raw], pa.string()),
+                           "decoded_sha256": pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in decoded], pa.string())}
+                    if with_ids:
+                        ids = np.frombuffer(raw.buffers()[2], "<i4") if raw.buffers()[2] is not None and ends[-1] else np.zeros(0, "<i4")
+                        out |= {"ids": pa.ListArray.from_arrays(pa.array(ends // 4), pa.array(ids[: ends[-1] // 4])), "decoded": decoded}
+                    yield pa.RecordBatch.from_pydict(out)
+                give_back()
+        finally:  # the worker process goes on; its memo does not
+            bpe.words.clear()
+            bpe.chunks.clear()
+            give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

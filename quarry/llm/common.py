@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -84,6 +85,9 @@ class ChunkMemo:
     def __init__(self, make, size: int):
         self.make, self.size, self.young, self.old = make, size, {}, {}
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
     def values(self, keys) -> dict:
         """A dict that has at least ``keys``."""
         if len(self.young) > self.size:
@@ -102,6 +106,15 @@ class ChunkMemo:
         return young
 
 
+def give_back() -> None:
+    """Return free Arrow and C heap memory to the system: Python workers live on after a task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
 def in_parts(items: list, size: int):
     for i in range(0, len(items), size):
         yield items[i : i + size]

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bloom_words, in_bloom, text_slices
+from quarry.llm.common import bloom_words, give_back, in_bloom, text_slices
 from quarry.llm.components import components
 from quarry.session import cut_lineage, scratch_path
 
@@ -33,6 +33,7 @@ LOAD = 1.5  # shingles per partition at a band's upper edge
 MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * j + 1)) % 2**64 for j in range(1, N + 1)], dtype=np.uint64)
 FREQUENT, FREQUENT_PER_TASK = 65_536, 4_096
 BLOOM_BITS = 27
+SETS_AT_ONCE = 2500
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -225,6 +226,8 @@ def _identify(kind: str, docs: DataFrame) -> DataFrame:
                     often[v] = often.get(v, 0) + c
                 if len(often) > 16 * FREQUENT_PER_TASK:
                     often = dict(sorted(often.items(), key=lambda x: (-x[1], x[0]))[: 4 * FREQUENT_PER_TASK])
+                del sets, ids, packed, values, counts
+            give_back()
         best = sorted(often.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT_PER_TASK]
         if best:
             n = len(best)
@@ -239,10 +242,12 @@ def _signature_counts(sets: DataFrame, signer) -> DataFrame:
     def run(batches):
         own = signer.value
         for batch in batches:
-            found = [own.signatures(s, own.frequency(s))[0] for s in (unpack(x.as_buffer()) for x in batch.column(0))]
-            if found:
+            for at in range(0, batch.num_rows, SETS_AT_ONCE):
+                some = batch.column(0).slice(at, SETS_AT_ONCE)
+                found = [own.signatures(s, own.frequency(s))[0] for s in (unpack(x.as_buffer()) for x in some)]
                 sig, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"sig": pa.array(sig.view(np.int64)), "n": pa.array(n.astype(np.int32))})
+            give_back()
 
     return sets.select("shingles").mapInArrow(run, "sig bigint, n int").groupBy("sig").agg(F.sum("n").alias("n"))
 
@@ -253,7 +258,7 @@ def _candidates(sets: DataFrame, signer, shared) -> DataFrame:
 
     def run(batches):
         own, words = signer.value, shared.value
-        for batch in batches:
+        for batch in (b.slice(at, SETS_AT_ONCE) for b in batches for at in range(0, b.num_rows, SETS_AT_ONCE)):
             rows = []
             for i, key, raw in zip(*(batch.column(k) for k in range(3))):
                 s = unpack(raw.as_buffer())
