@@ -21,10 +21,22 @@ from quarry.session import cut_lineage, scratch_path
 LEAST_SCORE = 0.3
 
 
+#: Texts are long: an Arrow batch between Spark and a Python worker holds at most this many rows.
+BATCH_ROWS = 2000
+
+
+def _prepare(spark: SparkSession) -> None:
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    most = int(spark.conf.get(key))
+    if not 0 < most <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps texts whose language is recognised. Null texts, texts without a letter, and texts whose best
     language has a probability under LEAST_SCORE go. The model learns from two thirds of the labelled rows."""
-    ship_package(spark)
+    _prepare(spark)
     model = train_language_model(docs)
     if not model.classes:
         return docs  # nothing was learned, so nothing can be rejected
@@ -37,7 +49,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of every distinct normalised text: the one with the smallest doc_id; of rows that
     share both, any one. Null texts count as empty. Rows with a null doc_id stay only if all of their
     text's rows have none."""
-    ship_package(spark)
+    _prepare(spark)
     key = lambda i, digest: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("none")), digest).alias("__key")
     kept = exact_dedup(docs).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")))
     marked = docs.select("*", key(F.col("doc_id"), text_digest(F.col("text"))))
@@ -49,7 +61,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by 5-word shingles (Jaccard 0.75 or more): the one with the
     smallest doc_id. Texts without words, and rows with a null doc_id, stay."""
-    ship_package(spark)
+    _prepare(spark)
     groups = ngram_components(docs)
     gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -57,14 +69,14 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a passage of ``benchmark``; all others stay."""
-    ship_package(spark)
+    _prepare(spark)
     found = cut_lineage(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
     return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and ids of every document."""
-    ship_package(spark)
+    _prepare(spark)
     return bpe_tokens(docs, with_ids=True).drop("decoded")
 
 
