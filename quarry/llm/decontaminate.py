@@ -1,14 +1,15 @@
-"""Benchmark decontamination by spaced-seed hashing.
+"""Benchmark decontamination by runs of words.
 
-Fixed masks pick some positions of a run of words and ignore the others, so that a copied passage with
-substituted words still shares a hash with its source under one of the masks. Hashes of benchmark items and
-of documents are joined; around each hit the two texts are laid side by side and their equal words counted.
+A passage of W words of which at most c were substituted holds a run of unchanged words of at least
+(W - c) / (c + 1), rounded up. Runs of that length are hashed at every place of the benchmark items and of the
+documents; at each shared hash the two texts are laid side by side and their equal words counted. The run
+length falls with the length of the item, so no passage within the limits is missed.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -20,108 +21,149 @@ from pyspark.sql.pandas.types import to_arrow_type
 from quarry.llm.common import texts_of
 
 WORD = re.compile(r"\w+")
-#: Positions that count (1) and that are ignored (0). No two substitutions in any twelve words miss all.
-MASKS = ("11111111", "110110010111", "101101110011", "111010011101")
 #: Benchmark words a block may hold: bounds what is broadcast at once.
 BLOCK_WORDS = 2_000_000
+#: Shared runs that are laid side by side at once: bounds what a task holds.
+HITS = 20_000
 
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def _seed_hashes(ids: np.ndarray, mask: str, multipliers: np.ndarray) -> np.ndarray:
-    """A hash of the counted positions of the mask at every offset."""
-    n = len(ids) - len(mask) + 1
-    h = np.zeros(n, dtype=np.uint64)
-    for j, c in enumerate(mask):
-        if c == "1":
-            h = (h ^ ids[j : j + n]) * multipliers[j]
-            h ^= h >> np.uint64(29)
-    return h
+def least_equal(width: int, share: float) -> int:
+    """The least number of equal words of ``width`` that is a share of ``share`` or more."""
+    return max(1, math.ceil(share * width - 1e-9))
+
+
+def span_of(width: int, share: float) -> int:
+    """The run of equal words that every passage of ``width`` words within the limits holds: the longest of
+    the pieces between its substituted words has at least this length."""
+    need = least_equal(width, share)
+    return -(-need // (width - need + 1))
+
 
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
-MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * j + 3)) % 2**64 | 1 for j in range(64)], dtype=np.uint64)
+
+def _run_hashes(ids: np.ndarray, span: int) -> np.ndarray:
+    """A hash of the run of ``span`` words at every offset."""
+    n = len(ids) - span + 1
+    h = np.zeros(n, dtype=np.uint64)
+    for j in range(span):
+        h = (h ^ ids[j : j + n]) * MULTIPLIER
+        h ^= h >> np.uint64(29)
+    return h
 
 
 class SeedIndex:
-    """Benchmark items as word numbers, and for each mask the sorted hashes of their places."""
+    """Benchmark items as word numbers, one after the other, and for each run length the sorted hashes of the
+    runs of the items that need this length, with their places."""
 
-    def __init__(self, items: list[tuple[object, str]]):
+    def __init__(self, items: list[tuple[object, str]], window: int, share: float):
         self.ids = [i for i, _ in items]
         texts = [words_of(t or "") for _, t in items]
         self.number = {w: k + 1 for k, w in enumerate(sorted({w for t in texts for w in t}))}
-        self.words = [np.array([self.number[w] for w in t], dtype=np.uint64) for t in texts]
+        self.words = np.array([self.number[w] for t in texts for w in t], dtype=np.uint64)
+        lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        self.ends = np.cumsum(lengths)
+        self.starts = self.ends - lengths
+        self.widths = np.minimum(lengths, window)
+        self.need = {int(w): least_equal(int(w), share) for w in np.unique(self.widths) if w}
+        runs: dict[int, list] = {}
+        for k, width in enumerate(self.widths):
+            if width:
+                span = span_of(int(width), share)
+                h = _run_hashes(self.words[self.starts[k] : self.ends[k]], span)
+                runs.setdefault(span, []).append((h, self.starts[k] + np.arange(len(h)), np.full(len(h), k)))
         self.tables = []
-        for mask in MASKS:
-            hashes, places = [], []
-            for k, w in enumerate(self.words):
-                if len(w) >= len(mask):
-                    h = _seed_hashes(w, mask, MULTIPLIERS)
-                    hashes.append(h)
-                    places.append(np.stack([np.full(len(h), k), np.arange(len(h))], 1))
-            h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-            p = np.concatenate(places) if places else np.zeros((0, 2), np.int64)
+        for span, parts in sorted(runs.items()):
+            h, place, item = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(h, kind="stable")
-            self.tables.append((h[order], p[order]))
-        self.least = min(map(len, MASKS))
+            self.tables.append((span, h[order], place[order], item[order]))
 
-    def overlaps(self, text: str, window: int, share: float) -> dict[int, tuple[int, int, int]]:
-        """item -> (equal words, first word and end of the overlap in the text) for the best verified overlap."""
+    def overlaps(self, text: str) -> dict[int, tuple[int, int, int]]:
+        """item -> (equal words, first word and end of the overlap in the text) for the best verified overlap:
+        the most equal words, then the first in the text."""
         get = self.number.get
         ids = np.array([get(w, 0) for w in words_of(text)], dtype=np.uint64)
-        if len(ids) < self.least:
-            return {}
         known = np.concatenate([[0], np.cumsum(ids != 0)])
         best: dict[int, tuple[int, int, int]] = {}
-        lanes = defaultdict(list)
-        for mask, (hashes, places) in zip(MASKS, self.tables):
-            n = len(ids) - len(mask) + 1
-            if n < 1 or not len(hashes):
+        for span, hashes, places, items in self.tables:
+            if len(ids) < span:
                 continue
-            # Only spots whose words are mostly the benchmark's can hit: all counted positions must be known.
-            spots = np.flatnonzero(known[len(mask):] - known[:-len(mask)] >= mask.count("1"))
+            # Only runs of the benchmark's own words can hit.
+            spots = np.flatnonzero(known[span:] - known[:-span] == span)
             if not len(spots):
                 continue
-            full = _seed_hashes(ids, mask, MULTIPLIERS)[spots]
-            lo, hi = np.searchsorted(hashes, full, "left"), np.searchsorted(hashes, full, "right")
-            for s, a, b in zip(spots[hi > lo], lo[hi > lo], hi[hi > lo]):
-                for item, at in places[a:b]:
-                    lanes[int(item), int(s) - int(at)].append(int(s))
-        for (item, shift), starts in lanes.items():
-            found = self._verify(ids, item, shift, starts, window, share)
-            if found and (item not in best or found[0] > best[item][0]):
-                best[item] = found
+            full = _run_hashes(ids, span)[spots]
+            lo = np.searchsorted(hashes, full, "left")
+            hit = lo < len(hashes)
+            hit[hit] = hashes[lo[hit]] == full[hit]
+            spots, lo = spots[hit], lo[hit]
+            ends = np.cumsum(np.searchsorted(hashes, full[hit], "right") - lo)
+            lanes: dict[int, set] = {}
+            for base in range(0, int(ends[-1]) if len(ends) else 0, HITS):
+                numbers = np.arange(base, min(base + HITS, int(ends[-1])))
+                k = np.searchsorted(ends, numbers, "right")
+                at = lo[k] + numbers - np.where(k > 0, ends[k - 1], 0)
+                self._check(ids, span, spots[k], places[at], items[at], best, lanes)
+            for item, shifts in lanes.items():
+                for shift in sorted(shifts, reverse=True):
+                    _keep(best, item, self._whole_lane(ids, item, shift))
         return best
 
-    def _verify(self, ids, item, shift, starts, window, share):
-        """Equal words of text and item along one alignment; at least ``share`` of some ``window`` words in
-        a row (of the whole item if it is shorter) must be equal."""
-        words = self.words[item]
-        a, b = max(0, shift), min(len(ids), shift + len(words))
-        equal = ids[a:b] == words[a - shift : b - shift]
-        width = min(window, len(words))
-        if b - a < width:
-            return None
-        sums = np.concatenate([[0], np.cumsum(equal)])
-        good = np.flatnonzero(sums[width:] - sums[:-width] >= share * width)
-        if not len(good):
-            return None
+    def _check(self, ids, span, spots, places, items, best, lanes):
+        """Lay text and item side by side around each shared run. A window of an item that is one window
+        goes to ``best``, the (item, place of the text's first word) of a longer item's to ``lanes``."""
+        widths = self.widths[items]
+        for width in np.unique(widths).tolist():
+            mine = np.flatnonzero(widths == width)
+            s, g, item = spots[mine], places[mine], items[mine]
+            first = np.arange(span - width, 1)  # of the windows that hold the run, from its first word
+            fits = (s[:, None] + first >= 0) & (s[:, None] + first + width <= len(ids))
+            fits &= (g[:, None] + first >= self.starts[item][:, None]) & (g[:, None] + first + width <= self.ends[item][:, None])
+            some = np.flatnonzero(fits.any(1))
+            s, g, item, fits = s[some], g[some], item[some], fits[some]
+            around = np.arange(span - width, width)
+            equal = ids[np.clip(s[:, None] + around, 0, len(ids) - 1)] == self.words[np.clip(g[:, None] + around, 0, len(self.words) - 1)]
+            sums = np.zeros((len(s), len(around) + 1), dtype=np.int32)
+            np.cumsum(equal, axis=1, out=sums[:, 1:])
+            counts = sums[:, width:] - sums[:, :-width]
+            rows, at = np.nonzero(fits & (counts >= self.need[width]))
+            longer = self.ends[item[rows]] - self.starts[item[rows]] > width
+            for r, n, start in zip(rows[~longer], counts[rows, at][~longer].tolist(), (s[rows] + first[at])[~longer].tolist()):
+                _keep(best, int(item[r]), (n, start, start + width))
+            for r in np.unique(rows[longer]):
+                lanes.setdefault(int(item[r]), set()).add(int(g[r] - s[r] - self.starts[item[r]]))
+
+    def _whole_lane(self, ids, item, shift):
+        """Equal words of text and item along one alignment, from the first to the last window that has
+        enough of them."""
+        words, width = self.words[self.starts[item] : self.ends[item]], int(self.widths[item])
+        a, b = max(0, -shift), min(len(ids), len(words) - shift)
+        sums = np.concatenate([[0], np.cumsum(ids[a:b] == words[a + shift : b + shift])])
+        good = np.flatnonzero(sums[width:] - sums[:-width] >= self.need[width])
         first, last = a + int(good[0]), a + int(good[-1]) + width
         return int(sums[last - a] - sums[first - a]), first, last
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str):
+def _keep(best, item, found):
+    if item not in best or (found[0], -found[1]) > (best[item][0], -best[item][1]):
+        best[item] = found
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, share: float):
     """The benchmark, the stated query set, in blocks of bounded size."""
     block, size = [], 0
     for r in benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).orderBy("i", "t").toLocalIterator():
         block.append((r.i, r.t))
         size += len(r.t or "") // 5 + 1
         if size >= BLOCK_WORDS:
-            yield SeedIndex(block)
+            yield SeedIndex(block, window, share)
             block, size = [], 0
     if block:
-        yield SeedIndex(block)
+        yield SeedIndex(block, window, share)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 20, share: float = 0.8, id_col: str = "doc_id",
@@ -130,21 +172,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 20, share:
     (the whole item if that is shorter) of an item with at least ``share`` of them unchanged, and how many
     words are equal there.
 
-    Words are \\w+, lower-cased. Items and texts shorter than the shortest mask (8 words), null or empty
-    ones match nothing. Repeated rows give repeated pairs; other columns are not read. The benchmark is
+    Words are \\w+, lower-cased. Items of any length count, under 1 / (1 - share) words as verbatim copies
+    only; null and empty ones and texts match nothing. Repeated rows give repeated pairs; other columns are not read. The benchmark is
     broadcast in blocks of about BLOCK_WORDS words, every document is read against each.
     """
     kind, item_kind = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField(item_col, item_kind), T.StructField("n_equal", T.LongType()),
                            T.StructField("first_word", T.LongType()), T.StructField("end_word", T.LongType())])
     out = None
-    for index in _blocks(benchmark, item_col, item_text_col):
-        part = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_matcher(docs.sparkSession, index, window, share, id_col, item_col, schema), schema)
+    for index in _blocks(benchmark, item_col, item_text_col, window, share):
+        part = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(_matcher(docs.sparkSession, index, schema), schema)
         out = part if out is None else out.unionAll(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def _matcher(spark, index, window, share, id_col, item_col, schema):
+def _matcher(spark, index, schema):
     shared = spark.sparkContext.broadcast(index)
     kinds = [to_arrow_type(f.dataType) for f in schema.fields]
 
@@ -153,7 +195,7 @@ def _matcher(spark, index, window, share, id_col, item_col, schema):
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
-                rows += [(doc, own.ids[item], n, a, b) for item, (n, a, b) in sorted(own.overlaps(text, window, share).items())]
+                rows += [(doc, own.ids[item], n, a, b) for item, (n, a, b) in sorted(own.overlaps(text).items())]
             columns = list(zip(*rows)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=schema.names)
 

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, their libraries and planted cases, on small tables."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 from quarry.llm.bpe import bpe_tokens, word_bpe
 from quarry.llm.common import ship_package
 from quarry.llm.components import components
-from quarry.llm.decontaminate import contaminated
+from quarry.llm.decontaminate import SeedIndex, contaminated
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.language_id import in_held_out, train_language_model, with_language
 from quarry.llm.ngram_join import ngram_components
@@ -328,6 +329,71 @@ def test_decontamination(spark, docs, odd):
     assert whole <= {(x.doc_id, x.item_id) for x in contaminated(docs, spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect()}
 
 
+def test_decontamination_misses_no_pattern():
+    """Every way to change as many words as the limit allows, in items of 1 to 24 words and any window of them."""
+    for n in range(1, 25):
+        item = [f"w{i}" for i in range(n)]
+        index, width = SeedIndex([("i", " ".join(item))], 20, 0.8), min(n, 20)
+        for at in range(n - width + 1):
+            for gone in itertools.combinations(range(at, at + width), width // 5):
+                words = [w if at <= i < at + width and i not in gone else "x" for i, w in enumerate(item)]
+                assert index.overlaps(" ".join(["y", *words, "z"])).keys() == {0}, (n, at, gone)
+
+
+def brute_overlaps(text, items, window=20):
+    """item -> most equal words of a qualifying alignment, over all alignments."""
+    out, words = {}, re.findall(r"\w+", text.lower())
+    for k, item in enumerate(items):
+        mine = re.findall(r"\w+", (item or "").lower())
+        width = min(window, len(mine))
+        for shift in range(-len(mine), len(words)) if width else ():
+            a, b = max(0, shift), min(len(words), shift + len(mine))
+            equal = [words[i] == mine[i - shift] for i in range(a, b)]
+            good = [i for i in range(len(equal) - width + 1) if 5 * sum(equal[i : i + width]) >= 4 * width]
+            if good:
+                out[k] = max(out.get(k, 0), sum(equal[good[0] : good[-1] + width]))
+    return out
+
+
+def edge_cases(seed, words=60):
+    """Items of 1 to 45 words, and texts that hold parts of them with one word in five changed, or one more."""
+    r = random.Random(seed)
+    word = lambda: f"v{int(r.paretovariate(0.6)) % words}"
+    items = [" ".join(word() for _ in range(n)) for n in [*range(1, 25), 30, 45] for _ in range(2)]
+    texts = []
+    for item in items * 3:
+        mine = item.split()
+        width = min(20, len(mine))
+        at = r.randrange(len(mine) - width + 1)
+        part = mine[at : at + width]
+        for i in r.sample(range(width), min(width, width // 5 + r.randrange(2))):
+            part[i] = "changed"
+        texts.append(" ".join([word() for _ in range(r.randrange(30))] + part + [word() for _ in range(r.randrange(30))]))
+    return items, texts + ["", "v1", " ".join(["v1"] * 100)]
+
+
+@pytest.mark.parametrize("words", [6, 60, 3000])
+def test_decontamination_equals_all_alignments(spark, words):
+    items, texts = edge_cases(5, words)
+    ship_package(spark)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = sorted((x.doc_id, x.item_id, x.n_equal) for x in contaminated(df, bench).collect())
+    assert got == sorted((d, i, n) for d, t in enumerate(texts) for i, n in brute_overlaps(t, items).items())
+
+
+def test_decontamination_stage_equals_all_alignments(spark, tmp_path):
+    import corpus_pipeline as C
+
+    items, texts = edge_cases(6, 3000)
+    items = [i for i in items if len(i.split()) >= 5]
+    spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    kept = sorted(r.doc_id for r in C.decontamination_stage(spark, df, str(tmp_path)).collect())
+    want = [d for d, t in enumerate(texts) if not brute_overlaps(t, items)]
+    assert kept == want and 0 < len(want) < len(texts)
+
+
 # --- pipeline
 def test_pipeline_stages_against_brute_force(spark, docs, tmp_path):
     import corpus_pipeline as C
