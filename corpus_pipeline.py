@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.bpe import bpe_tokens
 from quarry.llm.common import ship_package, table
-from quarry.llm.decontaminate import contaminated
+from quarry.llm.decontaminate import without_contaminated
 from quarry.llm.exact_dedup import exact_dedup, text_digest
 from quarry.llm.language_id import UNDECIDED, train_language_model, with_language
 from quarry.llm.ngram_join import ngram_components
@@ -60,18 +60,22 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by 5-word shingles (Jaccard 0.75 or more): the one with the
-    smallest doc_id. Texts without words, and rows with a null doc_id, stay."""
+    smallest doc_id, a null one last. Texts without words stay. Rows that share both doc_id and text are one
+    document, all of whose rows stay or go; rows that share only a doc_id are different documents. Documents
+    are told apart by a 64-bit hash of both."""
     _prepare(spark)
-    groups = ngram_components(docs)
-    gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    document = F.xxhash64("doc_id", "text").alias("__document")
+    groups = ngram_components(docs.select(document, F.col("text")), "__document").select("__document", "component_id").distinct()
+    known = groups.join(docs.select(document, F.col("doc_id")).distinct(), "__document")
+    kept = known.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__document"))).alias("least"))
+    gone = cut_lineage(groups.join(kept.select("least.__document"), "__document", "left_anti").select("__document"))
+    return docs.select("*", document).join(gone, "__document", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a passage of ``benchmark``; all others stay."""
+    """Drops the rows whose text holds a passage of ``benchmark``, whatever their doc_id; all others stay."""
     _prepare(spark)
-    found = cut_lineage(contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

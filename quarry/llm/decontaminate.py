@@ -186,6 +186,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 20, share:
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 20, share: float = 0.8, text_col: str = "text",
+                         item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose own text matches no item as in ``contaminated``; identifiers play no part."""
+    at = docs.columns.index(text_col)
+    for index in _blocks(benchmark, item_col, item_text_col, window, share):
+        docs = docs.mapInArrow(_sieve(docs.sparkSession, index, at), docs.schema)
+    return docs
+
+
+def _sieve(spark, index, at):
+    shared = spark.sparkContext.broadcast(index)
+
+    def run(batches):
+        own = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([not own.overlaps(t) for t in texts_of(batch.column(at))], pa.bool_()))
+
+    return run
+
+
 def _matcher(spark, index, schema):
     shared = spark.sparkContext.broadcast(index)
     kinds = [to_arrow_type(f.dataType) for f in schema.fields]

@@ -395,6 +395,25 @@ def test_decontamination_stage_equals_all_alignments(spark, tmp_path):
 
 
 # --- pipeline
+def test_stages_treat_rows_not_identifiers(spark, tmp_path):
+    """Null and repeated identifiers at the near-copy and the decontamination stage."""
+    import corpus_pipeline as C
+
+    r = random.Random(9)
+    text = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    item, one, other, third = text(25), text(60), text(60), text(60)
+    spark.createDataFrame([(0, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    table = lambda rows: spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    left = lambda df: sorted(((x.doc_id, x.text) for x in df.collect()), key=str)
+    bad = f"{one} {item}"
+    kept = C.decontamination_stage(spark, table([(None, bad), (None, other), (5, bad), (5, other), (6, None), (7, third)]), str(tmp_path))
+    assert left(kept) == sorted([(None, other), (5, other), (6, None), (7, third)], key=str)
+    near = lambda t: f"{t} end"
+    rows = [(2, one), (5, near(one)), (5, other), (None, near(other)), (None, third), (9, near(third)), (4, None), (None, ""), (7, bad), (7, bad)]
+    kept = C.near_stage(spark, table(rows), str(tmp_path))
+    assert left(kept) == sorted([(2, one), (5, other), (9, near(third)), (4, None), (None, ""), (7, bad), (7, bad)], key=str)
+
+
 def test_pipeline_stages_against_brute_force(spark, docs, tmp_path):
     import corpus_pipeline as C
 
