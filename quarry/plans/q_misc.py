@@ -165,24 +165,27 @@ def q_undersample(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ L
-def _events_stream(spark, sf_dir):
-    """The events as four files of ascending event_id, written one after the other: four micro-batches."""
+def _over_event_batches(spark, sf_dir, run):
+    """The events arrive in four batches of many files, each written in parallel; ``run(stream)`` drains what
+    has arrived as one micro-batch and goes on from its state at the next. Returns its last result."""
     ev, path = table(spark, sf_dir, "events"), scratch_path(spark, "event-files")
     for k in range(4):
-        ev.where(event_quarter() == k).coalesce(1).write.mode("append").parquet(path)
-    return L.file_stream(spark, path, ev.schema)
+        ev.where(event_quarter() == k).write.mode("append").parquet(path)
+        out = run(L.file_stream(spark, path, ev.schema, max_files_per_trigger=None))
+    return out
 
 
 def event_quarter():
-    """0 to 3: which quarter of 4 000 event ids in a row (ids count up from 0) an event falls in."""
-    return F.floor(F.pmod("event_id", F.lit(4000)) / 1000).cast("int")
+    """0 to 3, the batch of an event: which thousand of every 4 000 event ids in a row (each batch spans the
+    whole id range). Events without an id are in the last."""
+    return F.coalesce(F.floor(F.pmod("event_id", F.lit(4000)) / 1000).cast("int"), F.lit(3))
 
 
 @register("stream_score", rnd("SELECT event_id, 2.0 * value + 1.0 AS prediction FROM events", "prediction"))
 def q_stream_score(spark, sf_dir):
     """L1: stateless scoring of the events file stream, drained with availableNow."""
-    s = L.stream_score(_events_stream(spark, sf_dir), ["event_id"], F.lit(2.0) * F.col("value") + F.lit(1.0))
-    return L.run_to_files(s, scratch_path(spark, "stream-score"))
+    state, prediction = scratch_path(spark, "stream-score"), F.lit(2.0) * F.col("value") + F.lit(1.0)
+    return _over_event_batches(spark, sf_dir, lambda s: L.run_to_files(L.stream_score(s, ["event_id"], prediction), state))
 
 
 _QUARTER = "CAST(floor((event_id % 4000) / 1000) AS BIGINT)"
@@ -194,7 +197,8 @@ FROM events WHERE value < 20 OR value > 80 GROUP BY 1""")
 def q_stream_issues(spark, sf_dir):
     """L2: running counts of rows outside a validation range, over four micro-batches."""
     issue = F.when(F.col("value") < 20, F.lit("low_value")).when(F.col("value") > 80, F.lit("high_value"))
-    return L.stream_issue_totals(_events_stream(spark, sf_dir), issue, scratch_path(spark, "stream-issues"))
+    state = scratch_path(spark, "stream-issues")
+    return _over_event_batches(spark, sf_dir, lambda s: L.stream_issue_totals(s, issue, state))
 
 
 @register("stream_chunk_stats", f"""
@@ -203,4 +207,5 @@ SELECT chunk, sum(rows) OVER w - rows AS row_start, sum(rows) OVER w AS row_end,
 WINDOW w AS (ORDER BY chunk ROWS UNBOUNDED PRECEDING)""")
 def q_stream_chunks(spark, sf_dir):
     """Row range, rows and issue count per micro-batch."""
-    return L.stream_chunk_stats(_events_stream(spark, sf_dir), F.col("value") < 20, scratch_path(spark, "stream-chunks"))
+    state = scratch_path(spark, "stream-chunks")
+    return _over_event_batches(spark, sf_dir, lambda s: L.stream_chunk_stats(s, F.col("value") < 20, state))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import HASH_RANGE, sql_hash_unit
+from quarry.operators import drift as K
 from quarry.operators import evaluate as H
 from quarry.operators import leaderboard as J
 from quarry.operators import models as G
@@ -338,14 +339,15 @@ def q_gate(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ L3 / L4 / L5
-from quarry.plans.q_misc import _QUARTER, _events_stream  # noqa: E402
+from quarry.plans.q_misc import _QUARTER, _over_event_batches  # noqa: E402
 from quarry.session import scratch_path  # noqa: E402
 
 
 @register("stream_sample", f"SELECT event_id, value FROM events ORDER BY {sql_hash_unit(0, 'event_id')}, event_id LIMIT 500")
 def q_stream_sample(spark, sf_dir):
     """L3: bounded uniform sample carried across micro-batches (bottom-500 by hash)."""
-    return L.stream_sample(_events_stream(spark, sf_dir).select("event_id", "value"), "event_id", 500, scratch_path(spark, "stream-sample"))
+    state = scratch_path(spark, "stream-sample")
+    return _over_event_batches(spark, sf_dir, lambda s: L.stream_sample(s.select("event_id", "value"), "event_id", 500, state))
 
 
 from quarry.plans.q_drift import numeric_drift_sql  # noqa: E402
@@ -358,7 +360,8 @@ def q_stream_drift(spark, sf_dir):
     """L4: drift of streamed event values against the first half of January (train edges)."""
     ev = table(spark, sf_dir, "events")
     train = ev.where(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16 00:00:00'"))
-    return L.stream_drift(_events_stream(spark, sf_dir), train, ["value"], scratch_path(spark, "stream-drift"))
+    state, edges = scratch_path(spark, "stream-drift"), K.hist_edges(train, ["value"])
+    return _over_event_batches(spark, sf_dir, lambda s: L.stream_drift(s, train, ["value"], state, edges))
 
 
 _EV = ["event_id", "user_id", "event_type", "value", "props"]
@@ -403,7 +406,8 @@ SELECT type, severity, CAST(count AS BIGINT) AS count FROM rules0 WHERE severity
 @register("stream_quality_gate", _EV_RULES)
 def q_stream_gate(spark, sf_dir):
     """Quality rules evaluated on the first micro-batch only."""
-    return L.stream_quality_gate(_events_stream(spark, sf_dir).drop("ts"), scratch_path(spark, "stream-gate"), target="value")
+    state = scratch_path(spark, "stream-gate")
+    return _over_event_batches(spark, sf_dir, lambda s: L.stream_quality_gate(s.drop("ts"), state, target="value"))
 
 
 # ------------------------------------------------------------------ remaining inventory keys

@@ -27,10 +27,11 @@ def _versions(spark: SparkSession, folder: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 
-def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", max_files_per_trigger: int = 1) -> DataFrame:
-    """Parquet files arriving in ``folder`` (matching ``glob``), one file per micro-batch by default."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-            .option("pathGlobFilter", glob).parquet(folder))
+def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", max_files_per_trigger: int | None = 1) -> DataFrame:
+    """Parquet files arriving in ``folder`` (matching ``glob``), one file per micro-batch by default; with
+    None a micro-batch has all files that have arrived."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    return (reader if max_files_per_trigger is None else reader.option("maxFilesPerTrigger", max_files_per_trigger)).parquet(folder)
 
 
 def run_to_files(stream: DataFrame, state: str) -> DataFrame:
@@ -104,12 +105,12 @@ def stream_sample(stream: DataFrame, key: str, n: int, state: str, seed: int = 0
 
 
 # ------------------------------------------------------------------ L4
-def stream_drift(stream: DataFrame, train: DataFrame, features: list[str], state: str) -> DataFrame:
-    """Histogram counts of each micro-batch against the train edges are kept per batch
-    id; after the last batch they are summed and compared with the train counts."""
+def stream_drift(stream: DataFrame, train: DataFrame, features: list[str], state: str, edges: DataFrame | None = None) -> DataFrame:
+    """Histogram counts of each micro-batch against the train edges (``edges`` if they are fitted already)
+    are kept per batch id; after the last batch they are summed and compared with the train counts."""
     from quarry.operators import drift as K
     spark, out = stream.sparkSession, f"{state}/out"
-    edges = K.hist_edges(train, features)
+    edges = K.hist_edges(train, features) if edges is None else edges
 
     def per_batch(batch: DataFrame, batch_id: int):
         K.hist_counts(batch, features, edges).write.mode("overwrite").parquet(f"{out}/v={batch_id}")

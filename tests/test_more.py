@@ -160,3 +160,19 @@ def test_recommendation_prefers_source_then_single_then_rank(spark):
     assert pick() == ["r2", "r3", "r4"]
     assert pick(source_col="source") == ["r3", "r4"]
     assert pick(allow_ensemble=True) == ["r1", "r2", "r3"]
+
+
+def test_event_batches_have_many_files_and_every_row(spark, tmp_path, monkeypatch):
+    from quarry.plans import q_misc as M
+    monkeypatch.setattr(M, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    ids = [*range(9000), *[None] * 7]
+    rows = spark.createDataFrame([(i, float(k % 100)) for k, i in enumerate(ids)], "event_id bigint, value double")
+    rows.repartition(8).write.parquet(f"{tmp_path}/events.parquet")
+    seen = []
+    M._over_event_batches(spark, str(tmp_path), lambda s: L._drain(
+        s, lambda b, i: seen.append((i, len(list(tmp_path.glob("event-files/*.parquet"))), b.count(), b.where("event_id is null").count())), f"{tmp_path}/state"))
+    assert [x[0] for x in seen] == [0, 1, 2, 3] and all(x[1] > i + 1 for i, x in enumerate(seen))
+    assert [x[2] for x in seen] == [3000, 2000, 2000, 2007] and [x[3] for x in seen] == [0, 0, 0, 7]
+    monkeypatch.undo()
+    assert M.q_stream_score(spark, str(tmp_path)).count() == len(ids)
+    assert M.q_stream_chunks(spark, str(tmp_path)).agg(F.sum("rows")).first()[0] == len(ids)
