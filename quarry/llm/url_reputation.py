@@ -16,6 +16,17 @@ from pyspark.sql import functions as F
 
 #: (rule, verdict): a host suffix, a slash and a path prefix.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+#: Public suffixes of two labels that are looked up; every other suffix is taken as one label.
+MULTI_SUFFIXES = tuple(f"{second}.{top}" for top, seconds in (
+    ("uk", "ac co gov ltd me net org plc sch"), ("au", "asn com edu gov id net org"), ("nz", "ac co govt net org school"),
+    ("jp", "ac ad co ed go gr lg ne or"), ("kr", "ac co go ne or re"), ("in", "ac co edu firm gen gov ind net org res"),
+    ("br", "com edu gov net org"), ("ar", "com edu gob net org"), ("mx", "com edu gob net org"), ("co", "com edu gov net org"),
+    ("pe", "com edu gob net org"), ("cn", "ac com edu gov net org"), ("hk", "com edu gov net org"), ("tw", "com edu gov net org"),
+    ("sg", "com edu gov net org"), ("my", "com edu gov net org"), ("ph", "com edu gov net org"), ("th", "ac co go in or"),
+    ("id", "ac co go or web"), ("vn", "com edu gov net org"), ("tr", "com edu gov net org"), ("il", "ac co gov net org"),
+    ("za", "ac co gov net org"), ("ng", "com edu gov net org"), ("eg", "com edu gov net org"), ("sa", "com edu gov net org"),
+    ("pk", "com edu gov net org"), ("ua", "com edu gov net org"), ("pl", "com edu gov net org"), ("es", "com edu gob nom org"),
+) for second in seconds.split())
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,14 +50,26 @@ def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) ->
     return rule, verdict
 
 
+def _name(host: Column) -> Column:
+    """The host without its port."""
+    return F.regexp_replace(host, ":[0-9]*$", "")
+
+
+def _is_address(host: Column) -> Column:
+    return F.startswith(host, F.lit("[")) | _name(host).rlike("^[0-9]{1,3}(\\.[0-9]{1,3}){3}$")
+
+
 def registered_domain(host: Column) -> Column:
-    """The last two labels of a host."""
-    return F.substring_index(host, ".", -2)
+    """The public suffix of a host and one label more, without the port; an IP address is its own domain."""
+    name = _name(host)
+    two = F.substring_index(name, ".", -2)
+    return F.when(_is_address(host), name).when(two.isin(*MULTI_SUFFIXES), F.substring_index(name, ".", -3)).otherwise(two)
 
 
 def suffix(host: Column) -> Column:
-    """The last label of a host."""
-    return F.substring_index(host, ".", -1)
+    """The public suffix of a host: one of MULTI_SUFFIXES or the last label; IP addresses share one of their own."""
+    two = F.substring_index(_name(host), ".", -2)
+    return F.when(_is_address(host), F.lit("[ip]")).when(two.isin(*MULTI_SUFFIXES), two).otherwise(F.substring_index(two, ".", -1))
 
 
 def _strength(groups: DataFrame, prior: Column) -> DataFrame:

@@ -24,7 +24,7 @@ from quarry.llm.secrets import BASE, MarkovPair, digest_columns, find_secrets, l
 from quarry.llm.token_counts import token_counts
 from quarry.llm.token_files import id_checksums, read_token_files, write_token_files
 from quarry.llm.toxicity import score_toxicity, toxicity_samples, train_toxicity
-from quarry.llm.url_reputation import judge_pages
+from quarry.llm.url_reputation import judge_pages, registered_domain, suffix
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -72,6 +72,19 @@ def test_urls_rules_and_posteriors(spark):
     assert judge_pages(pages.limit(0), spark.createDataFrame([], "page_id bigint, bad int")).count() == 0
 
 
+def test_registered_domains_and_suffixes(spark):
+    want = {"a.shop.co.uk": ("shop.co.uk", "co.uk"), "shop.co.uk:8080": ("shop.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+            "x.com.au": ("x.com.au", "com.au"), "www.example.com:8080": ("example.com", "com"), "a.b.example.org": ("example.org", "org"),
+            "10.0.0.1": ("10.0.0.1", "[ip]"), "10.0.0.1:80": ("10.0.0.1", "[ip]"), "[::1]:80": ("[::1]", "[ip]"), "[::1]": ("[::1]", "[ip]"),
+            "localhost": ("localhost", "localhost"), "b:": ("b", "b"), "": ("", "")}
+    df = spark.createDataFrame([(h,) for h in want], "host string")
+    assert {r[0]: (r[1], r[2]) for r in df.select("host", registered_domain(F.col("host")), suffix(F.col("host"))).collect()} == want
+    pages = spark.createDataFrame([(i, f"http://bad.co.uk/{i}") for i in range(200)] + [(200 + i, f"http://fine{i % 9}.co.uk/") for i in range(200)]
+                                  + [(400, "http://unseen.co.uk/"), (401, "http://www.bad.co.uk:81/")], "page_id bigint, url string")
+    out = {r.page_id: r.verdict for r in judge_pages(pages, spark.range(400).selectExpr("id page_id", "int(id < 200) bad")).collect()}
+    assert (out[0], out[300], out[400], out[401]) == ("block", "allow", "allow", "block")
+
+
 def test_reputation_shrinks_from_host_to_domain(spark):
     rows = [(f"http://bad.shop.io/{i}", 1) for i in range(200)] + [(f"http://new.shop.io/{i}", 1) for i in range(1)] + \
            [(f"http://good{j}.fine.org/{i}", 0) for j in range(5) for i in range(40)] + [("http://unseen.shop.io/", None), ("http://else.where.xyz/", None)]
