@@ -12,6 +12,7 @@ from quarry.llm.bpe import bpe_tokens
 from quarry.llm.common import ship_package, table
 from quarry.llm.decontaminate import contaminated
 from quarry.llm.exact_dedup import exact_dedup
+from quarry.llm.hard_negatives import mine_hard_negatives
 from quarry.llm.language_id import in_held_out, train_language_model, with_language
 from quarry.llm.ngram_join import ngram_components
 from quarry.llm.secrets import digest_columns, find_secrets, labelled_tokens, train_markov
@@ -19,6 +20,7 @@ from quarry.llm.token_counts import token_counts
 from quarry.llm.toxicity import score_toxicity, toxicity_samples, train_toxicity
 from quarry.llm.token_files import id_checksums, read_token_files, write_token_files
 from quarry.llm.url_reputation import judge_pages
+from quarry.llm.whitening import fit_whitening, identity_error, whiten
 from quarry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +85,25 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 """
 
 
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (
+  SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
 @query("op1_url_reputation", OP1_SQL)
 def op1(spark, sf_dir):
     """Every page's url. Outcomes: the quality labels, whose doc_id is taken as the page's id (bad = quality 0)."""
@@ -149,6 +170,22 @@ def op10(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op11_whitening")
+def op11(spark, sf_dir):
+    """All vectors whitened by the eight leading components of all vectors, with the measured distance from the identity."""
+    vectors = table(spark, sf_dir, "embeddings")
+    model = fit_whitening(vectors)
+    return whiten(vectors, model).withColumn("identity_error", F.lit(identity_error(vectors, model)))
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark, sf_dir):
+    """Anchors: identifiers divisible by 50, against all rows; each seventh identifier takes the next label."""
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", changed.alias("label"))
+    return mine_hard_negatives(vectors, lambda i: i % 50 == 0)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
