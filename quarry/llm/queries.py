@@ -16,6 +16,7 @@ from quarry.llm.hard_negatives import mine_hard_negatives
 from quarry.llm.language_id import in_held_out, train_language_model, with_language
 from quarry.llm.ngram_join import ngram_components
 from quarry.llm.secrets import digest_columns, find_secrets, labelled_tokens, train_markov
+from quarry.llm.suffix_dedup import remove_repeats
 from quarry.llm.token_counts import token_counts
 from quarry.llm.toxicity import score_toxicity, toxicity_samples, train_toxicity
 from quarry.llm.token_files import id_checksums, read_token_files, write_token_files
@@ -178,6 +179,13 @@ def op11(spark, sf_dir):
     return whiten(vectors, model).withColumn("identity_error", F.lit(identity_error(vectors, model)))
 
 
+@query("op12_suffix_dedup")
+def op12(spark, sf_dir):
+    """Every document without the bytes of strings of 400 bytes that start at two places or more."""
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op13_hard_negatives", OP13_SQL)
 def op13(spark, sf_dir):
     """Anchors: identifiers divisible by 50, against all rows; each seventh identifier takes the next label."""
