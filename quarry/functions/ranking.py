@@ -9,7 +9,7 @@ step moves all rows (or one hot group) into a single task.
 * :func:`global_cumsum` - running sums under a total order with the same
   offset idea.
 * :func:`exact_quantiles` - linear-interpolated quantiles (numpy/DuckDB
-  ``quantile_cont`` rule) from a distributed sort instead of a per-group buffer.
+  ``quantile_cont`` rule) by counting between sketch brackets, without a sort.
 * :func:`topk_per_group` - top-k per group; the partial ``WindowGroupLimit``
   Catalyst inserts keeps at most k rows per group in every map task.
 * :func:`long_form` - unpivot features to ``(row_id, feature, value)``.
@@ -128,9 +128,19 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataF
     return F.broadcast(small) if small.count() <= max_rows else small
 
 
+def join_null_safe(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which a null key meets a null key; ``big``'s key columns stay."""
+    right = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        same = big[k].eqNullSafe(right[f"_key_{k}"])
+        cond = same if cond is None else cond & same
+    return big.join(right, cond, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def _join_small(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Join an aggregated side, broadcasting it only when its counted size is bounded."""
-    return big.join(bounded_broadcast(small), keys)
+    """Join an aggregated side, broadcasting it only when its counted size is bounded. Null keys are keys."""
+    return join_null_safe(big, bounded_broadcast(small), keys)
 
 
 def ranked_with_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence,
@@ -190,36 +200,57 @@ def global_cumsum(df: DataFrame, order_cols: Sequence, sum_cols: Sequence[str],
     return out.drop("_pid", *[f"_off_{c}" for c in sum_cols])
 
 
+#: Groups of at most this many values are collapsed as they are; larger ones get brackets from a sketch.
+QUANTILE_SMALL = 200_000
+
+
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, qs: Sequence[float],
-                    tiebreak: Column | None = None, num_partitions: int | None = None) -> DataFrame:
+                    accuracy: int = 100_000, small: int = QUANTILE_SMALL) -> DataFrame:
     """Exact linear quantiles per group -> ``(group..., qi, q, value)``.
 
     Rule (numpy ``linear`` / DuckDB ``quantile_cont``): h = q*(n-1),
-    v = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]). NULL values are
-    ignored. The values are ranked with one distributed sort (ties split by a
-    seeded random key so a hot value spreads over partitions); only the rows at
-    the needed positions (2 per group and quantile) are kept by a semi join."""
-    g = list(group_cols)
-    vals = df.select(*g, F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
-    tb = tiebreak if tiebreak is not None else F.rand(17)
-    vals = vals.withColumn("_tb", tb)
-    ranked, sizes = ranked_with_counts(vals, g, ["_v", "_tb"], "_r", num_partitions)
-    qarr = F.array(*[F.lit(float(q)) for q in qs])
-    pos = (
-        sizes.select(*g, "_n", F.posexplode(qarr).alias("qi", "q"))
-        .withColumn("_h", F.col("q") * (F.col("_n") - 1))
-        .withColumn("_lo", F.floor("_h").cast("bigint"))
-        .withColumn("_hi", F.ceil("_h").cast("bigint"))
-    )
-    need = pos.select(*g, F.explode(F.array("_lo", "_hi")).alias("_r")).distinct()
-    picked = _join_small(ranked, need, g + ["_r"]).select(*g, "_r", "_v")
-    lo = picked.withColumnRenamed("_r", "_lo").withColumnRenamed("_v", "_vlo")
-    hi = picked.withColumnRenamed("_r", "_hi").withColumnRenamed("_v", "_vhi")
-    out = pos.join(lo, g + ["_lo"]).join(hi, g + ["_hi"])
-    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
-        F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
-    )
-    return out.select(*g, F.col("qi").cast("int").alias("qi"), "q", value.alias("value"))
+    v = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]). NULL values are ignored, a null group is a group.
+
+    Rank selection by brackets, without a sort of the values: a mergeable sketch gives, per wanted rank, two data
+    values that enclose it (rank error at most 1/accuracy of the group). A second pass counts the values between
+    the brackets and collapses those inside to (value, count), both with map-side sums; about 1/10 000 of a large
+    group and one row per distinct value remain, and exact positions come from running counts over those. A rank
+    that its bracket should not hold raises; it is never guessed. ``small`` and ``accuracy`` change work only."""
+    from quarry.session import cut_lineage
+    g, qs = list(group_cols), [float(q) for q in qs]
+    small = max(small, 2 * accuracy)  # below it the margin is under six ranks
+    k, margin = len(qs), 3.0 / accuracy
+    vals = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    ends = [max(0.0, q - margin) for q in qs] + [min(1.0, q + margin) for q in qs]
+    fit = vals.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"),
+                               F.percentile_approx("_v", ends, accuracy).alias("_s"))
+    few = F.col("_n") <= small
+    low = [F.when(few | F.lit(ends[i] == 0.0), F.col("_mn")).otherwise(F.col("_s")[i]) for i in range(k)]
+    high = [F.when(few | F.lit(ends[k + i] == 1.0), F.col("_mx")).otherwise(F.col("_s")[k + i]) for i in range(k)]
+    h = [F.lit(q) * (F.col("_n") - 1) for q in qs]
+    fit = cut_lineage(fit.select(*g, F.array(*low).alias("_low"), F.array(*high).alias("_high"),
+                                 F.array_sort(F.array(*low, *high)).alias("_cuts"),
+                                 F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(q).alias("q"), x.alias("h"), F.floor(x).cast("bigint").alias("lo"),
+                                                    F.ceil(x).cast("bigint").alias("hi")) for i, (q, x) in enumerate(zip(qs, h))]).alias("_wanted")))
+    lookup = F.broadcast(fit) if fit.count() <= BROADCAST_ROWS else fit  # one short row per group
+    j = join_null_safe(vals, lookup.select(*g, "_low", "_high", "_cuts"), g)
+    inside = F.lit(False)
+    for i in range(k):
+        inside = inside | F.col("_v").between(F.col("_low")[i], F.col("_high")[i])
+    cell = first_index_above_array(F.col("_v"), F.col("_cuts"), 2 * k)
+    kept = j.groupBy(*g, cell.alias("_cell"), F.when(inside, F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*g).orderBy("_cell", F.col("_v").asc_nulls_last())
+    end = F.sum("_c").over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = join_null_safe(kept.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c")), lookup.select(*g, "_wanted"), g)
+    here = lambda p: (p >= F.col("_start")) & (p < F.col("_end"))
+    hits = placed.select(*g, "_v", "_start", "_end", F.explode(F.filter("_wanted", lambda s: here(s["lo"]) | here(s["hi"]))).alias("_w"))
+    value = lambda p: F.max(F.when(here(F.col(f"_w.{p}")), F.col("_v")))
+    out = hits.groupBy(*g, F.col("_w.qi").alias("qi"), F.col("_w.q").alias("q"), F.col("_w.h").alias("_h")).agg(
+        value("lo").alias("_vlo"), value("hi").alias("_vhi"), F.count_if(F.col("_v").isNull()).alias("_lost"))
+    part = F.col("_h") - F.floor("_h")
+    exact = F.when(part == 0, F.col("_vlo")).otherwise(F.col("_vlo") + part * (F.col("_vhi") - F.col("_vlo")))
+    exact = F.when(F.col("_lost") > 0, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")).otherwise(exact)
+    return out.select(*g, F.col("qi").cast("int").alias("qi"), "q", exact.alias("value"))
 
 
 def topk_per_group(df: DataFrame, group_cols: Sequence[str], order_exprs: Sequence[Column], k: int,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_unit, hash_wide
 from quarry.functions.ranking import (bounded_broadcast, exact_quantiles, first_index_above, global_cumsum,
-                                      global_rank, spread)
+                                      global_rank, join_null_safe, spread)
 
 # Machine epsilon for float64 (log-loss clipping) and the default
 # threshold grid 0.05, 0.10, ..., 0.95 (i/100 for i = 5, 10, ..., 95).
@@ -368,7 +368,7 @@ def equal_width_hist(df: DataFrame, value: str, bins: int, group_cols: Sequence[
               .withColumn("_hi", F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx"))))
     if g:
         # one row per group (features in the profile queries); size-checked before broadcasting
-        j = df.where(v.isNotNull()).join(bounded_broadcast(rng), g, "inner")
+        j = join_null_safe(df.where(v.isNotNull()), bounded_broadcast(rng), g)
     else:
         lo, hi = rng.select("_lo").scalar(), rng.select("_hi").scalar()
         j = df.where(v.isNotNull()).select("*", lo.alias("_lo"), hi.alias("_hi"))

@@ -76,19 +76,20 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def oversample(df: DataFrame, label: str, row_id: str, seed: int = 0) -> DataFrame:
-    """Replicate each class up to the majority size (whole copies + md5-ranked remainder)."""
+    """Replicate each class up to the majority size (whole copies + md5-ranked remainder). Rows without a
+    label are a class of their own."""
     from quarry.functions.hashing import hash_unit
-    from quarry.functions.ranking import bounded_broadcast, rank_within_groups
+    from quarry.functions.ranking import bounded_broadcast, join_null_safe, rank_within_groups
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     mx = counts.agg(F.max("_n")).scalar()
     ranked = rank_within_groups(df.withColumn("_h", hash_unit(seed, row_id)), [label], ["_h", row_id], "_r")
-    j = ranked.join(bounded_broadcast(counts), label)
+    j = join_null_safe(ranked, bounded_broadcast(counts), [label])
     copies = F.floor(mx / F.col("_n")) + F.when(F.col("_r") < F.pmod(mx, F.col("_n")), 1).otherwise(0)
     return j.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop("_h", "_r", "_n")
 
 
 def undersample(df: DataFrame, label: str, row_id: str, seed: int = 0) -> DataFrame:
-    """Keep min-class-size rows per class (md5 order)."""
+    """Keep min-class-size rows per class (md5 order). Rows without a label are a class of their own."""
     from quarry.functions.hashing import hash_unit
     from quarry.functions.ranking import rank_within_groups
     mn = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).agg(F.min("_n")).scalar()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_unit
-from quarry.functions.ranking import bounded_broadcast, global_rank, rank_within_groups
+from quarry.functions.ranking import bounded_broadcast, global_rank, join_null_safe, rank_within_groups
 
 
 def _check(p: float):
@@ -44,7 +44,7 @@ def split_random(df: DataFrame, row_id: str, test_size: float = 0.2, seed: int =
 
 # ------------------------------------------------------------------ E2
 def split_group(df: DataFrame, row_id: str, group_col: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """ceil(p * n_groups) whole groups (md5 order) are validation."""
+    """ceil(p * n_groups) whole groups (md5 order) are validation. Rows without a group form one group."""
     _check(test_size)
     groups = df.select(group_col).distinct().withColumn("_h", hash_unit(seed, group_col))
     k = _n_val(groups.count(), test_size)
@@ -52,19 +52,20 @@ def split_group(df: DataFrame, row_id: str, group_col: str, test_size: float = 0
         group_col, F.when(F.col("_r") < k, F.lit("val")).otherwise(F.lit("train")).alias("split"))
     # one row per group: broadcast when the counted group table is small, else a
     # shuffle join (AQE splits a skewed hot group)
-    return df.select(row_id, group_col).join(bounded_broadcast(g), group_col).select(row_id, "split")
+    return join_null_safe(df.select(row_id, group_col), bounded_broadcast(g), [group_col]).select(row_id, "split")
 
 
 # ------------------------------------------------------------------ E3
 def split_stratified(df: DataFrame, row_id: str, label: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Per class, the first ceil(n_c * p) rows in md5 order are validation (>= 2 classes)."""
+    """Per class, the first ceil(n_c * p) rows in md5 order are validation (>= 2 classes). Rows without a
+    label are a class of their own."""
     _check(test_size)
     keys = df.select(row_id, label).withColumn("_h", hash_unit(seed, row_id))
     sizes = keys.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     if sizes.count() < 2:
         raise ValueError("stratified split needs at least 2 classes")
     r = rank_within_groups(keys, [label], ["_h", row_id], "_r")
-    r = r.join(bounded_broadcast(sizes), label)  # one row per class, size-checked
+    r = join_null_safe(r, bounded_broadcast(sizes), [label])  # one row per class, size-checked
     val = F.col("_r") < F.ceil(F.col("_n") * F.lit(test_size))
     return r.select(row_id, F.when(val, F.lit("val")).otherwise(F.lit("train")).alias("split"))
 
@@ -91,7 +92,8 @@ def split_counts(split: DataFrame, strategy: str) -> DataFrame:
 
 # ------------------------------------------------------------------ E8
 def kfold_assign(df: DataFrame, row_id: str, k: int = 5, seed: int = 42, label: str | None = None) -> DataFrame:
-    """Fold 0..k-1: md5 bucket, or (stratified) round-robin over the md5 order inside each class."""
+    """Fold 0..k-1: md5 bucket, or (stratified) round-robin over the md5 order inside each class
+    (rows without a label are a class of their own)."""
     if k < 2:
         raise ValueError("k must be >= 2")
     if label is None:

@@ -26,6 +26,8 @@ def _split_sql(name, src, order_key="row_id"):
 """
 
 
+# The hash of a null key is that of the seed alone.
+_GROUP_HASH = f"CASE WHEN quantity IS NULL THEN ('0x' || substr(md5('{SEED}'), 1, 8))::BIGINT ELSE {sql_hash_unit(SEED, 'quantity')} END"
 REG_SPLIT = _split_sql("sp", "reg")
 CLS_SPLIT = _split_sql("csp", "cls")
 REG_TRAIN = REG_SPLIT + ", tr AS (SELECT * FROM reg WHERE row_id IN (SELECT row_id FROM sp WHERE split = 'train'))\n"
@@ -107,6 +109,53 @@ def q_kfold_strat(spark, sf_dir):
     return E.kfold_assign(cls(spark, sf_dir), "row_id", 5, SEED, label="status")
 
 
+# Null keys: quantity is null in about a fiftieth of REG, and the label below in a fifth of CLS.
+@register("split_group_null_keys", Q(["reg"], f""",
+g AS (SELECT quantity, CASE WHEN row_number() OVER (ORDER BY {_GROUP_HASH}, quantity NULLS FIRST) - 1
+                                 < ceil((SELECT count(*) FROM (SELECT DISTINCT quantity FROM reg)) * {P_VAL}::DOUBLE) THEN 'val' ELSE 'train' END AS split
+      FROM (SELECT DISTINCT CAST(quantity AS BIGINT) AS quantity FROM reg))
+SELECT row_id, split FROM reg JOIN g ON CAST(reg.quantity AS BIGINT) IS NOT DISTINCT FROM g.quantity"""))
+def q_split_group_null(spark, sf_dir):
+    """E2 with a nullable group: rows without a quantity stay together on one side."""
+    return E.split_group(reg(spark, sf_dir).withColumn("quantity", F.col("quantity").cast("bigint")), "row_id", "quantity", P_VAL, SEED)
+
+
+def _nullable_label(spark, sf_dir):
+    return cls(spark, sf_dir).select("row_id", F.nullif("priority", F.lit("5-LOW")).alias("y"))
+
+
+@register("split_stratified_null_labels", Q(["cls"], f"""
+SELECT row_id, CASE WHEN r < ceil(n * {P_VAL}::DOUBLE) THEN 'val' ELSE 'train' END AS split FROM (
+  SELECT row_id, row_number() OVER (PARTITION BY y ORDER BY {sql_hash_unit(SEED, 'row_id')}, row_id) - 1 AS r,
+         count(*) OVER (PARTITION BY y) AS n FROM (SELECT row_id, nullif(priority, '5-LOW') AS y FROM cls))"""))
+def q_split_strat_null(spark, sf_dir):
+    """E3 with a nullable label: rows without one are split like a class."""
+    return E.split_stratified(_nullable_label(spark, sf_dir), "row_id", "y", P_VAL, SEED)
+
+
+@register("kfold_assign_null_labels", Q(["cls"], f"""
+SELECT row_id, (row_number() OVER (PARTITION BY y ORDER BY {sql_hash_unit(SEED, 'row_id')}, row_id) - 1) % 5 AS fold
+FROM (SELECT row_id, nullif(priority, '5-LOW') AS y FROM cls)"""))
+def q_kfold_null(spark, sf_dir):
+    """E8 stratified with a nullable label."""
+    return E.kfold_assign(_nullable_label(spark, sf_dir), "row_id", 5, SEED, label="y")
+
+
+@register("resample_null_labels", Q(["cls"], f""",
+c AS (SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {sql_hash_unit(0, 'row_id')}, row_id) - 1 AS r, count(*) OVER (PARTITION BY y) AS n
+      FROM (SELECT row_id, nullif(priority, '5-LOW') AS y FROM cls)),
+e AS (SELECT max(n) AS mx, min(n) AS mn FROM c)
+SELECT row_id, CAST(mx // n + CASE WHEN r < mx % n THEN 1 ELSE 0 END AS BIGINT) AS oversampled, CAST(CASE WHEN r < mn THEN 1 ELSE 0 END AS BIGINT) AS undersampled
+FROM c, e"""))
+def q_resample_null(spark, sf_dir):
+    """G14 and G15 with a nullable label: how often each row comes out."""
+    from quarry.operators import models as G
+    rows = _nullable_label(spark, sf_dir)
+    over = G.oversample(rows, "y", "row_id").groupBy("row_id").agg(F.count(F.lit(1)).alias("oversampled"))
+    under = G.undersample(rows, "y", "row_id").select("row_id", F.lit(1).alias("undersampled"))
+    return rows.select("row_id").join(over, "row_id", "left").join(under, "row_id", "left").fillna(0)
+
+
 # ------------------------------------------------------------------ F1-F5
 @register("impute_mean", Q(["reg"], REG_TRAIN + "SELECT row_id, coalesce(quantity, (SELECT avg(quantity) FROM tr)) AS quantity FROM reg", "quantity"))
 def q_imp_mean(spark, sf_dir):
