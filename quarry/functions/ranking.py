@@ -200,12 +200,12 @@ def global_cumsum(df: DataFrame, order_cols: Sequence, sum_cols: Sequence[str],
     return out.drop("_pid", *[f"_off_{c}" for c in sum_cols])
 
 
-#: Groups of at most this many values are collapsed as they are; larger ones get brackets from a sketch.
-QUANTILE_SMALL = 200_000
+#: So many groups' brackets (a short row each) may pass through the driver; more stay on the cluster.
+DRIVER_GROUPS = 10_000
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, qs: Sequence[float],
-                    accuracy: int = 100_000, small: int = QUANTILE_SMALL) -> DataFrame:
+                    accuracy: int = 20_000, small: int = 0) -> DataFrame:
     """Exact linear quantiles per group -> ``(group..., qi, q, value)``.
 
     Rule (numpy ``linear`` / DuckDB ``quantile_cont``): h = q*(n-1),
@@ -213,9 +213,10 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, qs
 
     Rank selection by brackets, without a sort of the values: a mergeable sketch gives, per wanted rank, two data
     values that enclose it (rank error at most 1/accuracy of the group). A second pass counts the values between
-    the brackets and collapses those inside to (value, count), both with map-side sums; about 1/10 000 of a large
-    group and one row per distinct value remain, and exact positions come from running counts over those. A rank
-    that its bracket should not hold raises; it is never guessed. ``small`` and ``accuracy`` change work only."""
+    the brackets and collapses those inside to (value, count), both with map-side sums; at most 8/accuracy of a
+    group's values per quantile remain, and exact positions come from running counts over those. A rank that its
+    bracket should not hold raises; it is never guessed. Groups of at most ``small`` values (2 * accuracy at least)
+    need no bracket. Both numbers change work only."""
     from quarry.session import cut_lineage
     g, qs = list(group_cols), [float(q) for q in qs]
     small = max(small, 2 * accuracy)  # below it the margin is under six ranks
@@ -228,11 +229,15 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, qs
     low = [F.when(few | F.lit(ends[i] == 0.0), F.col("_mn")).otherwise(F.col("_s")[i]) for i in range(k)]
     high = [F.when(few | F.lit(ends[k + i] == 1.0), F.col("_mx")).otherwise(F.col("_s")[k + i]) for i in range(k)]
     h = [F.lit(q) * (F.col("_n") - 1) for q in qs]
-    fit = cut_lineage(fit.select(*g, F.array(*low).alias("_low"), F.array(*high).alias("_high"),
+    fit = fit.select(*g, F.array(*low).alias("_low"), F.array(*high).alias("_high"),
                                  F.array_sort(F.array(*low, *high)).alias("_cuts"),
                                  F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(q).alias("q"), x.alias("h"), F.floor(x).cast("bigint").alias("lo"),
-                                                    F.ceil(x).cast("bigint").alias("hi")) for i, (q, x) in enumerate(zip(qs, h))]).alias("_wanted")))
-    lookup = F.broadcast(fit) if fit.count() <= BROADCAST_ROWS else fit  # one short row per group
+                                                    F.ceil(x).cast("bigint").alias("hi")) for i, (q, x) in enumerate(zip(qs, h))]).alias("_wanted"))
+    rows = fit.limit(DRIVER_GROUPS + 1).collect()
+    if len(rows) <= DRIVER_GROUPS:
+        lookup = F.broadcast(df.sparkSession.createDataFrame(rows, fit.schema))
+    else:
+        lookup = cut_lineage(fit)
     j = join_null_safe(vals, lookup.select(*g, "_low", "_high", "_cuts"), g)
     inside = F.lit(False)
     for i in range(k):

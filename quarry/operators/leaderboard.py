@@ -233,15 +233,35 @@ def ensemble_select_topk(candidates: DataFrame, runs: DataFrame, metric: str = "
 def ensemble_stacking(preds: dict[str, DataFrame], target: DataFrame, row_id: str = "row_id", alpha: float = 1.0):
     """Ridge meta-model on the base predictions pivoted to columns (fitted on the rows
     it scores, as the reference does). Returns (coefficient table, stacked predictions)."""
-    from quarry.operators.models import coefficients, fit_linear
+    from quarry.operators.models import fit_linear_gram
+    from quarry.operators.scoring import linear_expr
     wide = target
     for n, d in preds.items():
         wide = wide.join(d.select(row_id, F.col("y_pred").alias(n)), row_id)
     names = list(preds)
-    model = fit_linear(wide, names, "y_true", "ridge", alpha)
-    from quarry.operators.models import assemble
-    scored = model.transform(assemble(wide, names)).select(row_id, "y_true", F.col("prediction").alias("y_stack"))
-    return coefficients(model, names, wide.sparkSession), scored
+    w, b = fit_linear_gram(wide, names, "y_true", "ridge", alpha)
+    coefs = dict(zip(names, [float(x) for x in w]))
+    rows = [(f, c, abs(c)) for f, c in coefs.items()] + [("__intercept__", b, None)]
+    table = wide.sparkSession.createDataFrame(rows, "feature string, coefficient double, importance double")
+    return table, wide.select(row_id, "y_true", linear_expr(coefs, b).alias("y_stack"))
+
+
+def ensemble_stacking_logistic(probas: dict[str, DataFrame], target: DataFrame, n_classes: int, row_id: str = "row_id", l2: float = 1.0):
+    """Logistic meta-model on the concatenated base probabilities (``proba`` arrays in class order; of two classes
+    only the second enters). ``target`` has ``y_true`` as class numbers. Returns (coefficient rows, stacked
+    ``proba`` and ``y_pred``, the first of equal ones)."""
+    from quarry.operators.models import logistic_proba, newton_logistic
+    wide, feats = target, []
+    for n, d in probas.items():
+        classes = [1] if n_classes == 2 else range(n_classes)
+        cols = [F.col("proba")[k].alias(f"{n}_{k}") for k in classes]
+        feats += [f"{n}_{k}" for k in classes]
+        wide = wide.join(d.select(row_id, *cols), row_id)
+    coef = newton_logistic(wide, feats, "y_true", n_classes, l2)[0]
+    rows = [(1 if len(coef) == 1 else k, f, float(v)) for k, row in enumerate(coef) for f, v in zip(["__intercept__", *feats], row)]
+    table = wide.sparkSession.createDataFrame(rows, "class int, feature string, coefficient double")
+    scored = wide.select(row_id, "y_true", F.array(*logistic_proba(coef, feats)).alias("proba"))
+    return table, scored.withColumn("y_pred", (F.array_position("proba", F.array_max("proba")) - 1).cast("bigint"))
 
 
 # ------------------------------------------------------------------ J22

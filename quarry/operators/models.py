@@ -55,11 +55,6 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str, C: float
     return est.fit(training_input(train, features, label, [weight_col] if weight_col else []))
 
 
-def fit_random_forest(train: DataFrame, features: Sequence[str], label: str, seed: int = 42, num_trees: int = 100):
-    est = RandomForestClassifier(numTrees=num_trees, maxDepth=8, minInstancesPerNode=2, seed=seed, labelCol=label)
-    return est.fit(training_input(train, features, label))
-
-
 def coefficients(model, features: Sequence[str], spark) -> DataFrame:
     """Coefficient table (feature, coefficient, importance = |coefficient|), sorted by importance."""
     coefs = [float(c) for c in model.coefficients]
@@ -147,6 +142,174 @@ def solve_ridge(g, alpha: float):
     return w, my - mu @ w
 
 
+def solve_elasticnet(g, l1: float, l2: float, tol: float = 1e-12, max_iter: int = 100_000):
+    """min 1/(2n) |y - Xw - b|^2 + l1 |w|_1 + l2/2 |w|^2 by coordinate descent on Gram sums (no further pass
+    over the rows); the intercept is not penalised."""
+    import numpy as np
+    n = g["n"]
+    mu, my = g["sx"] / n, g["sy"] / n
+    a, c = g["xx"] / n - np.outer(mu, mu), g["sxy"] / n - mu * my
+    w = np.zeros(len(mu))
+    for _ in range(max_iter):
+        moved = 0.0
+        for j in range(len(w)):
+            rho = c[j] - a[j] @ w + a[j, j] * w[j]
+            new = np.sign(rho) * max(abs(rho) - l1, 0.0) / (a[j, j] + l2) if a[j, j] + l2 > 0 else 0.0
+            moved = max(moved, abs(new - w[j]))
+            w[j] = new
+        if moved <= tol * max(1.0, float(np.abs(w).max())):
+            break
+    return w, my - mu @ w
+
+
+def fit_linear_gram(train: DataFrame, features: Sequence[str], label: str, kind: str = "ols", alpha: float = 1.0,
+                    l1_ratio: float = 0.5):
+    """(w, b) of ols / ridge / lasso / elasticnet from one aggregate pass. Objectives: |y - Xw - b|^2 + alpha |w|^2 for
+    ridge; 1/(2n) |y - Xw - b|^2 + alpha (l1_ratio |w|_1 + (1 - l1_ratio)/2 |w|^2) for the last two (l1_ratio 1 for
+    lasso). Collinear columns (a full one-hot) get the shortest w of ols."""
+    import numpy as np
+    centre = gram_centre(train, features, label)
+    g = gram_by(train, features, label, centre=centre)[None]
+    if kind == "ols":
+        n = g["n"]
+        mu, my = g["sx"] / n, g["sy"] / n
+        w = np.linalg.pinv(g["xx"] - n * np.outer(mu, mu), rcond=1e-12, hermitian=True) @ (g["sxy"] - n * mu * my)
+        b = my - mu @ w
+    elif kind == "ridge":
+        w, b = solve_ridge(g, alpha)
+    elif kind in ("lasso", "elasticnet"):
+        share = 1.0 if kind == "lasso" else l1_ratio
+        w, b = solve_elasticnet(g, alpha * share, alpha * (1 - share))
+    else:
+        raise ValueError(f"unknown linear model '{kind}'")
+    return w, float(b + centre[-1] - sum(x * c for x, c in zip(w, centre)))
+
+
+# ------------------------------------------------------------------ G5 / H15: Newton fits by aggregated Hessians
+def newton_logistic(df: DataFrame, features: Sequence[str], label: str, n_classes: int = 2, l2: float = 0.0,
+                    weight_col: str | None = None, fold_col: str | None = None, folds: int = 0, max_iter: int = 50, tol: float = 1e-10):
+    """Logistic models by iteratively reweighted least squares: {model: array of (class, intercept + features)}.
+
+    Objective: sum of (weighted) log-losses + l2/2 |w|^2, intercepts free. Two classes have one row of
+    coefficients (class 1 against 0), more have one per class (softmax). ``label`` holds class numbers 0..n-1; rows
+    with a null label or feature take no part. With ``fold_col``, model k in 0..folds-1 is fitted on the rows of all
+    other folds. Each step is one aggregate of loss, gradient and Hessian for all models and classes at
+    once; only those sums (parameters squared, per model) reach the driver. A step that raises the loss is
+    halved. Directions without curvature (collinear columns) are left where they are."""
+    import numpy as np
+
+    from quarry.session import cut_lineage
+    d, blocks, models = len(features) + 1, 1 if n_classes == 2 else n_classes, folds if fold_col else 1
+    names = [f"x{i}" for i in range(1, d)]
+    rows = df.select(*[F.col(f"`{f}`").cast("double").alias(x) for f, x in zip(features, names)], F.col(label).cast("int").alias("y"),
+                     (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"),
+                     (F.col(fold_col).cast("int") if fold_col else F.lit(-1)).alias("f")).dropna()
+    rows = cut_lineage(rows)  # read once a step
+    if fold_col:
+        rows = rows.withColumn("m", F.explode(F.filter(F.sequence(F.lit(0), F.lit(models - 1)), lambda k: k != F.col("f"))))
+    else:
+        rows = rows.withColumn("m", F.lit(0))
+    x = [F.lit(1.0), *[F.col(n) for n in names]]
+    pairs = [(a, i, b, j) for a in range(blocks) for i in range(d) for b in range(blocks) for j in range(d) if (a, i) <= (b, j)]
+    params = blocks * d
+    penalty = np.tile(np.r_[0.0, np.full(d - 1, float(l2))], blocks)
+
+    def sums(beta: np.ndarray) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
+        def of_model(place: int):
+            return F.element_at(F.array(*[F.lit(float(v)) for v in beta[:, place]]), F.col("m") + 1)
+
+        z = []
+        for a in range(blocks):
+            e = of_model(a * d)
+            for i in range(1, d):
+                e = e + of_model(a * d + i) * x[i]
+            z.append(e)
+        scored = rows.select("m", "y", "w", *names, *[e.alias(f"z{a}") for a, e in enumerate(z)])
+        zs = [F.col(f"z{a}") for a in range(blocks)]
+        if blocks == 1:  # stable log(1 + e^z)
+            scored = scored.withColumn("p0", 1 / (1 + F.exp(-zs[0]))).withColumn(
+                "loss", F.greatest(zs[0], F.lit(0.0)) + F.log1p(F.exp(-F.abs(zs[0]))) - F.when(F.col("y") == 1, zs[0]).otherwise(0.0))
+        else:
+            top = F.greatest(*zs)
+            total = sum((F.exp(v - top) for v in zs), F.lit(0.0))
+            scored = scored.withColumn("_t", top).withColumn("_s", total)
+            scored = scored.withColumns({f"p{a}": F.exp(v - F.col("_t")) / F.col("_s") for a, v in enumerate(zs)})
+            own = F.lit(0.0)
+            for a, v in enumerate(zs):
+                own = F.when(F.col("y") == a, v).otherwise(own)
+            scored = scored.withColumn("loss", F.col("_t") + F.ln("_s") - own)
+        p, w = [F.col(f"p{a}") for a in range(blocks)], F.col("w")
+        hit = [(F.col("y") == (1 if blocks == 1 else a)).cast("double") for a in range(blocks)]
+        aggs = [F.sum(w * F.col("loss")).alias("loss")]
+        aggs += [F.sum(w * (p[a] - hit[a]) * x[i]).alias(f"g{a * d + i}") for a in range(blocks) for i in range(d)]
+        aggs += [F.sum(w * p[a] * ((1.0 if a == b else 0.0) - p[b]) * x[i] * x[j]).alias(f"h{a * d + i}_{b * d + j}") for a, i, b, j in pairs]
+        out = {}
+        for r in scored.groupBy("m").agg(*aggs).collect():  # one row per model
+            hess = np.zeros((params, params))
+            for a, i, b, j in pairs:
+                hess[a * d + i, b * d + j] = hess[b * d + j, a * d + i] = r[f"h{a * d + i}_{b * d + j}"]
+            bm = beta[r["m"]]
+            out[r["m"]] = (r["loss"] + 0.5 * float(penalty @ (bm * bm)), np.array([r[f"g{k}"] for k in range(params)]) + penalty * bm, hess + np.diag(penalty))
+        return out
+
+    beta, step, best = np.zeros((models, params)), np.zeros((models, params)), {}
+    done = set()
+    for _ in range(max_iter):
+        now = sums(beta)
+        for m, (loss, grad, hess) in now.items():
+            if m in done:
+                continue
+            if m in best and loss > best[m][0] * (1 + 1e-12) + 1e-12:
+                step[m] /= 2
+                beta[m] = best[m][1] + step[m]
+                continue
+            best[m] = (loss, beta[m].copy())
+            step[m] = -np.linalg.pinv(hess, rcond=1e-12, hermitian=True) @ grad
+            beta[m] = best[m][1] + step[m]
+            if np.abs(step[m]).max() <= tol * max(1.0, np.abs(beta[m]).max()):
+                done.add(m)
+        if len(done) == len(now):
+            break
+    return {m: beta[m].reshape(blocks, d) for m in best}
+
+
+def logistic_proba(coef, features: Sequence[str]) -> list:
+    """Probability columns of classes 0..n-1 from :func:`newton_logistic`'s coefficients of one model."""
+    z = []
+    for row in coef:
+        e = F.lit(float(row[0]))
+        for f, v in zip(features, row[1:]):
+            e = e + F.lit(float(v)) * F.col(f"`{f}`")
+        z.append(e)
+    if len(z) == 1:
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z[0]))
+        return [F.lit(1.0) - p, p]
+    top = F.greatest(*z)
+    total = sum((F.exp(v - top) for v in z), F.lit(0.0))
+    return [F.exp(v - top) / total for v in z]
+
+
+def cross_validate_logistic(df: DataFrame, folds: DataFrame, row_id: str, features: Sequence[str], label: str, k: int,
+                            l2: float = 1.0) -> DataFrame:
+    """H21 for binary logistic models: all fold fits in the same Newton steps; held-out accuracy and log-loss per
+    fold, then mean (fold -1) and population deviation (fold -2)."""
+    from quarry.operators.evaluate import EPS
+    data = df.join(folds, row_id)
+    fits = newton_logistic(data, features, label, 2, l2, fold_col="fold", folds=k)
+    p = F.lit(None).cast("double")
+    for m, coef in fits.items():
+        p = F.when(F.col("fold") == m, logistic_proba(coef, features)[1]).otherwise(p)
+    y = F.col(label)
+    pc = F.least(F.greatest(F.col("_p"), F.lit(EPS)), F.lit(1 - EPS))
+    per = data.withColumn("_p", p).groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(((F.col("_p") >= 0.5).cast("int") == y).cast("double")).alias("accuracy"),
+        (-F.avg(F.when(y == 1, F.ln(pc)).otherwise(F.ln(1 - pc)))).alias("log_loss")).select(F.col("fold").cast("bigint"), "n", "accuracy", "log_loss")
+    none = F.lit(None).cast("bigint").alias("n")
+    mean = per.agg(F.avg("accuracy").alias("accuracy"), F.avg("log_loss").alias("log_loss")).select(F.lit(-1).cast("bigint").alias("fold"), none, "accuracy", "log_loss")
+    std = per.agg(F.stddev_pop("accuracy").alias("accuracy"), F.stddev_pop("log_loss").alias("log_loss")).select(F.lit(-2).cast("bigint").alias("fold"), none, "accuracy", "log_loss")
+    return per.unionByName(mean).unionByName(std)
+
+
 def sse_from_gram(g, w, b) -> float:
     return float(g["syy"] + g["n"] * b * b + w @ g["xx"] @ w - 2 * b * g["sy"] - 2 * w @ g["sxy"] + 2 * b * (w @ g["sx"]))
 
@@ -200,10 +363,14 @@ def fit_ridge_classifier(train: DataFrame, features: Sequence[str], label: str,
 
 
 # ------------------------------------------------------------------ H15 / H16
-def calibrate_sigmoid(val: DataFrame, score: str, label: str):
-    """Platt scaling: unregularised logistic regression on the single score feature."""
-    est = LogisticRegression(regParam=0.0, labelCol=label, featuresCol="features")
-    return est.fit(training_input(val, [score], label))
+def calibrate_sigmoid(val: DataFrame, score: str, label: str) -> tuple[float, float]:
+    """Platt scaling: (intercept, slope) of the unregularised logistic model on the score, by Newton steps."""
+    coef = newton_logistic(val, [score], label)[0][0]
+    return float(coef[0]), float(coef[1])
+
+
+def apply_sigmoid(df: DataFrame, fitted: tuple[float, float], score: str) -> DataFrame:
+    return df.withColumn("p_cal", F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(fitted[0]) + F.lit(fitted[1]) * F.col(score)))))
 
 
 def calibrate_isotonic(val: DataFrame, score: str, label: str):
@@ -239,6 +406,30 @@ def fit_classifier(train: DataFrame, features: Sequence[str], label: str, kind:
     return est.setLabelCol(label).setFeaturesCol("features").fit(data)
 
 
+def fit_mllib(train: DataFrame, features: Sequence[str], label: str, kind: str, task: str, n_classes: int = 2, seed: int = 42,
+              params: dict | None = None, weight_col: str | None = None):
+    """MLlib estimators by name and task, with the settings of :func:`fit_classifier`; ``params`` overrides them
+    by MLlib's parameter names. Regression: random_forest, gradient_boosting; classification also logistic, mlp."""
+    from pyspark.ml import classification as C
+    from pyspark.ml import regression as R
+    forest, boost = dict(numTrees=100, maxDepth=8, minInstancesPerNode=2, seed=seed), dict(maxIter=100, stepSize=0.1, maxDepth=3, seed=seed)
+    if task == "regression":
+        known = {"random_forest": (R.RandomForestRegressor, forest), "gradient_boosting": (R.GBTRegressor, boost)}
+    else:
+        known = {"random_forest": (C.RandomForestClassifier, forest), "gradient_boosting": (C.GBTClassifier, boost),
+                 "mlp": (C.MultilayerPerceptronClassifier, dict(layers=[len(features), 64, n_classes], seed=seed, maxIter=200)),
+                 "logistic": (C.LogisticRegression, dict(regParam=1.0 / max(1, train.count()), standardization=False, maxIter=200, tol=1e-9))}
+    if kind not in known:
+        raise ValueError(f"model '{kind}' is not one for {task}")
+    if kind == "gradient_boosting" and task == "classification" and n_classes != 2:
+        raise ValueError("gradient boosting has two classes here")
+    make, settings = known[kind]
+    est = make(**(settings | dict(params or {}))).setLabelCol(label).setFeaturesCol("features")
+    if weight_col:
+        est = est.setWeightCol(weight_col)
+    return est.fit(training_input(train, features, label, [weight_col] if weight_col else []))
+
+
 def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
     """Tree importances (or |coefficient|), sorted descending."""
     if hasattr(model, "featureImportances"):

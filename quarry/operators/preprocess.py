@@ -4,9 +4,9 @@ Fitting is an aggregate over the train rows; the fitted state is either a
 scalar subquery (means, deviations, medians: evaluated once, shipped as a
 value) or a lookup DataFrame keyed by (feature, value) that the transform
 joins. Lookups are joined, not collected: a high-cardinality column makes a big
-lookup, and Spark/AQE chooses broadcast or shuffle by its actual size. Only
-one-hot needs the category list on the driver (it defines output columns), and
-it is bounded by ``max_categories``; above that, ``encode_auto`` hashes."""
+lookup, and Spark/AQE chooses broadcast or shuffle by its actual size. Only the
+dense one-hot needs the category list on the driver (it defines output columns),
+bounded by ``max_categories``; its sparse form has no bound."""
 
 from __future__ import annotations
 
@@ -16,16 +16,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_bucket
-from quarry.functions.ranking import bounded_broadcast, exact_quantiles, long_form, rank_within_groups, topk_per_group
+from quarry.functions.ranking import (BROADCAST_ROWS, bounded_broadcast, exact_quantiles, global_rank, join_null_safe, long_form,
+                                      rank_within_groups, topk_per_group)
 from quarry.functions.scalars import MISSING_TOKEN
 from quarry.operators.splits import kfold_assign
+from quarry.session import cut_lineage
 
-ENCODINGS = ("onehot", "hashing", "auto", "frequency", "ordinal", "target_mean", "target_mean_oof")
+ENCODINGS = ("onehot", "onehot_sparse", "hashing", "auto", "frequency", "ordinal", "target_mean", "target_mean_oof")
 
 # Smoothing strength of target encoding, auto one-hot limit.
 TARGET_SMOOTHING = 10.0
 AUTO_ONEHOT_MAX = 50
 
+#: Categories of a column that may become columns of their own.
+DENSE_ONEHOT_MAX = 1000
+
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
@@ -44,11 +49,14 @@ def fit_impute(train: DataFrame, columns: Sequence[str], strategy: str = "mean",
         st = q.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("value"))).alias(f"c{i}") for i, c in enumerate(columns)])).scalar()
         return {c: st[f"c{i}"] for i, c in enumerate(columns)}  # one subquery for all columns
     if strategy == "most_frequent":
+        # One pass for all columns of a type: counts per (column, value), then the top one of each column.
         out = {}
-        for c in columns:
-            counts = train.where(_q(c).isNotNull()).groupBy(_q(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-            top = topk_per_group(counts.withColumn("_g", F.lit(0)), ["_g"], [F.col("n").desc(), F.col("v").asc()], 1)
-            out[c] = top.select("v").scalar()
+        for kind in dict.fromkeys(train.schema[c].dataType.simpleString() for c in columns):
+            some = [c for c in columns if train.schema[c].dataType.simpleString() == kind]
+            counts = long_form(train, [], some, kind).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+            top = topk_per_group(counts, ["feature"], [F.col("n").desc(), F.col("value").asc()], 1)
+            st = top.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("value"))).alias(f"c{i}") for i, c in enumerate(some)])).scalar()
+            out |= {c: st[f"c{i}"] for i, c in enumerate(some)}
         return out
     if strategy == "constant":
         return {c: F.lit(fill_value) for c in columns}
@@ -83,17 +91,38 @@ def apply_scale(df: DataFrame, params: dict[str, tuple[Column, Column]], prefix:
 
 
 # ------------------------------------------------------------------ F7
-def fit_onehot(train: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> dict[str, list]:
-    """Sorted train categories per column (they define output columns, so they come to the driver).
-    ``max_categories`` is an opt-in guard: above it the call raises."""
+def fit_onehot(train: DataFrame, columns: Sequence[str], max_categories: int = DENSE_ONEHOT_MAX) -> dict[str, list]:
+    """Sorted train categories per column. They become output columns, so they come to the driver, at most
+    ``max_categories`` of a column: above that the call raises (see :func:`onehot_dictionary`)."""
     lf = long_form(train, [], columns, "string").where(F.col("value").isNotNull()).distinct()
     sizes = {r.feature: r.n for r in lf.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    too_big = [c for c, n in sizes.items() if max_categories is not None and n > max_categories]
+    too_big = [c for c, n in sizes.items() if n > max_categories]
     if too_big:
-        raise ValueError(f"one-hot refused for high-cardinality columns {too_big}; use hashing")
-    cats = lf.groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("v")).collect()
-    got = {r.feature: list(r.v) for r in cats}
-    return {c: got.get(c, []) for c in columns}
+        raise ValueError(f"one column per category refused for {too_big}; use onehot_sparse or hashing")
+    got: dict[str, list] = {c: [] for c in columns}
+    for r in lf.orderBy("feature", "value").collect():  # at most max_categories a column
+        got[r.feature].append(r.value)
+    return got
+
+
+def onehot_dictionary(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, value, index): the train categories of all columns numbered 0..n-1 in the order of the dense
+    one-hot's columns (by column, then by value). Numbered by the distributed rank: no category reaches the driver."""
+    place = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i)]), F.col("feature"))
+    lf = long_form(train, [], columns, "string").where(F.col("value").isNotNull()).distinct()
+    return global_rank(lf.withColumn("_place", place), ["_place", "value"], "index").select("feature", "value", "index")
+
+
+def apply_onehot_sparse(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], prefix: str = "cat__") -> DataFrame:
+    """Adds ``{prefix}size`` (the dictionary's), ``{prefix}indices`` (ascending) and ``{prefix}values`` (all 1.0): the
+    non-zero places of the dense one-hot row. Missing and unseen values have none. One join per column,
+    broadcast while the column's categories are few, else shuffled."""
+    out = apply_lookup(df, dictionary, columns, "index", None, prefix="_oh_", null_safe=False)
+    size = dictionary.agg(F.count(F.lit(1))).scalar()
+    found = F.array_compact(F.array(*[F.col(f"`_oh_{c}`").cast("bigint") for c in columns]))
+    out = out.withColumn(f"{prefix}size", size).withColumn(f"{prefix}indices", found)
+    out = out.withColumn(f"{prefix}values", F.array_repeat(F.lit(1.0), F.size(f"{prefix}indices")))
+    return out.drop(*[f"_oh_{c}" for c in columns])
 
 
 def apply_onehot(df: DataFrame, cats: dict[str, list], prefix: str = "cat__") -> DataFrame:
@@ -158,26 +187,30 @@ def target_mean_oof(df: DataFrame, split: DataFrame, row_id: str, columns: Seque
     (value) and per (value, fold), no k refits); other rows use all train rows.
     Both cases live in one lookup keyed by (value, fold), the non-train case under
     fold -1, so each column costs one join. Adds ``cat__{c}``."""
-    from pyspark import StorageLevel
-    flagged = df.join(split.select(row_id, "split"), row_id).persist(StorageLevel.MEMORY_AND_DISK)  # read by every fit below
+    flagged = df.join(split.select(row_id, "split"), row_id)
     tr = flagged.where(F.col("split") == "train")
     lf = long_form(tr.select(fold_col, _q(target).alias("_y"), *columns), [fold_col, "_y"], columns, "string")
-    tot = lf.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_s"))
-    byf = lf.groupBy("feature", "value", fold_col).agg(F.count(F.lit(1)).alias("_nf"), F.sum("_y").alias("_sf"))
-    g = tr.agg(F.struct(F.avg(_q(target)).alias("a"), F.count(F.lit(1)).alias("n"), F.sum(_q(target)).alias("s"))).scalar()
+    # The only pass over the train rows: sums per (column, value, fold). A row counts once for each column, so the
+    # totals per fold and over all come from those of the first column.
+    byf = cut_lineage(lf.groupBy("feature", "value", fold_col).agg(F.count(F.lit(1)).alias("_nf"), F.count("_y").alias("_kf"), F.sum("_y").alias("_sf")))
+    tot = byf.groupBy("feature", "value").agg(F.sum("_nf").alias("_n"), F.sum("_sf").alias("_s"))
+    one = byf.where(F.col("feature") == columns[0])
+    g = one.agg(F.struct((F.sum("_sf") / F.sum("_kf")).alias("a"), F.sum("_nf").alias("n"), F.sum("_sf").alias("s"))).scalar()
     g_all, g_n, g_s = g["a"], g["n"], g["s"]
-    gf = tr.groupBy(fold_col).agg(((g_s - F.sum(_q(target))) / (g_n - F.count(F.lit(1)))).alias("_gm"))  # k rows
-    oof = (byf.join(tot, ["feature", "value"]).join(F.broadcast(gf), fold_col)
+    gf = one.groupBy(fold_col).agg(((g_s - F.sum("_sf")) / (g_n - F.sum("_nf"))).alias("_gm"))  # k rows
+    oof = (join_null_safe(byf, tot, ["feature", "value"]).join(F.broadcast(gf), fold_col)
            .select("feature", "value", F.col(fold_col).alias("_k"),
                    (((F.col("_s") - F.col("_sf")) + F.lit(smoothing) * F.col("_gm"))
                     / ((F.col("_n") - F.col("_nf")) + F.lit(smoothing))).alias("enc")))
     full = tot.select("feature", "value", F.lit(-1).cast(byf.schema[fold_col].dataType).alias("_k"),
                       ((F.col("_s") + F.lit(smoothing) * g_all) / (F.col("_n") + F.lit(smoothing))).alias("enc"))
-    lookup = oof.unionByName(full)
+    lookup = cut_lineage(oof.unionByName(full))  # every column's join reads it
+    few = lookup.count() <= BROADCAST_ROWS
     key = F.when(F.col("split") == "train", F.col(fold_col)).otherwise(F.lit(-1))
     out = flagged.withColumn("_key", key.cast(byf.schema[fold_col].dataType))
     for c in columns:
-        lk = bounded_broadcast(lookup.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("_k"), F.col("enc").alias("_e")))
+        lk = lookup.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("_k"), F.col("enc").alias("_e"))
+        lk = F.broadcast(lk) if few else lk
         cond = out[c].cast("string").eqNullSafe(lk["_v"]) & (out["_key"] == lk["_k"])
         # train rows always find their own (value, fold); unseen values elsewhere get the global mean
         out = out.join(lk, cond, "left").withColumn(f"cat__{c}", F.coalesce(F.col("_e"), g_all)).drop("_v", "_k", "_e")
@@ -226,7 +259,7 @@ def preprocess_fit_transform(df: DataFrame, split: DataFrame, row_id: str, numer
     """Numeric block (impute then scale, ``num__{c}``) then categorical block
     (``cat__{c}_{v}``, ``cat__{c}__hash_{i}`` or ``cat__{c}``), fitted on train rows.
 
-    ``encoding``: onehot, hashing, auto (one of the two per column), frequency, ordinal
+    ``encoding``: onehot, onehot_sparse (``cat__size``, ``cat__indices``, ``cat__values``), hashing, auto (one of the two per column), frequency, ordinal
     (unseen values -1), target_mean, or target_mean_oof (train rows out of fold over
     ``folds`` md5 folds). ``categorical_impute``: most_frequent, constant (the missing
     token) or none. Other names raise."""
@@ -251,6 +284,9 @@ def preprocess_fit_transform(df: DataFrame, split: DataFrame, row_id: str, numer
     hs = [c for c, e in encs.items() if e == "hashing"]
     if oh:
         out = apply_onehot(out, fit_onehot(train_c, oh))
+    sp = [c for c, e in encs.items() if e == "onehot_sparse"]
+    if sp:
+        out = apply_onehot_sparse(out, onehot_dictionary(train_c, sp), sp)
     if hs:
         out = apply_hashing(out, hs, n_features)
     fq = [c for c, e in encs.items() if e == "frequency"]

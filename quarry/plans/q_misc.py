@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.hashing import sql_hash_unit
 from quarry.functions.scalars import canonicalize_missing
 from quarry.operators import models as G
 from quarry.plans.q_drift import SQL_SIDES, drift_sides, NUM, CAT
 from quarry.operators import drift as K
+from quarry.plans import sql_models as M
+from quarry.plans.q_prep import CLS_TRAIN, REG_TRAIN
 from quarry.plans.registry import register, rnd
 from quarry.plans.views import cls, reg, table, with_views
 from quarry.session import scratch_path
@@ -57,12 +60,15 @@ def q_scan_limit(spark, sf_dir):
     return A.scan_limit(cls(spark, sf_dir).select("row_id", "status"), 100, ["row_id"])
 
 
-@register("table_fingerprint", """
+FINGERPRINT_SQL = """
 SELECT rows, content_hash, sha256(CAST(rows AS VARCHAR) || ':' || content_hash) AS fingerprint FROM (
   SELECT count(*) AS rows, CAST(sum(('0x' || substr(md5(concat_ws(chr(31), """ + ", ".join(
     f"coalesce(CAST({c} AS VARCHAR), chr(30))" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                                                          "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")) + """)), 1, 15))::HUGEINT) AS VARCHAR) AS content_hash
-  FROM lineitem)""")
+  FROM lineitem)"""
+
+
+@register("table_fingerprint", FINGERPRINT_SQL)
 def q_fingerprint(spark, sf_dir):
     """Order-insensitive content fingerprint of lineitem."""
     return A.table_fingerprint(table(spark, sf_dir, "lineitem"))
@@ -107,12 +113,26 @@ def _reg_train_features(spark, sf_dir):
         "is_r", F.when(F.col("returnflag") == "R", 1.0).otherwise(0.0))
 
 
-@register("fit_linear_regression")
+#: REG train rows with a filled quantity and a return flag, and the same in SQL.
+REG_FIT = REG_TRAIN + """, tf AS (SELECT *, coalesce(quantity, 25.0::DOUBLE) AS qf, CASE WHEN returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_r FROM tr),
+"""
+RF = ["qf", "discount", "is_r"]
+
+
+def _fitted(sql: str) -> str:
+    return Q(["reg"], REG_FIT + sql, "coefficient", "importance")
+
+
+def _table(spark, fit, feats=RF):
+    w, b = fit
+    rows = [(f, float(v), abs(float(v))) for f, v in zip(feats, w)] + [("__intercept__", b, None)]
+    return spark.createDataFrame(rows, "feature string, coefficient double, importance double")
+
+
+@register("fit_linear_regression", _fitted(M.gram("g", "tf", RF, "target") + ",\n" + M.solved("s", "g", 3, ["my", "m0", "m1", "m2"]) + "\n" + M.coefficient_rows("s", RF)))
 def q_fit_ols(spark, sf_dir):
     """G1 + G17: OLS on the REG train rows; coefficient table."""
-    feats = ["qf", "discount", "is_r"]
-    m = G.fit_linear(_reg_train_features(spark, sf_dir), feats, "target", "ols")
-    return G.coefficients(m, feats, spark)
+    return _table(spark, G.fit_linear_gram(_reg_train_features(spark, sf_dir), RF, "target", "ols"))
 
 
 @register("fit_ols_single_feature", Q(["reg"], """,
@@ -126,21 +146,70 @@ def q_fit_ols1(spark, sf_dir):
     return G.coefficients(G.fit_linear(r, ["qf"], "target", "ols"), ["qf"], spark)
 
 
-@register("fit_ridge")
+@register("fit_ridge", _fitted(M.gram("g", "tf", RF, "target") + ",\n" + M.solved("s", "g", 3, ["my", "m0", "m1", "m2"], "1.0") + "\n" + M.coefficient_rows("s", RF)))
 def q_fit_ridge(spark, sf_dir):
-    """Ridge (alpha = 1) with the closed-form-equivalent MLlib scaling."""
-    feats = ["qf", "discount", "is_r"]
-    m = G.fit_linear(_reg_train_features(spark, sf_dir), feats, "target", "ridge", 1.0)
-    return G.coefficients(m, feats, spark)
+    """Ridge (alpha = 1) by MLlib's normal equations in the reference's scaling."""
+    m = G.fit_linear(_reg_train_features(spark, sf_dir), RF, "target", "ridge", 1.0)
+    return G.coefficients(m, RF, spark)
+
+
+#: CLS train and all rows with standard-scaled price, balance and nation (train statistics).
+CLS_FIT = CLS_TRAIN + """,
+st AS (SELECT avg(totalprice) AS a0, stddev_pop(totalprice) AS s0, avg(acctbal) AS a1, stddev_pop(acctbal) AS s1, avg(nationkey) AS a2, stddev_pop(nationkey) AS s2 FROM ctr),
+sc AS (SELECT row_id, label, segment, status, (totalprice - a0) / s0 AS f0, (acctbal - a1) / s1 AS f1, (nationkey - a2) / s2 AS f2 FROM cls, st),
+tf AS (SELECT * FROM sc WHERE row_id IN (SELECT row_id FROM csp WHERE split = 'train')),
+vf AS (SELECT * FROM sc WHERE row_id IN (SELECT row_id FROM csp WHERE split = 'val')),
+"""
+CF = ["totalprice", "acctbal", "nationkey"]
+
+
+def cls_scaled(spark, sf_dir):
+    """(train, validation) rows of CLS, scaled on train, as in CLS_FIT; ``fold`` is an md5 fold of 5."""
+    from quarry.functions.hashing import hash_bucket
+    from quarry.operators import splits as E
+    from quarry.operators.preprocess import apply_scale, fit_scale
+    from quarry.plans.q_prep import cls_split
+    sp, c = cls_split(spark, sf_dir), cls(spark, sf_dir)
+    c = apply_scale(c, fit_scale(E.apply_split(c, sp, "row_id", "train"), CF, "standard")).withColumn("fold", hash_bucket(42, "row_id", 5))
+    return E.apply_split(c, sp, "row_id", "train"), E.apply_split(c, sp, "row_id", "val")
+
+
+@register("fit_logistic_regression", Q(["cls"], CLS_FIT + M.logistic("w", "tf", ["f0", "f1", "f2"], "label", 1.0) + "\n" + M.coefficient_rows("w", CF, 1, "b0"),
+                                       "coefficient", "importance"))
+def q_fit_logit(spark, sf_dir):
+    """L2 logistic regression (C = 1) on scaled CLS price, balance and nation, by Newton steps."""
+    coef = G.newton_logistic(cls_scaled(spark, sf_dir)[0], CF, "label", l2=1.0)[0][0]
+    return _table(spark, (coef[1:], float(coef[0])), CF)
 
 
-@register("fit_logistic_regression")
-def q_fit_logit(spark, sf_dir):
-    """L2 logistic regression (C = 1) on CLS price / balance."""
+@register("fit_logistic_multinomial", Q(["cls"], CLS_TRAIN + """
+SELECT segment, avg(CASE WHEN status = 'F' THEN 1.0 ELSE 0.0 END) AS p_F, avg(CASE WHEN status = 'O' THEN 1.0 ELSE 0.0 END) AS p_O,
+       avg(CASE WHEN status = 'P' THEN 1.0 ELSE 0.0 END) AS p_P FROM ctr GROUP BY segment""", "p_F", "p_O", "p_P"))
+def q_fit_softmax(spark, sf_dir):
+    """G5 for three classes: softmax on the one-hot segment alone, whose likelihood is greatest at each segment's class shares."""
+    from quarry.operators.preprocess import apply_onehot, fit_onehot
     from quarry.plans.q_prep import cls_train
-    tr = cls_train(spark, sf_dir).withColumn("y", F.col("label").cast("double"))
-    feats = ["totalprice", "acctbal"]
-    return G.coefficients(G.fit_logistic(tr, feats, "y"), feats, spark)
+    tr = cls_train(spark, sf_dir)
+    cats = fit_onehot(tr, ["segment"])
+    feats = [f"cat__segment_{v}" for v in cats["segment"]]
+    y = F.when(F.col("status") == "F", 0).when(F.col("status") == "O", 1).otherwise(2)
+    x = apply_onehot(tr.select("segment", y.alias("y")), cats)
+    p = G.logistic_proba(G.newton_logistic(x, feats, "y", 3)[0], feats)
+    return x.select("segment", *[e.alias(f"p_{c}") for e, c in zip(p, "FOP")]).dropDuplicates(["segment"])
+
+
+@register("cross_validate_logistic", Q(["cls"], CLS_FIT + "".join(
+    f"t{k} AS (SELECT * FROM tf WHERE {sql_hash_unit(42, 'row_id')} % 5 <> {k}),\n" + M.logistic(f"w{k}", f"t{k}", ["f0", "f1", "f2"], "label", 1.0, 7) + ",\n" for k in range(5))
+    + "w AS (" + " UNION ALL ".join(f"SELECT {k} AS fold, * FROM w{k}" for k in range(5)) + f"""),
+o AS (SELECT w.fold, label, 1 / (1 + exp(-(b0 + b1 * f0 + b2 * f1 + b3 * f2))) AS p FROM tf JOIN w ON {sql_hash_unit(42, 'row_id')} % 5 = w.fold),
+m AS (SELECT fold::BIGINT AS fold, count(*) AS n, avg(CASE WHEN (p >= 0.5) = (label = 1) THEN 1.0 ELSE 0.0 END) AS accuracy,
+             -avg(CASE WHEN label = 1 THEN ln(p) ELSE ln(1 - p) END) AS log_loss FROM o GROUP BY fold)
+SELECT * FROM m UNION ALL SELECT -1, NULL, avg(accuracy), avg(log_loss) FROM m UNION ALL SELECT -2, NULL, stddev_pop(accuracy), stddev_pop(log_loss) FROM m""",
+                                       "accuracy", "log_loss"))
+def q_cv_logit(spark, sf_dir):
+    """H21 for logistic regression: five fold fits in the same Newton steps, on train rows."""
+    tr, _ = cls_scaled(spark, sf_dir)
+    return G.cross_validate_logistic(tr.drop("fold"), tr.select("row_id", "fold"), "row_id", CF, "label", 5, 1.0)
 
 
 @register("class_weights", Q(["cls"], """

@@ -6,14 +6,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import HASH_RANGE, sql_hash_unit
+from quarry.operators import bundle as BU
 from quarry.operators import drift as K
 from quarry.operators import evaluate as H
 from quarry.operators import leaderboard as J
 from quarry.operators import models as G
 from quarry.operators import scoring as I
 from quarry.operators import splits as E
+from quarry.plans import sql_models as M
 from quarry.plans.q_lead import _NORM, _TWO, _ranked, _two_preds
-from quarry.plans.q_prep import REG_SPLIT, cls_split, reg_split
+from quarry.plans.q_misc import CLS_FIT, FINGERPRINT_SQL, REG_FIT, RF as _RF, _reg_train_features, _table
+from quarry.plans.q_prep import REG_SPLIT, REG_TRAIN, cls_split, reg_split
 from quarry.plans.registry import register, rnd
 from quarry.plans.views import cls, pred_c, pred_m, reg, runs, table, with_views
 from quarry.sources import io as A
@@ -138,7 +141,8 @@ def q_select_topk(spark, sf_dir):
     return J.ensemble_select_topk(J.ensemble_candidates(r), r, "r2", 3).select("board", "run_id", "run_order", "r2", "sel_rank")
 
 
-@register("ensemble_stacking")
+@register("ensemble_stacking", Q(["reg"], _TWO + ", " + M.gram("g", "tp", ["a", "b"], "target") + ",\n" + M.solved("s", "g", 2, ["my", "m0", "m1"], "1.0")
+                                 + "\n" + M.coefficient_rows("s", ["m_lin", "m_qty"]), "coefficient", "importance"))
 def q_stacking(spark, sf_dir):
     """Ridge meta-model over two base predictors (coefficient table)."""
     preds, r = _two_preds(spark, sf_dir)
@@ -146,6 +150,23 @@ def q_stacking(spark, sf_dir):
     return coef
 
 
+_STACK_P = f"""SELECT row_id, label, 0.35::DOUBLE * label + 0.65::DOUBLE * ({sql_hash_unit(7, 'row_id')} / {HASH_RANGE}::DOUBLE) AS f0,
+       0.2::DOUBLE * label + 0.8::DOUBLE * ({sql_hash_unit(8, 'row_id')} / {HASH_RANGE}::DOUBLE) AS f1 FROM cls"""
+
+
+@register("ensemble_stacking_logistic", Q(["cls"], f", tf AS ({_STACK_P}),\n" + M.logistic("w", "tf", ["f0", "f1"], "label", 1.0) + """
+SELECT row_id, 1 / (1 + exp(-(b0 + b1 * f0 + b2 * f1))) AS p_stack, CAST(CASE WHEN b0 + b1 * f0 + b2 * f1 > 0 THEN 1 ELSE 0 END AS BIGINT) AS y_pred FROM tf, w""", "p_stack"))
+def q_stacking_logit(spark, sf_dir):
+    """J19 for classifiers: logistic meta-model on two predictors' probabilities."""
+    from quarry.functions.hashing import hash_uniform
+    c = cls(spark, sf_dir)
+    def base(share, seed):
+        p = F.lit(share) * F.col("label") + F.lit(1 - share) * hash_uniform(seed, "row_id")
+        return c.select("row_id", F.array(F.lit(1.0) - p, p).alias("proba"))
+    _, out = J.ensemble_stacking_logistic({"a": base(0.35, 7), "b": base(0.2, 8)}, c.select("row_id", F.col("label").alias("y_true")), 2)
+    return out.select("row_id", F.col("proba")[1].alias("p_stack"), "y_pred")
+
+
 @register("ensemble_report", Q(["reg"], _TWO + """,
 m AS (SELECT 'm_lin' AS model, target AS y, a AS p FROM tp UNION ALL SELECT 'm_qty', target, b FROM tp
       UNION ALL SELECT 'ensemble', target, (a + b) / 2 FROM tp)
@@ -163,39 +184,54 @@ def _reg_feats(spark, sf_dir):
         "is_r", F.when(F.col("returnflag") == "R", 1.0).otherwise(0.0))
 
 
-_RF = ["qf", "discount", "is_r"]
+_FOLD = f"{sql_hash_unit(42, 'row_id')} % 5"
 
 
-@register("cross_validate")
+@register("cross_validate", Q(["reg"], REG_FIT + f"""kf AS (SELECT f.fold, tf.* FROM tf JOIN (SELECT unnest(range(5)) AS fold) f ON {_FOLD} <> f.fold),
+""" + M.gram("g", "kf", _RF, "target", "fold") + ",\n" + M.solved("s", "g", 3, ["fold", "my", "m0", "m1", "m2"]) + f""",
+o AS (SELECT s.fold::BIGINT AS fold, target AS y, {M.intercept(3)} + b0 * qf + b1 * discount + b2 * is_r AS p FROM tf JOIN s ON {_FOLD} = s.fold),
+m AS (SELECT fold, count(*) AS n, sqrt(avg((y - p) * (y - p))) AS rmse, 1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM o GROUP BY fold)
+SELECT * FROM m UNION ALL SELECT -1, NULL, avg(rmse), avg(r2) FROM m UNION ALL SELECT -2, NULL, stddev_pop(rmse), stddev_pop(r2) FROM m""", "rmse", "r2"))
 def q_cv(spark, sf_dir):
-    """5-fold OLS from fold Gram sums (per-fold RMSE / R2, then mean and std)."""
-    r = _reg_feats(spark, sf_dir)
+    """5-fold OLS on the train rows from fold Gram sums (per-fold RMSE / R2, then mean and std)."""
+    r = _reg_train_features(spark, sf_dir)
     return G.cross_validate_linear(r, E.kfold_assign(r, "row_id", 5, 42), "row_id", _RF, "target")
 
 
-@register("grid_search")
+_ALPHAS = [0.0, 0.1, 1.0, 10.0, 100.0, 1000.0]
+
+
+@register("grid_search", Q(["reg"], REG_FIT + """vf AS (SELECT *, coalesce(quantity, 25.0::DOUBLE) AS qf, CASE WHEN returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_r
+        FROM reg WHERE row_id IN (SELECT row_id FROM sp WHERE split = 'val')),
+""" + M.gram("g0", "tf", _RF, "target") + f""",
+g AS (SELECT * FROM g0, (VALUES {', '.join(f'({i}::BIGINT, {a}::DOUBLE)' for i, a in enumerate(_ALPHAS))}) v(trial_id, alpha)),
+""" + M.solved("s", "g", 3, ["trial_id", "alpha", "my", "m0", "m1", "m2"], "alpha") + f""",
+o AS (SELECT trial_id, alpha, target AS y, {M.intercept(3)} + b0 * qf + b1 * discount + b2 * is_r AS p FROM vf, s),
+m AS (SELECT trial_id, alpha, sqrt(avg((y - p) * (y - p))) AS rmse, 1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM o GROUP BY trial_id, alpha)
+SELECT *, row_number() OVER (ORDER BY rmse, trial_id) = 1 AS best FROM m""", "alpha", "rmse", "r2"))
 def q_grid(spark, sf_dir):
     """Ridge alphas solved from one train Gram and scored on validation."""
     r = _reg_feats(spark, sf_dir)
     sp = reg_split(spark, sf_dir)
-    return G.grid_search_ridge(E.apply_split(r, sp, "row_id", "train"), E.apply_split(r, sp, "row_id", "val"), _RF, "target",
-                               [0.0, 0.1, 1.0, 10.0, 100.0, 1000.0])
+    return G.grid_search_ridge(E.apply_split(r, sp, "row_id", "train"), E.apply_split(r, sp, "row_id", "val"), _RF, "target", _ALPHAS)
+
 
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
-@register("fit_lasso")
+
+@register("fit_lasso", _recursive(Q(["reg"], REG_FIT + M.gram("g", "tf", _RF, "target") + ",\n" + M.elastic_net("s", "g", 3, 1.0, 0.0) + "\n" + M.coefficient_rows("s", _RF),
+                                    "coefficient", "importance")))
 def q_lasso(spark, sf_dir):
-    """G3."""
-    from quarry.plans.q_misc import _reg_train_features
-    m = G.fit_linear(_reg_train_features(spark, sf_dir), _RF, "target", "lasso", 1.0)
-    return G.coefficients(m, _RF, spark)
+    """Lasso (alpha = 1) by coordinate descent on Gram sums."""
+    return _table(spark, G.fit_linear_gram(_reg_train_features(spark, sf_dir), _RF, "target", "lasso", 1.0), _RF)
 
 
-@register("fit_elasticnet")
+@register("fit_elasticnet", _recursive(Q(["reg"], REG_FIT + M.gram("g", "tf", _RF, "target") + ",\n" + M.elastic_net("s", "g", 3, 0.5, 0.5) + "\n" + M.coefficient_rows("s", _RF),
+                                         "coefficient", "importance")))
 def q_enet(spark, sf_dir):
-    """G4."""
-    from quarry.plans.q_misc import _reg_train_features
-    m = G.fit_linear(_reg_train_features(spark, sf_dir), _RF, "target", "elasticnet", 1.0, 0.5)
-    return G.coefficients(m, _RF, spark)
+    """Elastic net (alpha = 1, half of it L1) by coordinate descent on Gram sums."""
+    return _table(spark, G.fit_linear_gram(_reg_train_features(spark, sf_dir), _RF, "target", "elasticnet", 1.0, 0.5), _RF)
 
 
 _CF = ["totalprice", "acctbal", "nationkey"]
@@ -230,7 +266,13 @@ def q_importance(spark, sf_dir):
     return G.feature_importance(m, _CF, spark)
 
 
-@register("fit_ridge_classifier")
+@register("fit_ridge_classifier", Q(["cls"], CLS_FIT + "pm AS (SELECT *, CASE WHEN label = 1 THEN 1.0 ELSE -1.0 END::DOUBLE AS pm FROM cls WHERE row_id IN (SELECT row_id FROM csp WHERE split = 'train')),\n"
+                                    + M.gram("g", "pm", ["totalprice", "acctbal", "nationkey"], "pm") + ",\n" + M.solved("s", "g", 3, ["my", "m0", "m1", "m2"], "1.0") + f""",
+o AS (SELECT label AS y, CASE WHEN {M.intercept(3)} + b0 * totalprice + b1 * acctbal + b2 * nationkey >= 0 THEN 1 ELSE 0 END AS p
+      FROM cls, s WHERE row_id IN (SELECT row_id FROM csp WHERE split = 'val')),
+c AS (SELECT count(*) FILTER (WHERE y = 1 AND p = 1)::DOUBLE AS tp, count(*) FILTER (WHERE y = 0 AND p = 1) AS fp, count(*) FILTER (WHERE y = 1 AND p = 0) AS fn,
+             avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END) AS accuracy FROM o)
+SELECT accuracy, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f_binary FROM c""", "accuracy", "f_binary"))
 def q_ridge_cls(spark, sf_dir):
     """Ridge on a +-1 target; validation accuracy of the sign rule."""
     sp = cls_split(spark, sf_dir)
@@ -242,12 +284,12 @@ def q_ridge_cls(spark, sf_dir):
     return H.classification_metrics(pred).select("accuracy", "f_binary")
 
 
-@register("calibrate_sigmoid")
+@register("calibrate_sigmoid", Q(["pred_c"], ", " + M.logistic("w", "pred_c", ["p"], "y_true", 0.0, 12) + """
+SELECT row_id, p, 1 / (1 + exp(-(b0 + b1 * p))) AS p_cal FROM pred_c, w""", "p", "p_cal"))
 def q_platt(spark, sf_dir):
     """Platt scaling of the binary scores; calibrated probabilities per row."""
-    pc = pred_c(spark, sf_dir).withColumn("y", F.col("y_true").cast("double"))
-    m = G.calibrate_sigmoid(pc, "p", "y")
-    return G.apply_calibration(m, pc, "p").select("row_id", "p", "p_cal")
+    pc = pred_c(spark, sf_dir)
+    return G.apply_sigmoid(pc, G.calibrate_sigmoid(pc, "p", "y_true"), "p").select("row_id", "p", "p_cal")
 
 
 @register("calibrate_isotonic")
@@ -301,11 +343,13 @@ def q_sink_board(spark, sf_dir):
     return A.scan_csv(spark, path, "board bigint, run_id string, rank bigint, composite double")
 
 
-@register("processed_dataset_id")
+@register("processed_dataset_id", Q(["reg"], REG_SPLIT + f""",
+sh AS (SELECT CAST(count(*) AS VARCHAR) || ':' || CAST(sum(('0x' || substr(md5(concat_ws(chr(31), row_id, split)), 1, 15))::HUGEINT) AS VARCHAR) AS k FROM sp),
+rh AS (SELECT fingerprint FROM ({FINGERPRINT_SQL}))
+SELECT sha256('{{"raw":"' || (SELECT fingerprint FROM rh) || '","recipe":"recipe1","split":"' || sha256((SELECT k FROM sh)) || '"}}') AS processed_dataset_id"""))
 def q_pid(spark, sf_dir):
     """Id of (raw table fingerprint, recipe hash, split fingerprint)."""
-    r = reg(spark, sf_dir)
-    return A.processed_dataset_id(A.table_fingerprint(r), A.table_fingerprint(reg_split(spark, sf_dir)), "recipe1")
+    return A.processed_dataset_id(A.table_fingerprint(table(spark, sf_dir, "lineitem")), A.table_fingerprint(reg_split(spark, sf_dir)), "recipe1")
 
 
 @register("dataset_register")
@@ -419,19 +463,38 @@ def q_chunks(spark, sf_dir):
     return A.chunk_ranges(reg(spark, sf_dir), "row_id", 5000)
 
 
-@register("rebuild_processed", Q(["reg"], """,
-st AS (SELECT avg(discount) AS ad, coalesce(nullif(stddev_pop(discount), 0), 1.0) AS sd, avg(tax) AS a_t,
-              coalesce(nullif(stddev_pop(tax), 0), 1.0) AS s_t FROM reg)
-SELECT row_id, (discount - (SELECT ad FROM st)) / (SELECT sd FROM st) AS num__discount,
-       (tax - (SELECT a_t FROM st)) / (SELECT s_t FROM st) AS num__tax FROM reg""", "num__discount", "num__tax"))
+_BUNDLE_SQL = REG_TRAIN + """,
+m AS (SELECT avg(quantity) AS mq FROM tr),
+it AS (SELECT *, coalesce(quantity, (SELECT mq FROM m)) AS q FROM tr),
+st AS (SELECT avg(q) AS aq, coalesce(nullif(stddev_pop(q), 0), 1.0) AS sq, avg(discount) AS ad, coalesce(nullif(stddev_pop(discount), 0), 1.0) AS sd FROM it),
+"""
+
+
+@register("rebuild_processed", Q(["reg"], _BUNDLE_SQL + """fq AS (SELECT returnflag AS v, count(*)::DOUBLE / (SELECT count(*) FROM tr) AS f FROM tr GROUP BY 1),
+od AS (SELECT linestatus AS v, row_number() OVER (ORDER BY linestatus) - 1 AS c FROM (SELECT DISTINCT linestatus FROM tr))
+SELECT row_id, (coalesce(quantity, (SELECT mq FROM m)) - (SELECT aq FROM st)) / (SELECT sq FROM st) AS num__quantity,
+       (discount - (SELECT ad FROM st)) / (SELECT sd FROM st) AS num__discount, coalesce(f, 0.0) AS cat__returnflag, coalesce(c::DOUBLE, -1.0) AS cat__linestatus
+FROM reg LEFT JOIN fq ON returnflag = fq.v LEFT JOIN od ON linestatus = od.v""", "num__quantity", "num__discount", "cat__returnflag", "cat__linestatus"))
 def q_rebuild(spark, sf_dir):
-    """Scaling recipe fitted, saved as Parquet, and re-applied to the raw rows."""
+    """Imputer, scaler and two encoders fitted on the train rows, saved, loaded and re-applied to all raw rows."""
     r = reg(spark, sf_dir)
-    fitted = r.agg(*[F.avg(c).alias(f"m_{c}") for c in ("discount", "tax")],
-                   *[F.coalesce(F.nullif(F.stddev_pop(c), F.lit(0.0)), F.lit(1.0)).alias(f"s_{c}") for c in ("discount", "tax")]).first()
-    params = {c: (fitted[f"m_{c}"], fitted[f"s_{c}"]) for c in ("discount", "tax")}  # one row of constants
-    path = A.save_recipe(spark, params, A.shared_scratch(spark, "recipe"))
-    return A.rebuild_processed(r.select("row_id", "discount", "tax"), path).select("row_id", "num__discount", "num__tax")
+    tr = E.apply_split(r, reg_split(spark, sf_dir), "row_id", "train")
+    fitted = BU.fit_bundle(tr, "target", ["quantity", "discount"], ["returnflag", "linestatus"], encoding={"returnflag": "frequency", "linestatus": "ordinal"})
+    back = BU.load_bundle(spark, BU.save_bundle(fitted, A.shared_scratch(spark, "bundle")))
+    return back.features(r.select("row_id", "quantity", "discount", "returnflag", "linestatus")).select(
+        "row_id", "num__quantity", "num__discount", "cat__returnflag", "cat__linestatus")
+
+
+@register("score_bundle", Q(["reg"], _BUNDLE_SQL + """w AS (SELECT regr_slope(target, q) AS w, regr_intercept(target, q) AS b FROM it),
+p AS (SELECT row_id, target, b + w * coalesce(quantity, (SELECT mq FROM m)) AS prediction FROM reg, w),
+c AS (SELECT quantile_cont(abs(target - prediction), 0.9) AS q FROM p WHERE row_id IN (SELECT row_id FROM sp WHERE split = 'val'))
+SELECT row_id, prediction, prediction - q AS pred_lower, prediction + q AS pred_upper FROM p, c""", "prediction", "pred_lower", "pred_upper"))
+def q_score_bundle(spark, sf_dir):
+    """I1 + G18: recipe, least squares and conformal width fitted, saved, loaded, and raw rows scored."""
+    r, sp = reg(spark, sf_dir), reg_split(spark, sf_dir)
+    tr, va = E.apply_split(r, sp, "row_id", "train"), E.apply_split(r, sp, "row_id", "val")
+    fitted = BU.fit_bundle(tr, "target", ["quantity"], validation=va, conformal_alpha=0.1)
+    return BU.load_bundle(spark, BU.save_bundle(fitted, A.shared_scratch(spark, "bundle"))).score(r)
 
 
 @register("sink_predictions", Q(["reg"], """

@@ -223,6 +223,19 @@ def q_onehot(spark, sf_dir):
     return P.apply_onehot(cls(spark, sf_dir).select("row_id", "priority"), cats).drop("priority")
 
 
+@register("encode_onehot_sparse", Q(["cls"], CLS_TRAIN + """,
+d AS (SELECT f, v, row_number() OVER (ORDER BY f, v) - 1 AS i FROM (SELECT DISTINCT 0 AS f, cname AS v FROM ctr UNION SELECT DISTINCT 1, priority FROM ctr))
+SELECT row_id, (SELECT count(*) FROM d) AS size, concat_ws(',', CAST(a.i AS VARCHAR), CAST(b.i AS VARCHAR)) AS indices,
+       CASE WHEN a.i IS NULL THEN 0 ELSE 1 END + CASE WHEN b.i IS NULL THEN 0 ELSE 1 END AS total
+FROM cls LEFT JOIN d a ON a.f = 0 AND a.v = cname LEFT JOIN d b ON b.f = 1 AND b.v = priority""", "total"))
+def q_onehot_sparse(spark, sf_dir):
+    """F7 sparse: customer name and priority as (size, indices, values); names unseen in train have no index."""
+    dictionary = P.onehot_dictionary(cls_train(spark, sf_dir), ["cname", "priority"])
+    out = P.apply_onehot_sparse(cls(spark, sf_dir).select("row_id", "cname", "priority"), dictionary, ["cname", "priority"])
+    return out.select("row_id", F.col("cat__size").alias("size"), F.array_join(F.transform("cat__indices", lambda i: i.cast("string")), ",").alias("indices"),
+                      F.aggregate("cat__values", F.lit(0.0), lambda a, v: a + v).alias("total"))
+
+
 @register("encode_ordinal", Q(["cls"], CLS_TRAIN + """,
 lk AS (SELECT segment AS v, row_number() OVER (ORDER BY segment) - 1 AS code FROM (SELECT DISTINCT segment FROM ctr WHERE segment IS NOT NULL))
 SELECT row_id, coalesce(code::DOUBLE, -1.0) AS cat__segment FROM cls LEFT JOIN lk ON segment = v""", "cat__segment"))
