@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from quarry.llm.bpe import bpe_tokens, word_bpe
 from quarry.llm.common import ship_package
 from quarry.llm.components import components
-from quarry.llm.decontaminate import SeedIndex, contaminated
+from quarry.llm.decontaminate import contaminated, least_equal, masks_of
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.language_id import in_held_out, train_language_model, with_language
 from quarry.llm.ngram_join import ngram_components
@@ -342,15 +342,31 @@ def test_decontamination(spark, docs, odd):
     assert whole <= {(x.doc_id, x.item_id) for x in contaminated(docs, spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect()}
 
 
-def test_decontamination_misses_no_pattern():
-    """Every way to change as many words as the limit allows, in items of 1 to 24 words and any window of them."""
-    for n in range(1, 25):
-        item = [f"w{i}" for i in range(n)]
-        index, width = SeedIndex([("i", " ".join(item))], 20, 0.8), min(n, 20)
-        for at in range(n - width + 1):
-            for gone in itertools.combinations(range(at, at + width), width // 5):
-                words = [w if at <= i < at + width and i not in gone else "x" for i, w in enumerate(item)]
-                assert index.overlaps(" ".join(["y", *words, "z"])).keys() == {0}, (n, at, gone)
+def test_masks_miss_no_pattern():
+    """Every way to change as many words as the limit allows, in windows of 1 to 24 words: some mask fits."""
+    for width in range(1, 25):
+        least, masks = least_equal(width, 0.8), masks_of(width, 0.8)
+        fits = [{at + j for j, c in enumerate(m) if c == "1"} for m in masks for at in range(width - len(m) + 1)]
+        assert all(any(not f & {*gone} for f in fits) for gone in itertools.combinations(range(width), width - least)), width
+        assert width < 5 or any("0" in m for m in masks)
+
+
+def test_windows_changed_anywhere_are_found(spark):
+    """Items of 1 to 30 words with as many words changed as the limit allows, in each text another choice of them."""
+    ship_package(spark)
+    r, items, texts, want = random.Random(4), [], [], set()
+    for n in range(1, 31):
+        items.append(" ".join(f"w{n}x{i}" for i in range(n)))
+        width = min(n, 20)
+        for _ in range(40):
+            at = r.randrange(n - width + 1)
+            gone = r.sample(range(at, at + width), width // 5)
+            words = [w if at <= i < at + width and i not in gone else "x" for i, w in enumerate(items[-1].split())]
+            want.add((len(texts), n - 1))
+            texts.append(" ".join(["y", *words, "z"]))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string").repartition(3)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    assert {(x.doc_id, x.item_id) for x in contaminated(df, bench).collect()} == want
 
 
 def brute_overlaps(text, items, window=20):
