@@ -47,6 +47,19 @@ def row_fraction(*cols) -> F.Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
+#: At most so many keys of a join are broadcast.
+HOT_KEYS = 10_000
+
+
+def join_hot(big: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
+    """``big`` with ``small``, which has one row a key and in ``weight`` how many rows of ``big`` have it. Keys with more
+    than a ten-thousandth of big's rows (so at most HOT_KEYS of them) are broadcast, all others shuffled."""
+    heavy = F.col(weight) > big.count() // HOT_KEYS
+    few = small.where(heavy)
+    light = big.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(small.where(~heavy), keys)
+    return big.join(F.broadcast(few), keys).unionByName(light)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of an Arrow column; null counts as the empty text."""
     return [t if t is not None else "" for t in column.to_pylist()]
@@ -79,21 +92,21 @@ def join_chunks(values: pa.Array, numbers: np.ndarray, offsets: np.ndarray, betw
 
 class ChunkMemo:
     """Bounded memo of a worker, filled many keys at a time. ``make(keys)`` gives the values of a list of
-    keys. Past ``size`` entries the young generation becomes the old one and the old one goes; what is
-    used again moves back, so at most 2 * size entries (and one batch's) are held."""
+    keys. Past ``size`` entries or ``chars`` characters of keys the young generation becomes the old one and the
+    old one goes; what is used again moves back, so at most twice as much (and one batch's) is held."""
 
-    def __init__(self, make, size: int):
-        self.make, self.size, self.young, self.old = make, size, {}, {}
+    def __init__(self, make, size: int, chars: int = 4_000_000):
+        self.make, self.size, self.chars, self.young, self.old, self.held = make, size, chars, {}, {}, 0
 
     def clear(self) -> None:
-        self.young, self.old = {}, {}
+        self.young, self.old, self.held = {}, {}, 0
 
     def values(self, keys) -> dict:
         """A dict that has at least ``keys``."""
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
+        if len(self.young) > self.size or self.held > self.chars:
+            self.old, self.young, self.held = self.young, {}, 0
         young, old = self.young, self.old
-        missed = []
+        missed, before = [], len(young)
         for k in keys:
             if k in young:
                 continue
@@ -103,6 +116,8 @@ class ChunkMemo:
                 missed.append(k)
         if missed:
             young.update(zip(missed, self.make(missed)))
+        if len(young) > before:
+            self.held += sum(map(len, missed)) + 8 * (len(young) - before - len(missed))
         return young
 
 
@@ -148,6 +163,11 @@ def _word_and_bits(keys: np.ndarray, log2_bits: int) -> tuple[np.ndarray, np.nda
     return word, bits
 
 
+def bloom_bits(n: int, most: int, per_key: int = 16) -> int:
+    """Size of a filter for ``n`` keys as a power of two, between 2**12 and 2**most."""
+    return min(most, max(12, (per_key * n).bit_length()))
+
+
 def in_bloom(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which int64 keys may be in the filter (no false negatives)."""
     word, bits = _word_and_bits(keys, int(words.size).bit_length() - 1 + 6)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quarry.functions.ranking import BROADCAST_ROWS
-from quarry.llm.common import bloom_words, give_back, in_bloom, text_slices
+from quarry.llm.common import bloom_bits, bloom_words, give_back, in_bloom, text_slices
 from quarry.session import cut_lineage
 
 WORD = re.compile(r"\w+")
@@ -140,7 +140,7 @@ def _lanes(texts: DataFrame, benchmark: DataFrame, window: int, share: float) ->
     sizes = [r["size"] for r in seeds.select(F.least("size", F.lit(window)).alias("size")).distinct().collect()]  # at most ``window``
     masks = sorted({m for w in sizes for m in masks_of(int(w), share)})
     n = seeds.select("hash").distinct().count()
-    words = spark.sparkContext.broadcast(bloom_words(seeds.select("hash").distinct(), "hash", min(FILTER_BITS, max(12, (16 * n).bit_length()))))
+    words = spark.sparkContext.broadcast(bloom_words(seeds.select("hash").distinct(), "hash", bloom_bits(n, FILTER_BITS)))
 
     def check(batches):
         for batch in batches:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bloom_words, give_back, in_bloom, text_slices
+from quarry.llm.common import bloom_bits, bloom_words, give_back, in_bloom, text_slices
 from quarry.llm.components import components
 from quarry.session import cut_lineage, scratch_path
 
@@ -32,7 +32,8 @@ SUBSETS, SINGLES, FIRST = 3, 16, 48  # lower edges of the two small bands and of
 LOAD = 1.5  # shingles per partition at a band's upper edge
 MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * j + 1)) % 2**64 for j in range(1, N + 1)], dtype=np.uint64)
 FREQUENT, FREQUENT_PER_TASK = 65_536, 4_096
-BLOOM_BITS = 27
+FILTER_BITS = 29  # of a Bloom filter, as a power of two: 64 MB at most
+FILTER_KEYS = 1 << 27  # keys that such a filter can still tell apart; more are joined
 SETS_AT_ONCE = 2500
 
 
@@ -150,9 +151,7 @@ class Signer:
             tokens = _mix(np.add.reduceat(_mix(shingles[order]), at) + _mix(part[at] ^ seed))
             rare = tokens[np.minimum.reduceat(frequency[order], at) == 0]
             first = (size + min(4 * size // 3, high - 1)) // 7 + 1  # k = |s - r| + |r - s| for any similar r of the band
-            if len(tokens) < first:
-                raise RuntimeError(f"{size} shingles fill only {len(tokens)} partitions, {first} are needed")
-            singles |= len(rare) < first
+            singles |= len(rare) < first  # also where its shingles fill fewer partitions than that
             chosen = np.partition(rare, first - 1)[:first] if len(rare) > first else rare
             out.append(chosen ^ seed)
             common.append(np.zeros(len(chosen), dtype=bool))
@@ -252,12 +251,15 @@ def _signature_counts(sets: DataFrame, signer) -> DataFrame:
     return sets.select("shingles").mapInArrow(run, "sig bigint, n int").groupBy("sig").agg(F.sum("n").alias("n"))
 
 
-def _candidates(sets: DataFrame, signer, shared) -> DataFrame:
-    """Sets that hold a signature which may be another's too, with those signatures and the parity bitmap."""
+def _candidates(sets: DataFrame, signer, shared: DataFrame, most: int) -> DataFrame:
+    """Sets that hold a signature which may be another's too, with those signatures and the parity bitmap. Up to
+    ``most`` shared signatures go into a Bloom filter of their number; more are joined with those of all sets."""
     schema = "set_id binary, key bigint, n bigint, rare bigint, typical double, sigs array<bigint>, common array<bigint>, parity binary"
+    n = shared.count()
+    words = sets.sparkSession.sparkContext.broadcast(bloom_words(shared, "sig", bloom_bits(n, FILTER_BITS)) if n <= most else None)
 
     def run(batches):
-        own, words = signer.value, shared.value
+        own = signer.value
         for batch in (b.slice(at, SETS_AT_ONCE) for b in batches for at in range(0, b.num_rows, SETS_AT_ONCE)):
             rows = []
             for i, key, raw in zip(*(batch.column(k) for k in range(3))):
@@ -265,7 +267,7 @@ def _candidates(sets: DataFrame, signer, shared) -> DataFrame:
                 frequency = own.frequency(s)
                 sigs, common = own.signatures(s, frequency)
                 sigs = sigs.view(np.int64)
-                held = in_bloom(words, sigs)
+                held = in_bloom(words.value, sigs) if words.value is not None else np.ones(len(sigs), dtype=bool)
                 if held.any():
                     rows.append((i.as_py(), key.as_py(), len(s), int((frequency == 0).sum()), float(np.log1p(frequency).mean()),
                                  sigs[held & ~common], sigs[held & common], parity_bits(s)))
@@ -275,13 +277,22 @@ def _candidates(sets: DataFrame, signer, shared) -> DataFrame:
                 names = ["set_id", "key", "n", "rare", "typical", "sigs", "common", "parity"]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds)], names=names)
 
-    return sets.select("set_id", "key", "shingles").mapInArrow(run, schema)
+    found = sets.select("set_id", "key", "shingles").mapInArrow(run, schema)
+    if n <= most:
+        return found
+    path = scratch_path(sets.sparkSession, "ngram-signed")
+    found.write.option("compression", "zstd").parquet(path)
+    found = sets.sparkSession.read.parquet(path)
+    one = lambda col: found.select("set_id", F.lit(col).alias("of"), F.explode(col).alias("sig"))
+    kept = one("sigs").unionAll(one("common")).join(shared, "sig", "left_semi").groupBy("set_id").agg(
+        *[F.collect_list(F.when(F.col("of") == c, F.col("sig"))).alias(c) for c in ("sigs", "common")])  # at most a set's signatures
+    return found.drop("sigs", "common").join(kept, "set_id")
 
 
 def _full_sets(sets: DataFrame, keys: DataFrame, owners: DataFrame) -> DataFrame:
-    """(node, shingles) of the sets whose key is among ``keys``; a Bloom filter keeps all others from being
-    shuffled (its false positives are dropped by the join)."""
-    shared = keys.sparkSession.sparkContext.broadcast(bloom_words(keys, "key", BLOOM_BITS - 3))
+    """(node, shingles) of the sets whose key is among ``keys``; a Bloom filter of their number keeps most others
+    from being shuffled (what it lets through is dropped by the join)."""
+    shared = keys.sparkSession.sparkContext.broadcast(bloom_words(keys, "key", bloom_bits(keys.count(), FILTER_BITS)))
 
     def run(batches):
         for batch in batches:
@@ -316,14 +327,16 @@ def _linked(pairs: DataFrame, candidates: DataFrame, sets: DataFrame, owners: Da
     return cut_lineage(both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(exact, "a bigint, b bigint"))
 
 
-def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
+def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
+                     filter_keys: int = FILTER_KEYS) -> DataFrame:
     """One row per row: id_col (an integer), n_shingles, component_id.
 
     Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets; component_id is
     the smallest identifier reachable by links, the row's own included. Null, empty and blank texts have no
     shingles and are linked with nothing, nor with one another. Rows with a null identifier are returned with their
     n_shingles and a null component, and link nothing. Repeated rows and identifiers are one document. Other
-    columns are not read. Signatures are complete for percent >= 75.
+    columns are not read. Signatures are complete for percent >= 75. Up to ``filter_keys`` shared signatures are found
+    by a filter, more by a join; both give the same rows.
     """
     if percent < 75:
         raise ValueError("signatures are made for percent >= 75")
@@ -340,12 +353,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     hashes, counts = often.column("shingle").to_numpy().astype(np.uint64), often.column("times").to_numpy()
     order = np.argsort(hashes)
     signer = spark.sparkContext.broadcast(Signer(hashes[order], counts[order]))
-    shared = _signature_counts(sets, signer).where(F.col("n") > 1).select("sig")
-    shared = spark.sparkContext.broadcast(bloom_words(shared, "sig", BLOOM_BITS))
+    shared = cut_lineage(_signature_counts(sets, signer).where(F.col("n") > 1).select("sig"))
 
     # Nodes are sets, named by their smallest identifier.
     owners = cut_lineage(rows.where(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("set_id").agg(F.min("id").cast("bigint").alias("node")))
-    once = _candidates(sets, signer, shared).groupBy("set_id").agg(F.first(F.struct("key", "n", "rare", "typical", "sigs", "common", "parity")).alias("s"))
+    once = _candidates(sets, signer, shared, filter_keys).groupBy("set_id").agg(F.first(F.struct("key", "n", "rare", "typical", "sigs", "common", "parity")).alias("s"))
     candidates = cut_lineage(once.join(owners, "set_id").select("node", "s.*"))
 
     # Members that meet in a frequent shingle and share no rare one have at most their frequent ones in

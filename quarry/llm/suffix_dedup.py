@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import give_back
+from quarry.llm.common import give_back, join_hot
 from quarry.session import cut_lineage, scratch_path
 
 LENGTH = 400
@@ -30,7 +30,6 @@ BLOCK = 16            # bytes of a symbol
 GROUP_ROWS = 4000     # different fragments of one gram that a task sorts; more are told apart window by window
 SORT_BYTES = 3_000_000  # fragments that a task sorts at once
 SLICE = 1 << 20       # bytes hashed at once
-HOT_KEYS = 10_000     # at most so many keys are broadcast
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -257,15 +256,6 @@ def fragments_of(column: pa.Array, length: int = LENGTH) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, dtype=np.int64)] * 6
 
 
-def _join(big: DataFrame, small: DataFrame, keys: list[str], weight: str) -> DataFrame:
-    """``big`` with ``small``, which has one row a key and in ``weight`` how many rows of ``big`` have it. Keys with more
-    than a ten-thousandth of big's rows (so at most HOT_KEYS of them) are broadcast, all others shuffled."""
-    heavy = F.col(weight) > big.count() // HOT_KEYS
-    few = small.where(heavy)
-    light = big.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(small.where(~heavy), keys)
-    return big.join(F.broadcast(few), keys).unionByName(light)
-
-
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
@@ -302,7 +292,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, group_rows: int = GRO
         F.count("*").alias("n"), F.min("tag").alias("tag"), F.min_by("start", "tag").alias("start"),
         F.min("windows").alias("windows"), F.min("offset").alias("offset")))
     grams = cut_lineage(kinds.groupBy("gram").agg(F.sum("n").alias("all"), F.count("*").alias("kinds")).where("all > 1"))
-    common = cut_lineage(_join(kinds, grams, ["gram"], "kinds"))
+    common = cut_lineage(join_hot(kinds, grams, ["gram"], "kinds"))
     # A fragment that occurs twice is repeated as a whole, whatever else meets its gram.
     sure = common.where("n > 1").select("gram", "digest", "n", F.lit(0).alias("first"), (F.col("windows") - 1).alias("last"))
     wanted = common.where("kinds > 1").groupBy("tag").agg(F.collect_list(F.struct("gram", "digest", "n", "kinds", "start", "windows", "offset")).alias("wanted"))
@@ -354,10 +344,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, group_rows: int = GRO
     found = sure.unionByName(sorted_)
     if many is not None:
         twice = cut_lineage(many.groupBy("w1", "w2").agg(F.sum("n").alias("all"), F.count("*").alias("rows")).where("all > 1"))
-        at = _join(many, twice, ["w1", "w2"], "rows").where("n = 1")
+        at = join_hot(many, twice, ["w1", "w2"], "rows").where("n = 1")
         found = found.unionByName(at.groupBy("gram", "digest").agg(
             F.first("n").alias("n"), F.min("first").alias("first"), F.max("first").alias("last")))
-    spans = _join(marks, cut_lineage(found), ["gram", "digest"], "n")
+    spans = join_hot(marks, cut_lineage(found), ["gram", "digest"], "n")
     return spans.select("tag", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last") + F.lit(length)).alias("end"))
 
 

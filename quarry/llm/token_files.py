@@ -8,114 +8,70 @@ pages of ids and a query on counts reads none.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quarry.llm.common import ChunkMemo, blank_chunks, in_parts, join_chunks
+from quarry.llm.bpe import byte_symbols
+from quarry.llm.common import text_slices
 
-CACHE_ENTRIES = 180_000
-LETTERS_AND_TAIL = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,]+)$"
-WORDS_AT_ONCE = 500
+#: Texts of these characters alone (ASCII and Latin letters and signs, whose classes no version of Unicode has changed)
+#: are cut into pre-tokens alike by the library and by the vocabulary's stated pattern.
+ODD = re.compile("[^\t\n\r\x20-\x7e\xa1-\u024f]|<\\|")
 
 
-class ChunkEncoder:
-    """The library's encoding of whole texts, by remembered chunks.
+def ranked_encoding(path: str) -> tiktoken.Encoding | None:
+    """The vocabulary file's merges as ranks of byte strings; None if the order of its identifiers is not that
+    of its merges, or if it has another way of cutting texts than the plain byte-level one."""
+    with open(path, encoding="utf-8") as f:
+        whole = json.load(f)
+    model, cut = whole["model"], whole.get("pre_tokenizer") or {}
+    vocabulary, byte_of = model["vocab"], {c: b for b, c in enumerate(byte_symbols())}
+    merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not whole.get("normalizer")
+    if not plain or any(a >= b for a, b in zip(merged, merged[1:])) or not all(c in vocabulary for c in byte_of):
+        return None
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if all(c in byte_of for c in t)}
+    return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    In a byte-level vocabulary whose pre-tokens keep one leading blank, a pre-token never spans a blank
-    between two other characters. Texts in which each blank is such a blank are cut there; chunks not met
-    yet are joined and go to the library a few hundred at a time. All other texts, and those that may have
-    a special string, go to the library whole.
-    """
+
+class TextEncoder:
+    """The library's encoding of whole texts. Plain texts (see ODD) are encoded by merge ranks, which give the
+    same identifiers several times as fast; all others, and those that may hold a special string, by the library."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        vocabulary = self.tokenizer.get_vocab()
-        self.starts = np.zeros(1 + max(vocabulary.values()), dtype=bool)  # ids whose string begins with a blank
-        self.starts[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
-        self.words = ChunkMemo(self._words, CACHE_ENTRIES)
-        self.tails = {}
-
-    def library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _words(self, words: list[str]) -> list[bytes | None]:
-        """Of chunks that follow a blank; None for those that are empty or have white space at an end."""
-        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
-        known = {}
-        for some in in_parts(plain, WORDS_AT_ONCE):
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            raw = ids.tobytes()
-            at = [*(np.flatnonzero(self.starts[ids]) * 4).tolist(), len(raw)]
-            if len(at) != len(some) + 1:  # a string of the vocabulary that the cut does not know
-                known.update((w, self.library(" " + w)) for w in some)
-            else:
-                known.update((w, raw[a:b]) for w, a, b in zip(some, at, at[1:]))
-        return list(map(known.get, words))
-
-    def _tail(self, tail: str) -> bytes:
-        if tail not in self.tails:
-            if len(self.tails) > 10_000:
-                self.tails.clear()
-            self.tails[tail] = self.library(tail) if tail else b""
-        return self.tails[tail]
-
-    def encode_texts(self, texts: pa.Array, end: bytes = b"") -> pa.Array:
-        """Ids of each text, then ``end``, as little-endian unsigned 32-bit integers (binary)."""
-        offsets, numbers, chunks = blank_chunks(texts)
-        first = offsets[:-1]
-        inner = np.ones(len(numbers), dtype=bool)
-        inner[first] = False
-        followed = np.zeros(len(chunks), dtype=bool)  # the chunks that follow a blank somewhere
-        followed[numbers[inner]] = True
-        place = np.cumsum(followed) - 1
-        some = chunks.filter(pa.array(followed))
-        # Letters before full stops or commas are a pre-token of their own and are looked up as such.
-        cut = pc.extract_regex(some, LETTERS_AND_TAIL)
-        words = pc.coalesce(pc.struct_field(cut, "word"), some).dictionary_encode()
-        tails = pc.fill_null(pc.struct_field(cut, "tail"), "").dictionary_encode()
-        listed = words.dictionary.to_pylist()
-        known = self.words.values(listed)
-        ids = pa.array([known[w] for w in listed], pa.binary()).take(words.indices)
-        ids = pc.binary_join_element_wise(ids, pa.array([self._tail(t) for t in tails.dictionary.to_pylist()], pa.binary()).take(tails.indices), b"")
-        heads, own = np.unique(numbers[first], return_inverse=True)
-        heads = chunks.take(pa.array(heads)).to_pylist()
-        values = pa.concat_arrays([pc.fill_null(ids, b""), pa.array([self.library(h) for h in heads] + [end], pa.binary())])
-        odd = np.concatenate([ids.is_null().to_numpy(zero_copy_only=False), [not h or h[-1].isspace() for h in heads], [False]]).astype(bool)
-        numbers = place[numbers]
-        numbers[first] = len(ids) + own
-        # One more place per text, for the end.
-        places = np.arange(len(numbers)) + np.repeat(np.arange(len(first)), np.diff(offsets))
-        padded = np.full(len(numbers) + len(first), len(values) - 1)
-        padded[places] = numbers
-        out = join_chunks(values, padded, offsets + np.arange(len(offsets)), b"")
-        whole = np.flatnonzero(np.logical_or.reduceat(odd[numbers], first) & (np.diff(offsets) > 1)) if len(first) else []
-        whole = {*whole, *np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)).tolist()}
-        if whole:
-            raw = out.to_pylist()
-            for k in whole:
-                raw[k] = self.library(texts[int(k)].as_py()) + end
-            out = pa.array(raw, pa.binary())
-        return out
-
-    def encode(self, text: str) -> bytes:
-        return self.encode_texts(pa.array([text]))[0].as_py()
-
-
-_LOADED: dict[str, ChunkEncoder] = {}
-
-
-def _encoder(path: str) -> ChunkEncoder:
+        self.ranked = ranked_encoding(path)
+
+    def ids(self, text: str) -> np.ndarray:
+        if self.ranked is None or ODD.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return self.ranked.encode_to_numpy(text, disallowed_special=())
+
+    def encode_texts(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each followed by ``end_id`` if there is one, and the texts' offsets."""
+        end = np.zeros(0, np.uint32) if end_id is None else np.array([end_id], np.uint32)
+        parts = [p for t in texts.to_pylist() for p in (self.ids(t), end)]
+        size = np.array([len(p) for p in parts], dtype=np.int64).reshape(-1, 2).sum(axis=1)
+        return np.concatenate(parts) if parts else end[:0], np.concatenate([[0], np.cumsum(size)])
+
+
+_LOADED: dict[str, TextEncoder] = {}
+
+
+def _encoder(path: str) -> TextEncoder:
     if path not in _LOADED:
-        _LOADED[path] = ChunkEncoder(path)
+        _LOADED[path] = TextEncoder(path)
     return _LOADED[path]
 
 
@@ -125,7 +81,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50
     """Write token files under ``path`` (replaced if there).
 
     Null and empty texts have only the end id (nothing at all if ``end_id`` is None). Null identifiers come
-    first. Rows that share an identifier are ordered by text. An empty table writes files without rows.
+    first. Rows that share an identifier are ordered by a hash of their texts, so that any number of them is cut
+    into ranges; repeated rows lie one behind the other. An empty table writes files without rows.
     ``encoding``: "delta" (delta binary packed) or "dictionary". Texts, not ids, are shuffled: once, by ranges.
     """
     if encoding not in ("delta", "dictionary"):
@@ -133,26 +90,21 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = "byte_bpe_50
 
     def run(batches):
         encoder, start = _encoder(public_tokenizers.path(vocabulary)), 0
-        end = b"" if end_id is None else np.uint32(end_id).tobytes()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            raw = encoder.encode_texts(batch.column("text"), end)
-            size = np.frombuffer(raw.buffers()[1], dtype="<i4", count=len(raw) + 1, offset=raw.offset * 4)
-            at = start + (size - size[0]).astype(np.int64) // 4
-            ids = pa.array(np.frombuffer(raw.buffers()[2], dtype="<i4", offset=int(size[0]), count=int(size[-1] - size[0]) // 4)
-                           if size[-1] > size[0] else np.zeros(0, "<i4"))
-            yield pa.RecordBatch.from_pydict({
-                "shard": batch.column("shard"), "doc_id": batch.column("doc_id"), "local_start": pa.array(at[:-1]),
-                "n_tokens": pa.array(np.diff(at)), "ids": pa.ListArray.from_arrays(pa.array((at - start).astype(np.int32)), ids)})
-            start = int(at[-1])
-            del raw, size, ids
+            for first, texts in text_slices(batch.column(2)):
+                ids, at = encoder.encode_texts(texts, end_id)
+                yield pa.RecordBatch.from_pydict({
+                    "shard": batch.column(0).slice(first, len(texts)), "doc_id": batch.column(1).slice(first, len(texts)), "local_start": pa.array(start + at[:-1]),
+                    "n_tokens": pa.array(np.diff(at)), "ids": pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.view(np.int32)))})
+                start += int(at[-1])
+                del ids, at
             pa.default_memory_pool().release_unused()
 
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = plain.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    plain = plain.select("*", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    ordered = plain.repartitionByRange(n, "doc_id", "hash", "row").sortWithinPartitions("doc_id", "hash", "row")
     ordered = ordered.select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     (
         ordered.mapInArrow(run, f"shard int, doc_id {kind}, local_start bigint, n_tokens bigint, ids array<int>")

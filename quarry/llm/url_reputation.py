@@ -14,6 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import join_hot
+from quarry.session import cut_lineage
+
 #: (rule, verdict): a host suffix, a slash and a path prefix.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Public suffixes of two labels that are looked up; every other suffix is taken as one label.
@@ -123,9 +126,10 @@ def judge_pages(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str
     judged = split_url(pages.select(F.col(page_col).alias("page_id"), F.col(url_col).alias("url"))).drop("url")
     labels = outcomes.select(F.col(page_col).alias("page_id"), "bad")
     overall, post_s, post_d, post_h = host_reputation(judged.join(labels, "page_id").select("host", "bad"), salts)
-    # All distinct hosts, labelled or not, get their answer once; pages then need a single join.
-    hosts = judged.groupBy("host").agg(F.lit(1).alias("one")).select(
-        "host", registered_domain(F.col("host")).alias("domain"), suffix(F.col("host")).alias("suffix"))
+    # All distinct hosts, labelled or not, get their answer once; pages then need a single join, in which hosts
+    # with very many pages are broadcast.
+    hosts = judged.groupBy("host").agg(F.count("*").alias("pages")).select(
+        "host", "pages", registered_domain(F.col("host")).alias("domain"), suffix(F.col("host")).alias("suffix"))
     pick = lambda p, k: p.select(k, F.struct("alpha", "beta").alias(f"of_{k}"))
     salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
     answer = (
@@ -139,9 +143,9 @@ def judge_pages(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str
     a, b = F.col("p.alpha"), F.col("p.beta")
     mean = a / (a + b)
     sd = F.sqrt(a * b / (F.pow(a + b, 2) * (a + b + 1)))
-    answer = answer.select("host", mean.alias("bad_rate"), F.greatest(F.lit(0.0), mean - z * sd).alias("bad_low"))
+    answer = answer.select("host", "pages", mean.alias("bad_rate"), F.greatest(F.lit(0.0), mean - z * sd).alias("bad_low"))
     rule, said = match_rule(F.col("host"), F.col("path"), rules)
-    return judged.join(answer, "host").select(
+    return join_hot(judged, cut_lineage(answer), ["host"], "pages").select(
         F.col("page_id").alias(page_col), "host", "path", rule.alias("rule"),
         F.coalesce(said, F.when(F.col("bad_low") > limit, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
         "bad_rate", "bad_low")

@@ -22,7 +22,7 @@ from quarry.llm.language_id import in_held_out, train_language_model, with_langu
 from quarry.llm.ngram_join import ngram_components
 from quarry.llm.secrets import BASE, MarkovPair, digest_columns, find_secrets, labelled_tokens, train_markov
 from quarry.llm.token_counts import token_counts
-from quarry.llm.token_files import id_checksums, read_token_files, write_token_files
+from quarry.llm.token_files import TextEncoder, id_checksums, read_token_files, write_token_files
 from quarry.llm.toxicity import score_toxicity, toxicity_samples, train_toxicity
 from quarry.llm.url_reputation import judge_pages, registered_domain, suffix
 
@@ -249,6 +249,20 @@ def test_ngram_join_equals_all_pairs(spark, docs):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_components(df).collect()} == brute_components(rows)
 
 
+@pytest.mark.parametrize("how", ["full filter", "join"])
+def test_ngram_join_of_many_shared_signatures(spark, monkeypatch, how):
+    """With a filter of 4096 bits, which lets nearly all through, and with the join that replaces it beyond its limit."""
+    import quarry.llm.ngram_join as module
+
+    ship_package(spark)
+    rows = near_copies(12, [3, 8, 20, 35, 52, 90, 200], 12, 5)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    if how == "full filter":
+        monkeypatch.setattr(module, "FILTER_BITS", 12)
+    got = ngram_components(df, filter_keys=0 if how == "join" else module.FILTER_KEYS)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
+
+
 def test_ngram_join_odd_cases(spark, odd):
     out = rows_of(ngram_components(odd))
     assert len(out) == odd.count() and (None, 1, None) in out
@@ -289,6 +303,38 @@ def test_token_files_round_trip(spark, docs, odd, tmp_path, encoding):
     assert read_token_files(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_token_files_of_null_and_repeated_identifiers(spark, odd, tmp_path):
+    """Null identifiers first, rows of one identifier one behind the other, each with its own start."""
+    rows = odd.select("doc_id", "text").collect() + [(5, "again"), (5, "again"), (None, "second")]
+    df = spark.createDataFrame([tuple(r) for r in rows], "doc_id bigint, text string").repartition(3)
+    write_token_files(df, f"{tmp_path}/t", shards=4)
+    got = sorted(id_checksums(read_token_files(spark, f"{tmp_path}/t")).collect(), key=lambda r: r.start)
+    assert [r.start for r in got] == list(itertools.accumulate([0] + [r.n_tokens for r in got[:-1]]))
+    assert [-1 if r.doc_id is None else r.doc_id for r in got] == sorted(-1 if r[0] is None else r[0] for r in rows)
+    crc = lambda t: zlib.crc32(b"".join(i.to_bytes(4, "little") for i in expected_ids(t)))
+    assert sorted(((r.doc_id, r.ids_crc32) for r in got), key=str) == sorted(((i, crc(t)) for i, t in rows), key=str)
+
+
+def test_token_files_are_read_selectively(spark, docs, tmp_path):
+    write_token_files(docs, f"{tmp_path}/t", page_rows=20)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    counts = read_token_files(spark, f"{tmp_path}/t", with_ids=False)
+    assert "ids" not in plan(counts) and counts.count() == docs.count()
+    some = read_token_files(spark, f"{tmp_path}/t").where("doc_id BETWEEN 40 AND 44")
+    assert "GreaterThanOrEqual(doc_id,40)" in plan(some) and sorted(r.doc_id for r in some.collect()) == [40, 41, 42, 43, 44]
+
+
+def test_encoder_equals_the_library_on_noise():
+    encoder, library = TextEncoder(P.path("byte_bpe_50k.json")), Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    r = random.Random(3)
+    pools = ["ab'sdtrevml  .,!?\n\t09", "éüßÀ\xa0¡ÿ ŁžɎ a1", "語か. x\u2009y\u0301", "<|endoftext|> a", "abcdefgh"]
+    for k in range(4000):
+        text = "".join(r.choice(pools[k % 5]) for _ in range(r.randrange(40)))
+        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    for text in ("a" * 30_000, "".join(r.choice("abc") for _ in range(30_000)), " " * 5000, ODD_TEXTS[9]):
+        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 # --- op 8
 def test_token_counts_equal_the_library(spark, docs, odd):
     sp = SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
