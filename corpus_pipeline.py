@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.ranking import BROADCAST_ROWS
 from quarry.llm.bpe import bpe_tokens
 from quarry.llm.common import ship_package, table
 from quarry.llm.decontaminate import without_contaminated
@@ -45,31 +46,51 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def _without(docs: DataFrame, key: F.Column, gone: DataFrame) -> DataFrame:
+    """The rows whose key is not in ``gone`` (one column, ``__gone``). Up to a counted number of keys are broadcast,
+    so that the texts stay where they are; only beyond it the rows are shuffled."""
+    few = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    return docs.join(few, key == F.col("__gone"), "left_anti")
+
+
+def _row_key(doc_id: F.Column, digest: F.Column) -> F.Column:
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("none")), digest)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of every distinct normalised text: the one with the smallest doc_id; of rows that
-    share both, any one. Null texts count as empty. Rows with a null doc_id stay only if all of their
-    text's rows have none."""
+    share both, the one whose raw text has the smallest digest. Null texts count as empty. Rows with a null doc_id
+    stay only if all of their text's rows have none."""
     _prepare(spark)
-    key = lambda i, digest: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("none")), digest).alias("__key")
-    kept = exact_dedup(docs).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")))
-    marked = docs.select("*", key(F.col("doc_id"), text_digest(F.col("text"))))
-    # Copies differ in doc_id, so the key spreads them; what it gathers are repeats of one row, thinned in place.
-    out = marked.join(kept, "__key", "left_semi").dropDuplicates(["__key"])
+    rows = exact_dedup(docs).select(_row_key(F.col("doc_id"), F.col("text_sha256")).alias("__gone"), "kept", "group_size")
+    keys = cut_lineage(rows.where("group_size > 1").groupBy("__gone").agg(F.max("kept").alias("kept"), F.count("*").alias("n")))
+    key = _row_key(F.col("doc_id"), text_digest(F.col("text")))
+    out = _without(docs, key, keys.where("NOT kept").select("__gone"))
+    repeats = keys.where("kept AND n > 1").select("__gone")
+    if repeats.limit(1).count():  # rows that share doc_id and normalised text: only these are gathered, and thinned before
+        few = F.broadcast(repeats) if repeats.count() <= BROADCAST_ROWS else repeats
+        same = out.select("*", key.alias("__key")).join(few.withColumnRenamed("__gone", "__key"), "__key", "left_semi")
+        raw = F.sha2(F.coalesce("text", F.lit("")), 256)
+        one = same.groupBy("__key").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(F.col("text").isNull(), raw)).alias("__row"))
+        out = _without(out, key, repeats).unionByName(one.select(*[F.col(f"__row.`{c}`") for c in docs.columns]))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked by 5-word shingles (Jaccard 0.75 or more): the one with the
     smallest doc_id, a null one last. Texts without words stay. Rows that share both doc_id and text are one
-    document, all of whose rows stay or go; rows that share only a doc_id are different documents. Documents
-    are told apart by a 64-bit hash of both."""
+    document, all of whose rows stay or go; rows that share only a doc_id are different documents. Documents are
+    told apart by 128 bits of hashes; those that share the 64 bits by which they are joined (a few in 10**10) stay."""
     _prepare(spark)
-    document = F.xxhash64("doc_id", "text").alias("__document")
-    groups = ngram_components(docs.select(document, F.col("text")), "__document").select("__document", "component_id").distinct()
-    known = groups.join(docs.select(document, F.col("doc_id")).distinct(), "__document")
-    kept = known.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__document"))).alias("least"))
-    gone = cut_lineage(groups.join(kept.select("least.__document"), "__document", "left_anti").select("__document"))
-    return docs.select("*", document).join(gone, "__document", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    document, check = F.xxhash64("doc_id", "text"), F.xxhash64(F.lit("check"), "doc_id", "text")
+    groups = ngram_components(docs.select(document.alias("__document"), F.col("text")), "__document").select("__document", "component_id").distinct()
+    known = docs.select(document.alias("__document"), check.alias("__check"), F.col("doc_id")).groupBy("__document").agg(
+        F.min("__check").alias("__check"), F.max("__check").alias("__other"), F.min("doc_id").alias("doc_id"))
+    members = cut_lineage(groups.join(known.where("__check = __other"), "__document"))
+    kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__document"))).alias("least"))
+    name = lambda a, b: F.concat_ws(":", a.cast("string"), b.cast("string"))
+    gone = members.join(kept.select("least.__document"), "__document", "left_anti").select(name(F.col("__document"), F.col("__check")).alias("__gone"))
+    return _without(docs, name(document, check), cut_lineage(gone))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
