@@ -159,7 +159,7 @@ def fit_bundle(train: DataFrame, target: str, numeric: Sequence[str], categorica
         bundle = recipe._replace(coefficients=spark.createDataFrame(table, "feature string, coefficient double"))
     else:
         names = [f"_f{i}" for i in range(len(features))]
-        plain = ready.select("_y", *[F.col(weight_col)] * bool(weight_col), *[P._q(f).alias(n) for f, n in zip(features, names)])
+        plain = ready.select("_y", *([F.col(weight_col)] if weight_col else []), *[P._q(f).alias(n) for f, n in zip(features, names)])
         bundle = recipe._replace(fitted=G.fit_mllib(plain, names, "_y", model, task, len(labels or ()), seed, params, weight_col))
         spec["class"] = f"{type(bundle.fitted).__module__}.{type(bundle.fitted).__name__}"
 

@@ -264,23 +264,6 @@ def poisson1_cdf(kmax: int = 24) -> list[float]:
     return out
 
 
-def _weighted_metric(metric: str, y: Column, p: Column, w: Column):
-    e = y - p
-    sw = F.sum(w)
-    if metric == "mse":
-        return F.sum(w * e * e) / sw
-    if metric == "rmse":
-        return F.sqrt(F.sum(w * e * e) / sw)
-    if metric == "mae":
-        return F.sum(w * F.abs(e)) / sw
-    if metric == "r2":
-        sst = F.sum(w * y * y) - F.sum(w * y) * F.sum(w * y) / sw
-        return F.when(sst == 0, None).otherwise(F.lit(1.0) - F.sum(w * e * e) / sst)
-    if metric == "accuracy":
-        return F.sum(w * (y == p).cast("double")) / sw
-    raise ValueError(f"bootstrap metric '{metric}' not supported")
-
-
 def bootstrap_ci(df: DataFrame, metric: str = "rmse", row_id: str = "row_id", y: str = "y_true", p: str = "y_pred",
                  n_boot: int = 200, alpha: float = 0.05, seed: int = 0, method: str = "poisson") -> DataFrame:
     """Percentile bootstrap interval: metric, low, mid (point estimate), high, n_boot.
@@ -394,6 +377,22 @@ def metrics_report_regression(df: DataFrame, y: str = "y_true", p: str = "y_pred
     return long.select("metric", "value", dir_expr.alias("direction"), (F.col("metric") == primary).alias("is_primary"))
 
 
+def classification_report(df: DataFrame, y: str = "y_true", p: str = "y_pred") -> DataFrame:
+    """label, precision, recall, f1, support: a row per class seen (zero division gives 0), the plain and the
+    support-weighted means, and accuracy (in all three columns). One aggregate over the rows."""
+    cc = class_counts(df.where(_c(y).isNotNull() & _c(p).isNotNull()), y, p)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    per = cc.select(F.col("cls").cast("string").alias("label"), F.when(tp + fp == 0, 0.0).otherwise(F.try_divide(tp, tp + fp)).alias("precision"),
+                    F.when(tp + fn == 0, 0.0).otherwise(F.try_divide(tp, tp + fn)).alias("recall"), _fbeta(tp, fp, fn, 1.0).alias("f1"), "support", "tp")
+    names = ("precision", "recall", "f1")
+    total, weight = F.sum("support").alias("support"), F.col("support")
+    macro = per.agg(*[F.avg(n).alias(n) for n in names], total).select(F.lit("macro avg").alias("label"), *names, "support")
+    weighted = per.agg(*[F.try_divide(F.sum(F.col(n) * weight), F.sum(weight)).alias(n) for n in names], total).select(F.lit("weighted avg").alias("label"), *names, "support")
+    share = F.try_divide(F.sum("tp"), F.sum("support"))
+    accuracy = per.agg(*[share.alias(n) for n in names], total).select(F.lit("accuracy").alias("label"), *names, "support")
+    return per.drop("tp").unionByName(macro).unionByName(weighted).unionByName(accuracy)
+
+
 def prediction_sample(df: DataFrame, row_id: str = "row_id", cols: Sequence[str] = ("y_true", "y_pred"), n: int = 5) -> DataFrame:
     """First n rows by row id (the limit is the feature)."""
     return df.select(row_id, *cols).orderBy(row_id).limit(n)

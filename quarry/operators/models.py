@@ -96,7 +96,7 @@ def undersample(df: DataFrame, label: str, row_id: str, seed: int = 0) -> DataFr
 def gram_centre(df: DataFrame, features: Sequence[str], label: str) -> list[float]:
     """Means of the features and the label (one row). Gram sums are taken around them: raw
     sums of products lose all digits of a feature whose mean is large against its spread."""
-    return [v or 0.0 for v in df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate([*features, label])]).first()]
+    return [v or 0.0 for v in df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate([*features, label])]).first()]
 
 
 def gram_by(df: DataFrame, features: Sequence[str], label: str, key: str | None = None, centre: Sequence[float] | None = None):
@@ -106,8 +106,8 @@ def gram_by(df: DataFrame, features: Sequence[str], label: str, key: str | None
     used together must share a centre."""
     import numpy as np
     centre = list(centre) if centre is not None else [0.0] * (len(features) + 1)
-    xs = [F.col(f).cast("double") - F.lit(float(c)) for f, c in zip(features, centre)]
-    y = F.col(label).cast("double") - F.lit(float(centre[-1]))
+    xs = [F.col(f"`{f}`").cast("double") - F.lit(float(c)) for f, c in zip(features, centre)]
+    y = F.col(f"`{label}`").cast("double") - F.lit(float(centre[-1]))
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
     aggs += [F.sum(x).alias(f"sx{i}") for i, x in enumerate(xs)]
     aggs += [F.sum(x * y).alias(f"sxy{i}") for i, x in enumerate(xs)]

@@ -15,6 +15,7 @@ _MODULES = [
     "quarry.plans.q_lead",
     "quarry.plans.q_misc",
     "quarry.plans.q_more",
+    "quarry.plans.q_fit",
 ]
 
 

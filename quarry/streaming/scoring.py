@@ -27,6 +27,21 @@ def _versions(spark: SparkSession, folder: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _forget(spark: SparkSession, folder: str, before: int) -> None:
+    """Delete the versions under ``folder`` whose batch id is below ``before``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(p) if fs.exists(p) else ():
+        name = f.getPath().getName()
+        if name.startswith("v=") and int(name[2:]) < before:
+            fs.delete(f.getPath(), True)
+
+
 def file_stream(spark: SparkSession, folder: str, schema, glob: str = "*.parquet", max_files_per_trigger: int | None = 1) -> DataFrame:
     """Parquet files arriving in ``folder`` (matching ``glob``), one file per micro-batch by default; with
     None a micro-batch has all files that have arrived."""
@@ -50,16 +65,22 @@ def stream_score(stream: DataFrame, keep: list[str], prediction: Column) -> Data
 
 # ------------------------------------------------------------------ L2
 def stream_issue_totals(stream: DataFrame, issue: Column, state: str) -> DataFrame:
-    """Counts per issue over all batches so far: each batch's counts (a row per issue) are kept
-    under its batch id and summed."""
+    """Counts per issue over all batches so far (a row per issue). A batch adds its counts to the newest version
+    before its own and writes them under its batch id; the two newest versions are kept."""
     spark, out = stream.sparkSession, f"{state}/out"
+    kept = "issue string, count bigint, v bigint"
 
     def per_batch(batch: DataFrame, batch_id: int):
-        counts = batch.select(issue.alias("issue")).where(F.col("issue").isNotNull()).groupBy("issue").agg(F.count(F.lit(1)).alias("count"))
-        counts.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        counts = batch.select(issue.alias("issue"), F.lit(1).cast("bigint").alias("count")).where(F.col("issue").isNotNull())
+        past = _versions(spark, out, kept).where(F.col("v") < batch_id)
+        past = past.where(F.col("v") == past.agg(F.max("v")).scalar()).select("issue", "count")
+        now = counts.unionByName(past).groupBy("issue").agg(F.sum("count").alias("count"))
+        now.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        _forget(spark, out, batch_id - 1)
 
     _drain(stream, per_batch, state)
-    return spark.read.schema("issue string, count bigint").parquet(out).groupBy("issue").agg(F.sum("count").alias("count"))
+    every = _versions(spark, out, kept)
+    return every.where(F.col("v") == every.agg(F.max("v")).scalar()).select("issue", "count")
 
 
 # ------------------------------------------------------------------ L6
@@ -99,6 +120,7 @@ def stream_sample(stream: DataFrame, key: str, n: int, state: str, seed: int = 0
     def per_batch(batch: DataFrame, batch_id: int):
         cur = batch.withColumn("_h", hash_unit(seed, key)).unionByName(newest(batch_id))
         cur.orderBy("_h", key).limit(n).write.mode("overwrite").parquet(f"{out}/v={batch_id}")
+        _forget(spark, out, batch_id - 1)
 
     _drain(stream, per_batch, state)
     return newest().drop("_h")
@@ -135,3 +157,70 @@ def stream_quality_gate(stream: DataFrame, state: str, target: str | None = None
 
     _drain(stream, per_batch, state)
     return stream.sparkSession.read.schema("type string, severity string, count bigint").parquet(out)
+
+
+# ------------------------------------------------------------------ I8 / A13 / A16
+class GateFailed(RuntimeError):
+    """The first batch did not pass the gate, or a batch has issues in strict mode."""
+
+
+MANIFEST = "chunk bigint, row_start bigint, row_end bigint, rows_in bigint, rows_out bigint, issues bigint"
+ERRORS = "chunk bigint, row_start bigint, row_end bigint, reason string, rows bigint"
+
+
+def finished_batches(spark: SparkSession, state: str) -> DataFrame:
+    """One row per finished batch: chunk, row_start, row_end, rows_in, rows_out, issues."""
+    return _versions(spark, f"{state}/manifest", MANIFEST)
+
+
+def error_log(spark: SparkSession, state: str) -> DataFrame:
+    """JSON lines of all batches: chunk, its row range, the reason and how many of its rows have it."""
+    path = f"{state}/errors"
+    return spark.read.schema(ERRORS).json(path) if _exists(spark, path) else spark.createDataFrame([], ERRORS)
+
+
+def score_exactly_once(stream: DataFrame, score, state: str, checks: dict[str, Column] | None = None, mode: str = "warn", gate=None) -> DataFrame:
+    """Score a stream batch by batch and append the predictions under ``state``, each row once.
+
+    ``score(batch)`` gives the predictions of a batch. ``checks`` names conditions under which a row has an issue; their
+    counts go to the error log with the batch's row range. ``mode``: warn scores all rows, drop scores those without
+    an issue, strict stops at the first batch with one. ``gate(batch)`` gives (status, reasons) of the first batch;
+    status fail stops before anything is scored.
+
+    A batch is finished when its manifest entry is written, after its predictions: what an interrupted batch left
+    is overwritten when it runs again, and a batch that was finished but not yet committed by the stream is
+    passed over. Predictions of batches without an entry are not read. Returns all predictions so far, with
+    the batch id as ``chunk``."""
+    if mode not in ("warn", "drop", "strict"):
+        raise ValueError(f"unknown mode '{mode}'")
+    spark, checks = stream.sparkSession, dict(checks or {})
+
+    def per_batch(batch: DataFrame, batch_id: int):
+        if _exists(spark, f"{state}/manifest/v={batch_id}/_SUCCESS"):
+            return
+        if batch_id == 0 and gate is not None:
+            status, reasons = gate(batch)
+            if status == "fail":
+                raise GateFailed(f"the first batch does not pass: {', '.join(reasons)}")
+        bad = [F.coalesce(c, F.lit(False)) for c in checks.values()]
+        any_bad = F.lit(False)
+        for c in bad:
+            any_bad = any_bad | c
+        seen = batch.agg(F.count(F.lit(1)).alias("n"), F.count_if(any_bad).alias("any"), *[F.count_if(c).alias(f"c{i}") for i, c in enumerate(bad)]).first()
+        start = finished_batches(spark, state).agg(F.coalesce(F.sum("rows_in"), F.lit(0))).first()[0]
+        found = [(batch_id, start, start + seen["n"], reason, seen[f"c{i}"]) for i, reason in enumerate(checks) if seen[f"c{i}"]]
+        if found:  # a row per reason
+            spark.createDataFrame(found, ERRORS).coalesce(1).write.mode("overwrite").json(f"{state}/errors/v={batch_id}")
+            if mode == "strict":
+                raise GateFailed(f"batch {batch_id} has issues: {', '.join(f[3] for f in found)}")
+        path = f"{state}/out/v={batch_id}"
+        score(batch.where(~any_bad) if mode == "drop" else batch).write.mode("overwrite").parquet(path)
+        entry = [(batch_id, start, start + seen["n"], seen["n"], spark.read.parquet(path).count(), seen["any"])]
+        spark.createDataFrame(entry, MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{state}/manifest/v={batch_id}")
+
+    _drain(stream, per_batch, state)
+    done = [r["chunk"] for r in finished_batches(spark, state).select("chunk").collect()]  # a number per batch
+    paths = [f"{state}/out/v={k}" for k in sorted(done)]
+    if not paths:
+        raise ValueError("no batch has arrived")
+    return spark.read.option("basePath", f"{state}/out").parquet(*paths).withColumnRenamed("v", "chunk")
