@@ -186,12 +186,12 @@ def gamma_scale(df: DataFrame, features: Sequence[str]) -> float:
     return 1.0 / (n * var) if var > 0 else 1.0
 
 
-def fit_rbf_svc(train: DataFrame, features: Sequence[str], label: str, gamma: float | None = None, components: int = 200, seed: int = 0, c: float = 1.0):
+def fit_rbf_svc(train: DataFrame, features: Sequence[str], label: str, gamma: float | None = None, components: int = 200, seed: int = 0, c: float = 1.0, max_iter: int = 50):
     """RBF support vector classifier (two classes): linear SVC on random Fourier features. Returns (model, names, gamma)."""
     from pyspark.ml.classification import LinearSVC
 
     from quarry.operators.models import training_input
     gamma = gamma_scale(train, features) if gamma is None else gamma
     ready, names = fourier_features(train, features, gamma, components, seed)
-    model = LinearSVC(regParam=1.0 / (c * train.count()), labelCol=label, featuresCol="features").fit(training_input(ready, names, label))
+    model = LinearSVC(regParam=1.0 / (c * train.count()), maxIter=max_iter, tol=1e-4, labelCol=label, featuresCol="features").fit(training_input(ready, names, label))
     return model, names, gamma

@@ -143,12 +143,13 @@ def q_score_gated(spark, sf_dir):
     """I8 + A13: events scored in four micro-batches, rows outside the valid range dropped, predictions appended once."""
     state, prediction = scratch_path(spark, "gated"), F.lit(2.0) * F.col("value") + F.lit(1.0)
     out = _over_event_batches(spark, sf_dir, lambda s: L.score_exactly_once(
-        s, lambda b: b.select("event_id", prediction.alias("prediction")), state, _CHECKS, "drop", lambda b: ("pass", [])))
+        s, lambda b: b.select("event_id", prediction.alias("prediction")), state, _checks(), "drop", lambda b: ("pass", [])))
     total = out.groupBy("chunk").agg(F.sum("prediction").alias("total"))
     return L.finished_batches(spark, state).drop("v").join(total, "chunk", "left").fillna(0.0, ["total"])
 
 
-_CHECKS = {"value_low": F.expr("value < 20"), "value_high": F.expr("value > 90")}
+def _checks():
+    return {"value_low": F.expr("value < 20"), "value_high": F.expr("value > 90")}
 
 
 @register("score_error_log", _GATED + """SELECT chunk, row_end - rows_in AS row_start, row_end, 'value_low' AS reason, low AS rows FROM p WHERE low > 0
@@ -156,7 +157,7 @@ UNION ALL SELECT chunk, row_end - rows_in, row_end, 'value_high', high FROM p WH
 def q_error_log(spark, sf_dir):
     """The error log of the same run, a row per batch and reason with the batch's row range."""
     state = scratch_path(spark, "gated")
-    _over_event_batches(spark, sf_dir, lambda s: L.score_exactly_once(s, lambda b: b.select("event_id"), state, _CHECKS, "warn"))
+    _over_event_batches(spark, sf_dir, lambda s: L.score_exactly_once(s, lambda b: b.select("event_id"), state, _checks(), "warn"))
     return L.error_log(spark, state).select("chunk", "row_start", "row_end", "reason", "rows")
 
 
