@@ -12,11 +12,12 @@ from quarry.operators import evaluate as H
 from quarry.operators import models as G
 from quarry.operators import neighbours as N
 from quarry.operators import splits as E
+from quarry.operators import train as T
 from quarry.plans import sql_models as M
 from quarry.plans.q_misc import CF, CLS_FIT, _over_event_batches, cls_scaled
-from quarry.plans.q_prep import reg_split
+from quarry.plans.q_prep import REG_TRAIN, cls_split, reg_split
 from quarry.plans.registry import register, rnd
-from quarry.plans.views import pred_c, pred_m, reg, table, with_views
+from quarry.plans.views import cls, pred_c, pred_m, reg, table, with_views
 from quarry.session import scratch_path
 from quarry.sources import io as A
 from quarry.streaming import scoring as L
@@ -205,3 +206,26 @@ def q_logit_valid(spark, sf_dir):
     y = F.col("label")
     return va.select(y, p.alias("p")).agg(F.avg(((F.col("p") >= 0.5) == (y == 1)).cast("double")).alias("accuracy"),
                                           (-F.avg(F.when(y == 1, F.ln("p")).otherwise(F.ln(1 - F.col("p"))))).alias("log_loss"), F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------------ G18
+@register("train_task_regression", Q(["reg"], REG_TRAIN + """,
+m AS (SELECT avg(quantity) AS mq FROM tr),
+w AS (SELECT regr_slope(target, coalesce(quantity, mq)) AS w, regr_intercept(target, coalesce(quantity, mq)) AS b FROM tr, m),
+p AS (SELECT target AS y, b + w * coalesce(quantity, mq) AS p FROM reg, w, m WHERE row_id IN (SELECT row_id FROM sp WHERE split = 'val'))
+SELECT unnest(['r2', 'mse', 'rmse', 'mae']) AS metric, unnest([1.0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), avg((y - p) * (y - p)), sqrt(avg((y - p) * (y - p))), avg(abs(y - p))]) AS value,
+       unnest(['maximize', 'minimize', 'minimize', 'minimize']) AS direction, unnest([true, false, false, false]) AS is_primary FROM p""", "value"))
+def q_train_reg(spark, sf_dir):
+    """Recipe, least squares, conformal width, bundle and validation report in one program."""
+    return T.train_task(reg(spark, sf_dir), reg_split(spark, sf_dir), "row_id", "target", ["quantity"], [], A.shared_scratch(spark, "train"),
+                        conformal_alpha=0.1, n_boot=20).report
+
+
+@register("train_task_classification")
+def q_train_cls(spark, sf_dir):
+    """G18 for two classes: oversampled train rows, logistic model, threshold by F1, report and AUC interval."""
+    c = cls(spark, sf_dir).withColumn("y", F.when(F.col("status") == "F", "F").otherwise("other"))
+    out = T.train_task(c, cls_split(spark, sf_dir), "row_id", "y", ["totalprice", "acctbal"], ["priority"], A.shared_scratch(spark, "train"), "classification",
+                       "logistic", "oversample", threshold_metric="f1", n_boot=20)
+    low, high = out.interval.select("low").scalar(), out.interval.select("high").scalar()
+    return out.report.select("*", low.alias("auc_low"), high.alias("auc_high"), F.lit(out.bundle.spec["threshold"]).alias("threshold"))

@@ -146,6 +146,18 @@ def test_a_saved_bundle_scores_as_the_fitted_one(spark, tmp_path, target, task,
         assert 0.88 <= np.mean(inside) <= 0.93
 
 
+def test_the_train_task_in_one_program(spark, tmp_path):
+    from quarry.operators.train import train_task
+    df = people(spark)
+    split = df.select("row_id", F.when(F.col("row_id") % 4 == 0, "val").otherwise("train").alias("split"))
+    got = train_task(df, split, "row_id", "bin", ["a"], ["cat"], f"{tmp_path}/t", "classification", "logistic", "class_weight", threshold_metric="f1", n_boot=10, cv_folds=3)
+    assert got.predictions.count() == 100 and got.report.where("label = 'accuracy'").first()["recall"] > 0.9
+    ci = got.interval.first()
+    assert 0.9 < ci.low <= ci.mid <= ci.high <= 1 and got.folds.where("fold >= 0").count() == 3
+    with pytest.raises(ValueError):
+        train_task(df, split, "row_id", "y", ["a"], [], f"{tmp_path}/u", imbalance="oversample")
+
+
 def test_bundles_refuse_what_they_cannot_fit(spark):
     df = people(spark, 40)
     for bad in (dict(task="ranking"), dict(model="logistic"), dict(encoding="onehot_sparse"), dict(task="classification", model="ols")):
