@@ -71,10 +71,22 @@ def composite_score(normed: DataFrame, weights: dict[str, float] | None = None)
 
 
 # ------------------------------------------------------------------ J8
-def leaderboard_rank(scored: DataFrame, score_col: str = "composite", descending: bool = True) -> DataFrame:
-    """1-based rank per board: score in its direction, NULLs last, ties by run order."""
-    o = F.col(score_col).desc_nulls_last() if descending else F.col(score_col).asc_nulls_last()
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("board").orderBy(o, F.col("run_order"))).cast("bigint"))
+def leaderboard_rank(scored: DataFrame, score_col: str = "composite", descending: bool = True, primary_col: str | None = None,
+                     direction_col: str = "direction") -> DataFrame:
+    """1-based rank per board: score in its direction, NULLs last, ties by run order. With ``primary_col``, a board
+    none of whose runs has a score is ranked by that metric in the board's direction (minimize unless it says
+    maximize); ``ranked_by`` names the column that decided."""
+    board = Window.partitionBy("board")
+    if primary_col is None:
+        o = F.col(score_col).desc_nulls_last() if descending else F.col(score_col).asc_nulls_last()
+        return scored.withColumn("rank", F.row_number().over(board.orderBy(o, F.col("run_order"))).cast("bigint"))
+    has = F.count(F.col(score_col)).over(board) > 0
+    sign = F.when(F.lower(F.trim(direction_col)) == "maximize", 1.0).otherwise(-1.0)
+    key = F.when(F.col("_has"), F.col(score_col) * (1.0 if descending else -1.0)).otherwise(F.col(primary_col) * sign)
+    ranked = scored.withColumn("_has", has).withColumn("_key", key)
+    rank = F.row_number().over(board.orderBy(F.col("_key").desc_nulls_last(), F.col("run_order"))).cast("bigint")
+    by = F.when(F.col("_has"), F.lit(score_col)).otherwise(F.lit(primary_col))
+    return ranked.withColumn("rank", rank).withColumn("ranked_by", by).drop("_has", "_key")
 
 
 # ------------------------------------------------------------------ J9 / J10 / J11

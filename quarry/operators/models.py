@@ -62,12 +62,24 @@ def coefficients(model, features: Sequence[str], spark) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, coefficient double, importance double")
 
 
-def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Balanced weights n / (k * n_c) per class."""
+def class_weights(df: DataFrame, label: str, given: dict | Sequence[float] | None = None) -> DataFrame:
+    """Weight per class: balanced n / (k * n_c), or ``given`` by class (a class without one has 1) or as a list
+    in the classes' sorted order."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    n = df.count()
-    k = counts.count()
-    return counts.select(label, "n_c", (F.lit(float(n)) / (F.lit(float(k)) * F.col("n_c"))).alias("weight"))
+    if given is None:
+        n = df.count()
+        k = counts.count()
+        return counts.select(label, "n_c", (F.lit(float(n)) / (F.lit(float(k)) * F.col("n_c"))).alias("weight"))
+    if isinstance(given, dict):
+        weight = F.lit(1.0)
+        for c, w in given.items():
+            weight = F.when(F.col(label).cast("string") == str(c), F.lit(float(w))).otherwise(weight)
+        return counts.select(label, "n_c", weight.alias("weight"))
+    from pyspark.sql import Window
+    if counts.count() != len(given):
+        raise ValueError(f"{len(given)} weights for {counts.count()} classes")
+    place = F.row_number().over(Window.orderBy(label))  # one row per class
+    return counts.select(label, "n_c", F.element_at(F.array(*[F.lit(float(w)) for w in given]), place).alias("weight"))
 
 
 def oversample(df: DataFrame, label: str, row_id: str, seed: int = 0) -> DataFrame:

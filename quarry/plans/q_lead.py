@@ -96,6 +96,21 @@ def q_rank(spark, sf_dir):
     return _ranked(spark, sf_dir)
 
 
+@register("leaderboard_rank_fallback", Q(["runs"], _NORM + """,
+x AS (SELECT cs.board, cs.run_id, cs.run_order, CASE WHEN cs.board % 3 = 0 THEN NULL ELSE composite END AS composite, rmse,
+             CASE WHEN cs.board % 2 = 0 THEN 'maximize' ELSE 'minimize' END AS direction FROM cs JOIN runs r USING (board, run_id)),
+y AS (SELECT *, count(composite) OVER (PARTITION BY board) > 0 AS has FROM x)
+SELECT board, run_id, composite, row_number() OVER (PARTITION BY board ORDER BY CASE WHEN has THEN composite WHEN direction = 'maximize' THEN rmse ELSE -rmse END DESC NULLS LAST, run_order) AS rank,
+       CASE WHEN has THEN 'composite' ELSE 'rmse' END AS ranked_by FROM y""", "composite"))
+def q_rank_fallback(spark, sf_dir):
+    """Boards without any composite (each third here) are ranked by their primary metric in its direction."""
+    r = runs(spark, sf_dir)
+    comp = J.composite_score(J.normalize_minmax(J.metrics_long(r, METRICS))).join(r.select("board", "run_id", "rmse"), ["board", "run_id"])
+    comp = comp.withColumn("composite", F.when(F.col("board") % 3 != 0, F.col("composite"))).withColumn(
+        "direction", F.when(F.col("board") % 2 == 0, "maximize").otherwise("minimize"))
+    return J.leaderboard_rank(comp, primary_col="rmse").select("board", "run_id", "composite", "rank", "ranked_by")
+
+
 @register("recommend_topk", Q(["runs"], _NORM + """
 ,f AS (SELECT rk.*, r.family, sum(CASE WHEN r.family = 'single' THEN 1 ELSE 0 END) OVER (PARTITION BY rk.board) AS singles
       FROM rk JOIN runs r USING (board, run_id)),

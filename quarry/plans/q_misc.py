@@ -219,6 +219,16 @@ def q_class_weights(spark, sf_dir):
     return G.class_weights(cls(spark, sf_dir), "status")
 
 
+@register("class_weights_given", Q(["cls"], """
+SELECT status, count(*) AS n_c, CASE status WHEN 'F' THEN 0.5 WHEN 'O' THEN 2.0 ELSE 1.0 END AS by_name, CASE status WHEN 'F' THEN 1.0 WHEN 'O' THEN 3.0 ELSE 7.0 END AS by_place
+FROM cls GROUP BY status""", "by_name", "by_place"))
+def q_class_weights_given(spark, sf_dir):
+    """Weights given by class and as a list in sorted order."""
+    c = cls(spark, sf_dir)
+    named, listed = G.class_weights(c, "status", {"F": 0.5, "O": 2.0}), G.class_weights(c, "status", [1.0, 3.0, 7.0])
+    return named.withColumnRenamed("weight", "by_name").join(listed.select("status", F.col("weight").alias("by_place")), "status")
+
+
 @register("oversample", Q(["cls"], """
 SELECT status, CAST((SELECT max(n) FROM (SELECT count(*) AS n FROM cls GROUP BY status)) AS BIGINT) AS rows FROM cls GROUP BY status"""))
 def q_oversample(spark, sf_dir):
