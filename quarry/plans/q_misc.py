@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions.hashing import sql_hash_unit
+from quarry.functions.hashing import hash_unit, sql_hash_unit
 from quarry.functions.scalars import canonicalize_missing
 from quarry.operators import models as G
 from quarry.plans.q_drift import SQL_SIDES, drift_sides, NUM, CAT
@@ -80,6 +80,14 @@ def q_canon(spark, sf_dir):
     return canonicalize_missing(reg(spark, sf_dir).select("row_id", "quantity", "discount"))
 
 
+@register("canonicalize_missing_odd", Q(["reg"], "SELECT row_id, CASE WHEN h < 4 THEN NULL ELSE quantity END AS x, discount FROM (SELECT *, " + sql_hash_unit(5, "row_id") + " % 9 AS h FROM reg)", "x", "discount"))
+def q_canon_odd(spark, sf_dir):
+    """A9 where the input has NaN, both infinities and nulls."""
+    h = F.pmod(hash_unit(5, "row_id"), F.lit(9))
+    x = F.when(h == 0, float("nan")).when(h == 1, float("inf")).when(h == 2, float("-inf")).when(h == 3, F.lit(None).cast("double")).otherwise(F.col("quantity"))
+    return canonicalize_missing(reg(spark, sf_dir).select("row_id", x.alias("x"), "discount"))
+
+
 @register("preview_head", Q(["reg"], "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM reg ORDER BY row_id LIMIT 5",
                              "quantity", "discount", "tax", "price", "target"))
 def q_preview(spark, sf_dir):
