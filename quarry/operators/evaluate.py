@@ -5,8 +5,8 @@ positive-class score or a ``proba`` array (class index order). Every metric is
 one aggregate with map-side partial aggregation. Curve metrics (ROC AUC,
 average precision, ROC curve) first collapse rows to one row per distinct score
 and then take running sums with the range-partitioned cumulative-sum helper,
-never an unpartitioned window. Bootstrap draws are generated by ``spark.range``
-and joined to a dense row index, so the fan-out is spread over all tasks."""
+never an unpartitioned window. Bootstrap draws are made in the tasks of ``spark.range``
+and meet a dense row index block by block, so the fan-out is spread over all tasks."""
 
 from __future__ import annotations
 
@@ -16,9 +16,10 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.hashing import hash_unit, hash_wide
+from quarry.functions.hashing import hash_unit
 from quarry.functions.ranking import (bounded_broadcast, exact_quantiles, first_index_above, global_cumsum,
-                                      global_rank, join_null_safe, spread)
+                                      join_null_safe, spread)
+from quarry.operators.resample import draw_sums, poisson_sums
 
 # Machine epsilon for float64 (log-loss clipping) and the default
 # threshold grid 0.05, 0.10, ..., 0.95 (i/100 for i = 5, 10, ..., 95).
@@ -270,53 +271,49 @@ def bootstrap_ci(df: DataFrame, metric: str = "rmse", row_id: str = "row_id", y:
 
     ``poisson`` (default, scale path): every row gets an independent Poisson(1)
     weight per replicate from md5(seed:row_id:block) (four 32-bit uniforms per
-    digest), and replicate metrics are weighted sums, aggregated map-side: no
-    shuffle of the n_boot*n fan-out. ``multinomial`` (reference semantics): n draws
+    digest), and replicate metrics are weighted sums, one row per replicate and task:
+    no shuffle of the n_boot*n fan-out. ``multinomial`` (reference semantics): n draws
     with replacement per replicate, draw d picks row hash(seed, d) mod n of a dense
-    row index (a join of n_boot*n draws)."""
-    spark = df.sparkSession
+    row index. The digests of both are taken many at a time (``operators.resample``)."""
     point = df.agg(_metric_expr(metric, F.col(y), F.col(p))).scalar()
     if method == "poisson":
-        blocks = (n_boot + 3) // 4
         yc, pc = F.col(y).cast("double"), F.col(p).cast("double")
-        b = spread(df).select(F.col(row_id), yc.alias("_y"), pc.alias("_p"),
-                              F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_blk"))
-        m = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"), F.col("_blk").cast("string")))
-        b = b.withColumn("_m", m)
-        cdf = poisson1_cdf()
-        # four replicate weights per digest, kept as columns (no 4x row fan-out)
-        ws = [first_index_above(F.conv(F.substr(F.col("_m"), F.lit(1 + 8 * j), F.lit(8)), 16, 10).cast("bigint")
-                                / F.lit(4294967296.0), cdf).cast("double") for j in range(4)]
-        e = F.col("_y") - F.col("_p")
-        # r2 needs the weighted spread of y: sums are taken around the overall mean, which keeps digits.
-        b = b.withColumn("_c", F.col("_y") - df.agg(F.avg(F.col(y).cast("double"))).scalar())
-        parts = {"w": F.lit(1.0), "we2": e * e, "wae": F.abs(e), "wy": F.col("_c"), "wy2": F.col("_c") * F.col("_c"),
-                 "weq": (F.col("_y") == F.col("_p")).cast("double")}
-        aggs = [F.sum(ws[j] * v).alias(f"{k}_{j}") for j in range(4) for k, v in parts.items()]
-        per_blk = b.groupBy("_blk").agg(*aggs)  # map-side partial sums: one row per block and task
-        reps = per_blk.select(F.explode(F.array(*[
-            F.struct((F.col("_blk") * 4 + j).alias("rep"), *[F.col(f"{k}_{j}").alias(k) for k in parts]) for j in range(4)
-        ])).alias("r")).select("r.*").where(F.col("rep") < n_boot)
+        b = spread(df).select(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string")).cast("binary").alias("key"),
+                              yc.alias("_y"), pc.alias("_p"))
+        e, eq = F.col("_y") - F.col("_p"), (F.col("_y") == F.col("_p")).cast("double")
+        parts = {"w": F.lit(1.0)} | {"mse": {"we2": e * e}, "rmse": {"we2": e * e}, "mae": {"wae": F.abs(e)}, "accuracy": {"weq": eq},
+                                     "r2": {"we2": e * e, "wy": F.col("_c"), "wy2": F.col("_c") * F.col("_c")}}.get(metric, {})
+        if metric == "r2":  # needs the weighted spread of y: sums are taken around the overall mean, which keeps digits
+            b = b.withColumn("_c", F.col("_y") - df.agg(F.avg(yc)).scalar())
+        reps = poisson_sums(b, parts, n_boot, poisson1_cdf())
         sw = F.col("w")
         score = {
-            "mse": F.col("we2") / sw, "rmse": F.sqrt(F.col("we2") / sw), "mae": F.col("wae") / sw,
-            "accuracy": F.col("weq") / sw,
-            "r2": F.when(F.col("wy2") - F.col("wy") * F.col("wy") / sw == 0, None).otherwise(
+            "mse": lambda: F.col("we2") / sw, "rmse": lambda: F.sqrt(F.col("we2") / sw), "mae": lambda: F.col("wae") / sw,
+            "accuracy": lambda: F.col("weq") / sw,
+            "r2": lambda: F.when(F.col("wy2") - F.col("wy") * F.col("wy") / sw == 0, None).otherwise(
                 F.lit(1.0) - F.col("we2") / (F.col("wy2") - F.col("wy") * F.col("wy") / sw)),
         }
-        if metric not in score:
-            raise ValueError(f"bootstrap metric '{metric}' not supported")
-        reps = reps.select("rep", score[metric].alias("score"))
+        reps = reps.select("rep", score[metric]().alias("score"))
     elif method == "multinomial":
-        ranked = global_rank(df.select(row_id, y, p), [row_id], "_idx")
+        yc, pc = F.col(y).cast("double"), F.col(p).cast("double")
+        e = yc - pc
+        x = {"mae": F.abs(e), "accuracy": (F.col(y) == F.col(p)).cast("double")}.get(metric, e * e)
         n = df.count()
         if n < 2:
             raise ValueError("bootstrap CI requires at least 2 rows")
-        draws = spark.range(0, n_boot * n).select(
-            F.expr(f"id div {int(n)}").alias("rep"),
-            F.pmod(hash_wide(seed, F.col("id")), F.lit(n)).alias("_idx"))
-        joined = draws.join(ranked, "_idx")
-        reps = joined.groupBy("rep").agg(_metric_expr(metric, F.col(y), F.col(p)).alias("score"))
+        yv = F.lit(None)
+        if metric == "r2":  # around the overall mean of the finite values, which keeps digits
+            yv = yc - df.agg(F.coalesce(F.avg(F.when(F.abs(yc) < float("inf"), yc)), F.lit(0.0))).scalar()
+        reps = draw_sums(df.select(row_id, x.alias("x"), yv.cast("double").alias("y")), row_id, n, n_boot, seed, metric == "r2")
+        mean = F.try_divide("sx", "nx")
+        if metric == "r2":
+            sse = F.when(F.col("nx") > 0, F.col("sx"))
+            sst = F.when((F.col("low") == F.col("high")) & ~F.isnan("low"), 0.0).otherwise(
+                F.try_divide(F.col("sy2") - F.try_divide(F.col("sy") * F.col("sy"), F.col("ny")), F.col("ny")) * F.col("n"))
+            score = F.when(sst == 0, F.when(sse == 0, 1.0).otherwise(0.0)).otherwise(F.lit(1.0) - F.try_divide(sse, sst))
+        else:
+            score = F.sqrt(mean) if metric == "rmse" else mean
+        reps = reps.select("rep", score.alias("score"))
     else:
         raise ValueError(f"unknown bootstrap method '{method}'")
     reps = reps.where(F.col("score").isNotNull() & ~F.isnan("score"))  # failed draws are skipped
