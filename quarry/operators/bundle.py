@@ -19,6 +19,7 @@ from quarry.operators import models as G
 from quarry.operators import preprocess as P
 from quarry.operators.evaluate import conformal_quantile, threshold_search
 from quarry.operators.scoring import linear_expr, sanitize_label
+from quarry.session import stored
 
 LINEAR = ("ols", "ridge", "lasso", "elasticnet")
 LOOKUPS = {"ordinal": ("code", -1.0), "frequency": ("freq", 0.0), "target_mean": ("enc", None)}
@@ -118,7 +119,9 @@ def fit_bundle(train: DataFrame, target: str, numeric: Sequence[str], categorica
     encodings = dict(encoding) if isinstance(encoding, dict) else {c: encoding for c in categorical}
     if unknown := {e for e in encodings.values()} - {"onehot", "hashing", *LOOKUPS}:
         raise ValueError(f"a bundle has no encoding {sorted(unknown)}")
-    spark, train = train.sparkSession, train.where(F.col(target).isNotNull())
+    used = list(dict.fromkeys([target, *numeric, *encodings, *categorical]))
+    known = lambda df, *more: stored(df.where(F.col(target).isNotNull()).select(*[P._q(c) for c in dict.fromkeys([*used, *more])]))
+    spark, train = train.sparkSession, known(train, *([weight_col] if weight_col else []))  # each statistic is a pass
     labels = None
     if task == "classification":
         labels = [r[0] for r in train.select(F.col(target).cast("string")).distinct().orderBy(target).limit(1001).collect()]
@@ -163,8 +166,8 @@ def fit_bundle(train: DataFrame, target: str, numeric: Sequence[str], categorica
         bundle = recipe._replace(fitted=G.fit_mllib(plain, names, "_y", model, task, len(labels or ()), seed, params, weight_col))
         spec["class"] = f"{type(bundle.fitted).__module__}.{type(bundle.fitted).__name__}"
 
-    if validation is not None:
-        valid = validation.where(F.col(target).isNotNull())
+    if validation is not None and not (conformal_alpha is None and threshold_metric is None):
+        valid = known(validation)
         if conformal_alpha is not None and task == "regression":
             scored = bundle.score(valid, [target])
             spec["conformal_q"] = conformal_quantile(scored, target, "prediction", conformal_alpha).first()["q"]

@@ -10,13 +10,17 @@ exact Mersenne-twister membership)."""
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import hash_unit
 from quarry.functions.ranking import bounded_broadcast, global_rank, join_null_safe, rank_within_groups
 
+#: The cut of a random split is looked for among the ranges of the hash that share so many first bits.
+HASH_BITS = 16
+
 
 def _check(p: float):
     if not 0 < p < 1:
@@ -33,13 +37,71 @@ def _n_val(n: int, p: float) -> int:
 
 
 # ------------------------------------------------------------------ E1
-def split_random(df: DataFrame, row_id: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """First ceil(n*p) rows in md5(seed:row_id) order are validation."""
+class RandomSplit(NamedTuple):
+    """A random split as a rule on the row id: rows before the cut, in (hash, row id) order, are validation. A side is
+    a filter of the rows themselves, without a sort, a table of all ids or a join."""
+    row_id: str
+    id_type: str
+    seed: int
+    cut_hash: int
+    cut_id: object  # the last validation row's id, null ones first
+    cut_rows: int   # rows with that id
+    cut_val: int    # how many of them are validation (at least one)
+
+    def _places(self) -> tuple[Column, Column, Column, Column]:
+        """A row's hash, the cut's, and among rows of the cut's hash whether the id comes before the cut's or is it. The
+        hash is dear: the sides ask for it once of most rows."""
+        key, cut = F.col(f"`{self.row_id}`"), F.lit(self.cut_id).cast(self.id_type)
+        before = F.lit(False) if self.cut_id is None else key.isNull() | (key < cut)
+        return hash_unit(self.seed, key), F.lit(self.cut_hash), before, key.eqNullSafe(cut)
+
+    def side(self, name: str) -> Column:
+        """Whether a row's id has a row on side train or val (both where the cut runs through equal ids). Null ids are
+        on neither, as in a join on the id."""
+        h, cut, before, at = self._places()
+        if name == "val":
+            mine = (h <= cut) & ((h < cut) | before | at)
+        elif name == "train":
+            mine = (h > cut) | ((h == cut) & ~before & (~at if self.cut_val == self.cut_rows else F.lit(True)))
+        else:
+            mine = F.lit(False)
+        return F.col(f"`{self.row_id}`").isNotNull() & mine
+
+    def table(self, df: DataFrame) -> DataFrame:
+        """(row_id, split) of every row of ``df``, the rows that the rule was made from."""
+        h, cut_hash, before, at = self._places()
+        split = F.when((h <= cut_hash) & ((h < cut_hash) | before | at), F.lit("val")).otherwise(F.lit("train")).alias("split")
+        if self.cut_val == self.cut_rows:
+            return df.select(self.row_id, split)
+        cut = df.sparkSession.range(self.cut_rows).select(  # equal rows: any cut_val of them
+            F.lit(self.cut_id).cast(self.id_type).alias(self.row_id), F.when(F.col("id") < self.cut_val, F.lit("val")).otherwise(F.lit("train")).alias("split"))
+        return df.where(~at).select(self.row_id, split).unionByName(cut)
+
+
+def random_rule(df: DataFrame, row_id: str, test_size: float = 0.2, seed: int = 42) -> RandomSplit:
+    """The rule of :func:`split_random`. Two passes over the ids: counts of the hash's ranges, then of the ids in the
+    range that holds the cut (1 in 65 536; equal ids are one row); only these counts reach the driver."""
     _check(test_size)
     keys = df.select(row_id).withColumn("_h", hash_unit(seed, row_id))
-    k = _n_val(keys.count(), test_size)
-    r = global_rank(keys, ["_h", row_id], "_r")
-    return r.select(row_id, F.when(F.col("_r") < k, F.lit("val")).otherwise(F.lit("train")).alias("split"))
+    cell_of = F.shiftright(F.col("_h"), 32 - HASH_BITS).cast("int")
+    cells = sorted(tuple(r) for r in keys.groupBy(cell_of.alias("c")).agg(F.count(F.lit(1))).collect())
+    k = _n_val(sum(n for _, n in cells), test_size)
+    seen = 0
+    for cell, n in cells:
+        if seen + n >= k:
+            break
+        seen += n
+    some = keys.where(cell_of == F.lit(cell))
+    for value, h, n in some.groupBy(row_id, "_h").agg(F.count(F.lit(1)).alias("_n")).orderBy("_h", row_id).collect():
+        if seen + n >= k:
+            return RandomSplit(row_id, df.schema[row_id].dataType.simpleString(), seed, h, value, n, k - seen)
+        seen += n
+    raise RuntimeError("the rows changed between the two passes of a split")
+
+
+def split_random(df: DataFrame, row_id: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
+    """First ceil(n*p) rows in md5(seed:row_id) order are validation."""
+    return random_rule(df, row_id, test_size, seed).table(df)
 
 
 # ------------------------------------------------------------------ E2
@@ -81,8 +143,10 @@ def split_time(df: DataFrame, row_id: str, time_col: str, test_size: float = 0.2
 
 
 # ------------------------------------------------------------------ E6 / E7
-def apply_split(df: DataFrame, split: DataFrame, row_id: str, side: str = "train") -> DataFrame:
-    """Rows of one side (semi join on the row id)."""
+def apply_split(df: DataFrame, split: DataFrame | RandomSplit, row_id: str, side: str = "train") -> DataFrame:
+    """Rows of one side: a filter if the split is a rule, else a semi join on the row id."""
+    if isinstance(split, RandomSplit):
+        return df.where(split.side(side))
     return df.join(split.where(F.col("split") == side).select(row_id), row_id, "left_semi")
 
 

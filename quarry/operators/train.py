@@ -14,6 +14,7 @@ from quarry.operators import evaluate as H
 from quarry.operators import models as G
 from quarry.operators.scoring import sanitize_label
 from quarry.operators.splits import apply_split, kfold_assign
+from quarry.session import stored
 
 
 class Trained(NamedTuple):
@@ -45,15 +46,15 @@ def train_task(df: DataFrame, split: DataFrame, row_id: str, target: str, numeri
     bundle = BU.load_bundle(df.sparkSession, BU.save_bundle(fitted, path))
     scored = bundle.score(valid, [row_id, target])
     if task == "regression":
-        pred = scored.select(row_id, F.col(target).alias("y_true"), F.col("prediction").alias("y_pred"))
+        pred = stored(scored.select(row_id, F.col(target).alias("y_true"), F.col("prediction").alias("y_pred")))
         report, interval = H.metrics_report_regression(pred), H.bootstrap_ci(pred, "rmse", row_id, n_boot=n_boot, seed=seed)
     else:
         labels = bundle.spec["labels"]
         proba = [F.col(f"pred_proba_{sanitize_label(l)}") for l in labels]
         index = F.create_map(*[x for i, l in enumerate(labels) for x in (F.lit(l), F.lit(i))])
         own = F.element_at(index, F.col(target).cast("string"))  # a label that train never had is none
-        pred = scored.select(row_id, F.col(target).cast("string").alias("y_true"), F.col("pred_label").alias("y_pred"), own.alias("y_index"),
-                             *([proba[1].alias("p")] if len(labels) == 2 else [F.array(*proba).alias("proba")]))
+        pred = stored(scored.select(row_id, F.col(target).cast("string").alias("y_true"), F.col("pred_label").alias("y_pred"), own.alias("y_index"),
+                                    *([proba[1].alias("p")] if len(labels) == 2 else [F.array(*proba).alias("proba")])))
         report = H.classification_report(pred)
         known = pred.where(F.col("y_index").isNotNull())
         interval = (B.bootstrap_ci_proba(known, "roc_auc", row_id, "y_index", "p", n_boot, seed=seed) if len(labels) == 2

@@ -13,7 +13,7 @@ from quarry.plans import sql_models as M
 from quarry.plans.q_prep import CLS_TRAIN, REG_TRAIN
 from quarry.plans.registry import register, rnd
 from quarry.plans.views import cls, reg, table, with_views
-from quarry.session import scratch_path
+from quarry.session import scratch_path, stored
 from quarry.sources import io as A
 from quarry.streaming import scoring as L
 
@@ -176,8 +176,9 @@ def cls_scaled(spark, sf_dir):
     from quarry.functions.hashing import hash_bucket
     from quarry.operators import splits as E
     from quarry.operators.preprocess import apply_scale, fit_scale
-    from quarry.plans.q_prep import cls_split
-    sp, c = cls_split(spark, sf_dir), cls(spark, sf_dir)
+    from quarry.plans.q_prep import P_VAL, SEED
+    c = stored(cls(spark, sf_dir).select("row_id", "label", "segment", "status", *CF))  # the join once; split, scaling and both sides read its rows
+    sp = E.random_rule(c, "row_id", P_VAL, SEED)
     c = apply_scale(c, fit_scale(E.apply_split(c, sp, "row_id", "train"), CF, "standard")).withColumn("fold", hash_bucket(42, "row_id", 5))
     return E.apply_split(c, sp, "row_id", "train"), E.apply_split(c, sp, "row_id", "val")
 
@@ -197,7 +198,7 @@ def q_fit_softmax(spark, sf_dir):
     """G5 for three classes: softmax on the one-hot segment alone, whose likelihood is greatest at each segment's class shares."""
     from quarry.operators.preprocess import apply_onehot, fit_onehot
     from quarry.plans.q_prep import cls_train
-    tr = cls_train(spark, sf_dir)
+    tr = stored(cls_train(spark, sf_dir).select("segment", "status"))
     cats = fit_onehot(tr, ["segment"])
     feats = [f"cat__segment_{v}" for v in cats["segment"]]
     y = F.when(F.col("status") == "F", 0).when(F.col("status") == "O", 1).otherwise(2)

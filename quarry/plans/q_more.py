@@ -16,9 +16,10 @@ from quarry.operators import splits as E
 from quarry.plans import sql_models as M
 from quarry.plans.q_lead import _NORM, _TWO, _ranked, _two_preds
 from quarry.plans.q_misc import CLS_FIT, FINGERPRINT_SQL, REG_FIT, RF as _RF, _reg_train_features, _table
-from quarry.plans.q_prep import REG_SPLIT, REG_TRAIN, cls_split, reg_split
+from quarry.plans.q_prep import P_VAL, REG_SPLIT, REG_TRAIN, SEED, cls_rule, reg_rule, reg_split
 from quarry.plans.registry import register, rnd
 from quarry.plans.views import cls, pred_c, pred_m, reg, runs, table, with_views
+from quarry.session import stored
 from quarry.sources import io as A
 from quarry.streaming import scoring as L
 
@@ -212,7 +213,7 @@ SELECT *, row_number() OVER (ORDER BY rmse, trial_id) = 1 AS best FROM m""", "al
 def q_grid(spark, sf_dir):
     """Ridge alphas solved from one train Gram and scored on validation."""
     r = _reg_feats(spark, sf_dir)
-    sp = reg_split(spark, sf_dir)
+    sp = reg_rule(spark, sf_dir)
     return G.grid_search_ridge(E.apply_split(r, sp, "row_id", "train"), E.apply_split(r, sp, "row_id", "val"), _RF, "target", _ALPHAS)
 
 
@@ -239,8 +240,8 @@ _CF = ["totalprice", "acctbal", "nationkey"]
 
 def _cls_eval(spark, sf_dir, kind):
     from quarry.operators.preprocess import apply_scale, fit_scale
-    sp = cls_split(spark, sf_dir)
-    c = cls(spark, sf_dir).withColumn("y", F.col("label").cast("double"))
+    c = stored(cls(spark, sf_dir).select("row_id", "label", *_CF, F.col("label").cast("double").alias("y")))  # the join once
+    sp = E.random_rule(c, "row_id", P_VAL, SEED)
     # standard-scaled numerics (fitted on train), as the reference's preprocessing does
     sc = fit_scale(E.apply_split(c, sp, "row_id", "train"), _CF, "standard")
     c = apply_scale(c, sc)
@@ -275,7 +276,7 @@ c AS (SELECT count(*) FILTER (WHERE y = 1 AND p = 1)::DOUBLE AS tp, count(*) FIL
 SELECT accuracy, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f_binary FROM c""", "accuracy", "f_binary"))
 def q_ridge_cls(spark, sf_dir):
     """Ridge on a +-1 target; validation accuracy of the sign rule."""
-    sp = cls_split(spark, sf_dir)
+    sp = cls_rule(spark, sf_dir)
     c = cls(spark, sf_dir)
     w, b = G.fit_ridge_classifier(E.apply_split(c, sp, "row_id", "train"), _CF, "label")
     va = E.apply_split(c, sp, "row_id", "val")
@@ -305,7 +306,7 @@ def q_train_model(spark, sf_dir):
     """Preprocess (fit on train) -> OLS -> validation metrics report, one program."""
     from quarry.operators.preprocess import preprocess_fit_transform
     r = reg(spark, sf_dir)
-    sp = reg_split(spark, sf_dir)
+    sp = reg_rule(spark, sf_dir)
     proc = preprocess_fit_transform(r, sp, "row_id", ["quantity", "discount", "tax"], ["returnflag", "linestatus"], "target")
     feats = [c for c in proc.columns if c.startswith("num__") or c.startswith("cat__")]
     tr, va = E.apply_split(proc, sp, "row_id", "train"), E.apply_split(proc, sp, "row_id", "val")
@@ -478,7 +479,7 @@ FROM reg LEFT JOIN fq ON returnflag = fq.v LEFT JOIN od ON linestatus = od.v""",
 def q_rebuild(spark, sf_dir):
     """Imputer, scaler and two encoders fitted on the train rows, saved, loaded and re-applied to all raw rows."""
     r = reg(spark, sf_dir)
-    tr = E.apply_split(r, reg_split(spark, sf_dir), "row_id", "train")
+    tr = E.apply_split(r, reg_rule(spark, sf_dir), "row_id", "train")
     fitted = BU.fit_bundle(tr, "target", ["quantity", "discount"], ["returnflag", "linestatus"], encoding={"returnflag": "frequency", "linestatus": "ordinal"})
     back = BU.load_bundle(spark, BU.save_bundle(fitted, A.shared_scratch(spark, "bundle")))
     return back.features(r.select("row_id", "quantity", "discount", "returnflag", "linestatus")).select(
@@ -491,7 +492,7 @@ c AS (SELECT quantile_cont(abs(target - prediction), 0.9) AS q FROM p WHERE row_
 SELECT row_id, prediction, prediction - q AS pred_lower, prediction + q AS pred_upper FROM p, c""", "prediction", "pred_lower", "pred_upper"))
 def q_score_bundle(spark, sf_dir):
     """I1 + G18: recipe, least squares and conformal width fitted, saved, loaded, and raw rows scored."""
-    r, sp = reg(spark, sf_dir), reg_split(spark, sf_dir)
+    r, sp = reg(spark, sf_dir), reg_rule(spark, sf_dir)
     tr, va = E.apply_split(r, sp, "row_id", "train"), E.apply_split(r, sp, "row_id", "val")
     fitted = BU.fit_bundle(tr, "target", ["quantity"], validation=va, conformal_alpha=0.1)
     return BU.load_bundle(spark, BU.save_bundle(fitted, A.shared_scratch(spark, "bundle"))).score(r)
