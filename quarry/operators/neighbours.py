@@ -23,6 +23,7 @@ from quarry.session import cut_lineage
 PIVOTS = 128
 PART_ROWS = 20_000  # train rows of a group
 VISIT_ROWS = 20_000  # scored rows of a group
+VISITS_AT_ONCE = 4_096  # visits, each with its row's vector, that a Python worker holds
 
 
 def _points(df: DataFrame, row_id: str, features: Sequence[str] | str, extra: Sequence[str] = ()) -> DataFrame:
@@ -73,6 +74,14 @@ def nearest_neighbours(train: DataFrame, scored: DataFrame, features: Sequence[s
     count = F.element_at(F.create_map(*[F.lit(x) for c, p in parts.items() for x in (c, p)]), F.col("cell"))
     base = base.withColumn("part", F.pmod(hash_unit(1, "id"), count.cast("bigint")).cast("int"))
 
+    def pieces(batch, who, cell, d, bound):
+        """The visits of rows ``who`` to cells ``cell``. A row's vector goes along with each of its visits, up to one
+        per pivot, so they are handed on a bounded number at a time."""
+        for at in range(0, len(who), VISITS_AT_ONCE):
+            w, c = who[at:at + VISITS_AT_ONCE], cell[at:at + VISITS_AT_ONCE]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(w)), batch.column(1).take(pa.array(w)), pa.array(used[c].astype(np.int32)), pa.array(d[w, c]), pa.array(bound[w])],
+                                             names=["id", "v", "cell", "off", "bound"])
+
     def first(batches):
         """The nearest cells that hold k rows; never fewer than one."""
         for batch in batches:
@@ -82,9 +91,7 @@ def nearest_neighbours(train: DataFrame, scored: DataFrame, features: Sequence[s
             take = held - rows[order] < k
             at = np.flatnonzero(take.ravel())
             who, cell = at // len(used), order.ravel()[at]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(who)), batch.column(1).take(pa.array(who)), pa.array(used[cell].astype(np.int32)), pa.array(d[who, cell]),
-                 pa.array(np.full(len(who), np.inf))], names=["id", "v", "cell", "off", "bound"])
+            yield from pieces(batch, who, cell, d, np.full(batch.num_rows, np.inf))
 
     def further(batches):
         """Of rows whose k-th distance is bounded: the cells that may hold a nearer row and were not visited."""
@@ -96,9 +103,7 @@ def nearest_neighbours(train: DataFrame, scored: DataFrame, features: Sequence[s
             np.put_along_axis(seen, order, np.cumsum(rows[order], axis=1) - rows[order] < k, axis=1)
             limit = (bound * (1 + 1e-12) + 1e-12)[:, None]
             who, cell = np.nonzero(~seen & (d - radius[None, :] <= limit))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(who)), batch.column(1).take(pa.array(who)), pa.array(used[cell].astype(np.int32)), pa.array(d[who, cell]), pa.array(bound[who])],
-                names=["id", "v", "cell", "off", "bound"])
+            yield from pieces(batch, who, cell, d, bound)
 
     visit = f"id {scored_kind}, v array<double>, cell int, off double, bound double"
     found = f"id {scored_kind}, neighbour {kind}, distance double"
