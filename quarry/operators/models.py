@@ -16,14 +16,20 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
+#: Rows of a task of an iterative fit: what a task keeps of them between the passes stays a small part of an executor.
+FIT_ROWS = 500_000
+
+
 def training_input(df: DataFrame, features: Sequence[str], label: str, extra: Sequence[str] = ()) -> DataFrame:
     """Iterative fitters pass over their input many times: the projected training
-    rows are checkpointed (reliably, into spark.checkpoint.dir) so each pass reads
-    them instead of recomputing joins, splits and ranks, and a lost executor does
-    not replay that lineage."""
-    from quarry.session import cut_lineage
+    rows are written once (into spark.checkpoint.dir) so each pass reads them instead
+    of recomputing joins, splits and ranks, and a lost executor does not replay that
+    lineage. Packed files make few tasks of many rows; those are dealt out again."""
+    from quarry.functions.ranking import spread
+    from quarry.session import stored
     cols = list(dict.fromkeys([*features, label, *extra]))
-    return assemble(cut_lineage(df.select(*cols)), features)
+    rows = stored(df.select(*cols))
+    return assemble(spread(rows, -(-rows.count() // FIT_ROWS)), features)
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], label: str, kind: str = "ols", alpha: float = 1.0,
@@ -206,63 +212,71 @@ def newton_logistic(df: DataFrame, features: Sequence[str], label: str, n_classe
     coefficients (class 1 against 0), more have one per class (softmax). ``label`` holds class numbers 0..n-1; rows
     with a null label or feature take no part. With ``fold_col``, model k in 0..folds-1 is fitted on the rows of all
     other folds. Each step is one aggregate of loss, gradient and Hessian for all models and classes at
-    once; only those sums (parameters squared, per model) reach the driver. A step that raises the loss is
-    halved. Directions without curvature (collinear columns) are left where they are."""
+    once: a task adds up matrix products of its batches, and only the sums (parameters squared, per model) are shuffled
+    and reach the driver. A step that raises the loss is halved. Directions without curvature (collinear columns) are
+    left where they are."""
     import numpy as np
+    import pyarrow as pa
 
-    from quarry.session import cut_lineage
+    from quarry.session import stored
     d, blocks, models = len(features) + 1, 1 if n_classes == 2 else n_classes, folds if fold_col else 1
     names = [f"x{i}" for i in range(1, d)]
     rows = df.select(*[F.col(f"`{f}`").cast("double").alias(x) for f, x in zip(features, names)], F.col(label).cast("int").alias("y"),
                      (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("w"),
                      (F.col(fold_col).cast("int") if fold_col else F.lit(-1)).alias("f")).dropna()
-    rows = cut_lineage(rows)  # read once a step
-    if fold_col:
-        rows = rows.withColumn("m", F.explode(F.filter(F.sequence(F.lit(0), F.lit(models - 1)), lambda k: k != F.col("f"))))
-    else:
-        rows = rows.withColumn("m", F.lit(0))
-    x = [F.lit(1.0), *[F.col(n) for n in names]]
-    pairs = [(a, i, b, j) for a in range(blocks) for i in range(d) for b in range(blocks) for j in range(d) if (a, i) <= (b, j)]
-    params = blocks * d
+    rows = stored(rows)  # read once a step
+    params, folded = blocks * d, fold_col is not None
+    upper = np.triu_indices(params)
     penalty = np.tile(np.r_[0.0, np.full(d - 1, float(l2))], blocks)
 
     def sums(beta: np.ndarray) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
-        def of_model(place: int):
-            return F.element_at(F.array(*[F.lit(float(v)) for v in beta[:, place]]), F.col("m") + 1)
-
-        z = []
-        for a in range(blocks):
-            e = of_model(a * d)
-            for i in range(1, d):
-                e = e + of_model(a * d + i) * x[i]
-            z.append(e)
-        scored = rows.select("m", "y", "w", *names, *[e.alias(f"z{a}") for a, e in enumerate(z)])
-        zs = [F.col(f"z{a}") for a in range(blocks)]
-        if blocks == 1:  # stable log(1 + e^z)
-            scored = scored.withColumn("p0", 1 / (1 + F.exp(-zs[0]))).withColumn(
-                "loss", F.greatest(zs[0], F.lit(0.0)) + F.log1p(F.exp(-F.abs(zs[0]))) - F.when(F.col("y") == 1, zs[0]).otherwise(0.0))
-        else:
-            top = F.greatest(*zs)
-            total = sum((F.exp(v - top) for v in zs), F.lit(0.0))
-            scored = scored.withColumn("_t", top).withColumn("_s", total)
-            scored = scored.withColumns({f"p{a}": F.exp(v - F.col("_t")) / F.col("_s") for a, v in enumerate(zs)})
-            own = F.lit(0.0)
-            for a, v in enumerate(zs):
-                own = F.when(F.col("y") == a, v).otherwise(own)
-            scored = scored.withColumn("loss", F.col("_t") + F.ln("_s") - own)
-        p, w = [F.col(f"p{a}") for a in range(blocks)], F.col("w")
-        hit = [(F.col("y") == (1 if blocks == 1 else a)).cast("double") for a in range(blocks)]
-        aggs = [F.sum(w * F.col("loss")).alias("loss")]
-        aggs += [F.sum(w * (p[a] - hit[a]) * x[i]).alias(f"g{a * d + i}") for a in range(blocks) for i in range(d)]
-        aggs += [F.sum(w * p[a] * ((1.0 if a == b else 0.0) - p[b]) * x[i] * x[j]).alias(f"h{a * d + i}_{b * d + j}") for a, i, b, j in pairs]
-        out = {}
-        for r in scored.groupBy("m").agg(*aggs).collect():  # one row per model
+        def add(batches):
+            """Per model of a task: loss, gradient and the Hessian's upper half, one after the other."""
+            total = {}
+            for batch in batches:
+                cols = [batch.column(i).to_numpy() for i in range(d + 2)]
+                every, ys, ws, fs = np.column_stack([np.ones(batch.num_rows), *cols[:d - 1]]), cols[d - 1], cols[d], cols[d + 1]
+                for m in range(models):
+                    mine = fs != m if folded else slice(None)
+                    x, y, w = every[mine], ys[mine], ws[mine]
+                    if not len(x):
+                        continue
+                    z = x @ beta[m].reshape(blocks, d).T
+                    if blocks == 1:  # stable log(1 + e^z)
+                        small = np.exp(-np.abs(z))
+                        p, hit = np.where(z >= 0, 1 / (1 + small), small / (1 + small)), (y == 1).astype(float)[:, None]
+                        loss = np.maximum(z[:, 0], 0) + np.log1p(small[:, 0]) - hit[:, 0] * z[:, 0]
+                    else:
+                        top = z.max(axis=1, keepdims=True)
+                        e = np.exp(z - top)
+                        s = e.sum(axis=1, keepdims=True)
+                        p, hit = e / s, (y[:, None] == np.arange(blocks)).astype(float)
+                        loss = top[:, 0] + np.log(s[:, 0]) - (hit * z).sum(axis=1)
+                    grad = ((p - hit) * w[:, None]).T @ x
+                    hess = np.zeros((blocks, d, blocks, d))
+                    for a in range(blocks):
+                        for b in range(a, blocks):
+                            hess[a, :, b, :] = x.T @ (x * (w * p[:, a] * ((a == b) - p[:, b]))[:, None])
+                    one = np.concatenate([[w @ loss], grad.ravel(), hess.reshape(params, params)[upper]])
+                    total[m] = total[m] + one if m in total else one
+            if total:
+                yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], names=["m", "v"])
+
+        out = {m: np.zeros(1 + params + len(upper[0])) for m in range(models)}
+        parts = rows.select(*names, "y", "w", "f").mapInArrow(add, "m int, v array<double>").select("m", F.posexplode("v").alias("at", "v"))
+        got = parts.groupBy("m", "at").agg(F.sum("v").alias("v")).toArrow()  # parameters squared, per model
+        m_, at, v = (got.column(c).to_numpy() for c in ("m", "at", "v"))
+        seen = set(m_.tolist())
+        for m in seen:
+            out[m][at[m_ == m]] = v[m_ == m]
+        done_ = {}
+        for m in sorted(seen):
             hess = np.zeros((params, params))
-            for a, i, b, j in pairs:
-                hess[a * d + i, b * d + j] = hess[b * d + j, a * d + i] = r[f"h{a * d + i}_{b * d + j}"]
-            bm = beta[r["m"]]
-            out[r["m"]] = (r["loss"] + 0.5 * float(penalty @ (bm * bm)), np.array([r[f"g{k}"] for k in range(params)]) + penalty * bm, hess + np.diag(penalty))
-        return out
+            hess[upper] = out[m][1 + params:]
+            hess = np.triu(hess) + np.triu(hess, 1).T
+            bm = beta[m]
+            done_[m] = (out[m][0] + 0.5 * float(penalty @ (bm * bm)), out[m][1:1 + params] + penalty * bm, hess + np.diag(penalty))
+        return done_
 
     beta, step, best = np.zeros((models, params)), np.zeros((models, params)), {}
     done = set()
