@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import ChunkMemo, blank_chunks, give_back, join_chunks, text_slices
 
 CACHE_ENTRIES = 100_000
+SLICE = 2_500_000  # bytes of text encoded at once
 ODD_SPACE = re.compile("[\x1c-\x1f]")  # white space to str.split(), not to Unicode
 
 
@@ -207,7 +208,7 @@ def bpe_tokens(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", id_col: s
         bpe = word_bpe(public_tokenizers.path(vocabulary))
         try:
             for batch in batches:
-                for at, texts in text_slices(batch.column(1).fill_null("")):
+                for at, texts in text_slices(batch.column(1).fill_null(""), SLICE):
                     raw, decoded = bpe.encode_texts(texts.to_pylist())
                     raw, decoded = raw.cast(pa.binary()), decoded.cast(pa.string())
                     ends = np.frombuffer(raw.buffers()[1], "<i4", count=len(raw) + 1)

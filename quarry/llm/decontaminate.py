@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from quarry.functions.ranking import BROADCAST_ROWS
 from quarry.llm.common import bloom_bits, bloom_words, give_back, in_bloom, text_slices
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, stored
 
 WORD = re.compile(r"\w+")
 
@@ -39,6 +39,7 @@ MASKS = {
     (20, 4): ("1111011", "1110100011", "1110111"),
 }
 FILTER_BITS = 29  # of the Bloom filter, as a power of two: 64 MB at most
+SLICE = 1_500_000  # bytes of text hashed at once: a worker holds some 20 times as much meanwhile
 
 
 def words_of(text: str) -> list[str]:
@@ -114,7 +115,7 @@ def _hits(texts: DataFrame, masks: list[str], words, window: int) -> DataFrame:
     def run(batches):
         known = words.value
         for batch in batches:
-            for first, some in text_slices(batch.column(1)):
+            for first, some in text_slices(batch.column(1), SLICE):
                 ids, ends = word_hashes(some.to_pylist())
                 doc = np.repeat(np.arange(len(some)), np.diff(ends))
                 low, high = ends[:-1][doc], ends[1:][doc]
@@ -158,7 +159,8 @@ def _lanes(texts: DataFrame, benchmark: DataFrame, window: int, share: float) ->
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), batch.column(2).filter(keep)],
                                              names=["digest", "item", "shift"])
 
-    hits = _hits(texts, masks, words, window).join(seeds.withColumnsRenamed({"place": "at", "around": "theirs"}), "hash")
+    # Stored before they are joined, so that no task has two Python workers at once: workers live on, and their memory with them.
+    hits = stored(_hits(texts, masks, words, window)).join(seeds.withColumnsRenamed({"place": "at", "around": "theirs"}), "hash")
     found = hits.select("digest", "item", (F.col("at") - F.col("place")).alias("shift"), "size", "around", "theirs").mapInArrow(
         check, "digest string, item string, shift bigint")
     return cut_lineage(found.distinct())

@@ -469,6 +469,25 @@ def test_decontamination_stage_equals_all_alignments(spark, tmp_path):
     assert kept == want and 0 < len(want) < len(texts)
 
 
+def test_decontamination_tasks_have_one_python_worker(spark, monkeypatch, capsys):
+    from quarry.llm import decontaminate as D
+
+    counts, cut = [], D.cut_lineage
+
+    def counted(df):
+        df.explain()
+        counts.append(capsys.readouterr().out.count("MapInArrow"))
+        return cut(df)
+
+    monkeypatch.setattr(D, "cut_lineage", counted)
+    item = " ".join(f"w{k}" for k in range(25))
+    bench = spark.createDataFrame([(0, item)], "item_id bigint, text string")
+    df = spark.createDataFrame([(0, f"a {item} b", "en", "s", 1), (1, "a b c", "en", "s", 1)], SCHEMA)
+    assert [r.doc_id for r in D.without_contaminated(df, bench).collect()] == [1]
+    assert [r.doc_id for r in D.contaminated(df, bench).collect()] == [0]
+    assert max(counts) == 1, counts
+
+
 # --- pipeline
 def test_stages_treat_rows_not_identifiers(spark, tmp_path):
     """Null and repeated identifiers at the near-copy and the decontamination stage."""
