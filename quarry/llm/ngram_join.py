@@ -20,12 +20,13 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import bloom_bits, bloom_words, give_back, in_bloom, text_slices
 from quarry.llm.components import components
-from quarry.session import cut_lineage, scratch_path
+from quarry.session import Scratch, brief_shuffles
 
 N = 5
 SUBSETS, SINGLES, FIRST = 3, 16, 48  # lower edges of the two small bands and of the first partitioned one
@@ -35,6 +36,10 @@ FREQUENT, FREQUENT_PER_TASK = 65_536, 4_096
 FILTER_BITS = 29  # of a Bloom filter, as a power of two: 64 MB at most
 FILTER_KEYS = 1 << 27  # keys that such a filter can still tell apart; more are joined
 SETS_AT_ONCE = 2500
+SHORT = 20  # signatures are counted, and looked up in the filter, without so many low bits
+BUCKET_SHINGLES = 1_000_000  # of all sets, a bucket of the count; it has about 0.4 signatures for each
+SIGNATURES_AT_ONCE = 1_000_000  # that a task gathers before it sends them to the buckets
+COPIES = 1 << 23  # of sets, whose places are sent to the tasks (64 MB); beyond it copies are signed like other sets
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -200,17 +205,17 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = 75) -> bool:
 
 
 def _identify(kind: str, docs: DataFrame) -> DataFrame:
-    """Per document: its id, set, the set's key and size, and the set itself (once per task); per task: the
-    shingles that several of its documents hold."""
-    names = ["id", "set_id", "key", "n", "shingles", "shingle", "times"]
+    """Per document: its id, set, the set's key and size, and the set itself with its place (once per task); per
+    task: the shingles that several of its documents hold."""
+    names = ["id", "set_id", "key", "n", "place", "shingles", "shingle", "times"]
 
     def run(batches):
-        shingler, often, seen = Shingler(), {}, set()
+        shingler, often, seen, place = Shingler(), {}, set(), TaskContext.get().partitionId() << 32
         for batch in batches:
             for at, texts in text_slices(batch.column(1)):
                 sets = list(shingler.sets(texts))
                 ids = [set_id(s) for s in sets]
-                packed = []
+                packed, places = [], range(place, place := place + len(sets))
                 for i, s in zip(ids, sets):
                     packed.append(pack(s) if len(s) >= SUBSETS and i not in seen else None)
                     seen.add(i)
@@ -219,7 +224,8 @@ def _identify(kind: str, docs: DataFrame) -> DataFrame:
                 none = pa.nulls(len(sets), pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(at, len(sets)), pa.array(ids, pa.binary()), pa.array(np.frombuffer(b"".join(i[:8] for i in ids), np.int64)),
-                    pa.array([len(s) for s in sets], pa.int64()), pa.array(packed, pa.binary()), none, none], names=names)
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array([p if s is not None else None for p, s in zip(places, packed)], pa.int64()), pa.array(packed, pa.binary()),
+                    none, none], names=names)
                 values, counts = np.unique(np.concatenate(sets), return_counts=True)
                 for v, c in zip((values[counts > 2] >> np.uint64(16)).tolist(), counts[counts > 2].tolist()):
                     often[v] = often.get(v, 0) + c
@@ -231,27 +237,96 @@ def _identify(kind: str, docs: DataFrame) -> DataFrame:
         if best:
             n = len(best)
             yield pa.RecordBatch.from_arrays([
-                pa.nulls(n, batch.column(0).type), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
+                pa.nulls(n, batch.column(0).type), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
                 pa.array([v for v, _ in best], pa.int64()), pa.array([c for _, c in best], pa.int64())], names=names)
 
-    return docs.mapInArrow(run, f"id {kind}, set_id binary, key bigint, n bigint, shingles binary, shingle bigint, times bigint")
+    return docs.mapInArrow(run, f"id {kind}, set_id binary, key bigint, n bigint, place bigint, shingles binary, shingle bigint, times bigint")
 
 
-def _signature_counts(sets: DataFrame, signer) -> DataFrame:
-    def run(batches):
-        own = signer.value
-        for batch in batches:
+def _copies(sets: DataFrame, scratch: Scratch) -> np.ndarray:
+    """Sorted places of the sets that another task, or the same one earlier, has written too. Their signatures would
+    all count as shared ones. No place at all if there are too many of them to be sent to the tasks."""
+    least = sets.groupBy("set_id").agg(F.min("place").alias("least"), F.count("*").alias("m")).where("m > 1")
+    copies = scratch.keep(sets.select("set_id", "place").join(least, "set_id").where("place > least").select("place"))
+    few = copies.count() <= COPIES
+    places = np.sort(copies.toArrow().column("place").to_numpy()) if few else np.zeros(0, np.int64)
+    scratch.drop(copies)
+    return places
+
+
+def _once(batch: pa.RecordBatch, copies: np.ndarray) -> pa.RecordBatch:
+    """The batch, whose first column is the place, without the rows at the sorted places ``copies``."""
+    if not len(copies):
+        return batch
+    places = batch.column(0).to_numpy()
+    at = np.minimum(np.searchsorted(copies, places), len(copies) - 1)
+    return batch.filter(pa.array(copies[at] != places))
+
+
+def pack_ascending(x: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as the byte planes of their gaps, compressed: the closer, the shorter."""
+    gaps = np.diff(x, prepend=np.uint64(0))
+    return pa.compress(gaps.view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_ascending(raw, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, decompressed_size=8 * n, codec="zstd"), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _shared_signatures(sets: DataFrame, signer, copies) -> DataFrame:
+    """(sig): what two or more signatures of the sets begin with, without their last SHORT bits. Tasks send sorted
+    runs of them to buckets by their first bits; a bucket's runs meet in one place."""
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    bits = max(1, (total // BUCKET_SHINGLES).bit_length())
+
+    def send(batches):
+        own, held, n = signer.value, [], 0
+
+        def runs():
+            x = np.sort(np.concatenate(held))
+            if len(x) > 2:  # what comes twice is shared, however often it comes
+                x = x[np.concatenate([[True, True], x[2:] != x[:-2]])]
+            bucket = (x >> np.uint64(64 - SHORT - bits)).astype(np.int64)
+            at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            parts = np.split(x, at[1:])
+            return pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[at]), "m": pa.array([len(p) for p in parts], pa.int64()),
+                                               "run": pa.array([pack_ascending(p) for p in parts], pa.binary())})
+
+        for batch in (_once(b, copies.value) for b in batches):
             for at in range(0, batch.num_rows, SETS_AT_ONCE):
-                some = batch.column(0).slice(at, SETS_AT_ONCE)
-                found = [own.signatures(s, own.frequency(s))[0] for s in (unpack(x.as_buffer()) for x in some)]
-                sig, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_pydict({"sig": pa.array(sig.view(np.int64)), "n": pa.array(n.astype(np.int32))})
+                some = (unpack(x.as_buffer()) for x in batch.column(1).slice(at, SETS_AT_ONCE))
+                held.append(np.concatenate([own.signatures(s, own.frequency(s))[0] for s in some]) >> np.uint64(SHORT))
+                n += len(held[-1])
+                if n > SIGNATURES_AT_ONCE:
+                    yield runs()
+                    held, n = [], 0
             give_back()
+        if n:
+            yield runs()
 
-    return sets.select("shingles").mapInArrow(run, "sig bigint, n int").groupBy("sig").agg(F.sum("n").alias("n"))
+    def meet(batches):
+        def twice():
+            x = np.sort(np.concatenate(held))
+            return pa.RecordBatch.from_pydict({"sig": pa.array(np.unique(x[1:][x[1:] == x[:-1]]).view(np.int64))})
 
+        bucket, held = None, []
+        for batch in batches:
+            for b, m, run in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if b != bucket and held:
+                    yield twice()
+                    held = []
+                bucket = b
+                held.append(unpack_ascending(run.as_buffer(), m))
+        if held:
+            yield twice()
+        give_back()
+
+    sent = sets.select("place", "shingles").mapInArrow(send, "bucket bigint, m bigint, run binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "sig bigint")
 
-def _candidates(sets: DataFrame, signer, shared: DataFrame, most: int) -> DataFrame:
+
+def _candidates(sets: DataFrame, signer, copies, shared: DataFrame, most: int, scratch: Scratch) -> DataFrame:
     """Sets that hold a signature which may be another's too, with those signatures and the parity bitmap. Up to
     ``most`` shared signatures go into a Bloom filter of their number; more are joined with those of all sets."""
     schema = "set_id binary, key bigint, n bigint, rare bigint, typical double, sigs array<bigint>, common array<bigint>, parity binary"
@@ -261,13 +336,13 @@ def _candidates(sets: DataFrame, signer, shared: DataFrame, most: int) -> DataFr
     def run(batches):
         own = signer.value
         for batch in (b.slice(at, SETS_AT_ONCE) for b in batches for at in range(0, b.num_rows, SETS_AT_ONCE)):
-            rows = []
-            for i, key, raw in zip(*(batch.column(k) for k in range(3))):
+            rows, batch = [], _once(batch, copies.value)
+            for i, key, raw in zip(*(batch.column(k) for k in (1, 2, 3))):
                 s = unpack(raw.as_buffer())
                 frequency = own.frequency(s)
                 sigs, common = own.signatures(s, frequency)
+                held = in_bloom(words.value, (sigs >> np.uint64(SHORT)).view(np.int64)) if words.value is not None else np.ones(len(sigs), dtype=bool)
                 sigs = sigs.view(np.int64)
-                held = in_bloom(words.value, sigs) if words.value is not None else np.ones(len(sigs), dtype=bool)
                 if held.any():
                     rows.append((i.as_py(), key.as_py(), len(s), int((frequency == 0).sum()), float(np.log1p(frequency).mean()),
                                  sigs[held & ~common], sigs[held & common], parity_bits(s)))
@@ -277,32 +352,31 @@ def _candidates(sets: DataFrame, signer, shared: DataFrame, most: int) -> DataFr
                 names = ["set_id", "key", "n", "rare", "typical", "sigs", "common", "parity"]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds)], names=names)
 
-    found = sets.select("set_id", "key", "shingles").mapInArrow(run, schema)
+    found = sets.select("place", "set_id", "key", "shingles").mapInArrow(run, schema)
     if n <= most:
         return found
-    path = scratch_path(sets.sparkSession, "ngram-signed")
-    found.write.option("compression", "zstd").parquet(path)
-    found = sets.sparkSession.read.parquet(path)
+    found = scratch.keep(found)
     one = lambda col: found.select("set_id", F.lit(col).alias("of"), F.explode(col).alias("sig"))
-    kept = one("sigs").unionAll(one("common")).join(shared, "sig", "left_semi").groupBy("set_id").agg(
+    every = one("sigs").unionAll(one("common")).withColumn("short", F.shiftrightunsigned("sig", SHORT))
+    kept = every.join(shared.withColumnRenamed("sig", "short"), "short", "left_semi").groupBy("set_id").agg(
         *[F.collect_list(F.when(F.col("of") == c, F.col("sig"))).alias(c) for c in ("sigs", "common")])  # at most a set's signatures
     return found.drop("sigs", "common").join(kept, "set_id")
 
 
-def _full_sets(sets: DataFrame, keys: DataFrame, owners: DataFrame) -> DataFrame:
+def _full_sets(sets: DataFrame, copies, keys: DataFrame, owners: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, shingles) of the sets whose key is among ``keys``; a Bloom filter of their number keeps most others
     from being shuffled (what it lets through is dropped by the join)."""
     shared = keys.sparkSession.sparkContext.broadcast(bloom_words(keys, "key", bloom_bits(keys.count(), FILTER_BITS)))
 
     def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(in_bloom(shared.value, batch.column(1).to_numpy())))
+        for batch in (_once(b, copies.value) for b in batches):
+            yield batch.filter(pa.array(in_bloom(shared.value, batch.column(2).to_numpy()))).select(["set_id", "shingles"])
 
-    some = sets.select("set_id", "key", "shingles").mapInArrow(run, "set_id binary, key bigint, shingles binary")
-    return cut_lineage(some.join(owners, "set_id").groupBy("node").agg(F.first("shingles").alias("shingles")))
+    some = sets.select("place", "set_id", "key", "shingles").mapInArrow(run, "set_id binary, shingles binary")
+    return scratch.keep(some.join(owners, "set_id").groupBy("node").agg(F.first("shingles").alias("shingles")))
 
 
-def _linked(pairs: DataFrame, candidates: DataFrame, sets: DataFrame, owners: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, candidates: DataFrame, sets: DataFrame, copies, owners: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) of nodes that are similar: bitmaps first, then the sets themselves."""
     def near(batches):
         for batch in batches:
@@ -320,11 +394,14 @@ def _linked(pairs: DataFrame, candidates: DataFrame, sets: DataFrame, owners: Da
         return df.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
 
     close = pairs.select("a", "b").join(side("a", candidates, "parity", "n"), "a").join(side("b", candidates, "parity", "n"), "b")
-    close = cut_lineage(close.select("a", "b", "parity_a", "parity_b", "n_a", "n_b").mapInArrow(near, "a bigint, b bigint"))
+    close = scratch.keep(close.select("a", "b", "parity_a", "parity_b", "n_a", "n_b").mapInArrow(near, "a bigint, b bigint"))
     nodes = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    full = _full_sets(sets, candidates.join(nodes, "node").select("key"), owners)
+    keys = scratch.keep(candidates.join(nodes, "node").select("key"))
+    full = _full_sets(sets, copies, keys, owners, scratch)
     both = close.join(side("a", full, "shingles"), "a").join(side("b", full, "shingles"), "b")
-    return cut_lineage(both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(exact, "a bigint, b bigint"))
+    links = scratch.keep(both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(exact, "a bigint, b bigint"))
+    scratch.drop(close, keys, full)
+    return links
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75,
@@ -340,25 +417,37 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     if percent < 75:
         raise ValueError("signatures are made for percent >= 75")
+    with brief_shuffles(docs.sparkSession):
+        rows, owners, final = _placed(docs, id_col, text_col, percent, filter_keys)
+    out = rows.join(owners, "set_id", "left").join(final, "node", "left")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                      F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component", "node", "id")).cast("bigint").alias("component_id"))
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, percent: int, filter_keys: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, set_id, n) of every row, (set_id, node) of every set, (node, component) of the linked ones, all written. What
+    is written on the way is dropped as soon as it has been read for the last time."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    path = scratch_path(spark, "ngram-join")
-    _identify(kind, plain).write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(path)
-    first = spark.read.parquet(path)
-    rows = first.where(F.col("set_id").isNotNull()).select("id", "set_id", "n")
-    sets = first.where(F.col("shingles").isNotNull()).select("set_id", "key", "shingles")
+    scratch = Scratch(spark, "ngram-join")
+    keep, drop = scratch.keep, scratch.drop
+    first = keep(_identify(kind, plain))
+    rows = keep(first.where(F.col("set_id").isNotNull()).select("id", "set_id", "n"))
+    sets = first.where(F.col("place").isNotNull()).select("place", "set_id", "key", "n", "shingles")
+    copies = spark.sparkContext.broadcast(_copies(sets, scratch))
     often = (first.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("times").alias("times"))
              .orderBy(F.desc("times"), "shingle").limit(FREQUENT).toArrow())
     hashes, counts = often.column("shingle").to_numpy().astype(np.uint64), often.column("times").to_numpy()
     order = np.argsort(hashes)
     signer = spark.sparkContext.broadcast(Signer(hashes[order], counts[order]))
-    shared = cut_lineage(_signature_counts(sets, signer).where(F.col("n") > 1).select("sig"))
+    shared = keep(_shared_signatures(sets, signer, copies))
 
     # Nodes are sets, named by their smallest identifier.
-    owners = cut_lineage(rows.where(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("set_id").agg(F.min("id").cast("bigint").alias("node")))
-    once = _candidates(sets, signer, shared, filter_keys).groupBy("set_id").agg(F.first(F.struct("key", "n", "rare", "typical", "sigs", "common", "parity")).alias("s"))
-    candidates = cut_lineage(once.join(owners, "set_id").select("node", "s.*"))
+    owners = keep(rows.where(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("set_id").agg(F.min("id").cast("bigint").alias("node")))
+    once = _candidates(sets, signer, copies, shared, filter_keys, scratch).groupBy("set_id").agg(F.first(F.struct("key", "n", "rare", "typical", "sigs", "common", "parity")).alias("s"))
+    candidates = keep(once.join(owners, "set_id").select("node", "s.*"))
+    drop(shared)
 
     # Members that meet in a frequent shingle and share no rare one have at most their frequent ones in
     # common, so each needs percent (n + n') / (100 + percent) of them: that bounds its partner's size.
@@ -366,38 +455,40 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     members = candidates.select("node", "n", "typical", F.lit(None).cast("bigint").alias("largest"), F.explode("sigs").alias("sig")).unionAll(
         candidates.select("node", "n", "typical", largest.alias("largest"), F.explode("common").alias("sig")))
     centres = members.groupBy("sig").agg(F.max(F.struct("typical", "node", "n", "largest")).alias("c"), F.min("n").alias("least"), F.count("*").alias("m"))
-    centres = cut_lineage(centres.where(F.col("m") > 1).select(
+    centres = keep(centres.where(F.col("m") > 1).select(
         "sig", F.col("c.node").alias("centre"), F.col("c.n").alias("n_c"), F.col("c.largest").alias("largest_c"), "least"))
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
     allows = lambda most, n: F.coalesce(n <= most, F.lit(True))
-    members = cut_lineage(members.join(centres, "sig").where(allows(F.col("largest"), F.col("least"))))
+    members = keep(members.drop("typical").join(centres, "sig").where(allows(F.col("largest"), F.col("least"))).drop("least"))
+    drop(centres)
     spokes = members.where((F.col("node") != F.col("centre")) & fits(F.col("n"), F.col("n_c"))
                            & allows(F.col("largest"), F.col("n_c")) & allows(F.col("largest_c"), F.col("n")))
-    spokes = cut_lineage(spokes.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
-    links = _linked(spokes, candidates, sets, owners, percent)
+    spokes = keep(spokes.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+    links = _linked(spokes, candidates, sets, copies, owners, percent, scratch)
     labels = components(links)
+    drop(links)
 
     # Buckets whose members are not all connected yet: members of different components are held against
     # each other. Members of one component need no further link.
-    placed = cut_lineage(members.join(labels, "node", "left").select("sig", "node", "n", "largest", F.coalesce("label", "node").alias("label")))
-    open_ = cut_lineage(placed.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig"))
+    placed = keep(members.join(labels, "node", "left").select("sig", "node", "n", "largest", F.coalesce("label", "node").alias("label")))
+    open_ = keep(placed.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig"))
+    drop(members)
     left = placed.join(open_, "sig")
     other = left.select("sig", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"), F.col("largest").alias("largest_b"))
     pairs = left.withColumnRenamed("node", "a").join(other, "sig").where(
         (F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & fits(F.col("n"), F.col("n_b")) 
         & allows(F.col("largest"), F.col("n_b")) & allows(F.col("largest_b"), F.col("n")))
-    pairs = cut_lineage(pairs.select("a", "b").distinct())
-    more = _linked(pairs.join(spokes, ["a", "b"], "left_anti"), candidates, sets, owners, percent)
+    pairs = keep(pairs.select("a", "b").distinct())
+    drop(placed, open_)
+    more = _linked(pairs.join(spokes, ["a", "b"], "left_anti"), candidates, sets, copies, owners, percent, scratch)
+    drop(candidates, spokes, pairs, first)
     label_of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
     between = more.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left").select(
         F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
     # Links between components join their labels; a node's label then takes its own label's.
     joined = components(between)
+    drop(more)
     final = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left").select(
         "node", F.coalesce("top", "label").alias("component"))
     alone = joined.join(labels, "node", "left_anti").select("node", F.col("label").alias("component"))
-    final = cut_lineage(final.unionAll(alone))
-
-    out = rows.join(owners, "set_id", "left").join(final, "node", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.col("id").isNull(), None).otherwise(F.coalesce("component", "node", "id")).cast("bigint").alias("component_id"))
+    return rows, owners, keep(final.unionAll(alone))
