@@ -453,9 +453,112 @@ def fit_mllib(train: DataFrame, features: Sequence[str], label: str, kind: str,
     est = make(**(settings | dict(params or {}))).setLabelCol(label).setFeaturesCol("features")
     if weight_col:
         est = est.setWeightCol(weight_col)
+    elif make is R.GBTRegressor and _fits_on_cells(est):
+        return fit_boosted_cells(train, features, label, est)
     return est.fit(training_input(train, features, label, [weight_col] if weight_col else []))
 
 
+# ------------------------------------------------------------------ G8: boosting by cells of equal bins
+def _fits_on_cells(est) -> bool:
+    """Whether the trees depend on the rows of a cell through their number and mean alone: squared loss, no row is
+    left out and none counted for itself."""
+    get = est.getOrDefault
+    return (get("lossType") == "squared" and get("subsamplingRate") == 1.0 and get("minInstancesPerNode") == 1
+            and not est.isSet("validationIndicatorCol"))
+
+
+def split_candidates(values, share: float, n: int, max_splits: int) -> list[float]:
+    """MLlib's candidate thresholds of one feature: between all neighbours of the sampled ``values`` if there are few,
+    else about equally many rows apart. ``share`` of ``n`` rows was sampled; rows missing from that number count as 0."""
+    import numpy as np
+    some = values[values != 0.0]
+    if not len(some):
+        return []
+    v, c = np.unique(some, return_counts=True)
+    zeros = share * n - len(some)
+    if zeros > np.finfo(float).eps * len(some) * 100:
+        at = int(np.searchsorted(v, 0.0))
+        v, c = np.insert(v, at, 0.0), np.insert(c.astype(float), at, zeros)
+    middle = (v[:-1] + v[1:]) / 2
+    if len(middle) <= max_splits:
+        return middle.tolist()
+    stride = share * n / (max_splits + 1)
+    out, target, count = [], stride, float(c[0])
+    for m, k in zip(middle, c[1:]):
+        before, count = count, count + float(k)
+        if abs(before - target) < abs(count - target):
+            out.append(float(m))
+            target += stride
+    return out
+
+
+def fit_boosted_cells(train: DataFrame, features: Sequence[str], label: str, est):
+    """``est`` (a GBTRegressor for which :func:`_fits_on_cells`) fitted in three passes over the rows, however many
+    rounds it has. MLlib sees a feature only through its bins, so rows of equal bins, a cell, share every node and every
+    residual's offset: the gain of a split, the leaves and the residuals follow from each cell's number of rows and mean
+    label. There are at most maxBins to the power of the features' number, and never more than rows. The candidate
+    thresholds are MLlib's, from the rows it would sample; the trees are MLlib's, on the cells with bin numbers for
+    features, whose thresholds are then put back. Impurities of the nodes leave out the spread within cells. Rows that
+    MLlib refuses are given to it."""
+    from math import isqrt
+
+    from pyspark.ml.regression import GBTRegressor
+
+    from quarry.functions.ranking import spread
+    from quarry.session import stored
+    spark, max_bins = train.sparkSession, est.getMaxBins()
+    rows = stored(train.select(*dict.fromkeys([*features, label])))
+    n, jvm = rows.count(), spark._jvm
+    whole = lambda rows: assemble(spread(rows, -(-rows.count() // FIT_ROWS)), features)
+    if not n:
+        return est.fit(whole(rows))
+
+    share = min(1.0, max(max_bins * max_bins, 10_000) / n)
+    xs = rows.select(*[F.col(f).cast("double") for f in features])
+    if share < 1:
+        seed = jvm.org.apache.spark.util.random.XORShiftRandom(est.getSeed()).nextInt()
+        xs = DataFrame(spark._jsparkSession.createDataFrame(xs._jdf.rdd().sample(False, share, seed).toJavaRDD(), xs._jdf.schema()), spark)
+    sample = xs.toArrow()  # at most about 10 000 rows, or maxBins squared
+    cuts = [split_candidates(sample.column(i).drop_null().to_numpy(), share, n, min(max_bins, n) - 1) for i in range(len(features))]
+
+    def bin_of(f: str, ends: list[float]):
+        """One more than the number of thresholds below the value."""
+        x, out = F.col(f).cast("double"), F
+        for i, c in enumerate(ends):
+            out = out.when(x <= F.lit(c), F.lit(i + 1))  # NaN is above all, but refused below
+        return out.otherwise(F.lit(len(ends) + 1)) if ends else F.lit(1)
+
+    odd = F.lit(False)
+    for c in (*features, label):
+        x = F.col(c).cast("double")
+        odd = odd | x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    bins = [f"_b{i}" for i in range(len(features))]
+    y = F.col(label).cast("double")
+    cells = stored(rows.select(y.alias("_y"), odd.alias("_odd"), *[bin_of(f, c).alias(b) for f, c, b in zip(features, cuts, bins)])
+                   .groupBy(*bins).agg(F.count(F.lit(1)).cast("double").alias("_w"), F.avg("_y").alias("_y"), F.max("_odd").alias("_odd")))
+    if cells.where("_odd").limit(1).count():
+        return est.fit(whole(rows))
+    many = cells.count()
+    on_cells = est.copy().setLabelCol("_y").setWeightCol("_w").setMaxBins(max(max_bins, isqrt(many) + 1))  # so many that every bin is sampled
+    fitted = on_cells.fit(assemble(spread(cells, -(-many // FIT_ROWS)), bins))
+
+    ml, gateway = jvm.org.apache.spark.ml, spark.sparkContext._gateway
+
+    def unbinned(node):
+        if not node.subtreeDepth():
+            return node
+        at = node.split()
+        cut = cuts[at.featureIndex()][int(at.threshold()) - 1]
+        return ml.tree.InternalNode(node.prediction(), node.impurity(), node.gain(), unbinned(node.leftChild()), unbinned(node.rightChild()),
+                                    ml.tree.ContinuousSplit(at.featureIndex(), cut), node.impurityStats())
+
+    old, weights = fitted._java_obj.trees(), fitted.treeWeights
+    trees, shares = gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(old)), gateway.new_array(jvm.double, len(old))
+    for i, tree in enumerate(old):
+        trees[i], shares[i] = ml.regression.DecisionTreeRegressionModel(tree.uid(), unbinned(tree.rootNode()), len(features)), float(weights[i])
+    return est._copyValues(est._create_model(ml.regression.GBTRegressionModel(est.uid, trees, shares, len(features))))
+
+
 def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
     """Tree importances (or |coefficient|), sorted descending."""
     if hasattr(model, "featureImportances"):
