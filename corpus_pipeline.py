@@ -16,7 +16,7 @@ from quarry.llm.decontaminate import without_contaminated
 from quarry.llm.exact_dedup import exact_dedup, text_digest
 from quarry.llm.language_id import UNDECIDED, train_language_model, with_language
 from quarry.llm.ngram_join import ngram_components
-from quarry.session import cut_lineage, scratch_path
+from quarry.session import brief_shuffles, cut_lineage, scratch_path
 
 #: A text's best language must have this share of probability; below it no language is recognised.
 LEAST_SCORE = 0.3
@@ -86,11 +86,13 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = ngram_components(docs.select(document.alias("__document"), F.col("text")), "__document").select("__document", "component_id").distinct()
     known = docs.select(document.alias("__document"), check.alias("__check"), F.col("doc_id")).groupBy("__document").agg(
         F.min("__check").alias("__check"), F.max("__check").alias("__other"), F.min("doc_id").alias("doc_id"))
-    members = cut_lineage(groups.join(known.where("__check = __other"), "__document"))
-    kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__document"))).alias("least"))
     name = lambda a, b: F.concat_ws(":", a.cast("string"), b.cast("string"))
-    gone = members.join(kept.select("least.__document"), "__document", "left_anti").select(name(F.col("__document"), F.col("__check")).alias("__gone"))
-    return _without(docs, name(document, check), cut_lineage(gone))
+    with brief_shuffles(spark):
+        members = cut_lineage(groups.join(known.where("__check = __other"), "__document"))
+        kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__document"))).alias("least"))
+        gone = members.join(kept.select("least.__document"), "__document", "left_anti")
+        gone = cut_lineage(gone.select(name(F.col("__document"), F.col("__check")).alias("__gone")))
+    return _without(docs, name(document, check), gone)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import quarry.llm.ngram_join as module
 from quarry.llm.common import ship_package
 from quarry.llm.ngram_join import Signer, ngram_components, pack_ascending, unpack, unpack_ascending
@@ -33,18 +34,42 @@ def test_only_the_answer_stays_on_disk(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
 
 
-def test_shuffle_files_go_with_their_action(spark):
-    def held():
-        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-        return sum("shuffle_" in blocks.apply(i).getName() for i in range(blocks.size()))
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def left_after(spark, before):
+    """Shuffle files that are left of an action; they are removed beside it."""
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    return left
+
 
-    before = held()
+def test_shuffle_files_go_with_their_action(spark):
+    before = shuffle_files(spark)
     with brief_shuffles(spark):
         table = Scratch(spark, "shuffles").keep(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
-    until = time.time() + 10  # files are removed beside the action
-    while held() > before and time.time() < until:
-        time.sleep(0.1)
-    assert held() <= before and table.count() == 7
+    assert not left_after(spark, before) and table.count() == 7
+
+
+def test_the_pipelines_join_leaves_no_shuffle_files(spark):
+    rows = near_copies(31, [8, 35, 90], 6, 4)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    docs = spark.read.parquet(write(docs, f"{ensure_checkpoint_dir(spark)}/docs-{time.time_ns()}"))
+    before = shuffle_files(spark)
+    out = corpus_pipeline.near_stage(spark, docs, "")
+    assert len(left_after(spark, before)) <= 8 * 2  # the last count of a few keys
+    parts = {}
+    for i, (_, c) in brute_components(rows).items():
+        parts.setdefault(c, []).append(i)
+    assert sorted(r.doc_id for r in out.collect()) == sorted(min(x) for x in parts.values())
+
+
+def write(df, path):
+    df.write.parquet(path)
+    return path
 
 
 @pytest.mark.parametrize("at_once,bucket", [(50, 10), (1_000_000, 1_000_000)])
