@@ -99,3 +99,11 @@ def test_packed_runs():
     for x in ([], [0], [2**64 - 1], [5, 5, 7, 2**63, 2**64 - 1]):
         x = np.array(x, dtype=np.uint64)
         assert unpack_ascending(pack_ascending(x), len(x)).tolist() == x.tolist()
+
+
+def test_too_many_copies_are_signed_like_other_sets(spark, monkeypatch):
+    ship_package(spark)
+    monkeypatch.setattr(module, "COPIES", 0)
+    rows = list(enumerate([t for _, t in near_copies(8, [4, 20, 60], 4, 3)] * 3))
+    got = ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
